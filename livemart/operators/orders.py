@@ -11,11 +11,12 @@ from livemart.functions.timefmt import datetime_date, datetime_hour
 from livemart.schemas import ORDER_INFO_COLUMNS
 
 
-def order_info(rows: DataFrame) -> DataFrame:
+def order_info(rows: DataFrame, keep: tuple = ()) -> DataFrame:
     """P5 + P6: add ``create_date``/``create_hour``, mask ``consignee_tel``.
 
     Columns the input lacks are carried as nulls so the output always has the
-    20 order columns in table order (P18).
+    20 order columns in table order (P18); ``keep`` names extra input
+    columns to carry along after them (e.g. an event time).
     """
     present = set(rows.columns)
     derived = {
@@ -31,7 +32,7 @@ def order_info(rows: DataFrame) -> DataFrame:
             out.append(F.col(c))
         else:
             out.append(F.lit(None).cast("double" if c == "total_amount" else "string").alias(c))
-    return rows.select(*out)
+    return rows.select(*out, *keep)
 
 
 def amount_total(orders: DataFrame, date: str | None = None) -> DataFrame:

@@ -17,19 +17,28 @@ from livemart.operators.keyed import latest_per_key
 from livemart.schemas import SALE_DETAIL_COLUMNS
 
 
-def pair_rows(orders: DataFrame, lines: DataFrame) -> DataFrame:
+def pair_rows(orders: DataFrame, lines: DataFrame, time_bound: str | None = None) -> DataFrame:
     """P10 + P11 + P13 over the inner join of orders and their lines.
 
     ``orders``: order-info rows with id, order_status, create_time, user_id and
-    create_date.  ``lines``: order-detail rows (all strings).
-    Join is a shuffle (sort-merge) join on the order id unless the planner
+    create_date.  ``lines``: order-detail rows (all strings).  In batch the
+    join is a shuffle (sort-merge) join on the order id unless the planner
     measures one side under the broadcast threshold; AQE splits skewed ids.
+    ``time_bound`` (streams) adds a condition on ``order_time`` and
+    ``change_time`` so the join state can be dropped behind the watermark.
     """
-    o = orders.select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
-                      F.col("create_date").alias("dt"))
+    o_time = ["order_time"] if "order_time" in orders.columns else []
+    d_time = ["change_time"] if "change_time" in lines.columns else []
+    o = orders.select(F.col("id").alias("_oid"), "order_status", "create_time", "user_id",
+                      F.col("create_date").alias("dt"), *o_time)
     d = lines.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name",
-                     F.col("order_price").try_cast("double").alias("sku_price"), "sku_num")
-    return o.join(d, "order_id", "inner")
+                     F.col("order_price").try_cast("double").alias("sku_price"), "sku_num", *d_time)
+    cond = F.col("_oid") == F.col("order_id")
+    if time_bound:
+        cond = cond & F.expr(time_bound)
+    j = o.join(d, cond, "inner")
+    return j.select("order_id", "order_status", "create_time", "user_id", "dt", "order_detail_id",
+                    "sku_id", "sku_name", "sku_price", "sku_num")
 
 
 def with_user(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:

@@ -297,3 +297,13 @@ SELECT id, mid, uids, itemIds, events, ts, window_start, window_end FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, window_start DESC) AS rn FROM alerts)
 WHERE rn = 1""",
 }
+
+
+# Streaming queries return the sink's latest view, which must equal the batch form.
+STREAM_ORACLE_OF = {
+    "stream_dau": "dau_first",
+    "stream_alerts": "coupon_alert_windows",
+    "stream_user_dim": "user_latest",
+    "stream_sale_detail": "sale_detail",
+}
+ORACLE_SQL.update({k: ORACLE_SQL[v] for k, v in STREAM_ORACLE_OF.items()})
