@@ -30,7 +30,9 @@ def hour_compare(values: DataFrame, date_col: str, hour_col: str, value_col: str
         values = values.where(F.col(date_col).isin(date, _prev(date)))
     maps = hour_map(values, date_col, hour_col, value_col)
     if date is not None:
-        today = maps.where(F.col(date_col) == date)
+        # the requested day always gets its 24 rows, even with no data at all
+        day = values.sparkSession.range(1).select(F.lit(date).alias(date_col))
+        today = day.join(maps.where(F.col(date_col) == date), date_col, "left")
     else:
         today = maps
     yesterday = maps.select(
@@ -69,7 +71,10 @@ def metric_cards(dau_per_day: DataFrame, new_per_day: DataFrame, amount_per_day:
     )
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     if date is not None:
-        rows = rows.where(F.col("date") == date)
+        # the requested day always gets its three cards
+        day = dau_per_day.sparkSession.range(1).select(
+            F.lit(date).alias("date"), F.lit(CARD_DAU[0]).alias("id"), F.lit(None).cast("double").alias("value"))
+        rows = rows.where(F.col("date") == date).unionByName(day)
     ids = F.array(*[F.lit(c[0]) for c in (CARD_DAU, CARD_NEW_MID, CARD_ORDER_AMOUNT)])
     # every day that appears anywhere gets all three cards
     slots = rows.select("date", F.explode(ids).alias("id"), F.lit(None).cast("double").alias("value"))
