@@ -6,9 +6,9 @@ users and items and every event id of the window in arrival order.
 
 Batch form is pane based: ``window(ts, 30s, 5s)`` would copy every event into
 window/slide windows *before* the shuffle.  Here each event is aggregated
-once into its pane (gcd of window and slide), panes are combined into
-windows (small rows), and the ordered event list is assembled only for the
-windows that raise an alert.  The streaming form (``windowed_alerts``) uses
+once into its pane (gcd of window and slide) with map-side combined sets,
+panes are combined into windows (small rows), and the ordered event list
+is assembled only for the windows that raise an alert.  The streaming form (``windowed_alerts``) uses
 Spark's native sliding window, which the state store needs.
 """
 
@@ -67,8 +67,7 @@ def coupon_alerts(events: DataFrame, window_ms: int, slide_ms: int, min_users: i
     panes = ev.groupBy("mid", "pane").agg(
         F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
         F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
-        F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("clicked"),
-        _ordered_evids().alias("evs"))
+        F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("clicked"))
     # windows holding pane p: aligned starts s with p + pane - window <= s <= p
     lo = F.col("pane") + F.lit(pane_ms - window_ms)
     s_lo = lo - F.pmod(lo, F.lit(slide_ms)) + F.when(F.pmod(lo, F.lit(slide_ms)) == 0, 0).otherwise(slide_ms)
@@ -80,15 +79,15 @@ def coupon_alerts(events: DataFrame, window_ms: int, slide_ms: int, min_users: i
                         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
                         F.bool_or("clicked").alias("clicked")))
     alerting = windows.where((F.size("uids") >= min_users) & ~F.col("clicked"))
-    # ordered event lists, only for alerting windows: join back to their panes
+    # ordered event lists, only for alerting windows: the raw events are
+    # joined to the panes of those windows (map-side when that side is
+    # small), so events outside any alert never reach the collect
     alert_panes = alerting.select(
         "mid", "wstart",
         F.explode(F.sequence(F.col("wstart"), F.col("wstart") + F.lit(window_ms - pane_ms),
                              F.lit(pane_ms).cast("bigint"))).alias("pane"))
-    evs = (alert_panes.join(panes.select("mid", "pane", "evs"), ["mid", "pane"], "inner")
-                      .groupBy("mid", "wstart")
-                      .agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pane", "evs"))),
-                                                 lambda x: x["evs"])).alias("events")))
+    evs = (ev.join(alert_panes, ["mid", "pane"], "inner")
+             .groupBy("mid", "wstart").agg(_ordered_evids().alias("events")))
     out = alerting.join(evs, ["mid", "wstart"], "inner")
     wend = F.col("wstart") + F.lit(window_ms)
     return out.select(*alert_row(F.col("mid"), F.col("wstart"), wend, F.col("uids"),

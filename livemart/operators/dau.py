@@ -52,7 +52,16 @@ def dau_hour(dau: DataFrame, date: str | None = None) -> DataFrame:
     return dau.groupBy("logdate", "loghour").agg(F.count(F.lit(1)).alias("ct"))
 
 
+def device_days(startups: DataFrame) -> DataFrame:
+    """Distinct (logdate, mid): the keys of the DAU table, without the payload."""
+    return startups.select(*DAU_KEY).distinct()
+
+
 def new_devices(startups: DataFrame) -> DataFrame:
-    """Q1 ``newMid``: devices whose first start-up ever falls on the day: (logdate, ct)."""
+    """Q1 ``newMid``: devices whose first start-up ever falls on the day: (logdate, ct).
+
+    Works on raw start-ups or on ``device_days`` (same answer; the latter lets
+    a plan that also counts DAU reuse one shuffle).
+    """
     first_day = startups.groupBy("mid").agg(F.min("logdate").alias("logdate"))
     return first_day.groupBy("logdate").agg(F.count(F.lit(1)).alias("ct"))

@@ -17,7 +17,8 @@ from livemart.operators.keyed import latest_per_key
 from livemart.schemas import SALE_DETAIL_COLUMNS
 
 
-def pair_rows(orders: DataFrame, lines: DataFrame, time_bound: str | None = None) -> DataFrame:
+def pair_rows(orders: DataFrame, lines: DataFrame, time_bound: str | None = None,
+              carry: tuple = ()) -> DataFrame:
     """P10 + P11 + P13 over the inner join of orders and their lines.
 
     ``orders``: order-info rows with id, order_status, create_time, user_id and
@@ -26,11 +27,12 @@ def pair_rows(orders: DataFrame, lines: DataFrame, time_bound: str | None = None
     measures one side under the broadcast threshold; AQE splits skewed ids.
     ``time_bound`` (streams) adds a condition on ``order_time`` and
     ``change_time`` so the join state can be dropped behind the watermark.
+    ``carry`` names extra order columns to keep (e.g. user attributes).
     """
     o_time = ["order_time"] if "order_time" in orders.columns else []
     d_time = ["change_time"] if "change_time" in lines.columns else []
     o = orders.select(F.col("id").alias("_oid"), "order_status", "create_time", "user_id",
-                      F.col("create_date").alias("dt"), *o_time)
+                      F.col("create_date").alias("dt"), *o_time, *carry)
     d = lines.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name",
                      F.col("order_price").try_cast("double").alias("sku_price"), "sku_num", *d_time)
     cond = F.col("_oid") == F.col("order_id")
@@ -38,7 +40,17 @@ def pair_rows(orders: DataFrame, lines: DataFrame, time_bound: str | None = None
         cond = cond & F.expr(time_bound)
     j = o.join(d, cond, "inner")
     return j.select("order_id", "order_status", "create_time", "user_id", "dt", "order_detail_id",
-                    "sku_id", "sku_name", "sku_price", "sku_num")
+                    "sku_id", "sku_name", "sku_price", "sku_num", *carry)
+
+
+def _user_attrs(users: DataFrame, as_of: str) -> DataFrame:
+    return users.select(F.col("id").alias("user_id"), F.col("gender").alias("user_gender"),
+                        "user_level", age_years("birthday", as_of).alias("_age"))
+
+
+def _finish(df: DataFrame) -> DataFrame:
+    return df.select(*[F.coalesce(F.col("_age"), F.lit(0)).alias("user_age") if c == "user_age"
+                       else F.col(c) for c in SALE_DETAIL_COLUMNS])
 
 
 def with_user(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
@@ -46,16 +58,20 @@ def with_user(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
 
     ``as_of`` fixes "now" for the 365-day age so results are reproducible.
     """
-    u = users.select(F.col("id").alias("user_id"), F.col("gender").alias("user_gender"),
-                     "user_level", age_years("birthday", as_of).alias("_age"))
-    j = sales.join(u, "user_id", "left")
-    return j.select(*[F.coalesce(F.col("_age"), F.lit(0)).alias("user_age") if c == "user_age"
-                      else F.col(c) for c in SALE_DETAIL_COLUMNS])
+    return _finish(sales.join(_user_attrs(users, as_of), "user_id", "left"))
 
 
 def sale_detail(orders: DataFrame, lines: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
-    """The whole sale row: (order ⋈ line) ⟕ user, SALE_DETAIL_COLUMNS."""
-    return with_user(pair_rows(orders, lines), users, as_of)
+    """The whole sale row: (order ⋈ line) ⟕ user, SALE_DETAIL_COLUMNS.
+
+    The user is attached to the *order* before the line join: every line of
+    an order has the order's user, so the result is the same, but the
+    shuffle on ``user_id`` then moves order-sized rows instead of
+    line-sized ones (about four lines per order).
+    """
+    enriched = orders.join(_user_attrs(users, as_of), "user_id", "left")
+    pairs = pair_rows(enriched, lines, carry=("user_gender", "user_level", "_age"))
+    return _finish(pairs)
 
 
 def unmatched(orders: DataFrame, lines: DataFrame) -> DataFrame:
