@@ -118,3 +118,8 @@ def windowed_alerts(events: DataFrame, window: str, slide: str, min_users: int =
 def per_minute(alerts: DataFrame) -> DataFrame:
     """ST6: at most one alert per device and minute; the latest window wins."""
     return latest_per_key(alerts, ["id"], ["ts", "window_start"], alerts.columns)
+
+
+def for_day(alerts: DataFrame, date: str) -> DataFrame:
+    """Q7: the alerts of one day (by window end), as the alert index would list them."""
+    return alerts.where(F.substring(F.col("window_end"), 1, 10) == date)

@@ -19,14 +19,18 @@ GENDER_TOP = 2
 AGE_TOP = 100
 
 
-def search(sales: DataFrame, date: str | None, keyword: str) -> DataFrame:
-    """F7 + F8: rows of day ``date`` whose ``sku_name`` holds every keyword term.
+def search(sales: DataFrame, date: str | None, keyword: str, level: str | None = None) -> DataFrame:
+    """F7 + F8 (+ F11): rows of day ``date`` whose ``sku_name`` holds every keyword term.
 
     Adds ``score`` (how many name tokens are query terms) for the default
-    relevance order.  The date test is a plain equality, pushed to the scan.
+    relevance order.  The date test is a plain equality, pushed to the scan
+    (a partition filter on a table stored by ``dt``).  ``level`` optionally
+    restricts to one user level (the dashboard sends it; off by default).
     """
     if date is not None:
         sales = sales.where(F.col("dt") == date)
+    if level is not None:
+        sales = sales.where(F.col("user_level") == level)
     terms = query_terms(keyword)
     toks = tokens("sku_name")
     return (sales.where(matches_all(toks, terms))

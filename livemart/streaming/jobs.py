@@ -135,3 +135,22 @@ def log_route_query(raw_text: DataFrame, path: str, checkpoint: str, stamp=None,
     out = ingest.log_day_hour(st.select("topic", "value", F.col("log.ts").alias("ts")), "ts")
     return _start(out.select("topic", "logdate", "value"), checkpoint, trigger, "append",
                   name="log_route", path=path, partitionBy=["topic", "logdate"])
+
+
+def refresh_missing_users(spark, sales_table: KeyedTable, users: KeyedTable, as_of: str,
+                          batch_id: int) -> int:
+    """Re-enrich sale rows written before their user arrived (late dimension).
+
+    Rows without user attributes are joined again with the current user
+    view; those that now find their user are upserted as batch ``batch_id``
+    (above every batch id the stream used), superseding the old version.
+    Returns ``batch_id`` for chaining.
+    """
+    view = sales_table.view(spark)
+    missing = view.where(F.col("user_gender").isNull() & F.col("user_level").isNull())
+    needed = missing.select(F.col("user_id").alias("id")).distinct()
+    found = users.view(spark).join(needed, "id", "left_semi")
+    redone = sales.with_user(missing.drop("user_gender", "user_level", "user_age"), found, as_of)
+    sales_table.write(redone.where(F.col("user_gender").isNotNull() | F.col("user_level").isNotNull()),
+                      batch_id)
+    return batch_id

@@ -86,3 +86,43 @@ def test_alert_stream_drops_cancelled_alert(spark, scratch):
     src = read_folder(spark, f"{scratch}/ev", spark.createDataFrame([], schema).schema)
     jobs.alert_query(src, table, ck, "10 minutes", "5 minutes", watermark="1 hour", trigger=ONCE).awaitTermination()
     assert table.view(spark).count() == 0
+
+
+def test_refresh_fills_user_that_arrived_late(spark, scratch):
+    sales_t = KeyedTable(f"{scratch}/sales", ["order_detail_id"])
+    users = KeyedTable(f"{scratch}/users", ["id"], order=["seq"])
+    row = ("1_1", "1", "O", "2024-01-01 10:00:00", "7", "s1", None, 0, None, 2.5, "red widget", "2024-01-01", "1")
+    schema = ("order_detail_id string, order_id string, order_status string, create_time string, user_id string, "
+              "sku_id string, user_gender string, user_age int, user_level string, sku_price double, "
+              "sku_name string, dt string, sku_num string")
+    sales_t.write(spark.createDataFrame([row], schema), 0)
+    users.write(spark.createDataFrame([("7", "u", "L1", "2000-08-02", "F", 1)],
+                                      "id string, login_name string, user_level string, birthday string, gender string, seq long"), 0)
+    jobs.refresh_missing_users(spark, sales_t, users, "2001-08-02", 1)
+    r = sales_t.view(spark).first()
+    assert (r.user_gender, r.user_level, r.user_age) == ("F", "L1", 1)
+
+
+def test_order_and_log_archive_sinks_and_metrics(spark, scratch):
+    from livemart.streaming.metrics import attach
+    log = attach(spark)
+    rows = A.order_rows(spark, SF_SMALL, with_customer=True)
+    to_chunks(rows.withColumn("ms", F.col("id").cast("long")), f"{scratch}/o", "ms", 2)
+    src = read_folder(spark, f"{scratch}/o", rows.withColumn("ms", F.lit(0).cast("long")).schema).drop("ms")
+    jobs.order_query(src, f"{scratch}/orders", f"{scratch}/ck1", trigger=ONCE).awaitTermination()
+    stored = spark.read.parquet(f"{scratch}/orders")
+    assert stored.count() == rows.count()
+    assert stored.where(~F.col("consignee_tel").startswith("*******")).count() == 0
+    raw = A.raw_log_json(spark, SF_SMALL).select("value")
+    raw.write.text(f"{scratch}/raw")
+    from livemart.streaming.sources import read_log_text
+    jobs.log_route_query(read_log_text(spark, f"{scratch}/raw"), f"{scratch}/logs", f"{scratch}/ck2",
+                         stamp=1_704_067_200_000, trigger=ONCE).awaitTermination()
+    arch = spark.read.parquet(f"{scratch}/logs")
+    assert arch.count() == raw.count()
+    assert {r.topic for r in arch.select("topic").distinct().collect()} == {"GMALL_STARTUP", "GMALL_EVENT"}
+    assert {str(r.logdate) for r in arch.select("logdate").distinct().collect()} == {"2024-01-01"}
+    import time
+    time.sleep(1)
+    spark.streams.removeListener(log)
+    assert any(b.get("input_rows") for b in log.batches)

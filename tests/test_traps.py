@@ -216,3 +216,19 @@ def test_order_info_shape(spark):
                                  "id string, consignee_tel string, create_time string, total_amount double")
     r = orders.order_info(rows).first()
     assert len(r) == 20 and r.consignee_tel == "*******5678" and r.create_hour == "10"
+
+
+def test_level_filter_and_result_row(spark):
+    o, d, u = _order_line_user(spark)
+    sd = sales.sale_detail(o, d, u, "2001-08-02")
+    assert search.search(sd, "2024-01-01", "widget", level="L").count() == 0
+    assert search.search(sd, None, "bolt").count() == 0  # line 9_1 has no order
+    r = search.result(search.search(sd, "2024-01-01", "widget"), 1, 5).first()
+    assert r.total == 2 and len(r.detail) == 2
+    assert sorted(g.title for g in r.stat) == sorted(["性别占比", "年龄占比"])
+
+
+def test_alert_list_for_one_day(spark):
+    rows = [("d", f"u{i}", "coupon", f"2024-01-01 0{i}:10:00") for i in range(3)]
+    al = alerts.coupon_alerts(events(spark, rows), H6, H1)
+    assert alerts.for_day(al, "2024-01-01").count() + alerts.for_day(al, "2024-01-02").count() == al.count()
