@@ -15,7 +15,8 @@ from livemart.functions.timefmt import millis_to_date, millis_to_hour, server_st
 from livemart.schemas import (RAW_LOG, TOPIC_EVENT, TOPIC_ORDER, TOPIC_ORDER_DETAIL,
                               TOPIC_STARTUP, TOPIC_USER)
 
-# Change-data routing, (table, operations) -> topic.
+# Change-data routing, (table, operations) -> topic; the upstream routing
+# rule.  Pass ``routes=`` to use other topic names.
 CHANGE_ROUTES = (
     ("order_info", ("INSERT",), TOPIC_ORDER),
     ("user_info", ("INSERT", "UPDATE"), TOPIC_USER),
@@ -39,7 +40,8 @@ def stamp_logs(raw: DataFrame, value_col: str = "value", stamp=None) -> DataFram
     return stamped.withColumn(value_col, F.to_json(F.col("log")))
 
 
-def route_logs(stamped: DataFrame, value_col: str = "value") -> DataFrame:
+def route_logs(stamped: DataFrame, value_col: str = "value",
+               topics: tuple = (TOPIC_STARTUP, TOPIC_EVENT)) -> DataFrame:
     """F3 + P21 + SNK8: ``type == 'startup'`` -> STARTUP, anything else (even none) -> EVENT.
 
     Uses the parsed ``log.type`` when the input was stamped, else extracts
@@ -47,7 +49,7 @@ def route_logs(stamped: DataFrame, value_col: str = "value") -> DataFrame:
     """
     kind = F.col("log.type") if "log" in stamped.columns else field(value_col, "type")
     is_startup = F.coalesce(kind == "startup", F.lit(False))
-    return stamped.withColumn("topic", F.when(is_startup, TOPIC_STARTUP).otherwise(TOPIC_EVENT))
+    return stamped.withColumn("topic", F.when(is_startup, topics[0]).otherwise(topics[1]))
 
 
 def log_day_hour(logs: DataFrame, ms_col: str = "ts", tz: str = "UTC") -> DataFrame:
@@ -56,7 +58,8 @@ def log_day_hour(logs: DataFrame, ms_col: str = "ts", tz: str = "UTC") -> DataFr
                 .withColumn("loghour", millis_to_hour(ms_col, tz)))
 
 
-def route_changes(entries: DataFrame, table_pattern: str | None = None) -> DataFrame:
+def route_changes(entries: DataFrame, table_pattern: str | None = None,
+                  routes: tuple = CHANGE_ROUTES) -> DataFrame:
     """SRC3 + F1 + F2 + P3 + SNK9: change entries -> (topic, value) rows.
 
     Keeps row data only, subscribes by a table-name regex, routes by
@@ -67,7 +70,7 @@ def route_changes(entries: DataFrame, table_pattern: str | None = None) -> DataF
     if table_pattern:
         rows = rows.where(F.col("table").rlike(table_pattern))
     topic = F.lit(None).cast("string")
-    for table, ops, name in reversed(CHANGE_ROUTES):
+    for table, ops, name in reversed(routes):
         topic = F.when((F.col("table") == table) & F.col("op").isin(*ops), F.lit(name)).otherwise(topic)
     routed = rows.withColumn("topic", topic).where(F.col("topic").isNotNull())
     return routed.select("topic", "table", "op", "seq", F.explode("rows").alias("after")).select(

@@ -129,7 +129,7 @@ def _event_json() -> str:
 ORACLE_SQL: dict[str, str] = {
     "log_route": f"""WITH {LOGS}
 SELECT event_id,
-       CASE WHEN type = 'startup' THEN 'GMALL_STARTUP' ELSE 'GMALL_EVENT' END AS topic,
+       CASE WHEN type = 'startup' THEN 'STARTUP' ELSE 'EVENT' END AS topic,
        CASE WHEN type = 'startup' THEN {_startup_json()} ELSE {_event_json()} END AS value
 FROM lg""",
 
@@ -148,17 +148,17 @@ SELECT event_id, type, mid, uid, os, appid, area,
 FROM lg""",
 
     "cdc_route": """
-SELECT 'GMALL_ORDER' AS topic,
+SELECT 'ORDER' AS topic,
        json_object('id', CAST(o_orderkey AS VARCHAR), 'user_id', CAST(o_custkey AS VARCHAR),
                    'order_status', o_orderstatus, 'total_amount', CAST(o_totalprice AS VARCHAR)) AS value
 FROM orders WHERE o_orderkey % 3 = 0
 UNION ALL
-SELECT 'GMALL_ORDER_DETAIL',
+SELECT 'ORDER_DETAIL',
        json_object('id', concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey),
                    'order_id', CAST(l_orderkey AS VARCHAR), 'sku_id', CAST(l_partkey AS VARCHAR))
 FROM lineitem WHERE (l_orderkey + l_linenumber) % 3 = 0
 UNION ALL
-SELECT 'GMALL_USER', json_object('id', CAST(c_custkey AS VARCHAR), 'user_level', c_mktsegment)
+SELECT 'USER', json_object('id', CAST(c_custkey AS VARCHAR), 'user_level', c_mktsegment)
 FROM customer WHERE c_custkey % 3 IN (0, 1)""",
 
     "dau_first": f"WITH {DAU} SELECT * FROM dau",

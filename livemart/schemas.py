@@ -85,12 +85,13 @@ class StreamSpec:
     event_time: str | None
 
 
-# The five topic names of the stream catalogue.
-TOPIC_STARTUP = "GMALL_STARTUP"
-TOPIC_EVENT = "GMALL_EVENT"
-TOPIC_ORDER = "GMALL_ORDER"
-TOPIC_USER = "GMALL_USER"
-TOPIC_ORDER_DETAIL = "GMALL_ORDER_DETAIL"
+# Default names of the five topics of the stream catalogue; deployments with
+# other topic names pass them to the routers (``topics=`` arguments).
+TOPIC_STARTUP = "STARTUP"
+TOPIC_EVENT = "EVENT"
+TOPIC_ORDER = "ORDER"
+TOPIC_USER = "USER"
+TOPIC_ORDER_DETAIL = "ORDER_DETAIL"
 
 STREAMS = {
     "startup": StreamSpec("startup", TOPIC_STARTUP, STARTUP_LOG, ("logdate", "mid"), "ts"),

@@ -120,7 +120,7 @@ def test_order_and_log_archive_sinks_and_metrics(spark, scratch):
                          stamp=1_704_067_200_000, trigger=ONCE).awaitTermination()
     arch = spark.read.parquet(f"{scratch}/logs")
     assert arch.count() == raw.count()
-    assert {r.topic for r in arch.select("topic").distinct().collect()} == {"GMALL_STARTUP", "GMALL_EVENT"}
+    assert {r.topic for r in arch.select("topic").distinct().collect()} == {"STARTUP", "EVENT"}
     assert {str(r.logdate) for r in arch.select("logdate").distinct().collect()} == {"2024-01-01"}
     import time
     time.sleep(1)

@@ -197,7 +197,7 @@ def test_change_routing_drops_updates_and_deletes(spark):
     got = [(r.topic, json.loads(r.value)) for r in ingest.route_changes(spark.createDataFrame(rows, schema)).collect()]
     key = lambda x: (x[0], sorted(x[1].items()))
     assert sorted(got, key=key) == sorted([(TOPIC_ORDER, {"id": "1"}), (TOPIC_USER, {"id": "5", "user_level": "2"}),
-                                           ("GMALL_ORDER_DETAIL", {"id": "1_1"}), ("GMALL_ORDER_DETAIL", {"id": "1_2"})],
+                                           ("ORDER_DETAIL", {"id": "1_1"}), ("ORDER_DETAIL", {"id": "1_2"})],
                                           key=key)
 
 
