@@ -25,8 +25,33 @@ from livemart.streaming.upsert import KeyedTable
 LIVE_TRIGGER = {"processingTime": "5 seconds"}
 
 
+def state_partitions(spark) -> int:
+    """Default number of state-store partitions: the cluster's task slots.
+
+    A stateful query fixes its partition count at its first start (it is
+    kept in the checkpoint) and AQE does not re-plan streams, so the count
+    is chosen per query instead of inherited from a batch-sized session
+    setting.
+    """
+    return max(int(spark.sparkContext.defaultParallelism), 1)
+
+
 def _start(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str = "update",
-           foreach_batch=None, name: str | None = None, **sink) -> StreamingQuery:
+           foreach_batch=None, name: str | None = None, partitions: int | None = None,
+           **sink) -> StreamingQuery:
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    # the query clones the session conf when it starts; restore right after
+    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    try:
+        return _start_writer(df, checkpoint, trigger, mode, foreach_batch, name, **sink)
+    finally:
+        spark.conf.set(key, previous)
+
+
+def _start_writer(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str,
+                  foreach_batch, name: str | None, **sink) -> StreamingQuery:
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or LIVE_TRIGGER))
     if name:
