@@ -65,11 +65,16 @@ def dau_first(spark, sf_dir):
 
 
 def dau_new_vs_seen(spark, sf_dir):
-    """Afternoon start-ups of devices not seen that morning, first per device/day."""
+    """Afternoon start-ups of devices not seen that morning, first per device/day.
+
+    First-per-key and the anti join share the key, so they commute; reducing
+    the batch first (map-side combined) means a hot device reaches the join
+    as one row per map task instead of all of its rows.
+    """
     st = A.startup_logs(spark, sf_dir)
     seen = st.where(F.col("loghour") < P.SEEN_BEFORE_HOUR)
     batch = st.where(F.col("loghour") >= P.SEEN_BEFORE_HOUR)
-    return dau.daily_active(dau.unseen(batch, seen))
+    return dau.unseen(dau.daily_active(batch), seen)
 
 
 def dau_total(spark, sf_dir):

@@ -31,7 +31,16 @@ class KeyedTable:
         self.keep = keep  # boolean column: rows whose latest version is false are hidden
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        """Upsert one micro-batch (idempotent per ``batch_id``)."""
+        """Upsert one micro-batch (idempotent per ``batch_id``).
+
+        SNK3: a row whose (single) key is null gets a generated key -- a hash
+        of its content, not a random id, so a replayed batch regenerates the
+        same keys instead of duplicating documents.
+        """
+        if len(self.key) == 1:
+            k = self.key[0]
+            content = F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256)
+            df = df.withColumn(k, F.coalesce(F.col(k).cast("string"), content))
         (df.write.mode("overwrite").option("compression", "zstd")
            .parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}"))
 

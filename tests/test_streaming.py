@@ -126,3 +126,12 @@ def test_order_and_log_archive_sinks_and_metrics(spark, scratch):
     time.sleep(1)
     spark.streams.removeListener(log)
     assert any(b.get("input_rows") for b in log.batches)
+
+
+def test_null_key_gets_stable_generated_key(spark, scratch):
+    t = KeyedTable(f"{scratch}/docs", ["id"])
+    df = spark.createDataFrame([(None, "a"), ("k1", "b")], "id string, v string")
+    t.write(df, 0)
+    t.write(df, 0)
+    rows = sorted((r.id, r.v) for r in t.view(spark).collect())
+    assert len(rows) == 2 and rows[1] == ("k1", "b") and len(rows[0][0]) == 64
