@@ -146,6 +146,28 @@ def sale_query(orders_rows: DataFrame, lines: DataFrame, users: KeyedTable, tabl
     return _start(pairs, checkpoint, trigger, "append", table.foreach_batch(_enrich), "sale_detail")
 
 
+def sale_dead_letters_query(orders_rows: DataFrame, lines: DataFrame, path: str, checkpoint: str,
+                            max_delay: str = "10 seconds", watermark: str = "1 minute",
+                            trigger: dict | None = None) -> StreamingQuery:
+    """J2 outer sides as a stream: orders that never got a line and lines that
+    never found their order, emitted once the watermark has passed the time
+    bound (full outer stream-stream join, append mode).  Output: (side, id,
+    order_id), the shape of ``sales.unmatched``.
+    """
+    o = (with_event_time(orders_rows.select(F.col("id").alias("_oid"), "order_ms"), "order_ms", "order_time")
+         .withWatermark("order_time", watermark))
+    d = (with_event_time(lines.select(F.col("id").alias("_lid"), "order_id", "change_ms"), "change_ms", "change_time")
+         .withWatermark("change_time", watermark))
+    cond = F.expr(f"_oid = order_id AND change_time BETWEEN order_time - INTERVAL {max_delay} "
+                  f"AND order_time + INTERVAL {max_delay}")
+    j = o.join(d, cond, "fullOuter")
+    dead = j.where(F.col("_oid").isNull() | F.col("_lid").isNull()).select(
+        F.when(F.col("_lid").isNull(), F.lit("order")).otherwise(F.lit("order_detail")).alias("side"),
+        F.coalesce(F.col("_lid"), F.col("_oid")).alias("id"),
+        F.coalesce(F.col("order_id"), F.col("_oid")).alias("order_id"))
+    return _start(dead, checkpoint, trigger, "append", name="sale_dead_letters", path=path)
+
+
 def order_query(orders_rows: DataFrame, path: str, checkpoint: str,
                 trigger: dict | None = None) -> StreamingQuery:
     """SNK2: masked order rows appended to a table partitioned by ``create_date``."""

@@ -135,3 +135,19 @@ def test_null_key_gets_stable_generated_key(spark, scratch):
     t.write(df, 0)
     rows = sorted((r.id, r.v) for r in t.view(spark).collect())
     assert len(rows) == 2 and rows[1] == ("k1", "b") and len(rows[0][0]) == 64
+
+
+def test_dead_letters_stream(spark, scratch):
+    base = 1_700_000_000_000
+    _write(spark, [("1", "O", "7", 9.0, "x", base), ("2", "O", "7", 9.0, "x", base)], ORDER_SCHEMA, f"{scratch}/o")
+    _write(spark, [("1_1", "1", "n", "s", "1", None, "1", base + 500),
+                   ("9_1", "9", "n", "s", "1", None, "1", base)], LINE_SCHEMA, f"{scratch}/d")
+    # later traffic moves the watermark past the first rows
+    _write(spark, [("3", "O", "7", 9.0, "x", base + 3_600_000)], ORDER_SCHEMA, f"{scratch}/o")
+    _write(spark, [("3_1", "3", "n", "s", "1", None, "1", base + 3_600_000)], LINE_SCHEMA, f"{scratch}/d")
+    o = read_folder(spark, f"{scratch}/o", spark.createDataFrame([], ORDER_SCHEMA).schema)
+    d = read_folder(spark, f"{scratch}/d", spark.createDataFrame([], LINE_SCHEMA).schema)
+    jobs.sale_dead_letters_query(o, d, f"{scratch}/dead", f"{scratch}/ck", max_delay="10 seconds",
+                                 watermark="1 minute", trigger=ONCE).awaitTermination()
+    got = sorted((r.side, r.id) for r in spark.read.parquet(f"{scratch}/dead").collect())
+    assert got == [("order", "2"), ("order_detail", "9_1")]
