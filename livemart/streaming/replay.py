@@ -20,11 +20,17 @@ def to_chunks(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4) -> st
     slices are written in time order, so file modification times order them.
     Returns ``path``.
     """
-    span = df.agg(F.min(time_ms_col).alias("lo"), F.max(time_ms_col).alias("hi")).first()
-    lo, hi = int(span["lo"]), int(span["hi"])
-    width = max((hi - lo + 1) / chunks, 1.0)
-    slot = F.least(F.floor((F.col(time_ms_col) - F.lit(lo)) / F.lit(width)), F.lit(chunks - 1))
-    tagged = df.withColumn("_slot", slot)
-    for i in range(chunks):
-        tagged.where(F.col("_slot") == i).drop("_slot").write.mode("append").parquet(path)
+    # the input is computed once and kept (memory, spilling to disk) for the
+    # span aggregate and the slice writes
+    df = df.persist()
+    try:
+        span = df.agg(F.min(time_ms_col).alias("lo"), F.max(time_ms_col).alias("hi")).first()
+        lo, hi = int(span["lo"]), int(span["hi"])
+        width = max((hi - lo + 1) / chunks, 1.0)
+        slot = F.least(F.floor((F.col(time_ms_col) - F.lit(lo)) / F.lit(width)), F.lit(chunks - 1))
+        tagged = df.withColumn("_slot", slot)
+        for i in range(chunks):
+            tagged.where(F.col("_slot") == i).drop("_slot").write.mode("append").parquet(path)
+    finally:
+        df.unpersist()
     return path
