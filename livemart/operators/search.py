@@ -7,7 +7,7 @@ steps touch at most a few hundred rows (distinct genders / ages).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from livemart.functions.numeric import percent_1dp
@@ -88,19 +88,19 @@ def gender_share(matched: DataFrame) -> DataFrame:
 def age_share(matched: DataFrame) -> DataFrame:
     """Q6 (A12 + A14 + A15): percent of hits per age band: (title, name, value).
 
-    The bands re-aggregate the top-``AGE_TOP`` age buckets, as the upstream
-    facet did; the denominator is all hits.  Ranking runs over the distinct
-    ages only (a few hundred rows at most).
+    The bands re-aggregate the top-``AGE_TOP`` age buckets (a bounded top-k,
+    as the upstream facet did); the denominator is all hits.  The total and
+    the band sums are two one-row aggregates folded without a join.
     """
     ages = matched.groupBy("user_age").agg(F.count(F.lit(1)).alias("cnt"))
-    rank = F.row_number().over(Window.orderBy(F.col("cnt").desc(), F.col("user_age")))
-    ranked = ages.withColumn("rn", rank).withColumn("band", age_band("user_age"))
-    top = F.col("rn") <= AGE_TOP
+    top = ages.orderBy(F.col("cnt").desc(), F.col("user_age")).limit(AGE_TOP)
     lo, mid, hi = AGE_BAND_LABELS
-    agg = ranked.agg(
-        F.sum("cnt").alias("n"),
-        *[F.coalesce(F.sum(F.when(top & (F.col("band") == b), F.col("cnt"))), F.lit(0)).alias(f"b{i}")
-          for i, b in enumerate((lo, mid, hi))])
+    band = age_band("user_age")
+    bands = top.agg(*[F.coalesce(F.sum(F.when(band == b, F.col("cnt"))), F.lit(0)).alias(f"b{i}")
+                      for i, b in enumerate((lo, mid, hi))])
+    n = ages.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"))
+    agg = n.unionByName(bands, allowMissingColumns=True).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("n", "b0", "b1", "b2")])
     opts = F.array(*[F.struct(F.lit(b).alias("name"), percent_1dp(f"b{i}", "n").alias("value"))
                      for i, b in enumerate((lo, mid, hi))])
     return (agg.select(F.explode(opts).alias("o"))
