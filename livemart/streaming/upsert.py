@@ -4,8 +4,9 @@
 replayed micro-batch replaces its own earlier attempt (idempotent).  The
 view picks, per key, the row of the highest (order columns, batch id):
 later batches supersede earlier ones, as an upsert would.  ``compact``
-folds everything into one base folder so reads stay one scan + one
-aggregate however many batches were written.
+folds the batches up to a given id into one base (one row per key), and
+reads then skip the folded batch folders by partition pruning, so the
+merge on read stays proportional to the base plus recent batches.
 """
 
 from __future__ import annotations
@@ -62,8 +63,27 @@ class KeyedTable:
                 df.unpersist()
         return _fn
 
+    def _base_id(self, spark: SparkSession) -> int | None:
+        """Batch id folded into the current compacted base, or None."""
+        try:
+            row = spark.read.parquet(f"{self.path}_base/current").first()
+        except Exception:  # no compaction yet
+            return None
+        return int(row["upto"]) if row else None
+
     def raw(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        """All live versions: the compacted base plus the batches written after it.
+
+        Batches already folded into the base are skipped by a partition
+        filter, so they are not even listed for reading.
+        """
+        upto = self._base_id(spark)
+        batches = spark.read.parquet(self.path)
+        if upto is None:
+            return batches
+        base = spark.read.parquet(f"{self.path}_base/v{upto}").withColumn(BATCH_COL, F.lit(upto))
+        newer = batches.where(F.col(BATCH_COL) > upto)
+        return base.unionByName(newer.select(*base.columns))
 
     def view(self, spark: SparkSession) -> DataFrame:
         """Latest version of every key (merge on read)."""
@@ -74,15 +94,17 @@ class KeyedTable:
             latest = latest.where(F.col(self.keep)).drop(self.keep)
         return latest
 
-    def compact(self, spark: SparkSession, batch_id: int) -> None:
-        """Rewrite the current view as one batch folder; later batches still win.
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Fold every version up to batch ``upto`` into one base (one row per key).
 
-        The view is materialised to ``<path>_compact/<batch_id>`` first and
-        then written back, so the table is never read and overwritten at once.
+        The base is written to a new folder ``<path>_base/v<upto>`` and only
+        then made current, so readers never see a half-written base and a
+        replayed batch folder can never clobber it.  ``upto`` should be a
+        batch whose sink write has committed (e.g. ``lastProgress.batchId``).
         """
-        raw = self.raw(spark)
+        raw = self.raw(spark).where(F.col(BATCH_COL) <= upto)
         cols = [c for c in raw.columns if c != BATCH_COL]
         merged = latest_per_key(raw, self.key, [*self.order, BATCH_COL], cols)
-        tmp = f"{self.path}_compact/{int(batch_id)}"
-        merged.write.mode("overwrite").parquet(tmp)
-        spark.read.parquet(tmp).write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+        merged.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}_base/v{int(upto)}")
+        (spark.range(1).select(F.lit(int(upto)).cast("long").alias("upto"))
+              .write.mode("overwrite").parquet(f"{self.path}_base/current"))

@@ -47,8 +47,13 @@ def test_keyed_table_is_idempotent_and_later_batches_win(spark, scratch):
     t.write(df1, 0)  # replayed batch
     t.write(spark.createDataFrame([("a", 2)], "k string, v int"), 1)
     assert sorted((r.k, r.v) for r in t.view(spark).collect()) == [("a", 2), ("b", 1)]
+    t.compact(spark, 1)
+    t.write(spark.createDataFrame([("b", 3)], "k string, v int"), 2)
+    assert sorted((r.k, r.v) for r in t.view(spark).collect()) == [("a", 2), ("b", 3)]
+    # folded batches are pruned: the raw read holds the base (2 keys) + batch 2
+    assert t.raw(spark).count() == 3
     t.compact(spark, 2)
-    t.write(spark.createDataFrame([("b", 3)], "k string, v int"), 3)
+    assert t.raw(spark).count() == 2
     assert sorted((r.k, r.v) for r in t.view(spark).collect()) == [("a", 2), ("b", 3)]
 
 
