@@ -1,9 +1,12 @@
 """Per-key row selection: first row per key (A1) and latest value per key.
 
 Both are ``groupBy(key).agg(min_by/max_by(struct(row), struct(order)))``:
-declarative aggregates with a partial (map-side) phase, so a hot key costs
-one row per map task in the shuffle instead of all of its rows.  Ties in the
-order columns must be broken by the caller (include a unique column).
+aggregates with a partial (map-side) phase, so a hot key costs one row per
+map task in the shuffle instead of all of its rows.  A struct payload is not
+a fixed-width buffer, so Spark plans them as sort-based aggregates: each map
+task sorts its rows by key (spilling as needed) and emits one row per key.
+Ties in the order columns must be broken by the caller (include a unique
+column).
 """
 
 from __future__ import annotations
@@ -17,11 +20,13 @@ from pyspark.sql import functions as F
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
           columns: Sequence[str] | None, fn) -> DataFrame:
     cols = list(columns or df.columns)
-    payload = F.struct(*[F.col(c) for c in cols])
+    payload = F.struct(*[F.col(c) for c in cols if c not in keys])
     order = F.struct(*[F.col(c) for c in order_by])
+    # key columns come straight from the grouping keys, so filters and semi
+    # joins on them can be pushed below the aggregate by the optimizer
     return (df.groupBy(*keys)
               .agg(fn(payload, order).alias("_row"))
-              .select(*[F.col(f"_row.{c}").alias(c) for c in cols]))
+              .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in cols]))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],

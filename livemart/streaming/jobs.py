@@ -138,11 +138,10 @@ def sale_query(orders_rows: DataFrame, lines: DataFrame, users: KeyedTable, tabl
     pairs = sales.pair_rows(o, d, time_bound=bound)
 
     def _enrich(df, _bid):
-        # only the users this micro-batch needs: the semi join is pushed below
-        # the view's per-key aggregate, so the dimension is not merged whole
-        needed = df.select(F.col("user_id").alias("id")).distinct()
-        dim = users.view(df.sparkSession).join(needed, "id", "left_semi")
-        return sales.with_user(df, dim, as_of)
+        # only the users this micro-batch needs: the view semi-joins the
+        # dimension's versions before merging them, so it is not merged whole
+        needed = df.select(F.col("user_id").alias("id"))
+        return sales.with_user(df, users.view(df.sparkSession, keys=needed), as_of)
     return _start(pairs, checkpoint, trigger, "append", table.foreach_batch(_enrich), "sale_detail")
 
 
@@ -195,8 +194,7 @@ def refresh_missing_users(spark, sales_table: KeyedTable, users: KeyedTable, as_
     """
     view = sales_table.view(spark)
     missing = view.where(F.col("user_gender").isNull() & F.col("user_level").isNull())
-    needed = missing.select(F.col("user_id").alias("id")).distinct()
-    found = users.view(spark).join(needed, "id", "left_semi")
+    found = users.view(spark, keys=missing.select(F.col("user_id").alias("id")))
     redone = sales.with_user(missing.drop("user_gender", "user_level", "user_age"), found, as_of)
     sales_table.write(redone.where(F.col("user_gender").isNotNull() | F.col("user_level").isNotNull()),
                       batch_id)

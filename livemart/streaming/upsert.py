@@ -85,9 +85,16 @@ class KeyedTable:
         newer = batches.where(F.col(BATCH_COL) > upto)
         return base.unionByName(newer.select(*base.columns))
 
-    def view(self, spark: SparkSession) -> DataFrame:
-        """Latest version of every key (merge on read)."""
+    def view(self, spark: SparkSession, keys: DataFrame | None = None) -> DataFrame:
+        """Latest version of every key (merge on read).
+
+        ``keys`` (a DataFrame of key columns) restricts the view to those
+        keys: the raw versions are semi-joined *before* the per-key merge,
+        so a lookup for one micro-batch merges only the rows it needs.
+        """
         raw = self.raw(spark)
+        if keys is not None:
+            raw = raw.join(keys.select(*self.key).distinct(), self.key, "left_semi")
         cols = [c for c in raw.columns if c != BATCH_COL]
         latest = latest_per_key(raw, self.key, [*self.order, BATCH_COL], cols)
         if self.keep:
