@@ -29,3 +29,8 @@ def test_search_prunes_partitions_of_stored_table(spark, scratch):
     stored = spark.read.parquet(f"{scratch}/sale")
     p = plan(search.search(stored, "1997-02-01", "widget"))
     assert "PartitionFilters: [isnotnull(dt" in p and "1997-02-01" in p
+
+
+def test_batch_alert_does_not_replicate_events_per_window(spark):
+    p = plan(QUERIES["coupon_alert_windows"](spark, SF_SMALL))
+    assert "Expand" not in p

@@ -232,3 +232,17 @@ def test_alert_list_for_one_day(spark):
     rows = [("d", f"u{i}", "coupon", f"2024-01-01 0{i}:10:00") for i in range(3)]
     al = alerts.coupon_alerts(events(spark, rows), H6, H1)
     assert alerts.for_day(al, "2024-01-01").count() + alerts.for_day(al, "2024-01-02").count() == al.count()
+
+
+@pytest.mark.parametrize("window_min,slide_min", [(90, 60), (60, 60), (45, 20)])
+def test_alert_panes_match_native_window_for_odd_sizes(spark, window_min, slide_min):
+    rows = [(f"d{i % 2}", f"u{i % 5}", ["coupon", "addCart", "coupon", "coupon", "clickItem", "coupon"][i % 6],
+             f"2024-01-01 {(i * 7) % 24:02d}:{(i * 13) % 60:02d}:{i % 60:02d}") for i in range(120)]
+    ev = events(spark, rows)
+    w, s = window_min * 60_000, slide_min * 60_000
+    pane = {(r.id, tuple(r.uids), tuple(r.itemIds), tuple(r.events))
+            for r in alerts.coupon_alerts(ev, w, s, min_users=2).collect()}
+    nat = alerts.windowed_alerts(ev.withColumn("event_time", F.timestamp_millis("ts_ms")),
+                                 f"{window_min} minutes", f"{slide_min} minutes", min_users=2).where("ok")
+    native = {(r.id, tuple(r.uids), tuple(r.itemIds), tuple(r.events)) for r in nat.collect()}
+    assert pane and pane == native
