@@ -305,5 +305,6 @@ STREAM_ORACLE_OF = {
     "stream_alerts": "coupon_alert_windows",
     "stream_user_dim": "user_latest",
     "stream_sale_detail": "sale_detail",
+    "stream_order_amount_hour": "order_amount_hour",
 }
 ORACLE_SQL.update({k: ORACLE_SQL[v] for k, v in STREAM_ORACLE_OF.items()})

@@ -91,9 +91,24 @@ def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.view(spark)
 
 
+def stream_order_amount_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OrderApp end to end: order rows as a stream -> masked rows appended to a
+    table partitioned by ``create_date`` (SNK2, exactly once via the file
+    sink's log) -> amount per day and hour read back from it (SRC6, A10)."""
+    from livemart.operators import orders as O
+    root = scratch_path(spark, "stream_orders")
+    rows = A.order_rows(spark, sf_dir, with_customer=True)
+    rows = rows.withColumn("order_ms", epoch_millis_ntz(F.to_timestamp_ntz("create_time")))
+    src = _replay(spark, rows, root, "order", "order_ms").drop("order_ms")
+    jobs.order_query(src, f"{root}/orders", f"{root}/ckpt", trigger=ONCE).awaitTermination()
+    stored = spark.read.parquet(f"{root}/orders").withColumn("create_date", F.col("create_date").cast("string"))
+    return O.amount_hour(stored)
+
+
 STREAM_QUERIES = {
     "stream_dau": stream_dau,
     "stream_alerts": stream_alerts,
     "stream_user_dim": stream_user_dim,
     "stream_sale_detail": stream_sale_detail,
+    "stream_order_amount_hour": stream_order_amount_hour,
 }

@@ -169,8 +169,13 @@ def sale_dead_letters_query(orders_rows: DataFrame, lines: DataFrame, path: str,
 
 def order_query(orders_rows: DataFrame, path: str, checkpoint: str,
                 trigger: dict | None = None) -> StreamingQuery:
-    """SNK2: masked order rows appended to a table partitioned by ``create_date``."""
-    return _start(orders.order_info(orders_rows), checkpoint, trigger, "append",
+    """SNK2: masked order rows appended to a table partitioned by ``create_date``.
+
+    Rows are clustered by day before the sink so each micro-batch writes one
+    file per day it touches, not one per (task, day).
+    """
+    rows = orders.order_info(orders_rows).repartition("create_date")
+    return _start(rows, checkpoint, trigger, "append",
                   name="orders", path=path, partitionBy=["create_date"])
 
 
@@ -179,7 +184,8 @@ def log_route_query(raw_text: DataFrame, path: str, checkpoint: str, stamp=None,
     """SNK8 + SNK10: stamp and route raw logs; archive by topic and log day."""
     st = ingest.route_logs(ingest.stamp_logs(raw_text, stamp=stamp))
     out = ingest.log_day_hour(st.select("topic", "value", F.col("log.ts").alias("ts")), "ts")
-    return _start(out.select("topic", "logdate", "value"), checkpoint, trigger, "append",
+    out = out.select("topic", "logdate", "value").repartition("topic", "logdate")
+    return _start(out, checkpoint, trigger, "append",
                   name="log_route", path=path, partitionBy=["topic", "logdate"])
 
 
