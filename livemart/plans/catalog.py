@@ -166,7 +166,7 @@ def sale_detail(spark, sf_dir):
 
 def sale_unmatched(spark, sf_dir):
     """J2 outer sides: orders without lines, lines without orders."""
-    return sales.unmatched(_orders(spark, sf_dir), A.order_detail(spark, sf_dir))
+    return sales.unmatched(_orders(spark, sf_dir), A.order_detail_keys(spark, sf_dir))
 
 
 def user_latest(spark, sf_dir):

@@ -239,7 +239,9 @@ GROUP BY c_nationkey, n_name""",
 
     "sale_detail": f"WITH {SALES} SELECT * FROM sale",
 
-    "sale_unmatched": f"""WITH {LINES}
+    "sale_unmatched": """WITH det AS (
+  SELECT concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS order_detail_id,
+         CAST(l_orderkey AS VARCHAR) AS order_id FROM lineitem)
 SELECT 'order' AS side, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderkey AS VARCHAR) AS order_id
 FROM orders WHERE NOT EXISTS (SELECT 1 FROM det WHERE det.order_id = CAST(o_orderkey AS VARCHAR))
 UNION ALL

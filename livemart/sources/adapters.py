@@ -122,6 +122,18 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_detail_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-line keys only, (id, order_id), straight from ``lineitem``.
+
+    For consumers that need no line attributes (dead-letter detection): the
+    part lookup that fills ``sku_name`` would cost a shuffle of every line.
+    """
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
+    return li.select(
+        F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        F.col("l_orderkey").cast("string").alias("order_id"))
+
+
 def _birthday() -> F.Column:
     return F.date_format(
         F.date_add(F.to_date(F.lit("1950-01-01")), ((F.col("c_custkey") * 37) % 18000).cast("int")),

@@ -246,3 +246,23 @@ def test_alert_panes_match_native_window_for_odd_sizes(spark, window_min, slide_
                                  f"{window_min} minutes", f"{slide_min} minutes", min_users=2).where("ok")
     native = {(r.id, tuple(r.uids), tuple(r.itemIds), tuple(r.events)) for r in nat.collect()}
     assert pane and pane == native
+
+
+def test_small_scalar_functions(spark):
+    from livemart.functions.shape import value_band
+    from livemart.functions.timefmt import date_or_today, millis_to_text, previous_day
+    df = spark.createDataFrame([("2024-03-01", 0), ("2024-01-01", 99), ("2023-12-31", 100), ("2024-02-29", 750)],
+                               "d string, n long")
+    got = [(r.p, r.b) for r in df.select(previous_day("d").alias("p"), value_band("n").alias("b")).collect()]
+    assert got == [("2024-02-29", 0), ("2023-12-31", 0), ("2023-12-30", 1), ("2024-02-28", 5)]
+    r = spark.range(1).select(date_or_today("2024-05-05").alias("a"), date_or_today(None).alias("b"),
+                              millis_to_text(F.lit(_ms("2024-01-02 03:04:05"))).alias("c"),
+                              millis_to_text(F.lit(_ms("2024-01-02 03:04:05")), "Asia/Shanghai").alias("s")).first()
+    assert r.a == "2024-05-05" and len(r.b) == 10
+    assert r.c == "2024-01-02 03:04:05" and r.s == "2024-01-02 11:04:05"
+
+
+def test_hour_map_rows_to_map(spark):
+    vals = spark.createDataFrame([("d1", "01", 3), ("d1", "07", 4), ("d2", "00", 1)], "d string, h string, v long")
+    got = {r.d: dict(r.m) for r in dashboard.hour_map(vals, "d", "h", "v").collect()}
+    assert got == {"d1": {"01": 3, "07": 4}, "d2": {"00": 1}}
