@@ -73,7 +73,7 @@ TOKENS = r"regexp_extract_all(lower(sku_name), '\p{Han}|(?:[^\P{L}\p{Han}]|\p{N}
 MATCHED = SALES + f""",
 q AS (SELECT list_distinct({TOKENS.replace('sku_name', "'" + P.SEARCH_KEYWORD + "'")}) AS terms),
 matched AS (
-  SELECT s.*, len(list_filter({TOKENS}, lambda t: list_contains(q.terms, t))) AS score
+  SELECT s.*, CAST(len(list_filter({TOKENS}, lambda t: list_contains(q.terms, t))) AS INTEGER) AS score
   FROM sale s, q
   WHERE s.dt = '{P.SEARCH_DATE}' AND len(q.terms) > 0 AND list_has_all({TOKENS}, q.terms))"""
 
@@ -130,7 +130,7 @@ ORACLE_SQL: dict[str, str] = {
     "log_route": f"""WITH {LOGS}
 SELECT event_id,
        CASE WHEN type = 'startup' THEN 'STARTUP' ELSE 'EVENT' END AS topic,
-       CASE WHEN type = 'startup' THEN {_startup_json()} ELSE {_event_json()} END AS value
+       CAST(CASE WHEN type = 'startup' THEN {_startup_json()} ELSE {_event_json()} END AS VARCHAR) AS value
 FROM lg""",
 
     "log_date_hour": """SELECT event_id, strftime(ts, '%Y-%m-%d') AS logdate, strftime(ts, '%H') AS loghour
@@ -149,16 +149,16 @@ FROM lg""",
 
     "cdc_route": """
 SELECT 'ORDER' AS topic,
-       json_object('id', CAST(o_orderkey AS VARCHAR), 'user_id', CAST(o_custkey AS VARCHAR),
-                   'order_status', o_orderstatus, 'total_amount', CAST(o_totalprice AS VARCHAR)) AS value
+       CAST(json_object('id', CAST(o_orderkey AS VARCHAR), 'user_id', CAST(o_custkey AS VARCHAR),
+                        'order_status', o_orderstatus, 'total_amount', CAST(o_totalprice AS VARCHAR)) AS VARCHAR) AS value
 FROM orders WHERE o_orderkey % 3 = 0
 UNION ALL
 SELECT 'ORDER_DETAIL',
-       json_object('id', concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey),
-                   'order_id', CAST(l_orderkey AS VARCHAR), 'sku_id', CAST(l_partkey AS VARCHAR))
+       CAST(json_object('id', concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey),
+                        'order_id', CAST(l_orderkey AS VARCHAR), 'sku_id', CAST(l_partkey AS VARCHAR)) AS VARCHAR)
 FROM lineitem WHERE (l_orderkey + l_linenumber) % 3 = 0
 UNION ALL
-SELECT 'USER', json_object('id', CAST(c_custkey AS VARCHAR), 'user_level', c_mktsegment)
+SELECT 'USER', CAST(json_object('id', CAST(c_custkey AS VARCHAR), 'user_level', c_mktsegment) AS VARCHAR)
 FROM customer WHERE c_custkey % 3 IN (0, 1)""",
 
     "dau_first": f"WITH {DAU} SELECT * FROM dau",

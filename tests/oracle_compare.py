@@ -39,6 +39,19 @@ def rows_of(columns, records):
     return sorted(tuple(_norm(r[i]) for i in order) for r in records)
 
 
+# Spark type -> DuckDB type name, for the schema part of the comparison
+DUCK_TYPES = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE",
+              "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "ShortType": "SMALLINT",
+              "ByteType": "TINYINT"}
+
+
+def type_diff(sdf, rel_cols, rel_types):
+    s = {f.name: DUCK_TYPES.get(type(f.dataType).__name__, type(f.dataType).__name__)
+         for f in sdf.schema.fields}
+    d = dict(zip(rel_cols, (str(t) for t in rel_types)))
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -54,15 +67,16 @@ def compare(spark, con, name, fn, sql, sf_dir):
     ts = time.time() - t0
     if sql is None:
         return f"{name:28s} spark_rows={len(s_rows):7d} (no oracle) {ts:.1f}s"
-    cur = con.execute(sql)
-    d_cols = [d[0] for d in cur.description]
-    d_rows = cur.fetchall()
-    ok_cols = sorted(s_cols) == sorted(d_cols)
+    rel = con.sql(sql)
+    d_cols, d_types = list(rel.columns), list(rel.types)
+    d_rows = con.execute(sql).fetchall()
+    types = type_diff(sdf, d_cols, d_types)
+    ok_cols = sorted(s_cols) == sorted(d_cols) and not types
     ok_n = len(s_rows) == len(d_rows)
-    ok_v = ok_cols and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
+    ok_v = sorted(s_cols) == sorted(d_cols) and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
     status = "OK " if (ok_cols and ok_n and ok_v) else "BAD"
-    msg = f"{status} {name:28s} rows {len(s_rows)}/{len(d_rows)} cols={'ok' if ok_cols else (s_cols, d_cols)} values={'ok' if ok_v else 'DIFF'} {ts:.1f}s"
-    if not ok_v and ok_cols:
+    msg = f"{status} {name:28s} rows {len(s_rows)}/{len(d_rows)} cols={'ok' if ok_cols else (s_cols, d_cols, types)} values={'ok' if ok_v else 'DIFF'} {ts:.1f}s"
+    if not ok_v and sorted(s_cols) == sorted(d_cols):
         a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
         sa, sb = set(a), set(b)
         only_s = [r for r in a if r not in sb][:3]
