@@ -79,16 +79,19 @@ def coupon_alerts(events: DataFrame, window_ms: int, slide_ms: int, min_users: i
                         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
                         F.bool_or("clicked").alias("clicked")))
     alerting = windows.where((F.size("uids") >= min_users) & ~F.col("clicked"))
-    # ordered event lists, only for alerting windows: the raw events are
-    # joined to the panes of those windows (map-side when that side is
-    # small), so events outside any alert never reach the collect
+    # the alert rows are rebuilt from the events of the alerting windows:
+    # raw events are joined to those windows' panes (map-side when that side
+    # is small), so events outside any alert never reach the final collect,
+    # and the window aggregate above feeds this one branch only
     alert_panes = alerting.select(
         "mid", "wstart",
         F.explode(F.sequence(F.col("wstart"), F.col("wstart") + F.lit(window_ms - pane_ms),
                              F.lit(pane_ms).cast("bigint"))).alias("pane"))
-    evs = (ev.join(alert_panes, ["mid", "pane"], "inner")
-             .groupBy("mid", "wstart").agg(_ordered_evids().alias("events")))
-    out = alerting.join(evs, ["mid", "wstart"], "inner")
+    out = (ev.join(alert_panes, ["mid", "pane"], "inner")
+             .groupBy("mid", "wstart").agg(
+                 F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
+                 F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
+                 _ordered_evids().alias("events")))
     wend = F.col("wstart") + F.lit(window_ms)
     return out.select(*alert_row(F.col("mid"), F.col("wstart"), wend, F.col("uids"),
                                  F.col("items"), F.col("events")))

@@ -24,26 +24,37 @@ def hour_compare(values: DataFrame, date_col: str, hour_col: str, value_col: str
     """J5 + J6: for each day (or one ``date``), 24 rows hour ``00``..``23`` with
     today's and yesterday's value, 0 where an hour has none.
 
-    Output: (date, hour, today, yesterday), ``date`` named as ``date_col``.
+    Each (day, hour, value) row counts as "today" for its day and as
+    "yesterday" for the next day; one aggregation per day folds both into
+    hour maps (A16, at most 24 entries each), so there is no self join and
+    the input is computed once.  Days come from the data (a day that only
+    appears as someone's yesterday is not reported); a requested ``date``
+    is always reported.  Output: (date, hour, today, yesterday).
     """
     if date is not None:
         values = values.where(F.col(date_col).isin(date, _prev(date)))
-    maps = hour_map(values, date_col, hour_col, value_col)
+    entry = F.struct(F.col(hour_col).alias("h"), F.col(value_col).alias("v"))
+    next_day = F.date_format(F.date_add(F.to_date(F.col(date_col)), 1), "yyyy-MM-dd")
+    both = values.select(F.explode(F.array(
+        F.struct(F.col(date_col).alias("d"), F.lit(True).alias("today"), entry.alias("e")),
+        F.struct(next_day.alias("d"), F.lit(False).alias("today"), entry.alias("e")))).alias("x")
+    ).select("x.*")
     if date is not None:
         # the requested day always gets its 24 rows, even with no data at all
-        day = values.sparkSession.range(1).select(F.lit(date).alias(date_col))
-        today = day.join(maps.where(F.col(date_col) == date), date_col, "left")
-    else:
-        today = maps
-    yesterday = maps.select(
-        F.date_format(F.date_add(F.to_date(F.col(date_col)), 1), "yyyy-MM-dd").alias(date_col),
-        F.col("m").alias("ym"))
-    both = today.join(yesterday, date_col, "left")
+        marker = values.sparkSession.range(1).select(
+            F.lit(date).alias("d"), F.lit(True).alias("today"),
+            F.lit(None).cast(both.schema["e"].dataType).alias("e"))
+        both = both.unionByName(marker).where(F.col("d") == date)
+    maps = both.groupBy("d").agg(
+        F.max(F.col("today").cast("int")).alias("has_today"),
+        F.map_from_entries(F.collect_list(F.when(F.col("today"), F.col("e")))).alias("m"),
+        F.map_from_entries(F.collect_list(F.when(~F.col("today"), F.col("e")))).alias("ym"))
     hour = F.lpad(F.col("_h").cast("string"), 2, "0")
     vtype = values.schema[value_col].dataType
     z = F.lit(zero).cast(vtype)
-    return (both.select(date_col, "m", "ym", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h"))
-                .select(F.col(date_col), hour.alias("hour"),
+    return (maps.where(F.col("has_today") == 1)
+                .select("d", "m", "ym", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h"))
+                .select(F.col("d").alias(date_col), hour.alias("hour"),
                         F.coalesce(F.col("m")[hour], z).alias("today"),
                         F.coalesce(F.col("ym")[hour], z).alias("yesterday")))
 
