@@ -72,26 +72,25 @@ def metric_cards(dau_per_day: DataFrame, new_per_day: DataFrame, amount_per_day:
     null on a day without orders (a sum of nothing).
     Inputs: (logdate, ct), (logdate, ct), (create_date, sum_amount).
     """
-    parts = (
-        dau_per_day.select(F.col("logdate").alias("date"), F.lit(CARD_DAU[0]).alias("id"),
-                           F.col("ct").cast("double").alias("value")),
-        new_per_day.select(F.col("logdate").alias("date"), F.lit(CARD_NEW_MID[0]).alias("id"),
-                           F.col("ct").cast("double").alias("value")),
-        amount_per_day.select(F.col("create_date").alias("date"), F.lit(CARD_ORDER_AMOUNT[0]).alias("id"),
-                              F.col("sum_amount").cast("double").alias("value")),
-    )
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    cards = (CARD_DAU, CARD_NEW_MID, CARD_ORDER_AMOUNT)
+
+    def spread(df, date_col, own, value):
+        # every source row fills its own card and opens the day's other two
+        slots = [F.struct(F.lit(c[0]).alias("id"),
+                          (value if c[0] == own else F.lit(None)).cast("double").alias("value"))
+                 for c in cards]
+        return df.select(F.col(date_col).alias("date"), F.explode(F.array(*slots)).alias("x")) \
+                 .select("date", "x.id", "x.value")
+
+    rows = (spread(dau_per_day, "logdate", CARD_DAU[0], F.col("ct"))
+            .unionByName(spread(new_per_day, "logdate", CARD_NEW_MID[0], F.col("ct")))
+            .unionByName(spread(amount_per_day, "create_date", CARD_ORDER_AMOUNT[0], F.col("sum_amount"))))
     if date is not None:
         # the requested day always gets its three cards
-        day = dau_per_day.sparkSession.range(1).select(
-            F.lit(date).alias("date"), F.lit(CARD_DAU[0]).alias("id"), F.lit(None).cast("double").alias("value"))
-        rows = rows.where(F.col("date") == date).unionByName(day)
-    ids = F.array(*[F.lit(c[0]) for c in (CARD_DAU, CARD_NEW_MID, CARD_ORDER_AMOUNT)])
-    # every day that appears anywhere gets all three cards
-    slots = rows.select("date", F.explode(ids).alias("id"), F.lit(None).cast("double").alias("value"))
-    names = F.create_map(*[x for c in (CARD_DAU, CARD_NEW_MID, CARD_ORDER_AMOUNT)
-                           for x in (F.lit(c[0]), F.lit(c[1]))])
-    summed = rows.unionByName(slots).groupBy("date", "id").agg(F.sum("value").alias("value"))
+        day = dau_per_day.sparkSession.range(1).select(F.lit(date).alias("d"))
+        rows = rows.where(F.col("date") == date).unionByName(spread(day, "d", None, F.lit(None)))
+    names = F.create_map(*[x for c in cards for x in (F.lit(c[0]), F.lit(c[1]))])
+    summed = rows.groupBy("date", "id").agg(F.sum("value").alias("value"))
     value = F.when(F.col("id") == CARD_ORDER_AMOUNT[0], F.col("value")) \
              .otherwise(F.coalesce(F.col("value"), F.lit(0.0).cast("double")))
     return summed.select("date", "id", names[F.col("id")].alias("name"), value.alias("value"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from livemart.functions.timefmt import millis_to_hour
 from livemart.operators.keyed import first_per_key
 from livemart.schemas import DAU_COLUMNS
 
@@ -60,8 +61,32 @@ def device_days(startups: DataFrame) -> DataFrame:
 def new_devices(startups: DataFrame) -> DataFrame:
     """Q1 ``newMid``: devices whose first start-up ever falls on the day: (logdate, ct).
 
-    Works on raw start-ups or on ``device_days`` (same answer; the latter lets
-    a plan that also counts DAU reuse one shuffle).
+    Works on raw start-ups or on ``device_days``.  The minimum is taken over a
+    ``date`` (fixed width, so a hash aggregate) rather than over the text.
     """
-    first_day = startups.groupBy("mid").agg(F.min("logdate").alias("logdate"))
-    return first_day.groupBy("logdate").agg(F.count(F.lit(1)).alias("ct"))
+    first_day = startups.groupBy("mid").agg(F.min(F.to_date("logdate")).alias("d"))
+    return (first_day.groupBy(F.date_format("d", "yyyy-MM-dd").alias("logdate"))
+                     .agg(F.count(F.lit(1)).alias("ct")))
+
+
+def first_start(startups: DataFrame) -> DataFrame:
+    """Earliest start-up time per device and log day: (logdate, mid, first_ms).
+
+    A long minimum is a hash aggregate with a fixed-width buffer; use it
+    where only the time of the first start-up matters, not its whole row.
+    """
+    return startups.groupBy(*DAU_KEY).agg(F.min("ts_ms").alias("first_ms"))
+
+
+def dau_hour_of_logs(startups: DataFrame, date: str | None = None) -> DataFrame:
+    """A8 straight from start-ups: devices per day and hour of their first start-up.
+
+    Same answer as ``dau_hour(daily_active(startups))``: the first start-up's
+    ``loghour`` is the hour of the minimum time (``loghour`` is derived from
+    the log time), so the whole-row ``min_by`` is not needed.
+    """
+    if date is not None:
+        startups = startups.where(F.col("logdate") == date)
+    first = first_start(startups)
+    return (first.groupBy("logdate", millis_to_hour("first_ms").alias("loghour"))
+                 .agg(F.count(F.lit(1)).alias("ct")))

@@ -83,13 +83,14 @@ def dau_total(spark, sf_dir):
 
 
 def dau_hour(spark, sf_dir):
-    """A8 per day and hour."""
-    return dau.dau_hour(_dau(spark, sf_dir))
+    """A8 per day and hour (from the first start-up time of each device and day)."""
+    return dau.dau_hour_of_logs(A.startup_logs(spark, sf_dir))
 
 
 def dau_hour_compare(spark, sf_dir):
     """Q2: J5 + J6 over every day."""
-    return dashboard.hour_compare(dau.dau_hour(_dau(spark, sf_dir)), "logdate", "loghour", "ct")
+    return dashboard.hour_compare(dau.dau_hour_of_logs(A.startup_logs(spark, sf_dir)),
+                                  "logdate", "loghour", "ct")
 
 
 def new_devices(spark, sf_dir):
