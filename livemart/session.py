@@ -63,3 +63,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique location under the shared checkpoint folder."""
     return "/".join([checkpoint_root(spark), "livemart", *parts, uuid.uuid4().hex])
+
+
+def cluster_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle sizing for a cluster run.
+
+    Starts with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the *input* (an upper bound: map-side
+    combining only shrinks it), at least three waves of the cluster's cores,
+    and lets AQE coalesce small partitions back to the target and split
+    skewed ones.  Pass the result as ``extra=`` to ``build_session`` or to
+    spark-submit ``--conf``.
+    """
+    by_size = -(-int(input_bytes) // int(target_partition_bytes))
+    partitions = max(by_size, 3 * int(total_cores), 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 256 << 20)),
+    }

@@ -34,3 +34,10 @@ def test_search_prunes_partitions_of_stored_table(spark, scratch):
 def test_batch_alert_does_not_replicate_events_per_window(spark):
     p = plan(QUERIES["coupon_alert_windows"](spark, SF_SMALL))
     assert "Expand" not in p
+
+
+def test_cluster_conf_sizes_partitions():
+    from livemart.session import cluster_conf
+    c = cluster_conf(total_cores=8000, input_bytes=100 * (1 << 40))
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
+    assert int(cluster_conf(64, 1 << 30)["spark.sql.shuffle.partitions"]) == 192  # 3 waves of cores
