@@ -53,12 +53,14 @@ det AS (
          CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS sku_num
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
+# users reach the dimension through the change router: inserts (key mod 3 = 0)
+# and updates (= 1) are routed, deletes (= 2) are dropped
 USERS = """
 usr AS (
   SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS login_name, c_mktsegment AS user_level,
          strftime(DATE '1950-01-01' + CAST((c_custkey * 37) % 18000 AS INTEGER), '%Y-%m-%d') AS birthday,
          CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender
-  FROM customer WHERE c_custkey % 10 <> 0)"""
+  FROM customer WHERE c_custkey % 3 IN (0, 1))"""
 
 SALES = ORDERS + "," + LINES + "," + USERS + f""",
 sale AS (
@@ -158,7 +160,9 @@ SELECT 'ORDER_DETAIL',
                         'order_id', CAST(l_orderkey AS VARCHAR), 'sku_id', CAST(l_partkey AS VARCHAR)) AS VARCHAR)
 FROM lineitem WHERE (l_orderkey + l_linenumber) % 3 = 0
 UNION ALL
-SELECT 'USER', CAST(json_object('id', CAST(c_custkey AS VARCHAR), 'user_level', c_mktsegment) AS VARCHAR)
+SELECT 'USER', CAST(json_object('id', CAST(c_custkey AS VARCHAR), 'login_name', c_name, 'user_level', c_mktsegment,
+                                'birthday', strftime(DATE '1950-01-01' + CAST((c_custkey * 37) % 18000 AS INTEGER), '%Y-%m-%d'),
+                                'gender', CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END) AS VARCHAR)
 FROM customer WHERE c_custkey % 3 IN (0, 1)""",
 
     "dau_first": f"WITH {DAU} SELECT * FROM dau",

@@ -141,19 +141,18 @@ def _birthday() -> F.Column:
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User dimension rows from ``customer``.
+    """User dimension rows: the ``user_info`` change records after the router.
 
-    Customers whose key ends in 0 are treated as not yet replicated, so the
-    sale join's user lookup has misses (FIXTURES.md §2).
+    The change-data router (F1 + F2) sends inserts and updates of users to
+    the user topic and drops deletes, so users whose only change is a delete
+    never reach the dimension -- the sale join's user lookup has real misses.
+    The routed JSON after-images are parsed back into user rows (P3 + P1).
     """
-    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
-    return c.where(F.col("c_custkey") % 10 != 0).select(
-        F.col("c_custkey").cast("string").alias("id"),
-        F.col("c_name").alias("login_name"),
-        F.col("c_mktsegment").alias("user_level"),
-        _birthday().alias("birthday"),
-        F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
-    )
+    from livemart.operators.ingest import route_changes
+    from livemart.schemas import TOPIC_USER, USER_INFO
+    routed = route_changes(user_change_entries(spark, sf_dir)).where(F.col("topic") == TOPIC_USER)
+    rec = F.from_json("value", USER_INFO)
+    return routed.select(rec.alias("u")).select("u.*")
 
 
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +168,32 @@ def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v2.unionByName(v1)
 
 
+def _op(key) -> F.Column:
+    """Operation of a change row: key mod 3 -> INSERT, UPDATE, DELETE."""
+    return F.element_at(F.array(F.lit("INSERT"), F.lit("UPDATE"), F.lit("DELETE")),
+                        (key % 3 + 1).cast("int"))
+
+
+def user_change_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change-data entries of the ``user_info`` table, one per customer.
+
+    Each carries the whole user record as its after-image (all values
+    strings); the operation is key mod 3.
+    """
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    return c.select(
+        F.lit("ROWDATA").alias("entry_type"), F.lit("user_info").alias("table"),
+        _op(F.col("c_custkey")).alias("op"),
+        F.array(F.create_map(
+            F.lit("id"), F.col("c_custkey").cast("string"),
+            F.lit("login_name"), F.col("c_name"),
+            F.lit("user_level"), F.col("c_mktsegment"),
+            F.lit("birthday"), _birthday(),
+            F.lit("gender"), F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M"))).alias("rows"),
+        F.col("c_custkey").alias("seq"),
+    )
+
+
 def change_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change-data entries built from orders, lineitem and customer.
 
@@ -176,12 +201,10 @@ def change_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     order also opens a transaction, giving one TRANSACTIONBEGIN marker.
     Columns follow ``schemas.CHANGE_RECORD`` (without change_ts).
     """
-    op = lambda key: F.element_at(F.array(F.lit("INSERT"), F.lit("UPDATE"), F.lit("DELETE")),
-                                  (key % 3 + 1).cast("int"))
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
     orders = o.select(
         F.lit("ROWDATA").alias("entry_type"), F.lit("order_info").alias("table"),
-        op(F.col("o_orderkey")).alias("op"),
+        _op(F.col("o_orderkey")).alias("op"),
         F.array(F.create_map(
             F.lit("id"), F.col("o_orderkey").cast("string"),
             F.lit("user_id"), F.col("o_custkey").cast("string"),
@@ -198,20 +221,12 @@ def change_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
     lines = li.select(
         F.lit("ROWDATA").alias("entry_type"), F.lit("order_detail").alias("table"),
-        op(F.col("l_orderkey") + F.col("l_linenumber")).alias("op"),
+        _op(F.col("l_orderkey") + F.col("l_linenumber")).alias("op"),
         F.array(F.create_map(
             F.lit("id"), F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
             F.lit("order_id"), F.col("l_orderkey").cast("string"),
             F.lit("sku_id"), F.col("l_partkey").cast("string"))).alias("rows"),
         F.col("l_orderkey").alias("seq"),
     )
-    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
-    users = c.select(
-        F.lit("ROWDATA").alias("entry_type"), F.lit("user_info").alias("table"),
-        op(F.col("c_custkey")).alias("op"),
-        F.array(F.create_map(
-            F.lit("id"), F.col("c_custkey").cast("string"),
-            F.lit("user_level"), F.col("c_mktsegment"))).alias("rows"),
-        F.col("c_custkey").alias("seq"),
-    )
+    users = user_change_entries(spark, sf_dir)
     return orders.unionByName(markers).unionByName(lines).unionByName(users)
