@@ -87,11 +87,19 @@ def coupon_alerts(events: DataFrame, window_ms: int, slide_ms: int, min_users: i
         "mid", "wstart",
         F.explode(F.sequence(F.col("wstart"), F.col("wstart") + F.lit(window_ms - pane_ms),
                              F.lit(pane_ms).cast("bigint"))).alias("pane"))
-    out = (ev.join(alert_panes, ["mid", "pane"], "inner")
-             .groupBy("mid", "wstart").agg(
-                 F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
-                 F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
-                 _ordered_evids().alias("events")))
+    # a window's events are collected and sorted per pane first (a hot
+    # device's window is split into window/pane groups across tasks); the
+    # final step only concatenates the pane lists in time order
+    per_pane = (ev.join(alert_panes, ["mid", "pane"], "inner")
+                  .groupBy("mid", "wstart", "pane").agg(
+                      F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
+                      F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
+                      _ordered_evids().alias("evs")))
+    out = per_pane.groupBy("mid", "wstart").agg(
+        F.array_distinct(F.flatten(F.collect_list("uids"))).alias("uids"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pane", "evs"))),
+                              lambda x: x["evs"])).alias("events"))
     wend = F.col("wstart") + F.lit(window_ms)
     return out.select(*alert_row(F.col("mid"), F.col("wstart"), wend, F.col("uids"),
                                  F.col("items"), F.col("events")))
