@@ -49,11 +49,16 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset -- local tests -- a fresh scratch folder is created and set.
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only a local
+    master (tests) may run without it: then a fresh scratch folder is
+    created and set.  On a cluster a machine-local folder would not survive
+    the loss of that machine, so an unset value is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3) "
+                               "for checkpoints and intermediate tables")
         root = tempfile.mkdtemp(prefix="livemart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
