@@ -17,17 +17,16 @@ from livemart.plans.catalog import _flat_alerts
 from livemart.session import scratch_path
 from livemart.sources import adapters as A
 from livemart.streaming import jobs
-from livemart.streaming.replay import to_chunks
-from livemart.streaming.sources import read_folder
+from livemart.streaming.replay import replay_stream
 from livemart.streaming.upsert import KeyedTable
 
 ONCE = {"availableNow": True}
 CHUNKS = 4
+FILES_PER_CHUNK = 4
 
 
 def _replay(spark: SparkSession, df: DataFrame, root: str, name: str, time_ms_col: str):
-    path = to_chunks(df, f"{root}/in_{name}", time_ms_col, CHUNKS)
-    return read_folder(spark, path, df.schema, max_files_per_trigger=1)
+    return replay_stream(df, f"{root}/in_{name}", time_ms_col, CHUNKS, FILES_PER_CHUNK)
 
 
 def stream_dau(spark: SparkSession, sf_dir: str) -> DataFrame:

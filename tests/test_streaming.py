@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 from livemart.operators import dau
 from livemart.sources import adapters as A
 from livemart.streaming import jobs
-from livemart.streaming.replay import to_chunks
+from livemart.streaming.replay import replay_stream, to_chunks
 from livemart.streaming.sources import read_folder
 from livemart.streaming.upsert import KeyedTable
 
@@ -62,14 +62,12 @@ def test_dau_stream_restart_and_equals_batch(spark, scratch):
     src_path = f"{scratch}/in"
     first = st.where(F.col("logdate") < "2024-01-15")
     rest = st.where(F.col("logdate") >= "2024-01-15")
-    to_chunks(first, src_path, "ts_ms", 2)
     table = KeyedTable(f"{scratch}/dau", ["logdate", "mid"])
     ck = f"{scratch}/ckpt"
-    jobs.dau_query(read_folder(spark, src_path, st.schema), table, ck, trigger=ONCE).awaitTermination()
+    jobs.dau_query(replay_stream(first, src_path, "ts_ms", 2), table, ck, trigger=ONCE).awaitTermination()
     n_first = table.view(spark).count()
     # restart on the same checkpoint with new files: only the new input is processed
-    to_chunks(rest, src_path, "ts_ms", 2)
-    jobs.dau_query(read_folder(spark, src_path, st.schema), table, ck, trigger=ONCE).awaitTermination()
+    jobs.dau_query(replay_stream(rest, src_path, "ts_ms", 2), table, ck, trigger=ONCE).awaitTermination()
     view = table.view(spark)
     batch = dau.daily_active(st)
     assert n_first > 0
