@@ -6,11 +6,12 @@ shuffles are tiny whatever the size of the underlying tables.
 
 from __future__ import annotations
 
+from datetime import date as _date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from livemart.functions.shape import CARD_DAU, CARD_NEW_MID, CARD_ORDER_AMOUNT
-from livemart.functions.timefmt import previous_day
 
 
 def hour_map(values: DataFrame, date_col: str, hour_col: str, value_col: str) -> DataFrame:
@@ -60,8 +61,8 @@ def hour_compare(values: DataFrame, date_col: str, hour_col: str, value_col: str
 
 
 def _prev(date: str) -> str:
-    from datetime import date as _d, timedelta
-    return (_d.fromisoformat(date) - timedelta(days=1)).isoformat()
+    """P15 for a literal parameter: the day before ``yyyy-MM-dd``."""
+    return (_date.fromisoformat(date) - timedelta(days=1)).isoformat()
 
 
 def metric_cards(dau_per_day: DataFrame, new_per_day: DataFrame, amount_per_day: DataFrame,
@@ -94,8 +95,3 @@ def metric_cards(dau_per_day: DataFrame, new_per_day: DataFrame, amount_per_day:
     value = F.when(F.col("id") == CARD_ORDER_AMOUNT[0], F.col("value")) \
              .otherwise(F.coalesce(F.col("value"), F.lit(0.0).cast("double")))
     return summed.select("date", "id", names[F.col("id")].alias("name"), value.alias("value"))
-
-
-def yesterday_of(date_col: str):
-    """P15 as a Column."""
-    return previous_day(date_col)
