@@ -1,7 +1,7 @@
 """Benchmark: run the headline queries and print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 2; the best run per query is reported).
+BENCH_RUNS (default 3; the best run per query is reported).
 Each query is executed in full through the ``noop`` sink (no collect);
 the streaming queries run once (replay, micro-batches, sink view).
 """
@@ -33,7 +33,7 @@ STREAMING = ("stream_dau", "stream_alerts", "stream_user_dim", "stream_sale_deta
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
                           extra={"spark.driver.memory": "16g"})
     # warm the JVM (class loading, code generation) before timing
