@@ -9,12 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from livemart.functions.json import field, parse, render_map
+from livemart.functions.json import field, render_map
 from livemart.functions.timefmt import millis_to_date, millis_to_hour, server_stamp
 from livemart.schemas import (RAW_LOG, TOPIC_EVENT, TOPIC_ORDER, TOPIC_ORDER_DETAIL,
                               TOPIC_STARTUP, TOPIC_USER)
 
+# Column that receives the text of records that do not parse.
+CORRUPT = "_corrupt_record"
+# Topic for records that do not parse (the upstream intake failed on them).
+TOPIC_QUARANTINE = "QUARANTINE"
+
 # Change-data routing, (table, operations) -> topic; the upstream routing
 # rule.  Pass ``routes=`` to use other topic names.
 CHANGE_ROUTES = (
@@ -24,32 +30,53 @@ CHANGE_ROUTES = (
 )
 
 
+def parse_records(df: DataFrame, schema: T.StructType, value_col: str = "value",
+                  out: str = "rec") -> DataFrame:
+    """P1 with quarantine: JSON text -> typed struct ``out`` plus a ``malformed`` flag.
+
+    Text that is not valid JSON for ``schema`` (bad syntax, wrong types, or
+    no text) is flagged instead of failing the batch; ``out`` is then null.
+    The text is parsed once: the parsed struct is projected on its own and
+    the outputs are built from its fields.
+    """
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json(F.col(value_col), with_corrupt,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    df = df.withColumn("_parsed", parsed)
+    bad = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull()
+    rec = F.when(bad, F.lit(None)).otherwise(
+        F.struct(*[F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields]))
+    return df.withColumn(out, rec).withColumn("malformed", bad).drop("_parsed")
+
+
 def stamp_logs(raw: DataFrame, value_col: str = "value", stamp=None) -> DataFrame:
     """P1 + P7 + P2: parse a raw log, overwrite ``ts`` with the server time, re-render.
 
-    Output adds ``log`` (typed struct) and replaces ``value`` with the stamped
-    text.  The text is parsed once: the typed struct is projected first and
-    the stamped struct is built from its fields (the optimizer keeps a
-    non-cheap expression used many times in its own projection).
+    Output adds ``log`` (typed struct) and ``malformed``, and replaces
+    ``value`` with the stamped text; malformed logs keep their original text.
     """
-    parsed = raw.withColumn("_parsed", parse(value_col, RAW_LOG))
-    fields = [F.col(f"_parsed.{f.name}").alias(f.name) for f in RAW_LOG.fields if f.name != "ts"]
-    log = F.when(F.col("_parsed").isNull(), F.lit(None)).otherwise(
+    parsed = parse_records(raw, RAW_LOG, value_col, out="_rec")
+    fields = [F.col(f"_rec.{f.name}").alias(f.name) for f in RAW_LOG.fields if f.name != "ts"]
+    log = F.when(F.col("_rec").isNull(), F.lit(None)).otherwise(
         F.struct(*fields, server_stamp(stamp).alias("ts")))
-    stamped = parsed.withColumn("log", log).drop("_parsed")
-    return stamped.withColumn(value_col, F.to_json(F.col("log")))
+    stamped = parsed.withColumn("log", log).drop("_rec")
+    return stamped.withColumn(
+        value_col, F.when(F.col("malformed"), F.col(value_col)).otherwise(F.to_json(F.col("log"))))
 
 
 def route_logs(stamped: DataFrame, value_col: str = "value",
-               topics: tuple = (TOPIC_STARTUP, TOPIC_EVENT)) -> DataFrame:
+               topics: tuple = (TOPIC_STARTUP, TOPIC_EVENT, TOPIC_QUARANTINE)) -> DataFrame:
     """F3 + P21 + SNK8: ``type == 'startup'`` -> STARTUP, anything else (even none) -> EVENT.
 
-    Uses the parsed ``log.type`` when the input was stamped, else extracts
-    ``$.type`` from the text.
+    Malformed logs go to the quarantine topic.  Uses the parsed ``log.type``
+    when the input was stamped, else extracts ``$.type`` from the text.
     """
     kind = F.col("log.type") if "log" in stamped.columns else field(value_col, "type")
     is_startup = F.coalesce(kind == "startup", F.lit(False))
-    return stamped.withColumn("topic", F.when(is_startup, topics[0]).otherwise(topics[1]))
+    topic = F.when(is_startup, topics[0]).otherwise(topics[1])
+    if "malformed" in stamped.columns:
+        topic = F.when(F.col("malformed"), topics[2]).otherwise(topic)
+    return stamped.withColumn("topic", topic)
 
 
 def log_day_hour(logs: DataFrame, ms_col: str = "ts", tz: str = "UTC") -> DataFrame:

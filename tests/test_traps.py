@@ -266,3 +266,12 @@ def test_hour_map_rows_to_map(spark):
     vals = spark.createDataFrame([("d1", "01", 3), ("d1", "07", 4), ("d2", "00", 1)], "d string, h string, v long")
     got = {r.d: dict(r.m) for r in dashboard.hour_map(vals, "d", "h", "v").collect()}
     assert got == {"d1": {"01": 3, "07": 4}, "d2": {"00": 1}}
+
+
+def test_malformed_logs_are_quarantined(spark):
+    raw = spark.createDataFrame([('{"type":"startup","mid":"m1"}',), ('{"type":',), ('{"pgid":"x"}',), (None,)],
+                                "value string")
+    out = ingest.route_logs(ingest.stamp_logs(raw, stamp=5)).collect()
+    assert [r.topic for r in out] == [TOPIC_STARTUP, "QUARANTINE", "QUARANTINE", "QUARANTINE"]
+    assert out[1].value == '{"type":' and out[1].log is None
+    assert out[0].value == '{"type":"startup","mid":"m1","ts":5}'
