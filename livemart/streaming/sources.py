@@ -50,3 +50,17 @@ def read_log_text(spark: SparkSession, path: str, max_files_per_trigger: int = 1
     """SRC4: raw client-log lines (JSON text) from a folder: (value)."""
     return (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
                  .load(path))
+
+
+def start_topic_sink(routed: DataFrame, bootstrap: str, checkpoint: str, trigger: dict | None = None):
+    """SNK8/SNK9 on Kafka: each row goes to the topic in its ``topic`` column.
+
+    ``routed`` needs ``topic`` and ``value`` (and optionally ``key``) columns,
+    as the routers produce them.  Needs the Kafka connector on the classpath.
+    """
+    cols = [c for c in ("key", "value", "topic") if c in routed.columns]
+    return (routed.select(*[F.col(c).cast("string") for c in cols])
+                  .writeStream.format("kafka").options(**write_topic_options(bootstrap))
+                  .option("checkpointLocation", checkpoint)
+                  .trigger(**(trigger or {"processingTime": "5 seconds"}))
+                  .start())

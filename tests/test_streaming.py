@@ -154,3 +154,12 @@ def test_dead_letters_stream(spark, scratch):
                                  watermark="1 minute", trigger=ONCE).awaitTermination()
     got = sorted((r.side, r.id) for r in spark.read.parquet(f"{scratch}/dead").collect())
     assert got == [("order", "2"), ("order_detail", "9_1")]
+
+
+def test_kafka_option_builders():
+    from livemart.streaming.sources import kafka_options, write_topic_options
+    o = kafka_options("h1:9092,h2:9092", "STARTUP", max_offsets_per_trigger=1000)
+    assert o["subscribe"] == "STARTUP" and o["startingOffsets"] == "latest"
+    assert o["kafka.bootstrap.servers"] == "h1:9092,h2:9092" and o["maxOffsetsPerTrigger"] == "1000"
+    assert "enable.auto.commit" not in o  # offsets live in the checkpoint
+    assert write_topic_options("h:1") == {"kafka.bootstrap.servers": "h:1"}
