@@ -54,8 +54,12 @@ def stamp_logs(raw: DataFrame, value_col: str = "value", stamp=None) -> DataFram
 
     Output adds ``log`` (typed struct) and ``malformed``, and replaces
     ``value`` with the stamped text; malformed logs keep their original text.
+    ``stamp="record"`` keeps the ``ts`` the record carries (a replay of
+    already-stamped logs); otherwise see ``server_stamp``.
     """
     parsed = parse_records(raw, RAW_LOG, value_col, out="_rec")
+    if isinstance(stamp, str) and stamp == "record":
+        stamp = F.col("_rec.ts")
     fields = [F.col(f"_rec.{f.name}").alias(f.name) for f in RAW_LOG.fields if f.name != "ts"]
     log = F.when(F.col("_rec").isNull(), F.lit(None)).otherwise(
         F.struct(*fields, server_stamp(stamp).alias("ts")))

@@ -305,6 +305,11 @@ WHERE rn = 1""",
 }
 
 
+ORACLE_SQL["stream_log_route"] = f"""WITH {LOGS}
+SELECT CASE WHEN type = 'startup' THEN 'STARTUP' ELSE 'EVENT' END AS topic, logdate,
+       CAST(CASE WHEN type = 'startup' THEN {_startup_json()} ELSE {_event_json()} END AS VARCHAR) AS value
+FROM lg"""
+
 # Streaming queries return the sink's latest view, which must equal the batch form.
 STREAM_ORACLE_OF = {
     "stream_dau": "dau_first",

@@ -58,15 +58,18 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs(spark, sf_dir).where(F.col("type") == "event")
 
 
-def raw_log_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw client log text as the intake receives it: (event_id, ts, value).
+def raw_log_json(spark: SparkSession, sf_dir: str, with_arrival: bool = False) -> DataFrame:
+    """Raw client log text as the intake receives it: (event_id, ts, ts_ms, value).
 
-    ``ts`` here is the client's time; the intake overwrites it (P7).
+    ``ts`` here is the client's time; the intake overwrites it (P7).  With
+    ``with_arrival`` the text also carries ``ts`` = the recorded arrival time
+    (epoch ms), as a replay of stamped logs does.
     """
     lg = logs(spark, sf_dir)
-    startup = F.to_json(F.struct("type", "mid", "uid", "os", "appid", "area", "ch", "vs"))
+    arrival = [F.col("ts_ms").alias("ts")] if with_arrival else []
+    startup = F.to_json(F.struct("type", "mid", "uid", "os", "appid", "area", "ch", "vs", *arrival))
     event = F.to_json(F.struct("type", "mid", "uid", "os", "appid", "area", "evid",
-                               "pgid", "npgid", "itemid"))
+                               "pgid", "npgid", "itemid", *arrival))
     return lg.select("event_id", "ts", "ts_ms",
                      F.when(F.col("type") == "startup", startup).otherwise(event).alias("value"))
 

@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 
 def to_chunks(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
-              files_per_chunk: int = 4) -> str:
+              files_per_chunk: int = 4, fmt: str = "parquet") -> str:
     """Write ``df`` to ``path`` in ``chunks`` time slices of ``time_ms_col`` (epoch ms).
 
     Each slice is one distributed write of ``files_per_chunk`` files (a
     round-robin repartition, so no single task carries a slice); the slices
     are written in time order, so file modification times order them and a
     reader taking ``files_per_chunk`` files per trigger sees one slice per
-    micro-batch.  Returns ``path``.
+    micro-batch.  ``fmt="text"`` writes the single string column other than
+    the time column as text lines.  Returns ``path``.
     """
     # the input is computed once and kept (memory, spilling to disk) for the
     # span aggregate and the slice writes
@@ -33,15 +34,18 @@ def to_chunks(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
         slot = F.least(F.floor((F.col(time_ms_col) - F.lit(lo)) / F.lit(width)), F.lit(chunks - 1))
         tagged = df.withColumn("_slot", slot)
         for i in range(chunks):
-            (tagged.where(F.col("_slot") == i).drop("_slot").repartition(files_per_chunk)
-                   .write.mode("append").parquet(path))
+            part = tagged.where(F.col("_slot") == i).drop("_slot").repartition(files_per_chunk)
+            if fmt == "text":
+                part.drop(time_ms_col).write.mode("append").text(path)
+            else:
+                part.write.mode("append").parquet(path)
     finally:
         df.unpersist()
     return path
 
 
 def replay_stream(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
-                  files_per_chunk: int = 4) -> DataFrame:
+                  files_per_chunk: int = 4, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` as time slices (``to_chunks``) and return the folder as a
     stream that takes one slice per micro-batch.
 
@@ -49,6 +53,8 @@ def replay_stream(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
     must be read together: read one at a time, the watermark would pass
     rows still to come in the same slice and drop them as late.
     """
-    from livemart.streaming.sources import read_folder
-    to_chunks(df, path, time_ms_col, chunks, files_per_chunk)
+    from livemart.streaming.sources import read_folder, read_log_text
+    to_chunks(df, path, time_ms_col, chunks, files_per_chunk, fmt)
+    if fmt == "text":
+        return read_log_text(df.sparkSession, path, max_files_per_trigger=files_per_chunk)
     return read_folder(df.sparkSession, path, df.schema, max_files_per_trigger=files_per_chunk)
