@@ -33,7 +33,7 @@ def stream_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1 + ST3 + SNK1: DAU as a stream, upserted by (logdate, mid)."""
     root = scratch_path(spark, "stream_dau")
     src = _replay(spark, A.startup_logs(spark, sf_dir), root, "startup", "ts_ms")
-    table = KeyedTable(f"{root}/dau", ["logdate", "mid"])
+    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"])
     jobs.dau_query(src, table, f"{root}/ckpt", trigger=ONCE).awaitTermination()
     return table.view(spark)
 

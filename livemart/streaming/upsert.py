@@ -25,11 +25,14 @@ class KeyedTable:
     """A keyed table at ``path`` with key columns and an optional version order."""
 
     def __init__(self, path: str, key: Sequence[str], order: Sequence[str] = (),
-                 keep: str | None = None):
+                 keep: str | None = None, partition_by: Sequence[str] = ()):
         self.path = path.rstrip("/")
         self.key = list(key)
         self.order = list(order)
         self.keep = keep  # boolean column: rows whose latest version is false are hidden
+        # key columns to lay out as folders inside each batch (e.g. the day):
+        # a filter on them prunes folders, and being keys it runs below the merge
+        self.partition_by = [c for c in partition_by if c in self.key]
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Upsert one micro-batch (idempotent per ``batch_id``).
@@ -42,8 +45,10 @@ class KeyedTable:
             k = self.key[0]
             content = F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256)
             df = df.withColumn(k, F.coalesce(F.col(k).cast("string"), content))
-        (df.write.mode("overwrite").option("compression", "zstd")
-           .parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}"))
+        w = df.write.mode("overwrite").option("compression", "zstd")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
 
     def foreach_batch(self, transform=None):
         """A ``foreachBatch`` function: optional per-batch transform, then write.
@@ -71,6 +76,26 @@ class KeyedTable:
             return None
         return int(row["upto"]) if row else None
 
+    def _read(self, spark: SparkSession, path: str) -> DataFrame:
+        reader = spark.read
+        if self.partition_by:
+            # folder values stay text, whatever they look like (a day stays
+            # 'yyyy-MM-dd' text rather than becoming a date)
+            spark_conf = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
+            prev = {k: spark.conf.get(k) for k in spark_conf}
+            for k, v in spark_conf.items():
+                spark.conf.set(k, v)
+            try:
+                df = reader.parquet(path)
+                df.schema  # resolve now, under the setting
+            finally:
+                for k, v in prev.items():
+                    spark.conf.set(k, v)
+            if BATCH_COL in df.columns:
+                df = df.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
+            return df
+        return reader.parquet(path)
+
     def raw(self, spark: SparkSession) -> DataFrame:
         """All live versions: the compacted base plus the batches written after it.
 
@@ -78,10 +103,10 @@ class KeyedTable:
         filter, so they are not even listed for reading.
         """
         upto = self._base_id(spark)
-        batches = spark.read.parquet(self.path)
+        batches = self._read(spark, self.path)
         if upto is None:
             return batches
-        base = spark.read.parquet(f"{self.path}_base/v{upto}").withColumn(BATCH_COL, F.lit(upto))
+        base = self._read(spark, f"{self.path}_base/v{upto}").withColumn(BATCH_COL, F.lit(upto).cast("long"))
         newer = batches.where(F.col(BATCH_COL) > upto)
         return base.unionByName(newer.select(*base.columns))
 
@@ -112,6 +137,9 @@ class KeyedTable:
         raw = self.raw(spark).where(F.col(BATCH_COL) <= upto)
         cols = [c for c in raw.columns if c != BATCH_COL]
         merged = latest_per_key(raw, self.key, [*self.order, BATCH_COL], cols)
-        merged.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}_base/v{int(upto)}")
+        w = merged.write.mode("overwrite").option("compression", "zstd")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(f"{self.path}_base/v{int(upto)}")
         (spark.range(1).select(F.lit(int(upto)).cast("long").alias("upto"))
               .write.mode("overwrite").parquet(f"{self.path}_base/current"))

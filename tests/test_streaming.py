@@ -163,3 +163,17 @@ def test_kafka_option_builders():
     assert o["kafka.bootstrap.servers"] == "h1:9092,h2:9092" and o["maxOffsetsPerTrigger"] == "1000"
     assert "enable.auto.commit" not in o  # offsets live in the checkpoint
     assert write_topic_options("h:1") == {"kafka.bootstrap.servers": "h:1"}
+
+
+def test_keyed_table_day_partitions_prune_under_the_merge(spark, scratch):
+    t = KeyedTable(f"{scratch}/dau", ["logdate", "mid"], partition_by=["logdate"])
+    t.write(spark.createDataFrame([("2024-01-01", "m1", 1), ("2024-01-02", "m1", 2)],
+                                  "logdate string, mid string, v int"), 0)
+    t.write(spark.createDataFrame([("2024-01-02", "m1", 3)], "logdate string, mid string, v int"), 1)
+    t.compact(spark, 0)
+    day = t.view(spark).where(F.col("logdate") == "2024-01-02")
+    assert [(r.logdate, r.v) for r in day.collect()] == [("2024-01-02", 3)]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    scans = [l for l in plan.splitlines() if "FileScan parquet" in l]
+    # every scan (base and newer batches) prunes day folders
+    assert scans and all("logdate" in l.split("PartitionFilters")[1].split("PushedFilters")[0] for l in scans)
