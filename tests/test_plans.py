@@ -10,10 +10,15 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                "FlatMapCoGroupsInPandas", "AggregateInPandas", "WindowInPandas")
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cartesian_or_nested_loop(spark, name):
+def test_no_cartesian_nested_loop_or_python(spark, name):
     p = plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, p
+    assert not any(n in p for n in PYTHON_NODES), p
 
 
 def test_dau_combines_map_side_and_prunes_columns(spark):
@@ -41,3 +46,22 @@ def test_cluster_conf_sizes_partitions():
     c = cluster_conf(total_cores=8000, input_bytes=100 * (1 << 40))
     assert int(c["spark.sql.shuffle.partitions"]) == 200_000  # 100 TB / 256 MB, capped
     assert int(cluster_conf(64, 1 << 30)["spark.sql.shuffle.partitions"]) == 192  # 3 waves of cores
+
+
+def test_search_filters_reach_the_scans(spark):
+    df = QUERIES["sale_total"](spark, SF_SMALL)
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    # the keyword test sits directly on the part relation, the day test on orders
+    lines = p.splitlines()
+    kw = [i for i, l in enumerate(lines) if "regexp_extract_all" in l and "Filter" in l]
+    assert kw and "p_name" in lines[kw[0]]
+    day = [l for l in lines if "Filter" in l and "1997-02-01" in l]
+    assert day and "o_orderdate" in day[0]
+
+
+def test_province_counts_before_customer_join(spark):
+    p = QUERIES["province_sales"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    lines = p.splitlines()
+    join = min(i for i, l in enumerate(lines) if "Join LeftOuter" in l and "user_id" in l)
+    agg_below = [l for l in lines[join:] if "Aggregate [user_id" in l]
+    assert agg_below, p
