@@ -28,6 +28,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*cols) if cols else df
 
 
-def read_keyed_view(spark: SparkSession, path: str) -> DataFrame:
-    """SRC5-SRC7: read the latest view of a keyed table written by a sink."""
-    return spark.read.parquet(path)
+def read_keyed_view(spark: SparkSession, path: str, key: Iterable[str], order: Iterable[str] = (),
+                    keep: str | None = None, partition_by: Iterable[str] = ()) -> DataFrame:
+    """SRC5-SRC7: the latest view of a keyed table written by a streaming sink.
+
+    The layout and merge rule are those of ``streaming.upsert.KeyedTable``;
+    filters on key columns (e.g. ``logdate = d``) run below the merge and
+    prune day folders when the table is laid out by day.
+    """
+    from livemart.streaming.upsert import KeyedTable
+    return KeyedTable(path, list(key), list(order), keep, list(partition_by)).view(spark)

@@ -177,3 +177,15 @@ def test_keyed_table_day_partitions_prune_under_the_merge(spark, scratch):
     scans = [l for l in plan.splitlines() if "FileScan parquet" in l]
     # every scan (base and newer batches) prunes day folders
     assert scans and all("logdate" in l.split("PartitionFilters")[1].split("PushedFilters")[0] for l in scans)
+
+
+def test_read_keyed_view_for_one_day(spark, scratch):
+    from livemart.operators import dau as D
+    from livemart.sources.tables import read_keyed_view
+    t = KeyedTable(f"{scratch}/dau", ["logdate", "mid"], partition_by=["logdate"])
+    rows = D.daily_active(A.startup_logs(spark, SF_SMALL))
+    t.write(rows, 0)
+    view = read_keyed_view(spark, f"{scratch}/dau", ["logdate", "mid"], partition_by=["logdate"])
+    got = {r.loghour: r.ct for r in D.dau_hour(view, "2024-01-05").collect()}
+    want = {r.loghour: r.ct for r in D.dau_hour(rows, "2024-01-05").collect()}
+    assert got == want and got
