@@ -50,22 +50,26 @@ class KeyedTable:
             w = w.partitionBy(*self.partition_by)
         w.parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
 
-    def foreach_batch(self, transform=None):
+    def foreach_batch(self, transform=None, compact_every: int | None = None):
         """A ``foreachBatch`` function: optional per-batch transform, then write.
 
         With a transform the micro-batch is persisted for the duration of the
         write, so a transform that reads it twice does not re-run the
-        (stateful) micro-batch plan.
+        (stateful) micro-batch plan.  ``compact_every=N`` folds the table
+        into its base after every N-th batch, so a long-running stream keeps
+        its reads proportional to the base plus the last few batches.
         """
         def _fn(df: DataFrame, batch_id: int) -> None:
             if transform is None:
                 self.write(df, batch_id)
-                return
-            df.persist()
-            try:
-                self.write(transform(df, batch_id), batch_id)
-            finally:
-                df.unpersist()
+            else:
+                df.persist()
+                try:
+                    self.write(transform(df, batch_id), batch_id)
+                finally:
+                    df.unpersist()
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                self.compact(df.sparkSession, batch_id)
         return _fn
 
     def _base_id(self, spark: SparkSession) -> int | None:

@@ -189,3 +189,14 @@ def test_read_keyed_view_for_one_day(spark, scratch):
     got = {r.loghour: r.ct for r in D.dau_hour(view, "2024-01-05").collect()}
     want = {r.loghour: r.ct for r in D.dau_hour(rows, "2024-01-05").collect()}
     assert got == want and got
+
+
+def test_periodic_compaction_inside_foreach_batch(spark, scratch):
+    t = KeyedTable(f"{scratch}/kt", ["k"])
+    fn = t.foreach_batch(compact_every=2)
+    for b in range(5):
+        fn(spark.createDataFrame([("a", b), (f"x{b}", b)], "k string, v int"), b)
+    assert t._base_id(spark) == 4
+    assert t.raw(spark).count() == 6  # base only: a + x0..x4
+    got = sorted((r.k, r.v) for r in t.view(spark).collect())
+    assert got == [("a", 4), ("x0", 0), ("x1", 1), ("x2", 2), ("x3", 3), ("x4", 4)]
