@@ -25,7 +25,8 @@ class KeyedTable:
     """A keyed table at ``path`` with key columns and an optional version order."""
 
     def __init__(self, path: str, key: Sequence[str], order: Sequence[str] = (),
-                 keep: str | None = None, partition_by: Sequence[str] = ()):
+                 keep: str | None = None, partition_by: Sequence[str] = (),
+                 compact_every: int | None = None):
         self.path = path.rstrip("/")
         self.key = list(key)
         self.order = list(order)
@@ -33,6 +34,7 @@ class KeyedTable:
         # key columns to lay out as folders inside each batch (e.g. the day):
         # a filter on them prunes folders, and being keys it runs below the merge
         self.partition_by = [c for c in partition_by if c in self.key]
+        self.compact_every = compact_every  # sinks fold the table every N batches
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Upsert one micro-batch (idempotent per ``batch_id``).
@@ -59,6 +61,8 @@ class KeyedTable:
         into its base after every N-th batch, so a long-running stream keeps
         its reads proportional to the base plus the last few batches.
         """
+        every = compact_every or self.compact_every
+
         def _fn(df: DataFrame, batch_id: int) -> None:
             if transform is None:
                 self.write(df, batch_id)
@@ -68,7 +72,7 @@ class KeyedTable:
                     self.write(transform(df, batch_id), batch_id)
                 finally:
                     df.unpersist()
-            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            if every and batch_id > 0 and batch_id % every == 0:
                 self.compact(df.sparkSession, batch_id)
         return _fn
 
