@@ -275,3 +275,18 @@ def test_malformed_logs_are_quarantined(spark):
     assert [r.topic for r in out] == [TOPIC_STARTUP, "QUARANTINE", "QUARANTINE", "QUARANTINE"]
     assert out[1].value == '{"type":' and out[1].log is None
     assert out[0].value == '{"type":"startup","mid":"m1","ts":5}'
+
+
+def test_hot_device_alerts_match_native_window(spark):
+    from conftest import SF_SMALL
+    from livemart.sources import adapters as A
+    ev = A.event_logs(spark, SF_SMALL)
+    # one device holds a third of all events
+    ev = ev.withColumn("mid", F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.col("mid")))
+    w, s = 12 * 3600 * 1000, 3600 * 1000
+    pane = {(r.id, tuple(r.uids), tuple(r.itemIds), tuple(r.events))
+            for r in alerts.coupon_alerts(ev, w, s).collect()}
+    nat = alerts.windowed_alerts(ev.withColumn("event_time", F.timestamp_millis("ts_ms")),
+                                 "12 hours", "1 hour").where("ok")
+    native = {(r.id, tuple(r.uids), tuple(r.itemIds), tuple(r.events)) for r in nat.collect()}
+    assert pane == native and any(i.startswith("hot_") for i, *_ in pane)
