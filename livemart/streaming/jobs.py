@@ -88,6 +88,8 @@ def dau_query(startups: DataFrame, table: KeyedTable, checkpoint: str,
     cols = [c for c in DAU_COLUMNS if c != "ts"] + list(DAU_ORDER)
     first = first_per_key(ev, ["day", "logdate", "mid"], DAU_ORDER, cols)
     rows = first.select(*[c for c in DAU_COLUMNS if c != "ts"], F.col("ts_ms").alias("ts"))
+    # SNK11: start-ups in, first start-ups out (new or earlier) per batch
+    rows = observed(rows, "dau_rows")
     return _start(rows, checkpoint, trigger, "update", table.foreach_batch(), "dau")
 
 

@@ -8,6 +8,8 @@ query's progress, either by polling ``lastProgress`` or through a
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql.streaming import StreamingQueryListener
 
 
@@ -15,7 +17,11 @@ def batch_summary(progress) -> dict:
     """Input rows, observed counts and rows dropped behind the watermark of one batch."""
     if progress is None:
         return {}
-    p = progress if isinstance(progress, dict) else progress.jsonValue() if hasattr(progress, "jsonValue") else dict(progress)
+    raw = getattr(progress, "json", None)
+    if raw is not None:  # a StreamingQueryProgress: its JSON form has plain dicts throughout
+        p = json.loads(raw() if callable(raw) else raw)
+    else:
+        p = dict(progress)
     state = p.get("stateOperators") or []
     return {
         "batch_id": p.get("batchId"),
@@ -37,8 +43,7 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event):
-        import json
-        summary = batch_summary(json.loads(event.progress.json))
+        summary = batch_summary(event.progress)
         summary["name"] = event.progress.name
         self.batches = (self.batches + [summary])[-self.keep:]
 

@@ -200,3 +200,15 @@ def test_periodic_compaction_inside_foreach_batch(spark, scratch):
     assert t.raw(spark).count() == 6  # base only: a + x0..x4
     got = sorted((r.k, r.v) for r in t.view(spark).collect())
     assert got == [("a", 4), ("x0", 0), ("x1", 1), ("x2", 2), ("x3", 3), ("x4", 4)]
+
+
+def test_dau_stream_reports_counts_before_and_after_dedupe(spark, scratch):
+    from livemart.streaming.metrics import batch_summary
+    st = A.startup_logs(spark, SF_SMALL)
+    table = KeyedTable(f"{scratch}/dau", ["logdate", "mid"])
+    q = jobs.dau_query(replay_stream(st, f"{scratch}/in", "ts_ms", 2), table, f"{scratch}/ck", trigger=ONCE)
+    q.awaitTermination()
+    summaries = [batch_summary(p) for p in q.recentProgress]
+    seen_in = sum(s["observed"].get("startups", {}).get("rows", 0) for s in summaries)
+    seen_out = sum(s["observed"].get("dau_rows", {}).get("rows", 0) for s in summaries)
+    assert seen_in == st.count() and 0 < seen_out <= seen_in
