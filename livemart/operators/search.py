@@ -15,6 +15,7 @@ from livemart.functions.shape import (AGE_BAND_LABELS, AGE_GROUP_TITLE, GENDER_G
                                       GENDER_LABELS, age_band)
 from livemart.functions.text import matches_all, query_terms, term_hits, tokens
 
+# Bucket counts of the two terms facets of the sale search.
 GENDER_TOP = 2
 AGE_TOP = 100
 

@@ -49,7 +49,8 @@ def log_json_roundtrip(spark, sf_dir):
 
 def cdc_route(spark, sf_dir):
     """SRC3, F1, F2, P3, SNK9: change entries routed to topics as JSON rows."""
-    routed = ingest.route_changes(A.change_envelope(spark, sf_dir), table_pattern=r"^(order_info|order_detail|user_info)$")
+    tables = r"^(order_info|order_detail|user_info)$"  # the subscription regex
+    routed = ingest.route_changes(A.change_envelope(spark, sf_dir), table_pattern=tables)
     return routed.select("topic", "value")
 
 
