@@ -9,7 +9,7 @@ in a stream it is Spark's stream-stream join (``livemart.streaming``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from livemart.functions.numeric import age_years
@@ -89,6 +89,40 @@ def unmatched(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return lonely_orders.unionByName(lonely_lines)
 
 
+def user_intervals(changes: DataFrame, time_col: str = "change_ms") -> DataFrame:
+    """Validity interval of every user version: [valid_from, valid_to) in epoch ms.
+
+    The window runs over a user's *versions* only (a handful per user), never
+    over their sales; the last version is open-ended (``valid_to`` null).
+    Versions with the same time are ordered by ``seq``; the earlier one gets
+    an empty interval.
+    """
+    w = Window.partitionBy("id").orderBy(F.col(time_col), F.col("seq"))
+    return (changes.withColumn("valid_from", F.col(time_col))
+                   .withColumn("valid_to", F.lead(F.col(time_col)).over(w)))
+
+
+def with_user_as_of(sales: DataFrame, changes: DataFrame, as_of: str, sale_time: str = "order_ms",
+                    change_time: str = "change_ms") -> DataFrame:
+    """J4, as-of variant: each sale gets the user version valid at the sale's time.
+
+    An equi-join on the user id with the validity interval as a range
+    condition: every sale matches at most one version, so no sale is paired
+    with all of its user's versions, and a user with very many sales is a
+    skewed left side that AQE can split.  Sales before a user's first
+    version find none (age 0, gender and level null, as for unknown users).
+    """
+    iv = user_intervals(changes, change_time).select(
+        F.col("id").alias("_uid"), "valid_from", "valid_to",
+        F.col("gender").alias("user_gender"), "user_level",
+        age_years("birthday", as_of).alias("_age"))
+    t = F.col(sale_time)
+    cond = ((F.col("user_id") == F.col("_uid")) & (t >= F.col("valid_from"))
+            & (F.col("valid_to").isNull() | (t < F.col("valid_to"))))
+    keep = [c for c in sales.columns if c not in ("user_gender", "user_level", "user_age")]
+    return _finish(sales.select(*keep).join(iv, cond, "left"))
+
+
 def latest_users(changes: DataFrame) -> DataFrame:
     """A18 + ST12: the latest version of each user from a change log (by ``seq``)."""
     cols = [c for c in changes.columns if c != "seq"] + ["seq"]

@@ -290,3 +290,18 @@ def test_hot_device_alerts_match_native_window(spark):
                                  "12 hours", "1 hour").where("ok")
     native = {(r.id, tuple(r.uids), tuple(r.itemIds), tuple(r.events)) for r in nat.collect()}
     assert pane == native and any(i.startswith("hot_") for i, *_ in pane)
+
+
+def test_user_as_of_order_time(spark):
+    sale_schema = ("order_detail_id string, order_id string, order_status string, create_time string, "
+                   "user_id string, sku_id string, sku_price double, sku_name string, dt string, sku_num string, "
+                   "order_ms long")
+    s = spark.createDataFrame([("a", "1", "O", "x", "7", "s", 1.0, "n", "d", "1", 50),
+                               ("b", "1", "O", "x", "7", "s", 1.0, "n", "d", "1", 150),
+                               ("c", "1", "O", "x", "7", "s", 1.0, "n", "d", "1", 250),
+                               ("d", "1", "O", "x", "8", "s", 1.0, "n", "d", "1", 250)], sale_schema)
+    ch = spark.createDataFrame([("7", "L1", "2000-08-02", "F", 1, 100), ("7", "L2", "2000-08-02", "F", 2, 200),
+                                ("7", "L3", "2000-08-02", "F", 3, 200)],
+                               "id string, user_level string, birthday string, gender string, seq long, change_ms long")
+    got = {r.order_detail_id: (r.user_level, r.user_age) for r in sales.with_user_as_of(s, ch, "2001-08-02").collect()}
+    assert got == {"a": (None, 0), "b": ("L1", 1), "c": ("L3", 1), "d": (None, 0)}
