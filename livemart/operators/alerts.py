@@ -19,7 +19,7 @@ from math import gcd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from livemart.functions.timefmt import millis_to_text
+from livemart.functions.timefmt import epoch_millis, millis_to_text
 from livemart.operators.keyed import latest_per_key
 
 COUPON = "coupon"
@@ -119,8 +119,8 @@ def windowed_alerts(events: DataFrame, window: str, slide: str, min_users: int =
         F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
         F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("clicked"),
         _ordered_evids().alias("events"))
-    wstart = F.unix_millis(F.col("w.start"))
-    wend = F.unix_millis(F.col("w.end"))
+    wstart = epoch_millis(F.col("w.start"))
+    wend = epoch_millis(F.col("w.end"))
     ok = (F.size("uids") >= min_users) & ~F.col("clicked")
     return g.select(*alert_row(F.col("mid"), wstart, wend, F.col("uids"), F.col("items"),
                                F.col("events")), ok.alias("ok"))

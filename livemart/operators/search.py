@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from livemart.functions.numeric import percent_1dp
 from livemart.functions.shape import (AGE_BAND_LABELS, AGE_GROUP_TITLE, GENDER_GROUP_TITLE,
-                                      GENDER_LABELS, age_band)
+                                      GENDER_LABELS, age_band, option)
 from livemart.functions.text import matches_all, query_terms, term_hits, tokens
 
 # Bucket counts of the two terms facets of the sale search.
@@ -78,9 +78,8 @@ def gender_share(matched: DataFrame) -> DataFrame:
     agg = matched.agg(F.count(F.lit(1)).alias("n"),
                       F.count_if(F.col("user_gender") == "M").alias("m"),
                       F.count_if(F.col("user_gender") == "F").alias("f"))
-    opts = F.array(
-        F.struct(F.lit(GENDER_LABELS["M"]).alias("name"), percent_1dp("m", "n").alias("value")),
-        F.struct(F.lit(GENDER_LABELS["F"]).alias("name"), percent_1dp("f", "n").alias("value")))
+    opts = F.array(option(GENDER_LABELS["M"], percent_1dp("m", "n")),
+                   option(GENDER_LABELS["F"], percent_1dp("f", "n")))
     return (agg.select(F.explode(opts).alias("o"))
                .select(F.lit(GENDER_GROUP_TITLE).alias("title"), "o.name",
                        F.coalesce(F.col("o.value"), F.lit(0.0).cast("double")).alias("value")))
@@ -102,8 +101,7 @@ def age_share(matched: DataFrame) -> DataFrame:
     n = ages.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"))
     agg = n.unionByName(bands, allowMissingColumns=True).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in ("n", "b0", "b1", "b2")])
-    opts = F.array(*[F.struct(F.lit(b).alias("name"), percent_1dp(f"b{i}", "n").alias("value"))
-                     for i, b in enumerate((lo, mid, hi))])
+    opts = F.array(*[option(b, percent_1dp(f"b{i}", "n")) for i, b in enumerate((lo, mid, hi))])
     return (agg.select(F.explode(opts).alias("o"))
                .select(F.lit(AGE_GROUP_TITLE).alias("title"), "o.name",
                        F.coalesce(F.col("o.value"), F.lit(0.0).cast("double")).alias("value")))

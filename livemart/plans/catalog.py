@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from livemart.functions.json import parse
 from livemart.operators import alerts, dashboard, dau, ingest, orders, sales, search
 from livemart.plans import params as P
 from livemart.schemas import RAW_LOG, SALE_DETAIL_COLUMNS
@@ -43,8 +44,7 @@ def log_date_hour(spark, sf_dir):
 def log_json_roundtrip(spark, sf_dir):
     """P1 + P2: stamped text parsed back into the typed log record."""
     st = _stamped_logs(spark, sf_dir)
-    rec = F.from_json("value", RAW_LOG)
-    return st.select("event_id", rec.alias("r")).select("event_id", "r.*")
+    return st.select("event_id", parse("value", RAW_LOG).alias("r")).select("event_id", "r.*")
 
 
 def cdc_route(spark, sf_dir):

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from livemart.functions.json import render
 from livemart.functions.timefmt import epoch_millis_ntz
 from livemart.sources.tables import read_table
 
@@ -67,9 +68,9 @@ def raw_log_json(spark: SparkSession, sf_dir: str, with_arrival: bool = False) -
     """
     lg = logs(spark, sf_dir)
     arrival = [F.col("ts_ms").alias("ts")] if with_arrival else []
-    startup = F.to_json(F.struct("type", "mid", "uid", "os", "appid", "area", "ch", "vs", *arrival))
-    event = F.to_json(F.struct("type", "mid", "uid", "os", "appid", "area", "evid",
-                               "pgid", "npgid", "itemid", *arrival))
+    startup = render("type", "mid", "uid", "os", "appid", "area", "ch", "vs", *arrival)
+    event = render("type", "mid", "uid", "os", "appid", "area", "evid", "pgid", "npgid", "itemid",
+                   *arrival)
     return lg.select("event_id", "ts", "ts_ms",
                      F.when(F.col("type") == "startup", startup).otherwise(event).alias("value"))
 
