@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from livemart.functions.timefmt import epoch_millis_ntz
 from livemart.plans import params as P
 from livemart.plans.catalog import _flat_alerts
+from livemart.schemas import DAU_COLUMNS
 from livemart.session import scratch_path
 from livemart.sources import adapters as A
 from livemart.streaming import jobs
@@ -35,7 +36,7 @@ def stream_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _replay(spark, A.startup_logs(spark, sf_dir), root, "startup", "ts_ms")
     table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"])
     jobs.dau_query(src, table, f"{root}/ckpt", trigger=ONCE).awaitTermination()
-    return table.view(spark)
+    return table.view(spark).select(*DAU_COLUMNS)  # day folders put logdate last
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
