@@ -92,7 +92,7 @@ def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_order_amount_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OrderApp end to end: order rows as a stream -> masked rows appended to a
+    """Order job end to end: order rows as a stream -> masked rows appended to a
     table partitioned by ``create_date`` (SNK2, exactly once via the file
     sink's log) -> amount per day and hour read back from it (SRC6, A10)."""
     from livemart.operators import orders as O
