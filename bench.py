@@ -1,7 +1,8 @@
 """Benchmark: run the headline queries and print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3; the best run per query is reported).
+BENCH_RUNS (default 3; the best run per query is reported), BENCH_EVENT_LOG
+(optional folder: Spark's event log, for stage and task times).
 Each query is executed in full through the ``noop`` sink (no collect);
 the streaming queries run once (replay, micro-batches, sink view).
 """
@@ -34,8 +35,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, extra=extra)
     # warm the JVM (class loading, code generation) before timing
     catalog.QUERIES["dau_first"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     timings = {}
