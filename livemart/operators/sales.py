@@ -80,6 +80,10 @@ def sale_detail(orders: DataFrame, lines: DataFrame, users: DataFrame, as_of: st
     else:
         enriched = orders.join(attrs, "user_id", "left")
     pairs = pair_rows(enriched, lines, carry=("user_gender", "user_level", "_age"))
+    # No dedupe here: the batch inputs are keyed tables.  Redelivered copies
+    # exist only on streams, where lines are deduplicated by id within the
+    # watermark and the sink keeps one row per line id.  (An aggregate on top
+    # of this join would also stop AQE from splitting a skewed order id.)
     return _finish(pairs)
 
 
