@@ -69,24 +69,18 @@ def terms_facet(matched: DataFrame, column: str, k: int) -> DataFrame:
     return counts.orderBy(F.col("cnt").desc(), F.col(column)).limit(k)
 
 
-def gender_share(matched: DataFrame) -> DataFrame:
-    """Q5 (A11 + A15 + P17): percent of hits per gender: (title, name, value).
-
-    One aggregate row with the total and both gender counts, then two rows.
-    A gender absent from the hits gets 0.0 (the upstream code failed there).
-    """
+def _gender_group(matched: DataFrame) -> DataFrame:
+    """One row: the gender option group, ``struct<title, options>`` (male, female)."""
     agg = matched.agg(F.count(F.lit(1)).alias("n"),
                       F.count_if(F.col("user_gender") == "M").alias("m"),
                       F.count_if(F.col("user_gender") == "F").alias("f"))
-    opts = F.array(option(GENDER_LABELS["M"], percent_1dp("m", "n")),
-                   option(GENDER_LABELS["F"], percent_1dp("f", "n")))
-    return (agg.select(F.explode(opts).alias("o"))
-               .select(F.lit(GENDER_GROUP_TITLE).alias("title"), "o.name",
-                       F.coalesce(F.col("o.value"), F.lit(0.0).cast("double")).alias("value")))
+    pct = lambda c: F.coalesce(percent_1dp(c, "n"), F.lit(0.0).cast("double"))
+    opts = F.array(option(GENDER_LABELS["M"], pct("m")), option(GENDER_LABELS["F"], pct("f")))
+    return agg.select(F.struct(F.lit(GENDER_GROUP_TITLE).alias("title"), opts.alias("options")).alias("g"))
 
 
-def age_share(matched: DataFrame) -> DataFrame:
-    """Q6 (A12 + A14 + A15): percent of hits per age band: (title, name, value).
+def _age_group(matched: DataFrame) -> DataFrame:
+    """One row: the age-band option group, ``struct<title, options>`` (three bands).
 
     The bands re-aggregate the top-``AGE_TOP`` age buckets (a bounded top-k,
     as the upstream facet did); the denominator is all hits.  The total and
@@ -94,17 +88,50 @@ def age_share(matched: DataFrame) -> DataFrame:
     """
     ages = matched.groupBy("user_age").agg(F.count(F.lit(1)).alias("cnt"))
     top = ages.orderBy(F.col("cnt").desc(), F.col("user_age")).limit(AGE_TOP)
-    lo, mid, hi = AGE_BAND_LABELS
     band = age_band("user_age")
     bands = top.agg(*[F.coalesce(F.sum(F.when(band == b, F.col("cnt"))), F.lit(0)).alias(f"b{i}")
-                      for i, b in enumerate((lo, mid, hi))])
+                      for i, b in enumerate(AGE_BAND_LABELS)])
     n = ages.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"))
     agg = n.unionByName(bands, allowMissingColumns=True).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in ("n", "b0", "b1", "b2")])
-    opts = F.array(*[option(b, percent_1dp(f"b{i}", "n")) for i, b in enumerate((lo, mid, hi))])
-    return (agg.select(F.explode(opts).alias("o"))
-               .select(F.lit(AGE_GROUP_TITLE).alias("title"), "o.name",
-                       F.coalesce(F.col("o.value"), F.lit(0.0).cast("double")).alias("value")))
+    pct = lambda c: F.coalesce(percent_1dp(c, "n"), F.lit(0.0).cast("double"))
+    opts = F.array(*[option(b, pct(f"b{i}")) for i, b in enumerate(AGE_BAND_LABELS)])
+    return agg.select(F.struct(F.lit(AGE_GROUP_TITLE).alias("title"), opts.alias("options")).alias("a"))
+
+
+def _rows(group: DataFrame, col: str) -> DataFrame:
+    return (group.select(F.explode(f"{col}.options").alias("o"), F.col(f"{col}.title").alias("title"))
+                 .select("title", "o.name", "o.value"))
+
+
+def gender_share(matched: DataFrame) -> DataFrame:
+    """Q5 (A11 + A15 + P17): percent of hits per gender: (title, name, value).
+
+    One aggregate row with the total and both gender counts, then two rows.
+    A gender absent from the hits gets 0.0 (the upstream code failed there).
+    """
+    return _rows(_gender_group(matched), "g")
+
+
+def age_share(matched: DataFrame) -> DataFrame:
+    """Q6 (A12 + A14 + A15): percent of hits per age band: (title, name, value)."""
+    return _rows(_age_group(matched), "a")
+
+
+def stat(matched: DataFrame) -> DataFrame:
+    """One row: ``stat`` = [gender group, age group] (P20 option groups, in that order)."""
+    both = _gender_group(matched).unionByName(_age_group(matched), allowMissingColumns=True)
+    folded = both.agg(F.first("g", ignorenulls=True).alias("g"), F.first("a", ignorenulls=True).alias("a"))
+    return folded.select(F.array("g", "a").alias("stat"))
+
+
+def detail(matched: DataFrame, page_no: int, size: int) -> DataFrame:
+    """One row: ``detail`` = the page's rows in page order (at most ``size`` of them)."""
+    cols = [c for c in matched.columns if c != "score"]
+    packed = F.struct((-F.col("score")).alias("k1"), F.col("order_detail_id").alias("k2"),
+                      F.struct(*cols).alias("row"))
+    return page(matched, page_no, size).agg(
+        F.transform(F.array_sort(F.collect_list(packed)), lambda x: x["row"]).alias("detail"))
 
 
 def facets(matched: DataFrame) -> DataFrame:
@@ -131,13 +158,6 @@ def result(matched: DataFrame, page_no: int, size: int) -> DataFrame:
     (no join).  The detail array holds one page (``size`` rows), so the row
     stays bounded whatever the number of hits.
     """
-    t = total(matched)
-    stat_rows = gender_share(matched).unionByName(age_share(matched))
-    stat = stat_rows.groupBy("title").agg(
-        F.collect_list(F.struct("name", "value")).alias("options"))
-    stat_arr = stat.agg(F.collect_list(F.struct("title", "options")).alias("stat"))
-    detail = page(matched, page_no, size).drop("score")
-    det_arr = detail.agg(F.collect_list(F.struct(*detail.columns)).alias("detail"))
-    stacked = t.unionByName(stat_arr, allowMissingColumns=True).unionByName(
-        det_arr, allowMissingColumns=True)
+    stacked = (total(matched).unionByName(stat(matched), allowMissingColumns=True)
+               .unionByName(detail(matched, page_no, size), allowMissingColumns=True))
     return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("total", "stat", "detail")])

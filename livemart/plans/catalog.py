@@ -211,6 +211,14 @@ def sale_age_share(spark, sf_dir):
     return search.age_share(_matched(spark, sf_dir))
 
 
+def sale_search_result(spark, sf_dir):
+    """Q4-Q6 as the API returns them: total, option groups and the page, rendered as JSON."""
+    r = search.result(_matched(spark, sf_dir), P.PAGE_NO, P.PAGE_SIZE)
+    keep_nulls = {"ignoreNullFields": "false"}
+    return r.select("total", F.to_json("stat", keep_nulls).alias("stat_json"),
+                    F.to_json("detail", keep_nulls).alias("detail_json"))
+
+
 def sale_facets(spark, sf_dir):
     """Gender, age band and total in one grouping-sets pass."""
     return search.facets(_matched(spark, sf_dir))
@@ -266,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "sale_gender_share": sale_gender_share,
     "sale_age_share": sale_age_share,
     "sale_facets": sale_facets,
+    "sale_search_result": sale_search_result,
     "coupon_alert_windows": coupon_alert_windows,
     "coupon_alert_minute": coupon_alert_minute,
 }

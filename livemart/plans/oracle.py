@@ -296,6 +296,35 @@ SELECT CASE WHEN gg = 0 THEN 'gender' WHEN ga = 0 THEN 'age_band' ELSE 'total' E
        CASE WHEN gg = 0 THEN user_gender WHEN ga = 0 THEN age_band END AS key, cnt
 FROM g WHERE NOT (gg = 0 AND user_gender IS NULL)""",
 
+    "sale_search_result": f"""WITH {MATCHED},
+a AS (SELECT count(*) AS n, count(*) FILTER (WHERE user_gender = 'M') AS m,
+             count(*) FILTER (WHERE user_gender = 'F') AS f FROM matched),
+ages AS (SELECT user_age, count(*) AS cnt FROM matched GROUP BY user_age),
+ranked AS (SELECT *, row_number() OVER (ORDER BY cnt DESC, user_age) AS rn,
+                  CASE WHEN user_age < 20 THEN '20岁以下' WHEN user_age < 30 THEN '20岁到30岁'
+                       ELSE '30岁以上' END AS band FROM ages),
+tot AS (SELECT coalesce(sum(cnt), 0) AS n FROM ranked),
+b AS (SELECT band, sum(cnt) AS c FROM ranked WHERE rn <= 100 GROUP BY band),
+labels AS (SELECT * FROM (VALUES (1, '20岁以下'), (2, '20岁到30岁'), (3, '30岁以上')) t(ord, name)),
+bands AS (SELECT labels.ord, labels.name, {pct('coalesce(b.c, 0)', 'tot.n')} AS value
+          FROM labels CROSS JOIN tot LEFT JOIN b ON b.band = labels.name),
+pg AS (SELECT * FROM matched ORDER BY score DESC, order_detail_id
+       LIMIT {P.PAGE_SIZE} OFFSET {(P.PAGE_NO - 1) * P.PAGE_SIZE})
+SELECT a.n AS total,
+       CAST(to_json([
+         {{'title': '性别占比', 'options': [{{'name': '男', 'value': {pct('a.m', 'a.n')}}},
+                                            {{'name': '女', 'value': {pct('a.f', 'a.n')}}}]}},
+         {{'title': '年龄占比', 'options': (SELECT list({{'name': name, 'value': value}} ORDER BY ord) FROM bands)}}
+       ]) AS VARCHAR) AS stat_json,
+       CASE WHEN (SELECT count(*) FROM pg) = 0 THEN '[]' ELSE
+       CAST(to_json((SELECT list({{'order_detail_id': order_detail_id, 'order_id': order_id,
+                                  'order_status': order_status, 'create_time': create_time, 'user_id': user_id,
+                                  'sku_id': sku_id, 'user_gender': user_gender, 'user_age': user_age,
+                                  'user_level': user_level, 'sku_price': sku_price, 'sku_name': sku_name,
+                                  'dt': dt, 'sku_num': sku_num}} ORDER BY score DESC, order_detail_id)
+                     FROM pg)) AS VARCHAR) END AS detail_json
+FROM a""",
+
     "coupon_alert_windows": f"WITH {ALERTS} SELECT * FROM alerts",
 
     "coupon_alert_minute": f"""WITH {ALERTS}
