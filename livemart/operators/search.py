@@ -151,13 +151,42 @@ def facets(matched: DataFrame) -> DataFrame:
     return out.where(~((F.col("facet") == "gender") & F.col("key").isNull()))
 
 
+def _counts(matched: DataFrame) -> DataFrame:
+    """One pass over the hits: counts per gender, per age, and in total.
+
+    ``GROUPING SETS ((user_gender), (user_age), ())``: at most (genders +
+    ages + 1) rows, from which every facet of a response is derived.
+    """
+    return (matched.groupingSets([["user_gender"], ["user_age"], []], "user_gender", "user_age")
+                   .agg(F.count(F.lit(1)).alias("cnt"), F.grouping_id().alias("gid")))
+
+
 def result(matched: DataFrame, page_no: int, size: int) -> DataFrame:
     """Q4-Q6 as one nested row: total, stat (option groups) and the detail page.
 
-    Three one-row aggregates are stacked and folded with ``first(ignorenulls)``
-    (no join).  The detail array holds one page (``size`` rows), so the row
-    stays bounded whatever the number of hits.
+    A19: the hits are read twice -- once for all counts (one grouping-sets
+    aggregate; every facet is derived from its few rows, whose shuffle is
+    reused) and once for the page (a top-k).  The one-row parts are stacked
+    and folded with ``first(ignorenulls)`` (no join); the detail array holds
+    one page, so the row stays bounded whatever the number of hits.
     """
-    stacked = (total(matched).unionByName(stat(matched), allowMissingColumns=True)
-               .unionByName(detail(matched, page_no, size), allowMissingColumns=True))
-    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("total", "stat", "detail")])
+    c = _counts(matched)
+    n = c.where(F.col("gid") == 3).select(F.col("cnt").alias("n"))
+    genders = c.where(F.col("gid") == 1).agg(
+        F.coalesce(F.sum(F.when(F.col("user_gender") == "M", F.col("cnt"))), F.lit(0)).alias("m"),
+        F.coalesce(F.sum(F.when(F.col("user_gender") == "F", F.col("cnt"))), F.lit(0)).alias("f"))
+    top = (c.where(F.col("gid") == 2).select("user_age", "cnt")
+            .orderBy(F.col("cnt").desc(), F.col("user_age")).limit(AGE_TOP))
+    band = age_band("user_age")
+    bands = top.agg(*[F.coalesce(F.sum(F.when(band == b, F.col("cnt"))), F.lit(0)).alias(f"b{i}")
+                      for i, b in enumerate(AGE_BAND_LABELS)])
+    parts = n.unionByName(genders, allowMissingColumns=True).unionByName(bands, allowMissingColumns=True)
+    one = parts.agg(*[F.first(x, ignorenulls=True).alias(x) for x in ("n", "m", "f", "b0", "b1", "b2")])
+    pct = lambda x: F.coalesce(percent_1dp(x, "n"), F.lit(0.0).cast("double"))
+    gender_group = F.struct(F.lit(GENDER_GROUP_TITLE).alias("title"), F.array(
+        option(GENDER_LABELS["M"], pct("m")), option(GENDER_LABELS["F"], pct("f"))).alias("options"))
+    age_group = F.struct(F.lit(AGE_GROUP_TITLE).alias("title"), F.array(
+        *[option(b, pct(f"b{i}")) for i, b in enumerate(AGE_BAND_LABELS)]).alias("options"))
+    head = one.select(F.col("n").alias("total"), F.array(gender_group, age_group).alias("stat"))
+    stacked = head.unionByName(detail(matched, page_no, size), allowMissingColumns=True)
+    return stacked.agg(*[F.first(x, ignorenulls=True).alias(x) for x in ("total", "stat", "detail")])
