@@ -23,7 +23,7 @@ from livemart.session import build_session  # noqa: E402
 HEADLINE = (
     "log_route", "cdc_route", "dau_first", "dau_hour_compare", "metric_cards",
     "order_masked", "order_amount_hour_compare", "province_sales", "sale_detail",
-    "sale_unmatched", "sale_search_page", "sale_facets", "sale_age_share",
+    "sale_unmatched", "sale_search_page", "sale_search_result", "sale_facets", "sale_age_share",
     "coupon_alert_windows", "coupon_alert_minute", "user_latest",
 )
 # streaming queries replay the tables through a file stream into a keyed
