@@ -26,8 +26,9 @@ CHUNKS = 4
 FILES_PER_CHUNK = 4
 
 
-def _replay(spark: SparkSession, df: DataFrame, root: str, name: str, time_ms_col: str):
-    return replay_stream(df, f"{root}/in_{name}", time_ms_col, CHUNKS, FILES_PER_CHUNK)
+def _replay(spark: SparkSession, df: DataFrame, root: str, name: str, time_ms_col: str,
+            chunks: int = CHUNKS):
+    return replay_stream(df, f"{root}/in_{name}", time_ms_col, chunks, FILES_PER_CHUNK)
 
 
 def stream_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +55,8 @@ def stream_user_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST12 + SNK6: user changes as a stream (newest version first), latest per user."""
     root = scratch_path(spark, "stream_user_dim")
     changes = A.user_changes(spark, sf_dir).withColumn("arrival", 3 - F.col("seq"))
-    src = _replay(spark, changes, root, "user", "arrival").drop("arrival")
+    # two versions per user: two arrival slices
+    src = _replay(spark, changes, root, "user", "arrival", chunks=2).drop("arrival")
     table = KeyedTable(f"{root}/users", ["id"], order=["seq"])
     jobs.user_dim_query(src, table, f"{root}/ckpt", trigger=ONCE).awaitTermination()
     return table.view(spark)
@@ -80,7 +82,7 @@ def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream_sale_detail")
     users = KeyedTable(f"{root}/users", ["id"], order=["seq"])
     uchanges = A.user_changes(spark, sf_dir)
-    jobs.user_dim_query(_replay(spark, uchanges, root, "user", "seq"), users,
+    jobs.user_dim_query(_replay(spark, uchanges, root, "user", "seq", chunks=2), users,
                         f"{root}/ckpt_users", trigger=ONCE).awaitTermination()
     o, d = _order_stream_inputs(spark, sf_dir)
     os_ = _replay(spark, o, root, "order", "order_ms")
