@@ -212,3 +212,24 @@ def test_dau_stream_reports_counts_before_and_after_dedupe(spark, scratch):
     seen_in = sum(s["observed"].get("startups", {}).get("rows", 0) for s in summaries)
     seen_out = sum(s["observed"].get("dau_rows", {}).get("rows", 0) for s in summaries)
     assert seen_in == st.count() and 0 < seen_out <= seen_in
+
+
+def test_user_arriving_after_its_sale_is_filled_by_refresh(spark, scratch):
+    base = 1_700_000_000_000
+    users = KeyedTable(f"{scratch}/users", ["id"], order=["seq"])
+    user_schema = "id string, login_name string, user_level string, birthday string, gender string, seq long"
+    users.write(spark.createDataFrame([("8", "other", "L0", "1990-01-01", "M", 1)], user_schema), 0)
+    _write(spark, [("1", "O", "7", 9.0, "2023-11-14 22:13:20", base)], ORDER_SCHEMA, f"{scratch}/o")
+    _write(spark, [("1_1", "1", "red widget", "s1", "2.5", None, "1", base)], LINE_SCHEMA, f"{scratch}/d")
+    o = read_folder(spark, f"{scratch}/o", spark.createDataFrame([], ORDER_SCHEMA).schema)
+    d = read_folder(spark, f"{scratch}/d", spark.createDataFrame([], LINE_SCHEMA).schema)
+    sales_t = KeyedTable(f"{scratch}/sales", ["order_detail_id"])
+    q = jobs.sale_query(o, d, users, sales_t, f"{scratch}/ck", "2001-08-02", trigger=ONCE)
+    q.awaitTermination()
+    r = sales_t.view(spark).first()
+    assert (r.user_gender, r.user_level, r.user_age) == (None, None, 0)  # user 7 not there yet
+    users.write(spark.createDataFrame([("7", "u", "L1", "2000-08-02", "F", 1)], user_schema), 1)
+    jobs.refresh_missing_users(spark, sales_t, users, "2001-08-02", q.lastProgress["batchId"] + 1)
+    r = sales_t.view(spark).first()
+    assert (r.user_gender, r.user_level, r.user_age) == ("F", "L1", 1)
+    assert sales_t.view(spark).count() == 1
