@@ -60,6 +60,8 @@ def coupon_alerts(events: DataFrame, window_ms: int, slide_ms: int, min_users: i
     Windows start at multiples of ``slide_ms`` from the epoch and hold
     [start, start + window_ms), as Spark's ``window()`` does.
     """
+    if not 0 < slide_ms <= window_ms:
+        raise ValueError("need 0 < slide <= window (as Spark's window() does)")
     pane_ms = gcd(window_ms, slide_ms)
     is_coupon = F.col("evid") == COUPON
     ev = events.select("mid", _uid(count_null_uid).alias("uid"), "evid", "itemid", "ts_ms", "event_id",

@@ -333,3 +333,8 @@ def test_sale_detail_with_hot_user_split_is_unchanged(spark):
     a = sales.sale_detail(o, d, u, "2001-08-02")
     b = sales.sale_detail(o, d, u, "2001-08-02", hot_rows=100)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_alert_window_must_cover_its_slide(spark):
+    with pytest.raises(ValueError):
+        alerts.coupon_alerts(events(spark, [("d", "u1", "coupon", "2024-01-01 00:10:00")]), H1, H6)
