@@ -9,7 +9,9 @@ partition sketches are merged (saturating at two) and the merged sketch never
 underestimates.  A second pass over the texts emits only the windows whose
 estimate is two or more and groups exactly these by a 96-bit hash, so no
 repeated window is lost and a false alarm of the sketch costs a row, never a
-result.
+result.  Before that shuffle each Arrow batch settles the repeats it holds
+itself, so that a window shared by a third of all documents sends one open
+row per batch, not one per document.
 
 What the sketch counts: a window is represented by the smallest of the
 hashes of its ``window - gram + 1`` inner grams, and each text position that
@@ -18,7 +20,7 @@ window in two documents gives two counted positions: the estimate is an upper
 bound of the window's count, with about a third of the insertions.
 
 Size.  The sketch has ``ROWS`` rows; its width follows the corpus (about two
-cells per word) up to ``max_cells`` (default 2**28: 256 MB while counting in
+cells per word) up to ``max_cells`` (default 2**28: 64 MB while counting in
 a task, 32 MB broadcast).  This is the proven bound of the broadcast.  Above
 it the share of false alarms grows and more windows take the exact pass; the
 result stays the same.
@@ -37,15 +39,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from livemart.llm._words import (U64, column_buffers, mix64, row_groups, window_hashes, windows_inside, word_hashes,
                                  word_spans)
 
 ROWS = 2
-_GROUP_BYTES = 8 << 20
+_GROUP_BYTES = 4 << 20
 _CHUNK = 1 << 20  # cells per merged piece of the sketch
+_NONE = np.zeros(0, dtype=np.int64)
 
 
 class _Grams:
@@ -75,35 +78,38 @@ def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
         return (mix64(hashes + U64(0xA24BAED4963EE407 * (row + 1) % (1 << 64))) >> U64(64 - bits)).astype(np.uint32)
 
 
-def _count(sketch: np.ndarray, cells: np.ndarray) -> None:
-    """Add one to each named cell, saturating at two."""
-    cells.sort()
+def _count(once: np.ndarray, twice: np.ndarray, cells: np.ndarray) -> None:
+    """Add one to each named cell of the two packed planes ("seen", "seen twice or more")."""
     if not len(cells):
         return
-    head = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
-    runs = np.minimum(np.diff(np.append(head, len(cells))), 2).astype(np.uint8)
-    cells = cells[head]
-    sketch[cells] = np.minimum(sketch[cells] + runs, 2)
+    cells.sort()
+    fresh = np.concatenate(([True], cells[1:] != cells[:-1]))
+    bit = np.uint8(0x80) >> (cells & 7).astype(np.uint8)
+    place = cells >> 3
+    head = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    place = place[head]
+    twice[place] |= (once[place] & np.bitwise_or.reduceat(bit, head)) | np.bitwise_or.reduceat(
+        np.where(fresh, np.uint8(0), bit), head)
+    once[place] |= np.bitwise_or.reduceat(bit, head)
 
 
 def _build(window: int, gram: int, bits: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros((ROWS, 1 << bits), dtype=np.uint8)
+        once, twice = (np.zeros((ROWS, (1 << bits) // 8), dtype=np.uint8) for _ in range(2))
         for batch in batches:
             offsets, data = column_buffers(batch.column(0))
             for i, j in row_groups(offsets, _GROUP_BYTES):
                 minima = _Grams(offsets[i:j + 1], data, window, gram).minima()
                 for r in range(ROWS):
-                    _count(sketch[r], _cells(minima, r, bits))
-        step = min(_CHUNK, 1 << bits)
+                    _count(once[r], twice[r], _cells(minima, r, bits))
+        step = min(_CHUNK, 1 << bits) // 8
         for r in range(ROWS):
-            for c in range(0, 1 << bits, step):
-                piece = sketch[r, c:c + step]
-                if piece.any():
-                    planes = [zlib.compress(np.packbits(piece >= k).tobytes(), 1) for k in (1, 2)]
+            for k, c in enumerate(range(0, once.shape[1], step)):
+                if once[r, c:c + step].any():
+                    a, b = (zlib.compress(plane[r, c:c + step].tobytes(), 1) for plane in (once, twice))
                     yield pa.RecordBatch.from_pydict({
-                        "piece": pa.array([r * ((1 << bits) // step) + c // step], pa.int32()),
-                        "once": pa.array([planes[0]], pa.binary()), "twice": pa.array([planes[1]], pa.binary())})
+                        "piece": pa.array([r * (once.shape[1] // step) + k], pa.int32()),
+                        "once": pa.array([a], pa.binary()), "twice": pa.array([b], pa.binary())})
     return build
 
 
@@ -142,16 +148,26 @@ def _suspects(window: int, gram: int, bits: int, shared):
 
         for batch in batches:
             offsets, data = column_buffers(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            found: list[tuple[np.ndarray, ...]] = []
             for i, j in row_groups(offsets, _GROUP_BYTES):
                 g = _Grams(offsets[i:j + 1], data, window, gram)
                 starts = np.flatnonzero(g.inside)
                 starts = starts[repeated(g.smallest[starts])]
-                if len(starts):
-                    yield pa.RecordBatch.from_pydict({
-                        "h1": window_hashes(g.words, window, seed=2)[starts].view(np.int64),
-                        "h2": (window_hashes(g.words, window, seed=3)[starts] >> U64(32)).astype(np.uint32).view(np.int32),
-                        "id": ids[i + g.row[starts]].astype(np.int64)})
+                found.append((window_hashes(g.words, window, seed=2)[starts].view(np.int64) if len(starts) else _NONE,
+                              (window_hashes(g.words, window, seed=3)[starts] >> U64(32)) if len(starts) else _NONE,
+                              ids[i + g.row[starts]] if len(starts) else _NONE))
+            h1, h2, owner = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (_NONE,) * 3
+            if not len(h1):
+                continue
+            h2 = h2.astype(np.uint32).view(np.int32)
+            order = np.lexsort((owner, h2, h1))
+            h1, h2, owner = h1[order], h2[order], owner[order]
+            new = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
+            low = owner[np.flatnonzero(new)[np.cumsum(new) - 1]]
+            keep = new | (owner > low)  # a window's repeats in its own first document say nothing
+            yield pa.RecordBatch.from_pydict({"h1": h1[keep], "h2": h2[keep], "id": owner[keep],
+                                              "settled": pa.array((owner > low)[keep])})
     return emit
 
 
@@ -208,11 +224,12 @@ def substring_dedup(docs: DataFrame, window: int = 13, gram: int = 8, max_cells:
     bits, plane = merged_sketch(docs.select("text"), window, gram, max_cells)
     shared = docs.sparkSession.sparkContext.broadcast(plane)
     suspects = docs.where("doc_id is not null and text is not null").mapInArrow(
-        _suspects(window, gram, bits, shared), "h1 long, h2 int, id long")
-    # map-side combined minimum; the join back may be split by AQE for a hot window
-    firsts = (suspects.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-              .where("high > low").select("h1", "h2", "low"))
-    drops = (suspects.join(firsts, ["h1", "h2"]).where("id > low")
+        _suspects(window, gram, bits, shared), "h1 long, h2 int, id long, settled boolean")
+    # a batch settles its own repeats, so at most one open row per window and
+    # batch meets in a group; settled rows are spread under keys of their own
+    spread = F.when(F.col("settled"), F.xxhash64("id", "h1"))
+    group = Window.partitionBy(F.coalesce(spread, F.col("h1")).alias("k1"), "h2", "settled")
+    drops = (suspects.withColumn("low", F.min("id").over(group)).where("settled or id > low")
              .groupBy(F.col("id").alias("doc_id")).agg(F.collect_list("h1").alias("drop_windows")))
     return docs.join(drops, "doc_id", "left").mapInArrow(
         _strip(window), "doc_id long, n_words long, n_removed long, kept_text string")
