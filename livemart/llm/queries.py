@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from livemart.llm import ngram_jaccard_join as op8
 from livemart.llm import substring_dedup as op10
 
 
@@ -13,12 +14,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, links and group of each document at five words and a similarity of 0.8."""
+    return op8.ngram_jaccard_join(_table(spark, sf_dir, "documents")).drop("cls")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left in each document after removing 13-word windows seen in a smaller doc_id."""
     return op10.digest(op10.substring_dedup(_table(spark, sf_dir, "documents")))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
