@@ -122,3 +122,44 @@ def windows_inside(first: np.ndarray, n_words: int, size: int) -> tuple[np.ndarr
     if n <= 0:
         return np.zeros(0, dtype=bool), row
     return row[:n] == row[size - 1:size - 1 + n], row
+
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with the capitals A-Z and those of Latin-1 in lower case (same length)."""
+    low = _LOWER[raw]
+    if len(raw) > 1:
+        low[1:][(raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E)] += np.uint8(32)
+    return low
+
+
+def letter_words(offsets: np.ndarray, data: np.ndarray,
+                 prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(row, [(word, hash)]) of each run of letters, in lower case; bytes beyond ASCII count as letters.
+
+    ``row`` gives each word's row.  The first pair holds all words; one more
+    for each length in ``prefixes`` holds the words longer than so many bytes
+    with the hash of their first bytes.
+    """
+    lo, hi = int(offsets[0]), int(offsets[-1])
+    raw, offsets = data[lo:hi], offsets - lo
+    letter = _LETTER[raw]
+    edge = offsets[(offsets > 0) & (offsets < len(raw))]
+    begins, ends = letter.copy(), letter.copy()
+    begins[1:] &= ~letter[:-1]
+    begins[edge] |= letter[edge]
+    ends[:-1] &= ~letter[1:]
+    ends[edge - 1] |= letter[edge - 1]
+    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    row = np.searchsorted(offsets, start, side="right") - 1
+    low = lowered(raw)
+    found = [(np.arange(len(start)), word_hashes(low, start, end))]
+    for n in prefixes:
+        longer = np.flatnonzero(end - start > n)
+        found.append((longer, word_hashes(low, start[longer], start[longer] + n)))
+    return row, found

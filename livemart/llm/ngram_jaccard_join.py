@@ -157,9 +157,35 @@ def _column(run: list[pa.RecordBatch], name: str) -> list:
     return [x for b in run for x in b.column(name).to_pylist()]
 
 
+class _Forest:
+    """Union-find over the classes of one task: says which ties join something new."""
+
+    def __init__(self):
+        self.parent: dict[bytes, bytes] = {}
+
+    def root(self, x: bytes) -> bytes:
+        parent = self.parent
+        path = []
+        while (up := parent.get(x, x)) != x:
+            path.append(x)
+            x = up
+        for y in path:
+            parent[y] = x
+        return x
+
+    def joins(self, a: bytes, b: bytes) -> bool:
+        a, b = self.root(a), self.root(b)
+        if a == b:
+            return False
+        self.parent[max(a, b)] = min(a, b)
+        return True
+
+
 def _tie_to_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (prefix, block, n, cls, sig8) sorted by prefix and block: edges, and the leaders of split prefixes."""
+    """Rows (prefix, block, n, cls, sig8) sorted by prefix and block: a spanning forest of the
+    ties of this task (at most one edge per class), and the leaders of split prefixes."""
     a, b, prefix, lead = [], [], [], []
+    forest = _Forest()
 
     def out():
         batch = pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()),
@@ -179,19 +205,18 @@ def _tie_to_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             same = (sig == sig[leader]).mean(axis=1)
             free &= same < _SAME
             free[leader] = False
-            for x in np.flatnonzero(same >= _NEAR):
-                if x != leader:
-                    a.append(cls[leader])
-                    b.append(cls[x])
-                    prefix.append(key)
-                    lead.append(None)
+            rows = [(cls[x], None) for x in np.flatnonzero(same >= _NEAR) if forest.joins(cls[leader], cls[x])]
             if split:
+                rows.append((cls[leader], sig[leader].tobytes()))
+            for other, mark in rows:
                 a.append(cls[leader])
-                b.append(cls[leader])
+                b.append(other)
                 prefix.append(key)
-                lead.append(sig[leader].tobytes())
+                lead.append(mark)
         if len(a) > 50_000:
             yield out()
+        if len(forest.parent) > 1_000_000:  # bounded memory; starting afresh only repeats edges
+            forest = _Forest()
     if a:
         yield out()
 
@@ -200,9 +225,11 @@ def _tie_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (prefix, i, j, block, cls, sig8): ties between the leaders of one or two blocks."""
     for run in _runs(batches, 3):
         sig, cls = _signature_rows(run), _column(run, "cls")
+        forest = _Forest()
         for x in range(len(cls)):
             near = np.flatnonzero((sig[x + 1:] == sig[x]).mean(axis=1) >= _FAR) + x + 1
-            if len(near):
+            near = [y for y in near if forest.joins(cls[x], cls[y])]
+            if near:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([cls[x]] * len(near), pa.binary()),
                                                   "b": pa.array([cls[y] for y in near], pa.binary())})
 
@@ -251,8 +278,9 @@ def _links(texts: pa.ChunkedArray, n: int, threshold: float) -> np.ndarray:
     keep = spread[term]
     row, term = row[keep], (np.cumsum(spread) - 1)[term[keep]]
     common = np.zeros((len(size), len(size)), dtype=np.float32)
-    step = max(1024, (8 << 20) // max(1, len(size)))
-    for t in range(0, int(spread.sum()), step):
+    shared = int(spread.sum())
+    step = min(max(1024, (8 << 20) // max(1, len(size))), max(1, shared))
+    for t in range(0, shared, step):
         lo, hi = np.searchsorted(term, (t, t + step))
         present = np.zeros((len(size), step), dtype=np.float32)
         present[row[lo:hi], term[lo:hi] - t] = 1
