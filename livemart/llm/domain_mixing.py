@@ -138,7 +138,9 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     if not domains:
         return described.select("doc_id", "tokens", F.lit(1.0).alias("rate"), F.lit(1).alias("copies"))
     names = [f"g_{k}" for k in range(len(domains))]
-    member = described.withColumns(dict(zip(names, _posteriors(domains, counts), strict=True)))
+    # written, so that the posteriors are not computed again in every step of a rate
+    member = written(described.withColumns(dict(zip(names, _posteriors(domains, counts), strict=True))).drop("bins"),
+                     "members")
     cells = written(member.groupBy(*names).agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "cells")
     gradients = fit_rates(cells, [weights[d] for d in domains], names)
     total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
