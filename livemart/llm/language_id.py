@@ -67,10 +67,8 @@ def subwords(offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[np.ndarray
             if 0 < k < n - 1:
                 good &= ~space[k:k + size]
             code = (code << np.uint32(8)) | wide[k:k + size]
-        if n == 2:
+        if n == 2:  # longer grams hold a letter, their inner bytes
             good &= ~(space[:size] & space[1:1 + size])
-        elif n > 2:
-            pass  # inner bytes are letters, so the gram holds a letter
         at = np.flatnonzero(good)
         yield row[at], (mix64(code[at].astype(U64) + U64(n << 40)) >> U64(64 - BITS)).astype(np.int64)
 
@@ -124,7 +122,7 @@ def fit(docs: DataFrame, per_lang: int = 400, dim: int = 16, epochs: int = 5, ra
             inner[bucket] -= step * np.outer(share * min(len(bucket), 50), back)
             done += 1
     table = inner @ outer
-    logits = np.array([(c / c.sum()) @ table[b] + bias for b, c, _ in kept]).reshape(-1, len(langs))
+    logits = np.array([(c / c.sum()) @ table[b] + bias for b, c, _ in kept])
     target = np.array([t for _, _, t in kept], dtype=np.int64)
     temperature, reject_below = _calibrate(logits, target, reject_share)
     return Model(langs, table.astype(np.float32), bias, temperature, reject_below)

@@ -1,0 +1,14 @@
+import pytest
+
+DOCS = "doc_id long, text string, lang string, n_words string, `group` string"
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    from livemart.llm._shared import ship
+    ship(spark)
+
+    def make(rows, lang="en"):
+        """Documents with extra columns whose names clash with those of results."""
+        return spark.createDataFrame([(i, t, lang, "x", "y") for i, t in rows], DOCS)
+    return make
