@@ -18,7 +18,8 @@ def age_years(birthday, as_of) -> Column:
     """
     as_of_col = F.lit(as_of) if isinstance(as_of, str) else as_of
     days = F.datediff(F.to_date(as_of_col), F.to_date(_col(birthday)))
-    return F.floor(days / F.lit(365)).cast("int")
+    # toward zero, as integer division does: a birthday after as_of gives 0
+    return (days / F.lit(365)).cast("int")
 
 
 def percent_1dp(part, total) -> Column:

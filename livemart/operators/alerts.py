@@ -92,7 +92,9 @@ def coupon_alerts(events: DataFrame, window_ms: int, slide_ms: int, min_users: i
     # a window's events are collected and sorted per pane first (a hot
     # device's window is split into window/pane groups across tasks); the
     # final step only concatenates the pane lists in time order
-    per_pane = (ev.join(alert_panes, ["mid", "pane"], "inner")
+    panes = alert_panes.select(F.col("mid").alias("alert_mid"), "wstart", F.col("pane").alias("alert_pane"))
+    same = ev["mid"].eqNullSafe(panes["alert_mid"]) & (ev["pane"] == panes["alert_pane"])  # null devices too
+    per_pane = (ev.join(panes, same, "inner")
                   .groupBy("mid", "wstart", "pane").agg(
                       F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
                       F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),

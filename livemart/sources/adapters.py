@@ -114,7 +114,7 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"])
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"])
-    j = li.join(p, li.l_partkey == p.p_partkey, "inner")
+    j = li.join(p, li.l_partkey == p.p_partkey, "left")  # a line of an unknown part stays
     return j.select(
         F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
         F.col("l_orderkey").cast("string").alias("order_id"),

@@ -13,14 +13,15 @@ from pyspark.sql import types as T
 
 
 def kafka_options(bootstrap: str, topic: str, starting: str = "latest",
-                  max_offsets_per_trigger: int | None = None) -> dict:
+                  max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict:
     """SRC1 options: one topic, string key/value, start at ``starting``.
 
     Offsets live in the query checkpoint (no consumer auto-commit), which
-    together with an idempotent sink gives effectively-once output.
+    together with an idempotent sink gives effectively-once output.  Lost
+    offsets stop the query unless ``fail_on_data_loss`` is switched off.
     """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting, "failOnDataLoss": "false"}
+            "startingOffsets": starting, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
