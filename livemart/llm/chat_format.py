@@ -23,6 +23,7 @@ gives an empty result.  Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
+ROWS = 128
 TOKENIZER = "byte_bpe_50k.json"
 _tokenizers: dict = {}
 
@@ -44,6 +46,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def _tokenizer(path: str):
     if path not in _tokenizers:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
         loaded = Tokenizer.from_file(path)
         loaded.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -51,6 +54,13 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time: encodings and Python lists take many times the size of their texts."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS):
+            yield batch.slice(i, ROWS)
+
+
 def escape(text: str) -> str:
     """``text`` without any ``<|``; undone by ``unescape``."""
     return re.sub(r"<(\\*)\|", r"<\1\\|", text)
@@ -65,7 +75,7 @@ def _assemble(path: str):
         tok = _tokenizer(path)
         start, end = tok.get_vocab_size(), tok.get_vocab_size() + 1
         newline = tok.encode("\n", add_special_tokens=False).ids
-        for batch in batches:
+        for batch in _slices(batches):
             ids, masks = [], []
             roles, texts = (batch.column(c).to_pylist() for c in ("role", "text"))
             heads = tok.encode_batch([escape(r or "") + "\n" for r in roles], add_special_tokens=False)
@@ -108,7 +118,7 @@ def read_back(ids: list[int], mask: list[int], tok) -> tuple[str, str, str, int]
 def _decode(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(path)
-        for batch in batches:
+        for batch in _slices(batches):
             found = [read_back(i, m, tok) for i, m in zip(batch.column("token_ids").to_pylist(),
                                                           batch.column("loss_mask").to_pylist(), strict=True)]
             role, text, under, chars = zip(*found, strict=True) if found else ((),) * 4
@@ -135,7 +145,7 @@ def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def close():
         conv, n, turns, loss_chars, loss, chars = state
         out.append((conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars))
-    for batch in batches:
+    for batch in _slices(batches):
         for conv, role, text, under, chars in zip(*(batch.column(c).to_pylist() for c in (
                 "conv_id", "role", "text", "under", "chars")), strict=True):
             if state is None or state[0] != conv:
