@@ -82,18 +82,14 @@ def _gender_group(matched: DataFrame) -> DataFrame:
 def _age_group(matched: DataFrame) -> DataFrame:
     """One row: the age-band option group, ``struct<title, options>`` (three bands).
 
-    The bands re-aggregate the top-``AGE_TOP`` age buckets (a bounded top-k,
-    as the upstream facet did); the denominator is all hits.  The total and
-    the band sums are two one-row aggregates folded without a join.
+    The bands re-aggregate the counts of all ages, so they add up to all
+    hits (``AGE_TOP`` is the cut of the age list, A12, only).
     """
     ages = matched.groupBy("user_age").agg(F.count(F.lit(1)).alias("cnt"))
-    top = ages.orderBy(F.col("cnt").desc(), F.col("user_age")).limit(AGE_TOP)
     band = age_band("user_age")
-    bands = top.agg(*[F.coalesce(F.sum(F.when(band == b, F.col("cnt"))), F.lit(0)).alias(f"b{i}")
-                      for i, b in enumerate(AGE_BAND_LABELS)])
-    n = ages.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"))
-    agg = n.unionByName(bands, allowMissingColumns=True).agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in ("n", "b0", "b1", "b2")])
+    agg = ages.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"),
+                   *[F.coalesce(F.sum(F.when(band == b, F.col("cnt"))), F.lit(0)).alias(f"b{i}")
+                     for i, b in enumerate(AGE_BAND_LABELS)])
     pct = lambda c: F.coalesce(percent_1dp(c, "n"), F.lit(0.0).cast("double"))
     opts = F.array(*[option(b, pct(f"b{i}")) for i, b in enumerate(AGE_BAND_LABELS)])
     return agg.select(F.struct(F.lit(AGE_GROUP_TITLE).alias("title"), opts.alias("options")).alias("a"))
@@ -175,10 +171,8 @@ def result(matched: DataFrame, page_no: int, size: int) -> DataFrame:
     genders = c.where(F.col("gid") == 1).agg(
         F.coalesce(F.sum(F.when(F.col("user_gender") == "M", F.col("cnt"))), F.lit(0)).alias("m"),
         F.coalesce(F.sum(F.when(F.col("user_gender") == "F", F.col("cnt"))), F.lit(0)).alias("f"))
-    top = (c.where(F.col("gid") == 2).select("user_age", "cnt")
-            .orderBy(F.col("cnt").desc(), F.col("user_age")).limit(AGE_TOP))
     band = age_band("user_age")
-    bands = top.agg(*[F.coalesce(F.sum(F.when(band == b, F.col("cnt"))), F.lit(0)).alias(f"b{i}")
+    bands = c.where(F.col("gid") == 2).agg(*[F.coalesce(F.sum(F.when(band == b, F.col("cnt"))), F.lit(0)).alias(f"b{i}")
                       for i, b in enumerate(AGE_BAND_LABELS)])
     parts = n.unionByName(genders, allowMissingColumns=True).unionByName(bands, allowMissingColumns=True)
     one = parts.agg(*[F.first(x, ignorenulls=True).alias(x) for x in ("n", "m", "f", "b0", "b1", "b2")])

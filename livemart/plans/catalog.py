@@ -247,6 +247,23 @@ def coupon_alert_minute(spark, sf_dir):
     return _flat_alerts(alerts.per_minute(_alerts(spark, sf_dir)))
 
 
+def dense_events(spark, sf_dir):
+    """Event logs on the time scale of live traffic (epoch ms divided by ``LIVE_DIVISOR``)."""
+    return A.event_logs(spark, sf_dir).withColumn(
+        "ts_ms", F.floor(F.col("ts_ms") / F.lit(P.LIVE_DIVISOR)).cast("bigint"))
+
+
+def coupon_alert_30s(spark, sf_dir):
+    """A2-A6, F5, ST2 at 30 s / 5 s: every alerting (device, window)."""
+    return _flat_alerts(alerts.coupon_alerts(dense_events(spark, sf_dir), P.LIVE_WINDOW_MS,
+                                             P.LIVE_SLIDE_MS, P.ALERT_MIN_USERS))
+
+
+def coupon_alert_30s_minute(spark, sf_dir):
+    """ST6 at 30 s / 5 s: several windows share a minute, the latest one stays."""
+    return alerts.per_minute(coupon_alert_30s(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "log_route": log_route,
     "log_date_hour": log_date_hour,
@@ -277,4 +294,6 @@ QUERIES: dict[str, Query] = {
     "sale_search_result": sale_search_result,
     "coupon_alert_windows": coupon_alert_windows,
     "coupon_alert_minute": coupon_alert_minute,
+    "coupon_alert_30s": coupon_alert_30s,
+    "coupon_alert_30s_minute": coupon_alert_30s_minute,
 }

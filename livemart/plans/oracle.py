@@ -96,11 +96,12 @@ LEFT JOIN {values_cte} t ON t.{date} = s.d AND t.{hour} = s.hour
 LEFT JOIN {values_cte} y ON y.{date} = strftime(CAST(s.d AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') AND y.{hour} = s.hour"""
 
 
-W = P.ALERT_WINDOW_MS
-S = P.ALERT_SLIDE_MS
-ALERTS = LOGS + f""",
-ev AS (SELECT mid, uid, evid, CAST(k AS VARCHAR) AS itemid, ts_ms, event_id FROM lg WHERE type = 'event'),
-win AS (SELECT ev.*, (ts_ms - ts_ms % {S}) - r.range * {S} AS wstart FROM ev CROSS JOIN range({W // S}) r),
+def alerts_sql(window_ms: int, slide_ms: int, divisor: int = 1) -> str:
+    return LOGS + f""",
+ev AS (SELECT mid, uid, evid, CAST(k AS VARCHAR) AS itemid, ts_ms // {divisor} AS ts_ms, event_id
+       FROM lg WHERE type = 'event'),
+win AS (SELECT ev.*, (ts_ms - ts_ms % {slide_ms}) - r.range * {slide_ms} AS wstart
+        FROM ev CROSS JOIN range({window_ms // slide_ms}) r),
 g AS (
   SELECT mid, wstart,
          list_sort(list(DISTINCT uid) FILTER (WHERE evid = 'coupon')) AS uids,
@@ -109,14 +110,23 @@ g AS (
          string_agg(evid, ',' ORDER BY ts_ms, event_id) AS events
   FROM win GROUP BY mid, wstart),
 alerts AS (
-  SELECT mid || '_' || CAST((wstart + {W}) // 60000 AS VARCHAR) AS id, mid,
+  SELECT mid || '_' || CAST((wstart + {window_ms}) // 60000 AS VARCHAR) AS id, mid,
          array_to_string(uids, ',') AS uids, array_to_string(items, ',') AS itemIds, events,
-         wstart + {W} AS ts,
+         wstart + {window_ms} AS ts,
          strftime(make_timestamp(wstart * 1000), '%Y-%m-%d %H:%M:%S') AS window_start,
-         strftime(make_timestamp((wstart + {W}) * 1000), '%Y-%m-%d %H:%M:%S') AS window_end
+         strftime(make_timestamp((wstart + {window_ms}) * 1000), '%Y-%m-%d %H:%M:%S') AS window_end
   FROM g WHERE len(uids) >= {P.ALERT_MIN_USERS} AND NOT clicked)"""
 
 
+ALERTS = alerts_sql(P.ALERT_WINDOW_MS, P.ALERT_SLIDE_MS)
+LIVE_ALERTS = alerts_sql(P.LIVE_WINDOW_MS, P.LIVE_SLIDE_MS, P.LIVE_DIVISOR)
+
+LATEST_PER_MINUTE = """
+SELECT id, mid, uids, itemIds, events, ts, window_start, window_end FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, window_start DESC) AS rn FROM alerts)
+WHERE rn = 1"""
+
+
 def _startup_json() -> str:
     return ("json_object('type', type, 'mid', mid, 'uid', uid, 'os', os, 'appid', appid, "
             "'area', area, 'ch', ch, 'vs', vs, 'ts', ts_ms)")
@@ -277,11 +287,10 @@ SELECT '性别占比', '女', {pct('f', 'n')} FROM a""",
 
     "sale_age_share": f"""WITH {MATCHED},
 ages AS (SELECT user_age, count(*) AS cnt FROM matched GROUP BY user_age),
-ranked AS (SELECT *, row_number() OVER (ORDER BY cnt DESC, user_age) AS rn,
-                  CASE WHEN user_age < 20 THEN '20岁以下' WHEN user_age < 30 THEN '20岁到30岁'
+ranked AS (SELECT *, CASE WHEN user_age < 20 THEN '20岁以下' WHEN user_age < 30 THEN '20岁到30岁'
                        ELSE '30岁以上' END AS band FROM ages),
 tot AS (SELECT coalesce(sum(cnt), 0) AS n FROM ranked),
-b AS (SELECT band, sum(cnt) AS c FROM ranked WHERE rn <= 100 GROUP BY band),
+b AS (SELECT band, sum(cnt) AS c FROM ranked GROUP BY band),
 labels AS (SELECT * FROM (VALUES ('20岁以下'), ('20岁到30岁'), ('30岁以上')) t(name))
 SELECT '年龄占比' AS title, labels.name, {pct('coalesce(b.c, 0)', 'tot.n')} AS value
 FROM labels CROSS JOIN tot LEFT JOIN b ON b.band = labels.name""",
@@ -300,11 +309,10 @@ FROM g WHERE NOT (gg = 0 AND user_gender IS NULL)""",
 a AS (SELECT count(*) AS n, count(*) FILTER (WHERE user_gender = 'M') AS m,
              count(*) FILTER (WHERE user_gender = 'F') AS f FROM matched),
 ages AS (SELECT user_age, count(*) AS cnt FROM matched GROUP BY user_age),
-ranked AS (SELECT *, row_number() OVER (ORDER BY cnt DESC, user_age) AS rn,
-                  CASE WHEN user_age < 20 THEN '20岁以下' WHEN user_age < 30 THEN '20岁到30岁'
+ranked AS (SELECT *, CASE WHEN user_age < 20 THEN '20岁以下' WHEN user_age < 30 THEN '20岁到30岁'
                        ELSE '30岁以上' END AS band FROM ages),
 tot AS (SELECT coalesce(sum(cnt), 0) AS n FROM ranked),
-b AS (SELECT band, sum(cnt) AS c FROM ranked WHERE rn <= 100 GROUP BY band),
+b AS (SELECT band, sum(cnt) AS c FROM ranked GROUP BY band),
 labels AS (SELECT * FROM (VALUES (1, '20岁以下'), (2, '20岁到30岁'), (3, '30岁以上')) t(ord, name)),
 bands AS (SELECT labels.ord, labels.name, {pct('coalesce(b.c, 0)', 'tot.n')} AS value
           FROM labels CROSS JOIN tot LEFT JOIN b ON b.band = labels.name),
@@ -327,10 +335,11 @@ FROM a""",
 
     "coupon_alert_windows": f"WITH {ALERTS} SELECT * FROM alerts",
 
-    "coupon_alert_minute": f"""WITH {ALERTS}
-SELECT id, mid, uids, itemIds, events, ts, window_start, window_end FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, window_start DESC) AS rn FROM alerts)
-WHERE rn = 1""",
+    "coupon_alert_minute": f"WITH {ALERTS} {LATEST_PER_MINUTE}",
+
+    "coupon_alert_30s": f"WITH {LIVE_ALERTS} SELECT * FROM alerts",
+
+    "coupon_alert_30s_minute": f"WITH {LIVE_ALERTS} {LATEST_PER_MINUTE}",
 }
 
 
@@ -343,8 +352,10 @@ FROM lg"""
 STREAM_ORACLE_OF = {
     "stream_dau": "dau_first",
     "stream_alerts": "coupon_alert_windows",
+    "stream_alerts_30s": "coupon_alert_30s_minute",
     "stream_user_dim": "user_latest",
     "stream_sale_detail": "sale_detail",
+    "stream_sale_detail_late": "sale_detail",
     "stream_order_amount_hour": "order_amount_hour",
 }
 ORACLE_SQL.update({k: ORACLE_SQL[v] for k, v in STREAM_ORACLE_OF.items()})

@@ -11,5 +11,10 @@ PAGE_SIZE = 5
 ALERT_WINDOW_MS = 6 * 3600 * 1000
 ALERT_SLIDE_MS = 3600 * 1000
 ALERT_MIN_USERS = 3
+# The upstream size, 30 s / 5 s, on event times divided by 720: 6 h of the
+# sparse events become 30 s and 1 h becomes 5 s, so windows share minutes.
+LIVE_WINDOW_MS = 30 * 1000
+LIVE_SLIDE_MS = 5 * 1000
+LIVE_DIVISOR = 720
 # Day split of the seen-set anti join: start-ups before noon are "seen".
 SEEN_BEFORE_HOUR = "12"

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livemart.functions.timefmt import epoch_millis_ntz
+from livemart.operators.alerts import per_minute
 from livemart.plans import params as P
-from livemart.plans.catalog import _flat_alerts
+from livemart.plans.catalog import _flat_alerts, dense_events
 from livemart.schemas import DAU_COLUMNS
 from livemart.session import scratch_path
 from livemart.sources import adapters as A
@@ -41,16 +42,27 @@ def stream_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST2 + ST6 + SNK4: coupon alerts as a stream, upserted by id, ok windows only."""
+    """ST2 + SNK4: coupon alerts as a stream, upserted by device and window, ok windows only."""
     root = scratch_path(spark, "stream_alerts")
     src = _replay(spark, A.event_logs(spark, sf_dir), root, "event", "ts_ms")
-    table = KeyedTable(f"{root}/alerts", ["id"], keep="ok")
+    table = KeyedTable(f"{root}/alerts", ["mid", "ts"], keep="ok")
     jobs.alert_query(src, table, f"{root}/ckpt", f"{P.ALERT_WINDOW_MS // 1000} seconds",
                      f"{P.ALERT_SLIDE_MS // 1000} seconds", watermark="1 hour",
                      min_users=P.ALERT_MIN_USERS, trigger=ONCE).awaitTermination()
     return _flat_alerts(table.view(spark))
 
 
+def stream_alerts_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2 + ST6 + SNK4 at 30 s / 5 s: ok windows of the stream, then one per device and minute."""
+    root = scratch_path(spark, "stream_alerts_30s")
+    src = _replay(spark, dense_events(spark, sf_dir), root, "event", "ts_ms")
+    table = KeyedTable(f"{root}/alerts", ["mid", "ts"], keep="ok")
+    jobs.alert_query(src, table, f"{root}/ckpt", f"{P.LIVE_WINDOW_MS // 1000} seconds",
+                     f"{P.LIVE_SLIDE_MS // 1000} seconds", watermark="1 hour",
+                     min_users=P.ALERT_MIN_USERS, trigger=ONCE).awaitTermination()
+    return _flat_alerts(per_minute(table.view(spark)))
+
+
 def stream_user_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST12 + SNK6: user changes as a stream (newest version first), latest per user."""
     root = scratch_path(spark, "stream_user_dim")
@@ -93,18 +105,44 @@ def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.view(spark)
 
 
+def stream_sale_detail_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + ST4 + ST5: as ``stream_sale_detail`` with a seventh of the lines six
+    hours late, outside the stream's 10 s; the repair pairs them from the
+    stored orders and lines."""
+    root = scratch_path(spark, "stream_sale_detail_late")
+    users = KeyedTable(f"{root}/users", ["id"], order=["seq"])
+    users.write(A.user_changes(spark, sf_dir), 0)
+    o, d = _order_stream_inputs(spark, sf_dir)
+    late = F.when(F.pmod(F.xxhash64("id"), F.lit(7)) == 0, 6 * 3600 * 1000).otherwise(0)
+    os_ = _replay(spark, o, root, "order", "order_ms")
+    ds_ = _replay(spark, d.withColumn("change_ms", F.col("change_ms") + late), root, "line", "change_ms")
+    table = KeyedTable(f"{root}/sales", ["order_detail_id"])
+    # the stored order rows serve the pairing by id only: no day folders here
+    stored_orders = KeyedTable(f"{root}/orders", ["id"])
+    stored_lines = KeyedTable(f"{root}/lines", ["id"])
+    jobs.sale_query(os_, ds_, users, table, f"{root}/ckpt", P.AS_OF, max_delay="10 seconds",
+                    watermark="1 hour", trigger=ONCE).awaitTermination()
+    jobs.order_query(os_, stored_orders, f"{root}/ckpt_orders", trigger=ONCE).awaitTermination()
+    jobs.line_query(ds_, stored_lines, f"{root}/ckpt_lines", trigger=ONCE).awaitTermination()
+    jobs.pair_late(spark, table, stored_orders, stored_lines, users, P.AS_OF, 1)
+    return table.view(spark)
+
+
 def stream_order_amount_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order job end to end: order rows as a stream -> masked rows appended to a
-    table partitioned by ``create_date`` (SNK2, exactly once via the file
-    sink's log) -> amount per day and hour read back from it (SRC6, A10)."""
+    """Order job end to end: order rows as a stream, every tenth one delivered
+    again 400 days later -> masked rows upserted by day and id (SNK2) ->
+    amount per day and hour read back from the table (SRC6, A10)."""
     from livemart.operators import orders as O
     root = scratch_path(spark, "stream_orders")
     rows = A.order_rows(spark, sf_dir, with_customer=True)
     rows = rows.withColumn("order_ms", epoch_millis_ntz(F.to_timestamp_ntz("create_time")))
-    src = _replay(spark, rows, root, "order", "order_ms").drop("order_ms")
-    jobs.order_query(src, f"{root}/orders", f"{root}/ckpt", trigger=ONCE).awaitTermination()
-    stored = spark.read.parquet(f"{root}/orders").withColumn("create_date", F.col("create_date").cast("string"))
-    return O.amount_hour(stored)
+    again = (rows.where(F.col("id").cast("long") % 10 == 0)
+                 .withColumn("order_ms", F.col("order_ms") + F.lit(400 * 86_400_000).cast("long")))
+    src = _replay(spark, rows.unionByName(again), root, "order", "order_ms").drop("order_ms")
+    table = KeyedTable(f"{root}/orders", ["create_date", "id"], partition_by=["create_date"])
+    # the replay's batches hold hundreds of days: two writing tasks a day are enough
+    jobs.order_query(src, table, f"{root}/ckpt", splits=2, trigger=ONCE).awaitTermination()
+    return O.amount_hour(table.view(spark))
 
 
 def stream_log_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +152,7 @@ def stream_log_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream_logs")
     raw = A.raw_log_json(spark, sf_dir, with_arrival=True).select("value", "ts_ms")
     src = replay_stream(raw, f"{root}/in_logs", "ts_ms", CHUNKS, FILES_PER_CHUNK, fmt="text")
-    jobs.log_route_query(src, f"{root}/archive", f"{root}/ckpt", stamp="record",
+    jobs.log_route_query(src, f"{root}/archive", f"{root}/ckpt", stamp="record", splits=2,
                          trigger=ONCE).awaitTermination()
     arch = spark.read.parquet(f"{root}/archive")
     return arch.select("topic", F.col("logdate").cast("string").alias("logdate"), "value")
@@ -123,8 +161,10 @@ def stream_log_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_dau": stream_dau,
     "stream_alerts": stream_alerts,
+    "stream_alerts_30s": stream_alerts_30s,
     "stream_user_dim": stream_user_dim,
     "stream_sale_detail": stream_sale_detail,
+    "stream_sale_detail_late": stream_sale_detail_late,
     "stream_order_amount_hour": stream_order_amount_hour,
     "stream_log_route": stream_log_route,
 }

@@ -74,20 +74,22 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def cluster_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 256 << 20,
-                 max_partitions: int = 200_000) -> dict:
+                 max_partitions: int | None = None) -> dict:
     """Shuffle sizing for a cluster run.
 
     Starts with enough shuffle partitions that each holds about
     ``target_partition_bytes`` of the *input* (an upper bound: map-side
     combining only shrinks it), at least three waves of the cluster's cores,
     and lets AQE coalesce small partitions back to the target and split
-    skewed ones.  ``max_partitions`` caps the count: the driver tracks
-    map outputs per (map task, reducer), so beyond ~200k reducers the
-    bookkeeping costs more than larger, spilling partitions.  Pass the
+    skewed ones.  ``max_partitions`` (none unless given) bounds the count
+    where the driver's bookkeeping of map outputs is short of memory; the
+    partitions then grow and spill.  Pass the
     result as ``extra=`` to ``build_session`` or to spark-submit ``--conf``.
     """
     by_size = -(-int(input_bytes) // int(target_partition_bytes))
-    partitions = min(max(by_size, 3 * int(total_cores), 1), max_partitions)
+    partitions = max(by_size, 3 * int(total_cores), 1)
+    if max_partitions is not None:
+        partitions = min(partitions, max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),

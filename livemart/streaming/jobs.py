@@ -20,7 +20,7 @@ from livemart.operators import alerts, ingest, orders, sales
 from livemart.operators.dau import DAU_ORDER
 from livemart.operators.keyed import first_per_key
 from livemart.schemas import DAU_COLUMNS
-from livemart.streaming.upsert import KeyedTable
+from livemart.streaming.upsert import BATCH_COL, KeyedTable
 
 LIVE_TRIGGER = {"processingTime": "5 seconds"}
 
@@ -96,10 +96,13 @@ def dau_query(startups: DataFrame, table: KeyedTable, checkpoint: str,
 def alert_query(events: DataFrame, table: KeyedTable, checkpoint: str, window: str, slide: str,
                 watermark: str = "1 minute", min_users: int = 3,
                 trigger: dict | None = None) -> StreamingQuery:
-    """ST2 + ST6: sliding-window rule per device, every updated window upserted by id.
+    """ST2: sliding-window rule per device, every updated window upserted.
 
-    The rule is not monotone (a later click cancels an alert), so rows carry
-    ``ok`` and the table's view keeps only windows whose latest version is ok.
+    ``table`` is keyed by (mid, ts), the window: several windows share a
+    minute and so an alert id.  The rule is not monotone (a later click
+    cancels an alert), so rows carry ``ok`` and the table's view keeps only
+    windows whose latest version is ok; ``alerts.per_minute`` of that view
+    gives one alert per device and minute (ST6).
     """
     ev = observed(with_event_time(events), "events").withWatermark("event_time", watermark)
     out = alerts.windowed_alerts(ev, window, slide, min_users)
@@ -169,41 +172,65 @@ def sale_dead_letters_query(orders_rows: DataFrame, lines: DataFrame, path: str,
     return _start(dead, checkpoint, trigger, "append", name="sale_dead_letters", path=path)
 
 
-def order_query(orders_rows: DataFrame, path: str, checkpoint: str,
+def clustered(df: DataFrame, cols: list[str], spread: str, splits: int) -> DataFrame:
+    """Rows of one folder go to ``splits`` tasks (by hash of ``spread``): few
+    files per folder, yet no single task writes the live day alone."""
+    return df.repartition(*cols, F.pmod(F.xxhash64(spread), F.lit(splits)))
+
+
+def order_query(orders_rows: DataFrame, table: KeyedTable, checkpoint: str, splits: int = 16,
                 trigger: dict | None = None) -> StreamingQuery:
-    """SNK2: masked order rows appended to a table partitioned by ``create_date``.
+    """SNK2: masked order rows upserted into a table laid out by ``create_date``.
 
-    Rows are clustered by day before the sink so each micro-batch writes one
-    file per day it touches, not one per (task, day).
+    ``table`` is keyed by (create_date, id): an order's creation time never
+    changes, so a redelivered order replaces itself within its day.
     """
-    rows = orders.order_info(orders_rows).repartition("create_date")
-    return _start(rows, checkpoint, trigger, "append",
-                  name="orders", path=path, partitionBy=["create_date"])
+    rows = clustered(orders.order_info(orders_rows), ["create_date"], "id", splits)
+    return _start(rows, checkpoint, trigger, "append", table.foreach_batch(), "orders")
+
+
+def line_query(lines: DataFrame, table: KeyedTable, checkpoint: str,
+               trigger: dict | None = None) -> StreamingQuery:
+    """Order lines upserted by id, whatever their lateness; ``pair_late`` reads them."""
+    return _start(lines, checkpoint, trigger, "append", table.foreach_batch(), "lines")
+
+
+def pair_late(spark, sales_table: KeyedTable, orders_table: KeyedTable, lines_table: KeyedTable,
+              users: KeyedTable, as_of: str, repair_id: int) -> None:
+    """J3 for any lateness: lines that the stream did not pair (outside its time
+    bound or behind its watermark) are paired with the stored orders and
+    added to the sale table as repair ``repair_id``."""
+    done = sales_table.view(spark, before_repair=repair_id).select(F.col("order_detail_id").alias("id"))
+    todo = lines_table.view(spark).join(done, "id", "left_anti")
+    pairs = sales.pair_rows(orders_table.view(spark), todo)
+    rows = sales.with_user(pairs, users.view(spark), as_of)
+    sales_table.repair(rows.withColumn(BATCH_COL, F.lit(0).cast("long")), repair_id)
 
 
-def log_route_query(raw_text: DataFrame, path: str, checkpoint: str, stamp=None,
+def log_route_query(raw_text: DataFrame, path: str, checkpoint: str, stamp=None, splits: int = 16,
                     trigger: dict | None = None) -> StreamingQuery:
     """SNK8 + SNK10: stamp and route raw logs; archive by topic and log day."""
     st = ingest.route_logs(ingest.stamp_logs(raw_text, stamp=stamp))
     out = ingest.log_day_hour(st.select("topic", "value", F.col("log.ts").alias("ts")), "ts")
-    out = out.select("topic", "logdate", "value").repartition("topic", "logdate")
+    out = clustered(out.select("topic", "logdate", "value"), ["topic", "logdate"], "value", splits)
     return _start(out, checkpoint, trigger, "append",
                   name="log_route", path=path, partitionBy=["topic", "logdate"])
 
 
 def refresh_missing_users(spark, sales_table: KeyedTable, users: KeyedTable, as_of: str,
-                          batch_id: int) -> int:
+                          repair_id: int) -> int:
     """Re-enrich sale rows written before their user arrived (late dimension).
 
     Rows without user attributes are joined again with the current user
-    view; those that now find their user are upserted as batch ``batch_id``
-    (above every batch id the stream used), superseding the old version.
-    Returns ``batch_id`` for chaining.
+    view; those that now find their user are written as repair ``repair_id``
+    of the version they correct, so neither a running nor a replayed
+    micro-batch of the stream can undo them.  Returns ``repair_id``.
     """
-    view = sales_table.view(spark)
+    view = sales_table.view(spark, with_batch=True, before_repair=repair_id)
     missing = view.where(F.col("user_gender").isNull() & F.col("user_level").isNull())
     found = users.view(spark, keys=missing.select(F.col("user_id").alias("id")))
     redone = sales.with_user(missing.drop("user_gender", "user_level", "user_age"), found, as_of)
-    sales_table.write(redone.where(F.col("user_gender").isNotNull() | F.col("user_level").isNotNull()),
-                      batch_id)
-    return batch_id
+    redone = redone.where(F.col("user_gender").isNotNull() | F.col("user_level").isNotNull())
+    batch = missing.select("order_detail_id", BATCH_COL)
+    sales_table.repair(redone.join(batch, "order_detail_id"), repair_id)
+    return repair_id

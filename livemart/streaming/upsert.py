@@ -7,6 +7,11 @@ later batches supersede earlier ones, as an upsert would.  ``compact``
 folds the batches up to a given id into one base (one row per key), and
 reads then skip the folded batch folders by partition pruning, so the
 merge on read stays proportional to the base plus recent batches.
+
+``repair`` rows live in their own folders ``<path>_repair/repair_id=<n>/``,
+so no micro-batch can overwrite them.  Each carries the batch id of the
+version it corrects: it wins over that version and earlier ones, and any
+later batch wins over it.
 """
 
 from __future__ import annotations
@@ -14,11 +19,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from livemart.operators.keyed import latest_per_key
 
 BATCH_COL = "batch_id"
+REPAIR_COL = "repair_id"
 
 
 class KeyedTable:
@@ -36,6 +43,12 @@ class KeyedTable:
         self.partition_by = [c for c in partition_by if c in self.key]
         self.compact_every = compact_every  # sinks fold the table every N batches
 
+    def _save(self, df: DataFrame, path: str) -> None:
+        w = df.write.mode("overwrite").option("compression", "zstd")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(path)
+
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Upsert one micro-batch (idempotent per ``batch_id``).
 
@@ -47,10 +60,17 @@ class KeyedTable:
             k = self.key[0]
             content = F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256)
             df = df.withColumn(k, F.coalesce(F.col(k).cast("string"), content))
-        w = df.write.mode("overwrite").option("compression", "zstd")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+        self._save(df, f"{self.path}/{BATCH_COL}={int(batch_id)}")
+
+    def repair(self, df: DataFrame, repair_id: int) -> None:
+        """Write corrected rows (idempotent per ``repair_id``, 1 or more).
+
+        ``df`` has the table's columns and ``batch_id``, the version each
+        row corrects (0 for a key that the stream never wrote).
+        """
+        if repair_id < 1:
+            raise ValueError("repair_id starts at 1")
+        self._save(df, f"{self.path}_repair/{REPAIR_COL}={int(repair_id)}")
 
     def foreach_batch(self, transform=None, compact_every: int | None = None):
         """A ``foreachBatch`` function: optional per-batch transform, then write.
@@ -78,11 +98,18 @@ class KeyedTable:
 
     def _base_id(self, spark: SparkSession) -> int | None:
         """Batch id folded into the current compacted base, or None."""
+        current = self._read_if_there(spark, f"{self.path}_base/current", plain=True)
+        row = current.first() if current is not None else None
+        return int(row["upto"]) if row else None
+
+    def _read_if_there(self, spark: SparkSession, path: str, plain: bool = False) -> DataFrame | None:
+        """The table at ``path``, or None where no such path exists; other failures are raised."""
         try:
-            row = spark.read.parquet(f"{self.path}_base/current").first()
-        except Exception:  # no compaction yet
+            return spark.read.parquet(path) if plain else self._read(spark, path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
-        return int(row["upto"]) if row else None
 
     def _read(self, spark: SparkSession, path: str) -> DataFrame:
         reader = spark.read
@@ -99,37 +126,52 @@ class KeyedTable:
             finally:
                 for k, v in prev.items():
                     spark.conf.set(k, v)
-            if BATCH_COL in df.columns:
-                df = df.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long"))
+            for c in (BATCH_COL, REPAIR_COL):
+                if c in df.columns:
+                    df = df.withColumn(c, F.col(c).cast("long"))
             return df
         return reader.parquet(path)
 
     def raw(self, spark: SparkSession) -> DataFrame:
-        """All live versions: the compacted base plus the batches written after it.
+        """All live versions: the compacted base, the batches written after it, the repairs.
 
         Batches already folded into the base are skipped by a partition
         filter, so they are not even listed for reading.
         """
         upto = self._base_id(spark)
         batches = self._read(spark, self.path)
-        if upto is None:
-            return batches
-        base = self._read(spark, f"{self.path}_base/v{upto}").withColumn(BATCH_COL, F.lit(upto).cast("long"))
-        newer = batches.where(F.col(BATCH_COL) > upto)
-        return base.unionByName(newer.select(*base.columns))
-
-    def view(self, spark: SparkSession, keys: DataFrame | None = None) -> DataFrame:
+        if upto is not None:
+            base = self._read(spark, f"{self.path}_base/v{upto}").withColumn(BATCH_COL, F.lit(upto).cast("long"))
+            newer = batches.where(F.col(BATCH_COL) > upto)
+            batches = base.unionByName(newer.select(*base.columns))
+        rows = batches.withColumn(REPAIR_COL, F.lit(0).cast("long"))
+        repairs = self._read_if_there(spark, f"{self.path}_repair")
+        if repairs is not None:
+            repairs = repairs.withColumn(REPAIR_COL, F.col(REPAIR_COL).cast("long"))
+            rows = rows.unionByName(repairs.select(*rows.columns))
+        return rows
+
+    def _merged(self, raw: DataFrame, cols: Sequence[str]) -> DataFrame:
+        return latest_per_key(raw, self.key, [*self.order, BATCH_COL, REPAIR_COL], cols)
+
+    def view(self, spark: SparkSession, keys: DataFrame | None = None,
+             with_batch: bool = False, before_repair: int | None = None) -> DataFrame:
         """Latest version of every key (merge on read).
 
         ``keys`` (a DataFrame of key columns) restricts the view to those
         keys: the raw versions are semi-joined *before* the per-key merge,
         so a lookup for one micro-batch merges only the rows it needs.
+        ``with_batch`` adds the batch id of the version shown (for ``repair``);
+        ``before_repair`` leaves out that repair and later ones, so a repair
+        run again reads what its first run read.
         """
         raw = self.raw(spark)
+        if before_repair is not None:
+            raw = raw.where(F.col(REPAIR_COL) < before_repair)
         if keys is not None:
             raw = raw.join(keys.select(*self.key).distinct(), self.key, "left_semi")
-        cols = [c for c in raw.columns if c != BATCH_COL]
-        latest = latest_per_key(raw, self.key, [*self.order, BATCH_COL], cols)
+        hidden = {REPAIR_COL} if with_batch else {BATCH_COL, REPAIR_COL}
+        latest = self._merged(raw, [c for c in raw.columns if c not in hidden])
         if self.keep:
             latest = latest.where(F.col(self.keep)).drop(self.keep)
         return latest
@@ -143,11 +185,7 @@ class KeyedTable:
         batch whose sink write has committed (e.g. ``lastProgress.batchId``).
         """
         raw = self.raw(spark).where(F.col(BATCH_COL) <= upto)
-        cols = [c for c in raw.columns if c != BATCH_COL]
-        merged = latest_per_key(raw, self.key, [*self.order, BATCH_COL], cols)
-        w = merged.write.mode("overwrite").option("compression", "zstd")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.path}_base/v{int(upto)}")
+        merged = self._merged(raw, [c for c in raw.columns if c not in (BATCH_COL, REPAIR_COL)])
+        self._save(merged, f"{self.path}_base/v{int(upto)}")
         (spark.range(1).select(F.lit(int(upto)).cast("long").alias("upto"))
               .write.mode("overwrite").parquet(f"{self.path}_base/current"))

@@ -44,7 +44,7 @@ def test_batch_alert_does_not_replicate_events_per_window(spark):
 def test_cluster_conf_sizes_partitions():
     from livemart.session import cluster_conf
     c = cluster_conf(total_cores=8000, input_bytes=100 * (1 << 40))
-    assert int(c["spark.sql.shuffle.partitions"]) == 200_000  # 100 TB / 256 MB, capped
+    assert int(c["spark.sql.shuffle.partitions"]) == 400 * 1024  # 100 TB / 256 MB, no cap
     assert int(cluster_conf(64, 1 << 30)["spark.sql.shuffle.partitions"]) == 192  # 3 waves of cores
 
 

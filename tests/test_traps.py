@@ -338,3 +338,9 @@ def test_sale_detail_with_hot_user_split_is_unchanged(spark):
 def test_alert_window_must_cover_its_slide(spark):
     with pytest.raises(ValueError):
         alerts.coupon_alerts(events(spark, [("d", "u1", "coupon", "2024-01-01 00:10:00")]), H1, H6)
+
+
+def test_age_bands_count_every_age(spark):
+    m = spark.range(150).select(F.col("id").cast("int").alias("user_age"), F.lit("M").alias("user_gender"))
+    shares = {r.name: r.value for r in search.age_share(m).collect()}
+    assert list(shares.values()) == [13.3, 6.7, 80.0]
