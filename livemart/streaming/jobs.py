@@ -174,8 +174,10 @@ def sale_dead_letters_query(orders_rows: DataFrame, lines: DataFrame, path: str,
 
 def clustered(df: DataFrame, cols: list[str], spread: str, splits: int) -> DataFrame:
     """Rows of one folder go to ``splits`` tasks (by hash of ``spread``): few
-    files per folder, yet no single task writes the live day alone."""
-    return df.repartition(*cols, F.pmod(F.xxhash64(spread), F.lit(splits)))
+    files per folder, yet no single task writes the live day alone.  The
+    partition count is given, so that AQE does not merge a small batch of
+    many folders into one writing task."""
+    return df.repartition(state_partitions(df.sparkSession), *cols, F.pmod(F.xxhash64(spread), F.lit(splits)))
 
 
 def order_query(orders_rows: DataFrame, table: KeyedTable, checkpoint: str, splits: int = 16,
