@@ -5,10 +5,11 @@ coupon and nobody clicked an item.  The alert carries the distinct coupon
 users and items and every event id of the window in arrival order.
 
 Batch form is pane based: ``window(ts, 30s, 5s)`` would copy every event into
-window/slide windows *before* the shuffle.  Here each event is aggregated
-once into its pane (gcd of window and slide) with map-side combined sets,
-panes are combined into windows (small rows), and the ordered event list
-is assembled only for the windows that raise an alert.  The streaming form (``windowed_alerts``) uses
+window/slide windows *before* the shuffle.  Here each event is reduced
+once to marks of its pane (gcd of window and slide): who claimed a coupon,
+and whether anyone clicked.  Windows are decided by counting distinct marks,
+and sets and the ordered event list are assembled only for the windows that
+raise an alert.  The streaming form (``windowed_alerts``) uses
 Spark's native sliding window, which the state store needs.
 """
 
@@ -66,21 +67,22 @@ def coupon_alerts(events: DataFrame, window_ms: int, slide_ms: int, min_users: i
     is_coupon = F.col("evid") == COUPON
     ev = events.select("mid", _uid(count_null_uid).alias("uid"), "evid", "itemid", "ts_ms", "event_id",
                        (F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(pane_ms))).alias("pane"))
-    panes = ev.groupBy("mid", "pane").agg(
-        F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
-        F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
-        F.coalesce(F.bool_or(F.col("evid") == CLICK), F.lit(False)).alias("clicked"))
-    # windows holding pane p: aligned starts s with p + pane - window <= s <= p
+    # the decision needs only who claimed a coupon and whether anyone clicked:
+    # one row per (device, pane, user or click), copied into the windows that
+    # hold pane p (aligned starts s with p + pane - window <= s <= p) and
+    # counted; no set of users or items is gathered before the filter
+    is_click = F.col("evid") == CLICK
+    marks = (ev.where(is_coupon | is_click)
+               .select("mid", "pane", is_click.alias("click"), F.when(is_coupon, F.col("uid")).alias("buyer"))
+               .distinct())
     lo = F.col("pane") + F.lit(pane_ms - window_ms)
     s_lo = lo - F.pmod(lo, F.lit(slide_ms)) + F.when(F.pmod(lo, F.lit(slide_ms)) == 0, 0).otherwise(slide_ms)
     s_hi = F.col("pane") - F.pmod(F.col("pane"), F.lit(slide_ms))
-    windows = (panes.select("mid", "uids", "items", "clicked",
-                            F.explode(F.sequence(s_lo, s_hi, F.lit(slide_ms).cast("bigint"))).alias("wstart"))
-                    .groupBy("mid", "wstart").agg(
-                        F.array_distinct(F.flatten(F.collect_list("uids"))).alias("uids"),
-                        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-                        F.bool_or("clicked").alias("clicked")))
-    alerting = windows.where((F.size("uids") >= min_users) & ~F.col("clicked"))
+    starts = F.explode(F.sequence(s_lo, s_hi, F.lit(slide_ms).cast("bigint"))).alias("wstart")
+    windows = (marks.select("mid", starts, "click", "buyer").distinct()
+                    .groupBy("mid", "wstart").agg(F.count("buyer").alias("buyers"),
+                                                  F.bool_or("click").alias("clicked")))
+    alerting = windows.where((F.col("buyers") >= min_users) & ~F.col("clicked"))
     # the alert rows are rebuilt from the events of the alerting windows:
     # raw events are joined to those windows' panes (map-side when that side
     # is small), so events outside any alert never reach the final collect,

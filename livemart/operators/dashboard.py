@@ -33,7 +33,7 @@ def hour_compare(values: DataFrame, date_col: str, hour_col: str, value_col: str
     is always reported.  Output: (date, hour, today, yesterday).
     """
     if date is not None:
-        values = values.where(F.col(date_col).isin(date, _prev(date)))
+        values = values.where(F.col(date_col).isin(date, previous_date(date)))
     entry = F.struct(F.col(hour_col).alias("h"), F.col(value_col).alias("v"))
     next_day = F.date_format(F.date_add(F.to_date(F.col(date_col)), 1), "yyyy-MM-dd")
     both = values.select(F.explode(F.array(
@@ -60,7 +60,7 @@ def hour_compare(values: DataFrame, date_col: str, hour_col: str, value_col: str
                         F.coalesce(F.col("ym")[hour], z).alias("yesterday")))
 
 
-def _prev(date: str) -> str:
+def previous_date(date: str) -> str:
     """P15 for a literal parameter: the day before ``yyyy-MM-dd``."""
     return (_date.fromisoformat(date) - timedelta(days=1)).isoformat()
 

@@ -47,10 +47,14 @@ def log_json_roundtrip(spark, sf_dir):
     return st.select("event_id", parse("value", RAW_LOG).alias("r")).select("event_id", "r.*")
 
 
+def log_type_route(spark, sf_dir):
+    """P21 + F3: raw text routed by its extracted type, without parsing the record."""
+    return ingest.route_logs(A.raw_log_json(spark, sf_dir)).select("event_id", "topic")
+
+
 def cdc_route(spark, sf_dir):
     """SRC3, F1, F2, P3, SNK9: change entries routed to topics as JSON rows."""
-    tables = r"^(order_info|order_detail|user_info)$"  # the subscription regex
-    routed = ingest.route_changes(A.change_envelope(spark, sf_dir), table_pattern=tables)
+    routed = ingest.route_changes(A.change_envelope(spark, sf_dir), table_pattern=P.CDC_TABLES)
     return routed.select("topic", "value")
 
 
@@ -94,6 +98,20 @@ def dau_hour_compare(spark, sf_dir):
                                   "logdate", "loghour", "ct")
 
 
+def dau_hour_map(spark, sf_dir):
+    """The hour map of each day, as text ``hour:count`` in hour order."""
+    m = dashboard.hour_map(dau.dau_hour_of_logs(A.startup_logs(spark, sf_dir)), "logdate", "loghour", "ct")
+    pairs = F.transform(F.array_sort(F.map_entries("m")),
+                        lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))
+    return m.select("logdate", F.array_join(pairs, ",").alias("hours"))
+
+
+def dau_hour_day(spark, sf_dir):
+    """Q2 for one day (F6, P15): that day's 24 hours next to the day before."""
+    start = dau.dau_hour_of_logs(A.startup_logs(spark, sf_dir))
+    return dashboard.hour_compare(start, "logdate", "loghour", "ct", date=P.DASH_DATE)
+
+
 def new_devices(spark, sf_dir):
     """Q1 newMid: devices by the day of their first start-up ever."""
     return dau.new_devices(A.startup_logs(spark, sf_dir))
@@ -101,8 +119,8 @@ def new_devices(spark, sf_dir):
 
 # ---- orders ----------------------------------------------------------------------
 
-def _orders(spark, sf_dir, with_customer=False):
-    return orders.order_info(A.order_rows(spark, sf_dir, with_customer=with_customer))
+def _orders(spark, sf_dir, with_customer=False, day=None):
+    return orders.order_info(A.order_rows(spark, sf_dir, with_customer=with_customer, day=day))
 
 
 def order_masked(spark, sf_dir):
@@ -134,6 +152,13 @@ def metric_cards(spark, sf_dir):
                                   orders.amount_total(_orders(spark, sf_dir)))
 
 
+def metric_cards_day(spark, sf_dir):
+    """Q1 for one day (F6): the three cards of ``DASH_DATE``."""
+    keys = dau.device_days(A.startup_logs(spark, sf_dir))
+    return dashboard.metric_cards(dau.dau_total(keys, P.DASH_DATE), dau.new_devices(keys),
+                                  orders.amount_total(_orders(spark, sf_dir)), date=P.DASH_DATE)
+
+
 def province_sales(spark, sf_dir):
     """Q8: orders per province with the legend band (nation names joined).
 
@@ -156,8 +181,8 @@ def province_sales(spark, sf_dir):
 
 # ---- sale detail -------------------------------------------------------------------
 
-def _sale_detail(spark, sf_dir):
-    o = _orders(spark, sf_dir, with_customer=False)
+def _sale_detail(spark, sf_dir, day=None):
+    o = _orders(spark, sf_dir, with_customer=False, day=day)
     return sales.sale_detail(o, A.order_detail(spark, sf_dir), A.user_info(spark, sf_dir), P.AS_OF)
 
 
@@ -176,8 +201,9 @@ def user_latest(spark, sf_dir):
     return sales.latest_users(A.user_changes(spark, sf_dir))
 
 
-def _matched(spark, sf_dir):
-    return search.search(_sale_detail(spark, sf_dir), P.SEARCH_DATE, P.SEARCH_KEYWORD)
+def _matched(spark, sf_dir, level=None):
+    return search.search(_sale_detail(spark, sf_dir, day=P.SEARCH_DATE), P.SEARCH_DATE,
+                         P.SEARCH_KEYWORD, level)
 
 
 def sale_search_page(spark, sf_dir):
@@ -186,6 +212,18 @@ def sale_search_page(spark, sf_dir):
         *SALE_DETAIL_COLUMNS, "score")
 
 
+def sale_search_page2(spark, sf_dir):
+    """L1 + L5: the page of a row offset (the second one)."""
+    page_no = search.page_from_offset(P.PAGE2_OFFSET, P.PAGE_SIZE)
+    return search.page(_matched(spark, sf_dir), page_no, P.PAGE_SIZE).select(
+        *SALE_DETAIL_COLUMNS, "score")
+
+
+def sale_search_level(spark, sf_dir):
+    """the hits of one user level."""
+    return _matched(spark, sf_dir, P.SEARCH_LEVEL).select(*SALE_DETAIL_COLUMNS, "score")
+
+
 def sale_total(spark, sf_dir):
     """A13."""
     return search.total(_matched(spark, sf_dir))
@@ -213,7 +251,11 @@ def sale_age_share(spark, sf_dir):
 
 def sale_search_result(spark, sf_dir):
     """Q4-Q6 as the API returns them: total, option groups and the page, rendered as JSON."""
-    r = search.result(_matched(spark, sf_dir), P.PAGE_NO, P.PAGE_SIZE)
+    return _result_json(_matched(spark, sf_dir))
+
+
+def _result_json(matched):
+    r = search.result(matched, P.PAGE_NO, P.PAGE_SIZE)
     keep_nulls = {"ignoreNullFields": "false"}
     return r.select("total", F.to_json("stat", keep_nulls).alias("stat_json"),
                     F.to_json("detail", keep_nulls).alias("detail_json"))
@@ -247,6 +289,11 @@ def coupon_alert_minute(spark, sf_dir):
     return _flat_alerts(alerts.per_minute(_alerts(spark, sf_dir)))
 
 
+def coupon_alert_day(spark, sf_dir):
+    """Q7: the alerts of one day, one per device and minute."""
+    return alerts.for_day(coupon_alert_minute(spark, sf_dir), P.DASH_DATE)
+
+
 def dense_events(spark, sf_dir):
     """Event logs on the time scale of live traffic (epoch ms divided by ``LIVE_DIVISOR``)."""
     return A.event_logs(spark, sf_dir).withColumn(
@@ -268,23 +315,29 @@ QUERIES: dict[str, Query] = {
     "log_route": log_route,
     "log_date_hour": log_date_hour,
     "log_json_roundtrip": log_json_roundtrip,
+    "log_type_route": log_type_route,
     "cdc_route": cdc_route,
     "dau_first": dau_first,
     "dau_new_vs_seen": dau_new_vs_seen,
     "dau_total": dau_total,
     "dau_hour": dau_hour,
     "dau_hour_compare": dau_hour_compare,
+    "dau_hour_map": dau_hour_map,
+    "dau_hour_day": dau_hour_day,
     "new_devices": new_devices,
     "order_masked": order_masked,
     "order_amount_total": order_amount_total,
     "order_amount_hour": order_amount_hour,
     "order_amount_hour_compare": order_amount_hour_compare,
     "metric_cards": metric_cards,
+    "metric_cards_day": metric_cards_day,
     "province_sales": province_sales,
     "user_latest": user_latest,
     "sale_detail": sale_detail,
     "sale_unmatched": sale_unmatched,
     "sale_search_page": sale_search_page,
+    "sale_search_page2": sale_search_page2,
+    "sale_search_level": sale_search_level,
     "sale_total": sale_total,
     "sale_gender_topk": sale_gender_topk,
     "sale_age_topk": sale_age_topk,
@@ -294,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "sale_search_result": sale_search_result,
     "coupon_alert_windows": coupon_alert_windows,
     "coupon_alert_minute": coupon_alert_minute,
+    "coupon_alert_day": coupon_alert_day,
     "coupon_alert_30s": coupon_alert_30s,
     "coupon_alert_30s_minute": coupon_alert_30s_minute,
 }

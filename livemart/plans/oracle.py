@@ -14,7 +14,7 @@ LOGS = """
 lg AS (
   SELECT event_id, ts, epoch_us(ts) // 1000 AS ts_ms,
          CASE WHEN event_type = 'signup' THEN 'startup' ELSE 'event' END AS type,
-         'mid_' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 20 AS VARCHAR) AS mid,
+         'mid_' || CAST((user_id // 20) * 2 + CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 AS VARCHAR) AS mid,
          CAST(user_id AS VARCHAR) AS uid,
          'livemart' AS appid,
          'area_' || CAST(user_id % 10 AS VARCHAR) AS area,
@@ -51,7 +51,7 @@ det AS (
          CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS sku_id,
          p_name AS sku_name, p_retailprice AS sku_price,
          CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS sku_num
-  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"""
 
 # users reach the dimension through the change router: inserts (key mod 3 = 0)
 # and updates (= 1) are routed, deletes (= 2) are dropped
@@ -159,6 +159,9 @@ SELECT event_id, type, mid, uid, os, appid, area,
        ts_ms AS ts
 FROM lg""",
 
+    "log_type_route": """SELECT event_id, CASE WHEN event_type = 'signup' THEN 'STARTUP' ELSE 'EVENT' END AS topic
+FROM events""",
+
     "cdc_route": """
 SELECT 'ORDER' AS topic,
        CAST(json_object('id', CAST(o_orderkey AS VARCHAR), 'user_id', CAST(o_custkey AS VARCHAR),
@@ -337,11 +340,33 @@ FROM a""",
 
     "coupon_alert_minute": f"WITH {ALERTS} {LATEST_PER_MINUTE}",
 
+    "coupon_alert_day": f"""WITH {ALERTS},
+per_minute AS ({LATEST_PER_MINUTE})
+SELECT * FROM per_minute WHERE window_end LIKE '{P.DASH_DATE}%'""",
+
     "coupon_alert_30s": f"WITH {LIVE_ALERTS} SELECT * FROM alerts",
 
     "coupon_alert_30s_minute": f"WITH {LIVE_ALERTS} {LATEST_PER_MINUTE}",
 }
 
+ORACLE_SQL["dau_hour_map"] = f"""WITH hc AS ({ORACLE_SQL['dau_hour']})
+SELECT logdate, string_agg(loghour || ':' || CAST(ct AS VARCHAR), ',' ORDER BY loghour) AS hours
+FROM hc GROUP BY logdate"""
+ORACLE_SQL["dau_hour_day"] = f"""SELECT * FROM ({ORACLE_SQL['dau_hour_compare']}) WHERE logdate = '{P.DASH_DATE}'"""
+ORACLE_SQL["metric_cards_day"] = f"""WITH cards(id, name) AS (VALUES ('dau', '新增日活'), ('newMid', '新增设备'),
+                                                   ('order_amount', '新增交易额'))
+SELECT '{P.DASH_DATE}' AS date, cards.id, cards.name,
+       CASE WHEN cards.id = 'order_amount' THEN c.value ELSE coalesce(c.value, 0) END AS value
+FROM cards LEFT JOIN ({ORACLE_SQL['metric_cards']}) c ON c.id = cards.id AND c.date = '{P.DASH_DATE}'"""
+ORACLE_SQL["sale_search_page2"] = f"""WITH {MATCHED}
+SELECT order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender, user_age,
+       user_level, sku_price, sku_name, dt, sku_num, score
+FROM matched ORDER BY score DESC, order_detail_id LIMIT {P.PAGE_SIZE} OFFSET {P.PAGE2_OFFSET}"""
+ORACLE_SQL["sale_search_level"] = f"""WITH {MATCHED}
+SELECT order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender, user_age,
+       user_level, sku_price, sku_name, dt, sku_num, score
+FROM matched WHERE user_level = '{P.SEARCH_LEVEL}'"""
+
 
 ORACLE_SQL["stream_log_route"] = f"""WITH {LOGS}
 SELECT CASE WHEN type = 'startup' THEN 'STARTUP' ELSE 'EVENT' END AS topic, logdate,
@@ -357,5 +382,10 @@ STREAM_ORACLE_OF = {
     "stream_sale_detail": "sale_detail",
     "stream_sale_detail_late": "sale_detail",
     "stream_order_amount_hour": "order_amount_hour",
+    "stream_user_late": "sale_detail",
+    "stream_dau_late": "dau_first",
+    "stream_cdc_route": "cdc_route",
+    "sale_search_stored": "sale_search_result",
+    "dau_hour_stored": "dau_hour_day",
 }
 ORACLE_SQL.update({k: ORACLE_SQL[v] for k, v in STREAM_ORACLE_OF.items()})

@@ -6,6 +6,13 @@ SEARCH_DATE = "1997-02-01"
 SEARCH_KEYWORD = "widget"
 PAGE_NO = 1
 PAGE_SIZE = 5
+# First row of the second page (a table widget sends a row offset).
+PAGE2_OFFSET = 5
+SEARCH_LEVEL = "MACHINERY"
+# The day of the one-date dashboard queries.
+DASH_DATE = "2024-01-15"
+# The subscription regex of the change log.
+CDC_TABLES = r"^(order_info|order_detail|user_info)$"
 # Alert window and slide for the driver's sparse events (6 h / 1 h); the
 # upstream job used 30 s / 5 s on live traffic.
 ALERT_WINDOW_MS = 6 * 3600 * 1000

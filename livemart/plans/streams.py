@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livemart.functions.timefmt import epoch_millis_ntz
+from livemart.operators import search
 from livemart.operators.alerts import per_minute
 from livemart.plans import params as P
-from livemart.plans.catalog import _flat_alerts, dense_events
-from livemart.schemas import DAU_COLUMNS
+from livemart.plans.catalog import _flat_alerts, _result_json, dense_events, sale_detail
+from livemart.schemas import DAU_COLUMNS, SALE_DETAIL_COLUMNS
 from livemart.session import scratch_path
 from livemart.sources import adapters as A
 from livemart.streaming import jobs
@@ -41,6 +42,48 @@ def stream_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.view(spark).select(*DAU_COLUMNS)  # day folders put logdate last
 
 
+def stream_dau_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5 + SNK1: as ``stream_dau`` with a seventh of the start-ups twenty
+    days late, many behind the watermark; the repair takes them from the archived start-ups."""
+    root = scratch_path(spark, "stream_dau_late")
+    logs = A.startup_logs(spark, sf_dir)
+    late = F.when(F.pmod(F.xxhash64("event_id"), F.lit(7)) == 0, 20 * 86_400_000).otherwise(0)
+    src = _replay(spark, logs.withColumn("arrival", F.col("ts_ms") + late), root, "startup", "arrival")
+    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"])
+    jobs.dau_query(src.drop("arrival"), table, f"{root}/ckpt", trigger=ONCE).awaitTermination()
+    jobs.repair_dau(spark, table, logs, 1)
+    return table.view(spark).select(*DAU_COLUMNS)
+
+
+def dau_hour_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC5 + F6 + P15 + A8: the DAU table stored by day, one day and the day
+    before read back from their folders and compared by hour."""
+    from livemart.operators import dashboard, dau
+    root = scratch_path(spark, "dau_hour_stored")
+    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"])
+    table.write(dau.daily_active(A.startup_logs(spark, sf_dir)), 0)
+    days = table.view(spark).where(F.col("logdate").isin(P.DASH_DATE, dashboard.previous_date(P.DASH_DATE)))
+    return dashboard.hour_compare(dau.dau_hour(days), "logdate", "loghour", "ct", date=P.DASH_DATE)
+
+
+def stored_sales(spark: SparkSession, sf_dir: str, path: str) -> KeyedTable:
+    """The sale table laid out by month (16 writing tasks a month), each file
+    in day order, so that a day reads one folder and skips its other row groups."""
+    table = KeyedTable(path, ["month", "dt", "order_detail_id"], partition_by=["month"])
+    rows = sale_detail(spark, sf_dir).withColumn("month", F.substring("dt", 1, 7))
+    table.write(jobs.clustered(rows, ["month"], "order_detail_id", 16).sortWithinPartitions("month", "dt"), 0)
+    return table
+
+
+def sale_search_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC7 + F7 + Q4-Q6: the nested search response from the sale table stored
+    by month and day; the month and day filters reach its scan."""
+    sales = stored_sales(spark, sf_dir, f"{scratch_path(spark, 'sale_search_stored')}/sales").view(spark)
+    sales = sales.where(F.col("month") == P.SEARCH_DATE[:7])
+    hits = search.search(sales.select(*SALE_DETAIL_COLUMNS), P.SEARCH_DATE, P.SEARCH_KEYWORD)
+    return _result_json(hits)
+
+
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST2 + SNK4: coupon alerts as a stream, upserted by device and window, ok windows only."""
     root = scratch_path(spark, "stream_alerts")
@@ -105,6 +148,23 @@ def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.view(spark)
 
 
+def stream_user_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 with late users: half of the users arrive after their sales; the
+    refresh job fills the sale rows that were written without them."""
+    root = scratch_path(spark, "stream_user_late")
+    users = KeyedTable(f"{root}/users", ["id"], order=["seq"])
+    changes = A.user_changes(spark, sf_dir)
+    early = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    users.write(changes.where(early), 0)
+    o, d = _order_stream_inputs(spark, sf_dir)
+    table = KeyedTable(f"{root}/sales", ["order_detail_id"])
+    jobs.sale_query(_replay(spark, o, root, "order", "order_ms"), _replay(spark, d, root, "line", "change_ms"),
+                    users, table, f"{root}/ckpt", P.AS_OF, watermark="1 hour", trigger=ONCE).awaitTermination()
+    users.write(changes.where(~early), 1)
+    jobs.refresh_missing_users(spark, table, users, P.AS_OF, 1)
+    return table.view(spark)
+
+
 def stream_sale_detail_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + ST4 + ST5: as ``stream_sale_detail`` with a seventh of the lines six
     hours late, outside the stream's 10 s; the repair pairs them from the
@@ -158,7 +218,22 @@ def stream_log_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arch.select("topic", F.col("logdate").cast("string").alias("logdate"), "value")
 
 
+def stream_cdc_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3 + F1 + F2 + P3 + SNK9 end to end: change entries as a stream,
+    routed, written by topic and read back."""
+    root = scratch_path(spark, "stream_cdc")
+    src = _replay(spark, A.change_envelope(spark, sf_dir), root, "change", "seq")
+    jobs.change_route_query(src, f"{root}/topics", f"{root}/ckpt", P.CDC_TABLES,
+                            trigger=ONCE).awaitTermination()
+    return spark.read.parquet(f"{root}/topics").select("topic", "value")
+
+
 STREAM_QUERIES = {
+    "dau_hour_stored": dau_hour_stored,
+    "sale_search_stored": sale_search_stored,
+    "stream_cdc_route": stream_cdc_route,
+    "stream_dau_late": stream_dau_late,
+    "stream_user_late": stream_user_late,
     "stream_dau": stream_dau,
     "stream_alerts": stream_alerts,
     "stream_alerts_30s": stream_alerts_30s,

@@ -28,19 +28,21 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str | None = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "livemart", extra: dict | None = None) -> SparkSession:
     """Build (or fetch) a session with livemart's defaults.
 
     On a cluster pass ``master=None`` and leave the master to spark-submit;
     size ``shuffle_partitions`` to the data (about 128-256 MB per partition
-    after the map-side combine) -- AQE then coalesces small ones.
+    after the map-side combine, see ``cluster_conf``) -- AQE then coalesces
+    small ones.  Without it Spark's own setting stays.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

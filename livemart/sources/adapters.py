@@ -14,8 +14,8 @@ from livemart.functions.json import render
 from livemart.functions.timefmt import epoch_millis_ntz
 from livemart.sources.tables import read_table
 
-# Fixed value: the number of devices the log adapter spreads events over.
-DEVICES = 20
+# Fixed value: the number of users who share two devices.
+USERS_PER_PAIR = 20
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts",
         epoch_millis_ntz("ts").alias("ts_ms"),
         F.when(F.col("event_type") == "signup", "startup").otherwise("event").alias("type"),
-        F.concat(F.lit("mid_"), (k % DEVICES).cast("string")).alias("mid"),
+        F.concat(F.lit("mid_"), (F.floor(uid / USERS_PER_PAIR) * 2 + k % 2).cast("string")).alias("mid"),
         uid.cast("string").alias("uid"),
         F.lit("livemart").alias("appid"),
         F.concat(F.lit("area_"), (uid % 10).cast("string")).alias("area"),
@@ -80,14 +80,23 @@ def _create_time() -> F.Column:
     return F.date_format(F.col("o_orderdate") + offset, "yyyy-MM-dd HH:mm:ss")
 
 
-def order_rows(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataFrame:
+def order_rows(spark: SparkSession, sf_dir: str, with_customer: bool = True,
+               day: str | None = None) -> DataFrame:
     """Raw order-info rows (unmasked, no derived date/hour), from ``orders``.
 
+    ``day`` lets the scan skip row groups that cannot hold orders created on
+    that day: the creation time is at most a day after ``o_orderdate``.  The
+    caller still filters on the derived date.
+
     ``with_customer`` joins ``customer`` for the province and phone; consumers
     that need neither (the sale join) skip that shuffle.
     """
     o = read_table(spark, sf_dir, "orders",
                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    if day is not None:
+        start = F.to_timestamp_ntz(F.lit(day))
+        o = o.where((F.col("o_orderdate") >= start - F.expr("INTERVAL 1 DAY"))
+                    & (F.col("o_orderdate") < start + F.expr("INTERVAL 1 DAY")))
     base = o.select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_custkey"),
@@ -166,10 +175,10 @@ def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     are emitted in (seq desc) order per file so arrival order != change order.
     """
     cur = user_info(spark, sf_dir)
-    v2 = cur.select("*", F.lit(2).cast("bigint").alias("seq"))
-    v1 = cur.select("id", "login_name", F.lit("NEW").alias("user_level"), "birthday", "gender",
-                    F.lit(1).cast("bigint").alias("seq"))
-    return v2.unionByName(v1)
+    versions = F.array(F.struct(F.lit(2).cast("bigint").alias("seq"), F.col("user_level")),
+                       F.struct(F.lit(1).cast("bigint").alias("seq"), F.lit("NEW").alias("user_level")))
+    return (cur.select("id", "login_name", "birthday", "gender", F.explode(versions).alias("v"))
+               .select("id", "login_name", "v.user_level", "birthday", "gender", "v.seq"))
 
 
 def _op(key) -> F.Column:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from livemart.operators import alerts, ingest, orders, sales
+from livemart.operators import alerts, dau, ingest, orders, sales
 from livemart.operators.dau import DAU_ORDER
 from livemart.operators.keyed import first_per_key
 from livemart.schemas import DAU_COLUMNS
@@ -219,6 +219,25 @@ def log_route_query(raw_text: DataFrame, path: str, checkpoint: str, stamp=None,
                   name="log_route", path=path, partitionBy=["topic", "logdate"])
 
 
+def change_route_query(entries: DataFrame, path: str, checkpoint: str, table_pattern: str | None = None,
+                       splits: int = 16, trigger: dict | None = None) -> StreamingQuery:
+    """SRC3 + SNK9: change entries as a stream, routed and written by topic."""
+    routed = ingest.route_changes(entries, table_pattern=table_pattern).select("topic", "value")
+    return _start(clustered(routed, ["topic"], "value", splits), checkpoint, trigger, "append",
+                  name="cdc_route", path=path, partitionBy=["topic"])
+
+
+def repair_dau(spark, table: KeyedTable, startups: DataFrame, repair_id: int) -> None:
+    """ST5: first start-ups that the stream dropped as late, from the archived
+    start-ups: (day, device) rows that are missing from the table, or whose
+    stored start is not the first one, are written as repair ``repair_id``."""
+    view = table.view(spark, with_batch=True, before_repair=repair_id)
+    now = view.select("logdate", "mid", F.col("ts").alias("_ts"), BATCH_COL)
+    first = dau.daily_active(startups).join(now, ["logdate", "mid"], "left")
+    wrong = first.where(F.col("_ts").isNull() | (F.col("ts") < F.col("_ts")))
+    table.repair(wrong.withColumn(BATCH_COL, F.coalesce(BATCH_COL, F.lit(0).cast("long"))).drop("_ts"), repair_id)
+
+
 def refresh_missing_users(spark, sales_table: KeyedTable, users: KeyedTable, as_of: str,
                           repair_id: int) -> int:
     """Re-enrich sale rows written before their user arrived (late dimension).

@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# rows a replayed file holds at most (about; slices are round-robin split)
+ROWS_PER_FILE = 1_000_000
+
+
 def to_chunks(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
-              files_per_chunk: int = 4, fmt: str = "parquet") -> str:
+              files_per_chunk: int = 4, fmt: str = "parquet") -> int:
     """Write ``df`` to ``path`` in ``chunks`` time slices of ``time_ms_col`` (epoch ms).
 
     Each slice is one distributed write of ``files_per_chunk`` files (a
@@ -22,14 +26,19 @@ def to_chunks(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
     are written in time order, so file modification times order them and a
     reader taking ``files_per_chunk`` files per trigger sees one slice per
     micro-batch.  ``fmt="text"`` writes the single string column other than
-    the time column as text lines.  Returns ``path``.
+    the time column as text lines.  A slice has ``files_per_chunk`` files, or
+    more where it would hold more than about ``ROWS_PER_FILE`` rows a file, so the
+    tasks grow with the input; returns the number of files of a slice.  An
+    empty input is one empty file.
     """
     # the input is computed once and kept (memory, spilling to disk) for the
     # span aggregate and the slice writes
     df = df.persist()
     try:
-        span = df.agg(F.min(time_ms_col).alias("lo"), F.max(time_ms_col).alias("hi")).first()
-        lo, hi = int(span["lo"]), int(span["hi"])
+        span = df.agg(F.min(time_ms_col).alias("lo"), F.max(time_ms_col).alias("hi"),
+                      F.count(F.lit(1)).alias("n")).first()
+        lo, hi = int(span["lo"] or 0), int(span["hi"] or 0)
+        files_per_chunk = max(files_per_chunk, -(-span["n"] // (chunks * ROWS_PER_FILE)))
         width = max((hi - lo + 1) / chunks, 1.0)
         slot = F.least(F.floor((F.col(time_ms_col) - F.lit(lo)) / F.lit(width)), F.lit(chunks - 1))
         tagged = df.withColumn("_slot", slot)
@@ -41,7 +50,7 @@ def to_chunks(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
                 part.write.mode("append").parquet(path)
     finally:
         df.unpersist()
-    return path
+    return files_per_chunk
 
 
 def replay_stream(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
@@ -54,7 +63,7 @@ def replay_stream(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
     rows still to come in the same slice and drop them as late.
     """
     from livemart.streaming.sources import read_folder, read_log_text
-    to_chunks(df, path, time_ms_col, chunks, files_per_chunk, fmt)
+    files_per_chunk = to_chunks(df, path, time_ms_col, chunks, files_per_chunk, fmt)
     if fmt == "text":
         return read_log_text(df.sparkSession, path, max_files_per_trigger=files_per_chunk)
     return read_folder(df.sparkSession, path, df.schema, max_files_per_trigger=files_per_chunk)

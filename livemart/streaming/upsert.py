@@ -103,11 +103,13 @@ class KeyedTable:
         return int(row["upto"]) if row else None
 
     def _read_if_there(self, spark: SparkSession, path: str, plain: bool = False) -> DataFrame | None:
-        """The table at ``path``, or None where no such path exists; other failures are raised."""
+        """The table at ``path``, or None where no such path exists or it holds no
+        file (rows laid out by folder leave none when there are none); other
+        failures are raised."""
         try:
             return spark.read.parquet(path) if plain else self._read(spark, path)
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return None
 

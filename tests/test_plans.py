@@ -48,6 +48,34 @@ def test_cluster_conf_sizes_partitions():
     assert int(cluster_conf(64, 1 << 30)["spark.sql.shuffle.partitions"]) == 192  # 3 waves of cores
 
 
+def test_raw_search_pushes_a_day_range_to_the_orders_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # the scan's filters in full
+    try:
+        p = plan(QUERIES["sale_total"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = [l for l in p.splitlines() if "FileScan parquet" in l and "o_orderdate" in l][0]
+    assert "GreaterThanOrEqual(o_orderdate" in scan and "LessThan(o_orderdate" in scan
+
+
+def test_stored_search_prunes_months_and_pushes_the_day(spark, scratch):
+    from livemart.operators import search
+    from livemart.plans.streams import stored_sales
+    sales = stored_sales(spark, SF_SMALL, f"{scratch}/sales").view(spark)
+    p = plan(search.search(sales.where("month = '1997-02'"), "1997-02-01", "widget"))
+    scan = [l for l in p.splitlines() if "FileScan parquet" in l][0]
+    assert "1997-02)" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "EqualTo(dt,1997-02-01)" in scan
+
+
+def test_alert_decision_gathers_nothing_before_its_filter(spark):
+    """Sets and lists are built only above the join with the alerting windows."""
+    p = QUERIES["coupon_alert_windows"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    lines = p.splitlines()
+    join = min(i for i, l in enumerate(lines) if "Join " in l)
+    assert not any("collect_" in l for l in lines[join:]), p
+
+
 def test_search_filters_reach_the_scans(spark):
     df = QUERIES["sale_total"](spark, SF_SMALL)
     p = df._jdf.queryExecution().optimizedPlan().toString()

@@ -302,3 +302,29 @@ def test_line_outside_the_time_bound_is_paired_by_the_repair(spark, scratch):
         jobs.pair_late(spark, table, stored_o, stored_d, users, "2001-08-02", repair)
         got = sorted((r.order_detail_id, r.user_gender) for r in table.view(spark).collect())
         assert got == [("1_1", "F"), ("1_2", "F")]
+
+
+def test_late_start_ups_are_repaired_and_an_empty_repair_changes_nothing(spark, scratch):
+    logs = A.startup_logs(spark, SF_SMALL)
+    first = dau.daily_active(logs)
+    key = ("logdate", "mid")
+    full = KeyedTable(f"{scratch}/full", key, partition_by=["logdate"])
+    full.write(first, 0)
+    jobs.repair_dau(spark, full, logs, 1)  # nothing to repair: no file is written
+    assert full.view(spark).count() == first.count()
+    # a table that saw only the later half of every day
+    half = KeyedTable(f"{scratch}/half", key, partition_by=["logdate"])
+    half.write(dau.daily_active(logs.where(F.col("loghour") >= "12")), 0)
+    for _ in range(2):  # a repair run again gives the same rows
+        jobs.repair_dau(spark, half, logs, 1)
+        got = half.view(spark).select(*first.columns)
+        assert got.exceptAll(first).isEmpty() and first.exceptAll(got).isEmpty()
+
+
+def test_replay_of_an_empty_table(spark, scratch):
+    df = spark.createDataFrame([], "id long, ms long")
+    src = replay_stream(df, f"{scratch}/in", "ms")
+    q = (src.writeStream.format("parquet").option("checkpointLocation", f"{scratch}/c")
+            .trigger(availableNow=True).start(f"{scratch}/out"))
+    q.awaitTermination()
+    assert spark.read.schema(df.schema).parquet(f"{scratch}/out").count() == 0
