@@ -29,7 +29,7 @@ HEADLINE = (
 # streaming queries replay the tables through a file stream into a keyed
 # sink; each run writes new folders, so they run once
 STREAMING = ("stream_dau", "stream_alerts", "stream_user_dim", "stream_sale_detail",
-             "stream_order_amount_hour", "stream_log_route")
+             "stream_order_amount_hour", "stream_log_route", "stream_cdc_route", "sale_search_stored")
 
 
 def main() -> None:
