@@ -8,9 +8,13 @@ template tokens of the benchmark items are hash-joined with the windows of
 the documents, so a question with other numbers, names or units still meets
 its template.  Then the slots decide: the values that the document puts into
 the item's placeholders must be consistent (one item value always becomes the
-same document value); windows against the majority do not count.  A document
-holds an item when consistent windows cover at least ``min_share`` of the
-item's windows.
+same document value); windows against the majority do not count.  They are
+judged within each occurrence of the item, since a document may hold it several
+times with other values: the windows of one alignment, those of alignments that
+follow each other in the item's order (words put in or left out), and all
+together.  A document holds an item when the consistent windows of one of these
+cover at least ``min_share`` of the item's windows; the best is reported, and of
+equals one with the item's own values.
 
 Scale: the documents are read once per block of the benchmark and never
 shuffled; a block of the benchmark is broadcast.  Its size is bounded by
@@ -165,6 +169,41 @@ def _consistent(hits: list, plain: np.ndarray, values: np.ndarray, doc_values: n
     return len(good), any(a != b for a, b in chosen.items())
 
 
+def _occurrences(hits: list) -> Iterator[list]:
+    """The hits of each alignment, of alignments in the item's order, and all of them."""
+    runs: dict[int, list] = {}
+    for at, pos in hits:
+        runs.setdefault(at - pos, []).append((at, pos))
+    yield hits
+    if len(runs) == 1:
+        return
+    yield from runs.values()
+    longest: dict[int, tuple[int, int, int]] = {}  # of a window met at several places of the item
+    for shift, run in runs.items():
+        for at, pos in run:
+            longest[at] = max(longest.get(at, (0, 0, 0)), (len(run), -abs(shift), pos))
+    chain: list[tuple[int, int]] = []
+    for at in sorted(longest):
+        pos = longest[at][2]
+        if chain and pos <= chain[-1][1]:
+            yield chain
+            chain = []
+        chain.append((at, pos))
+    yield chain
+
+
+def _best(hits: list, plain: np.ndarray, values: np.ndarray, doc_values: np.ndarray, size: int,
+          least: float) -> tuple[int, bool]:
+    """``_consistent`` of the best occurrence with at least ``least`` windows; (0, False) without one."""
+    found = (0, False)
+    for part in _occurrences(hits):
+        if len({pos for _, pos in part}) >= max(least, found[0]):
+            good, other = _consistent(part, plain, values, doc_values, size)
+            if good >= least and (good, not other) > (found[0], found[0] > 0 and not found[1]):
+                found = good, other
+    return found
+
+
 def _match(shared, min_share: float):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench: Benchmark = shared.value
@@ -186,8 +225,8 @@ def _match(shared, min_share: float):
                         n = int(bench.n_windows[k])
                         if len({p for _, p in places}) < min_share * n:
                             continue
-                        good, other = _consistent(places, *bench.slots[k], t.value, size)
-                        if good >= min_share * n:
+                        good, other = _best(places, *bench.slots[k], t.value, size, min_share * n)
+                        if good:
                             rows.append(i + r)
                             items.append(bench.ids[k])
                             met.append(good)

@@ -130,6 +130,29 @@ def test_decontaminate(spark, make_docs):
     assert {r.doc_id for r in blocks} == {1, 2, None}
 
 
+def test_decontaminate_several_occurrences(spark, make_docs):
+    form = ("If {} has {} apples and {} pears and gives {} apples to {} then how many apples and how many pears "
+            "does {} have now and what do {} apples cost at {} cents each?")
+
+    def item(a, b, *n):
+        return form.format(a, n[0], n[1], n[2], b, a, n[3], n[4])
+    own, one, two = item("Anna", "Bob", 12, 7, 5, 9, 30), item("Carl", "Dora", 40, 21, 8, 3, 55), item("Emil", "Fay", 6, 4, 2, 77, 91)
+    bench = spark.createDataFrame([(1, own)], "item_id long, text string")
+    cut = two.replace("how many pears", "how very many ripe pears")
+    rows = [(1, one + " " + two), (2, own + " " + one), (3, one + "\n" + two + "\n" + own), (4, one), (5, own),
+            (6, cut + " " + one[:60]), (7, " ".join(item("P" + "abcdefgh"[k], "Q" + "abcdefgh"[k], *range(k, k + 5))
+                                                    for k in range(8)))]
+    found = {r.doc_id: r for r in decontaminate.leaks(make_docs(rows), bench).collect()}
+    assert {k: r.reparameterised for k, r in found.items()} == {
+        1: True, 2: False, 3: False, 4: True, 5: False, 6: True, 7: True}
+    assert all(found[k].n_windows == found[k].item_windows for k in (1, 2, 3, 4, 5, 7))
+    # consistent in no occurrence
+    odd = item("Carl", "Dora", 1, 2, 3, 4, 5).replace("does Carl", "does Gus")
+    assert decontaminate._best([(0, 0), (10, 0)], np.array([False, False]), np.array([5, 5], dtype=np.uint64),
+                               np.arange(12, dtype=np.uint64), 2, 1) == (0, False)
+    assert decontaminate.leaks(make_docs([(1, odd)]), bench, min_share=1.0).count() == 0
+
+
 def test_toxicity(spark, make_docs):
     bad = ["grubblo", "snarkle"]
     rows = [(k, " ".join(words(40) + ([rng.choice(bad)] * 2 if k % 5 == 0 else []))) for k in range(200)]
