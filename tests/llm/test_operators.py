@@ -153,6 +153,24 @@ def test_decontaminate_several_occurrences(spark, make_docs):
     assert decontaminate.leaks(make_docs([(1, odd)]), bench, min_share=1.0).count() == 0
 
 
+def test_decontaminate_items_without_template(spark, make_docs):
+    items = [(1, "Evaluate 3/4 + 5/6"), (2, "Who wrote Hamlet?"), (3, "Who Wrote Romeo And Juliet"), (4, "2+2=?"),
+             (5, "What is the capital of France?"), (6, "ALICE BOB CAROL DAVE EVE FRANK GRACE HEIDI IVAN JUDY"),
+             (7, "小明有三个苹果，他又买了五个，现在他一共有几个苹果？"), (8, "ผมชอบกินข้าวผัด"), (9, "Maria Jones drove fast to town"),
+             (10, "Yes"), (11, "中国"), (12, "+ = ?"), (13, " ".join(map(str, range(30, 60))))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    held = [(k, f"bla bla {t} more text") for k, t in items if k not in (10, 11, 12)]
+    held += [(10, "He agreed. Yes. No"), (11, "他说：中国。")]
+    other = [(101, "and then What is the capital of Spain? yes"), (102, "and Rome is the capital of Italy now"),
+             (103, "I know who wrote Hamlet, yes"), (104, "我爱中国人民"), (105, "2 2 is four"), (106, "+ = ?"), (107, "Yes, and no"),
+             (108, " ".join(map(str, range(30, 40))))]
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(make_docs(held + other), bench).collect()}
+    assert set(found) == {(k, k) for k, _ in held} | {(101, 5)}
+    assert {k for k, r in found.items() if r.reparameterised} == {(101, 5)}
+    clean = decontaminate.without_leaks(make_docs(held + other), bench, block_items=3)
+    assert sorted(r.doc_id for r in clean.collect()) == list(range(102, 109))
+
+
 def test_toxicity(spark, make_docs):
     bad = ["grubblo", "snarkle"]
     rows = [(k, " ".join(words(40) + ([rng.choice(bad)] * 2 if k % 5 == 0 else []))) for k in range(200)]
