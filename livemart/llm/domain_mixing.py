@@ -7,11 +7,13 @@
 2. Posteriors are rounded to a grid of 1/``GRID``; documents in one cell are
    alike in all that follows, so the fit reads one row per cell (sums of
    tokens), however many documents there are and however they are skewed.
-3. Distributed projected-gradient least squares finds document rates r >= 0
-   whose expected token totals, sum of r * tokens * posterior, match the
-   targets.  Each step is one aggregate over the cells; the gradient is
-   scaled by each domain's own token total.  A rate is a function of the
-   posterior and of the steps' gradients (a short list of K numbers each).
+3. Distributed least squares finds document rates r >= 0 whose expected token
+   totals, sum of r * tokens * posterior, match the targets, and among these the
+   ones nearest to 1: r = max(0, 1 - posterior . g) with K numbers g.  A pull of
+   ``PULL`` on g keeps it finite where no rates reach the targets.  Each step of
+   Newton's method is one aggregate over the cells (totals and K x K Hessian)
+   for each length tried.  Steps go on until nothing is left to gain;
+   ``residual`` tells by how much of the corpus the worst domain is off.
 4. A document is taken floor(r + u) times, u uniform from a hash of the row.
 
 Target totals are ``weights`` times the largest corpus for which no domain has
@@ -27,8 +29,10 @@ gives an empty result.
 
 from __future__ import annotations
 
+import logging
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +43,8 @@ BINS = 16
 STATISTICS = 6
 SOFTEN = 2.0  # the statistics are not independent: log odds are divided by this
 TARGETS = {"1": 0.99, "0": 0.01}
+TOLERANCE = 1e-4
+PULL = 1e-8
 
 
 def statistics(text: Column) -> list[Column]:
@@ -89,44 +95,70 @@ def _posteriors(domains: list[str], counts: dict) -> list[Column]:
         for d, p in zip(domains, parts, strict=True)]
 
 
-def _rate(posterior: list[Column], gradients: list[list[float]]) -> Column:
-    """The rate after the steps so far: start at 1, step against each gradient, stay at or above 0."""
-    if not gradients:
-        return F.lit(1.0)
-    return F.aggregate(F.lit(gradients), F.lit(1.0), lambda r, g: F.greatest(
-        F.lit(0.0), r - sum((p * F.get(g, k) for k, p in enumerate(posterior[1:], 1)), posterior[0] * F.get(g, 0))))
+def _rate(posterior: list[Column], pressure: list[float]) -> Column:
+    """The rate at or above 0 that the domains' pressures (K numbers, none yet: 1) leave of 1."""
+    return F.greatest(F.lit(0.0), sum((p * -g for p, g in zip(posterior, pressure, strict=True)), F.lit(1.0))) \
+        if pressure else F.lit(1.0)
 
 
-def fit_rates(cells: DataFrame, shares: list[float], names: list[str], max_steps: int = 30,
-              tolerance: float = 1e-4) -> list[list[float]]:
-    """Gradients of the projected-gradient steps over ``cells`` (grid columns ``names``, tokens)."""
+def _target(start: list[float], shares: list[float]) -> list[float]:
+    """Target totals of the domains: ``shares`` of the largest corpus without a domain taken more than once."""
+    live = [k for k, t in enumerate(start) if t > 0 and shares[k] > 0]
+    weight = sum(shares[k] for k in live)
+    size = min((start[k] / (shares[k] / weight) for k in live), default=0.0)
+    return [size * shares[k] / weight if k in live else 0.0 for k in range(len(shares))]
+
+
+def fit_rates(cells: DataFrame, shares: list[float], names: list[str], max_steps: int = 200,
+              tolerance: float = TOLERANCE) -> tuple[list[float], float]:
+    """(pressure, residual) of the rates over ``cells`` (grid columns ``names``, tokens).
+
+    ``residual`` is the largest distance of a domain's total from its target,
+    as a share of the target corpus.
+    """
+    k = len(names)
     total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
     posterior = [F.col(c) / total for c in names]
 
-    def totals(gradients: list[list[float]]) -> list[float]:
-        rate = _rate(posterior, gradients)
-        row = cells.agg(*[F.sum(rate * F.col("tokens") * p) for p in posterior]).first()
-        return [x or 0.0 for x in row]
-    start = totals([])
-    live = [k for k, t in enumerate(start) if t > 0 and shares[k] > 0]
-    if not live:
-        return []
-    weight = sum(shares[k] for k in live)
-    size = min(start[k] / (shares[k] / weight) for k in live)
-    target = [size * shares[k] / weight if k in live else 0.0 for k in range(len(shares))]
-    gradients: list[list[float]] = []
-    now = start
+    def at(pressure: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Half the tokens' squared rates, the totals, and the Hessian over the documents above 0."""
+        rate = _rate(posterior, pressure.tolist())
+        free = F.when(rate > 0, F.col("tokens")).otherwise(0)
+        row = [x or 0.0 for x in cells.agg(
+            F.sum(rate * rate * F.col("tokens")), *[F.sum(rate * F.col("tokens") * p) for p in posterior],
+            *[F.sum(free * p * q) for p in posterior for q in posterior]).first()]
+        return row[0] / 2, np.array(row[1:k + 1]), np.array(row[k + 1:]).reshape(k, k)
+    pressure = np.zeros(k)
+    half, totals, hessian = at(pressure)
+    target = np.array(_target(totals.tolist(), shares))
+    size = float(target.sum())
+    if size == 0:
+        return [], 0.0
+    pull = PULL * size
+
+    def gap(pressure: np.ndarray, half: float) -> float:
+        return half + float(target @ pressure) + pull / 2 * float(pressure @ pressure)
     for _ in range(max_steps):
-        residual = [n - t for n, t in zip(now, target, strict=True)]
-        if max(abs(x) for x in residual) <= tolerance * size:
+        slope = target - totals + pull * pressure
+        step = np.linalg.solve(hessian + pull * np.eye(k), -slope)
+        if np.abs(slope).max() <= tolerance / 100 * size:
             break
-        gradients.append([x / s if s > 0 else 0.0 for x, s in zip(residual, start, strict=True)])
-        now = totals(gradients)
-    return gradients
+        now, length = gap(pressure, half), 1.0
+        while length > 1e-9:
+            trial = pressure + length * step
+            half, totals, hessian = at(trial)
+            if gap(trial, half) <= now + 1e-4 * length * float(slope @ step):
+                break
+            length /= 4
+        else:
+            break  # nothing is left to gain
+        pressure = trial
+    totals = at(pressure)[1]
+    return pressure.tolist(), float(np.abs(totals - target).max()) / size
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """doc_id, tokens, p_<domain>, rate, copies of every row of ``docs``."""
+    """doc_id, tokens, p_<domain>, rate, copies of every row of ``docs``, and the residual of the fit."""
     weights = TARGETS if weights is None else weights
     described = written(_described(docs), "described")
     labelled = described.join(domain_of_labels(labels), F.col("doc_id") == F.col("label_id"))
@@ -136,19 +168,23 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
         counts[d, -1, 0] = sum(c for (e, s, _), c in counts.items() if e == d and s == 0)
     domains = sorted({k[0] for k in counts} & set(weights))
     if not domains:
-        return described.select("doc_id", "tokens", F.lit(1.0).alias("rate"), F.lit(1).alias("copies"))
+        return described.select("doc_id", "tokens", F.lit(1.0).alias("rate"), F.lit(1).alias("copies"),
+                                F.lit(0.0).alias("residual"))
     names = [f"g_{k}" for k in range(len(domains))]
     # written, so that the posteriors are not computed again in every step of a rate
     member = written(described.withColumns(dict(zip(names, _posteriors(domains, counts), strict=True))).drop("bins"),
                      "members")
     cells = written(member.groupBy(*names).agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "cells")
-    gradients = fit_rates(cells, [weights[d] for d in domains], names)
+    pressure, residual = fit_rates(cells, [weights[d] for d in domains], names)
+    if residual > TOLERANCE:
+        logging.getLogger(__name__).warning("domain targets missed by %.2e of the corpus", residual)
     total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
     posterior = [F.col(c) / total for c in names]
     draw = F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (member.withColumn("rate", _rate(posterior, gradients))
+    return (member.withColumn("rate", _rate(posterior, pressure))
             .select("doc_id", "tokens", *[p.alias(f"p_{d}") for d, p in zip(domains, posterior, strict=True)], "rate",
-                    F.floor(F.round("rate", 6) + draw).cast("int").alias("copies"), F.col("draw").alias("row_hash")))
+                    F.floor(F.round("rate", 6) + draw).cast("int").alias("copies"), F.lit(residual).alias("residual"),
+                    F.col("draw").alias("row_hash")))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:

@@ -260,6 +260,28 @@ def test_domain_mixing(spark, make_docs):
     assert domain_mixing.mixed(make_docs(rows), labels.limit(0)).count() == len(rows)
 
 
+# (p_0 in fiftieths, tokens) of soft posteriors: few documents are wholly in one domain
+SOFT = [(0, 389795), (1, 2204032), (2, 660353), (5, 138164), (15, 9687), (18, 14202), (24, 55815), (31, 19126), (40, 10854),
+        (42, 13158), (47, 78894), (48, 137125), (49, 53101), (50, 62351)]
+
+
+def test_domain_rates_reach_targets(spark):
+    cells = spark.createDataFrame([(p, 50 - p, t) for p, t in SOFT], "g_0 int, g_1 int, tokens long")
+    posterior = [F.col(c) / 50 for c in ("g_0", "g_1")]
+    shares = [domain_mixing.TARGETS["0"], domain_mixing.TARGETS["1"]]
+    pressure, residual = domain_mixing.fit_rates(cells, shares, ["g_0", "g_1"])
+    rows = cells.withColumn("rate", domain_mixing._rate(posterior, pressure)).collect()
+    poor, good = (sum(r.rate * r.tokens * r[c] / 50 for r in rows) for c in ("g_0", "g_1"))
+    assert residual <= domain_mixing.TOLERANCE and all(r.rate >= 0 for r in rows)
+    assert abs(poor / (poor + good) - shares[0]) < 2e-4
+    # no rates reach these: the best is found and what is missing is told
+    residual = domain_mixing.fit_rates(cells.where("g_0 between 2 and 48"), shares, ["g_0", "g_1"])[1]
+    assert 0.02 < residual < 0.04
+    three = spark.createDataFrame([(50 - a - b, a, b, 100 + 7 * a + b * b) for a in range(0, 51, 5) for b in range(0, 51 - a, 5)],
+                                  "g_0 int, g_1 int, g_2 int, tokens long")
+    assert domain_mixing.fit_rates(three, [0.9, 0.09, 0.01], ["g_0", "g_1", "g_2"])[1] <= domain_mixing.TOLERANCE
+
+
 BASE = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
         ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
 
