@@ -16,8 +16,10 @@
    ``residual`` tells by how much of the corpus the worst domain is off.
 4. A document is taken floor(r + u) times, u uniform from a hash of the row.
 
-Target totals are ``weights`` times the largest corpus for which no domain has
-to be repeated.  The data path uses DataFrame functions only.
+A domain is a quality of the labelled table.  Target totals are ``weights``
+(``TARGETS`` unless given) times the largest corpus for which the domains with
+half of the weight need not be repeated; a scarcer domain is repeated, but its
+target is at most ``MAX_REPEATS`` times what there is of it.  The data path uses DataFrame functions only.
 
 Defined cases: null and empty texts have no tokens, get the prior as posterior
 and a rate like others; labels that are null or without a document are not
@@ -45,6 +47,7 @@ SOFTEN = 2.0  # the statistics are not independent: log odds are divided by this
 TARGETS = {"1": 0.99, "0": 0.01}
 TOLERANCE = 1e-4
 PULL = 1e-8
+MAX_REPEATS = 4.0
 
 
 def statistics(text: Column) -> list[Column]:
@@ -102,11 +105,12 @@ def _rate(posterior: list[Column], pressure: list[float]) -> Column:
 
 
 def _target(start: list[float], shares: list[float]) -> list[float]:
-    """Target totals of the domains: ``shares`` of the largest corpus without a domain taken more than once."""
+    """Target totals of the domains: ``shares`` of a corpus that no scarce domain of small share shrinks."""
     live = [k for k, t in enumerate(start) if t > 0 and shares[k] > 0]
     weight = sum(shares[k] for k in live)
-    size = min((start[k] / (shares[k] / weight) for k in live), default=0.0)
-    return [size * shares[k] / weight if k in live else 0.0 for k in range(len(shares))]
+    enough = {k: start[k] / (shares[k] / weight) for k in live}  # corpus for which a domain suffices
+    size = max((x for x in enough.values() if 2 * sum(shares[k] for k in live if enough[k] >= x) >= weight), default=0.0)
+    return [min(size * shares[k] / weight, MAX_REPEATS * start[k]) if k in live else 0.0 for k in range(len(shares))]
 
 
 def fit_rates(cells: DataFrame, shares: list[float], names: list[str], max_steps: int = 200,

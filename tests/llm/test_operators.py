@@ -282,6 +282,16 @@ def test_domain_rates_reach_targets(spark):
     assert domain_mixing.fit_rates(three, [0.9, 0.09, 0.01], ["g_0", "g_1", "g_2"])[1] <= domain_mixing.TOLERANCE
 
 
+def test_scarce_domain_does_not_shrink_the_rest():
+    def target(start, shares):
+        return [round(x, 6) for x in domain_mixing._target(start, shares)]
+    assert target([8.0, 990.0], [0.01, 0.99]) == [10.0, 990.0]  # repeated
+    assert target([1.0, 990.0], [0.01, 0.99]) == [4.0, 990.0]  # as often as allowed
+    assert target([135.0, 990.0], [0.01, 0.99]) == [10.0, 990.0]
+    assert target([25.0, 75.0], [0.5, 0.5]) == [75.0, 75.0]
+    assert target([0.0, 75.0], [0.5, 0.5]) == [0.0, 75.0] and target([0.0, 0.0], [0.5, 0.5]) == [0.0, 0.0]
+
+
 BASE = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
         ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
 
