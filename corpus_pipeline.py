@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next one's ``docs``.  All stages but the last
-return the columns of ``documents``; the last gives each remaining row its
+return the columns of ``documents``; the last adds each remaining row's
 shard and slot.  What a stage drops is gone for those after it:
 
 1. toxicity: toxic documents go (the model is fitted on the stage's input);
@@ -51,7 +51,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shuffle_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shard_shuffle.shard_rows(docs)
+    return shard_shuffle.shuffle(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

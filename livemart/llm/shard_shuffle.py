@@ -1,7 +1,7 @@
 """Uniform shuffle into shards of exact sizes by a hypergeometric communication matrix.
 
 1. Every row gets a unique row number and one of P source parts (P grows with
-   the rows, at most ``MAX_PARTS``); the slim rows (no texts) are written.
+   the rows, at most ``MAX_PARTS``); the numbered rows are written whole.
 2. The matrix of counts part -> shard is drawn exactly: the counts of a part
    are multivariate hypergeometric given the seats still free in each shard,
    which is the law of a uniform shuffle.  It has at most MAX_PARTS rows (a
@@ -11,13 +11,16 @@
 4. After the exchange each shard is permuted again.  A shard is one order of
    a second hash, cut into buckets of equal hash ranges, so that no task sorts
    a whole shard; slots are bucket offset plus place in the bucket.
+5. Steps 2 to 4 need row numbers only.  Then the whole rows meet their shard and
+   slot, and are exchanged to the buckets of their shards and sorted by slot.
 
 Law ``rows``: shard sizes differ by one row at most.  The data path uses
 DataFrame functions only.
 
 Defined cases: a null text has size 1 and checksum 0; null and repeated ids
 and repeated rows are rows like others, each with its own slot; an empty table
-gives an empty result.  Other columns are ignored.
+gives an empty result.  All columns are kept; ones named ``shard`` or ``slot``
+are replaced.
 """
 
 from __future__ import annotations
@@ -73,15 +76,13 @@ def _normal_hypergeometric(rng: np.random.Generator, good: int, bad: int, draws:
     return int(np.clip(round(rng.normal(mean, np.sqrt(var))), max(0, draws - bad), min(good, draws)))
 
 
-def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 20) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row of ``docs``."""
+def shuffle(docs: DataFrame, shards: int = 16, seed: int = 20) -> DataFrame:
+    """Every row of ``docs`` (all columns) with its shard and slot, in the order of the slots in a bucket."""
     spark = docs.sparkSession
-    text = F.col("text").cast("string")
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-                       F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-                       F.monotonically_increasing_id().alias("row"))
-    slim = written(slim, "slim")  # freezes the row numbers
+    docs = docs.drop("shard", "slot")
+    names = [f"c{k}" for k in range(len(docs.columns))]  # names of the input may clash with ours
+    whole = written(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "whole")  # freezes the numbers
+    slim = whole.select("row")
     n = slim.count()
     parts = max(1, min(MAX_PARTS, -(-n // ROWS_PER_PART)))
     slim = slim.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(parts)))
@@ -99,12 +100,23 @@ def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 20) -> DataFrame:
               .withColumn("shard", F.size(F.filter("upto", lambda b: b <= F.col("place"))))
               .withColumn("key", F.xxhash64(F.lit(seed + 2), "row"))
               .withColumn("bucket", F.floor(high * F.lit(buckets) / F.lit(float(1 << 32))))
-              .select("doc_id", "size", "text_crc32", "shard", "bucket", "key", "row"))
+              .select("shard", "bucket", "key", "row"))
     placed = written(placed, "placed")
     before = (placed.groupBy("shard", "bucket").count()
               .withColumn("offset", F.sum("count").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("count")))
     inner = Window.partitionBy("shard", "bucket").orderBy("key", "row")
-    return (placed.withColumn("place", F.row_number().over(inner))
+    seat = (placed.withColumn("place", F.row_number().over(inner))
             .join(before.drop("count"), ["shard", "bucket"])
-            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-                    (F.col("offset") + F.col("place") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard")))
+            .select("row", "shard", "bucket", (F.col("offset") + F.col("place") - 1).alias("slot")))
+    return (whole.join(seat, "row").repartition("shard", "bucket").sortWithinPartitions("shard", "slot")
+            .select(*names, "shard", "slot").toDF(*docs.columns, "shard", "slot"))
+
+
+def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 20) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row that ``shuffle`` returns."""
+    text = F.col("text").cast("string")
+    return shuffle(docs, shards, seed).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+        F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from livemart.llm import (chat_format, decontaminate, domain_mixing, language_id, ngram_jaccard_join, permutation_index,
                           pii_bootstrap, shard_shuffle, substring_dedup, toxicity)
 
@@ -247,6 +248,21 @@ def test_shard_shuffle(make_docs):
     assert shard_shuffle.shard_rows(make_docs([])).count() == 0
 
 
+def test_shuffle_keeps_whole_rows(make_docs):
+    rows = [(k % 90, f"text {k} " * (k % 7)) for k in range(333)] + [(None, None), (7, "same"), (7, "same")]
+    docs = make_docs(rows).withColumn("row", F.lit("r")).withColumn("slot", F.lit("old"))
+    out = shard_shuffle.shuffle(docs)
+    assert out.columns == [*make_docs([]).columns, "row", "shard", "slot"]
+    found = out.collect()
+    assert sorted(map(repr, (tuple(r)[:6] for r in found))) == sorted(repr((i, t, "en", "x", "y", "r")) for i, t in rows)
+    assert len({(r.shard, r.slot) for r in found}) == len(rows)
+
+
+def test_pipeline_ends_with_whole_rows(make_docs, spark):
+    out = corpus_pipeline.STAGES[-1][1](spark, make_docs([(1, "a"), (1, "a"), (2, None)]), "")
+    assert sorted((r.doc_id, r.text or "", r.lang) for r in out.collect()) == [(1, "a", "en"), (1, "a", "en"), (2, "", "en")]
+
+
 def test_domain_mixing(spark, make_docs):
     rows = [(k, " ".join(words(50)) if k % 4 else "### $$$ " * 30) for k in range(200)] + [(300, None), (301, ""), (1, "x y")]
     labels = spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(100)], "doc_id long, quality int, toxic int")
