@@ -13,10 +13,10 @@ import livemart
 from livemart.session import scratch_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, "llm", name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

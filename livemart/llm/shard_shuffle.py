@@ -81,7 +81,7 @@ def shuffle(docs: DataFrame, shards: int = 16, seed: int = 20) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
     names = [f"c{k}" for k in range(len(docs.columns))]  # names of the input may clash with ours
-    whole = written(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "whole")  # freezes the numbers
+    whole = written(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "whole", "zstd")  # freezes the numbers
     slim = whole.select("row")
     n = slim.count()
     parts = max(1, min(MAX_PARTS, -(-n // ROWS_PER_PART)))
