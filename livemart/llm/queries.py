@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from livemart.llm import bond_negatives as op13
 from livemart.llm import chat_format as op9
 from livemart.llm import decontaminate as op7
 from livemart.llm import domain_mixing as op4
 from livemart.llm import language_id as op6
 from livemart.llm import ngram_jaccard_join as op8
 from livemart.llm import permutation_index as op3
+from livemart.llm import piece_codec as op12
 from livemart.llm import pii_bootstrap as op1
 from livemart.llm import shard_shuffle as op2
 from livemart.llm import substring_dedup as op10
 from livemart.llm import toxicity as op5
+from livemart.llm import whitening as op11
 from livemart.llm._shared import ship
 
 
@@ -86,6 +89,31 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.digest(op10.substring_dedup(_table(spark, sf_dir, "documents")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whitened on the four leading components of the distinct vectors."""
+    rows = op11.whole(_table(spark, sf_dir, "embeddings"))
+    return op11.whiten(rows, op11.fit(rows))
+
+
+def op12_piece_codec(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Ids of every document's pieces, and the text they decode to, as digests (``path``: another vocabulary)."""
+    decoded = op12.decode(op12.encode(_table(spark, sf_dir, "documents"), path), path)
+    ids = F.array_join(F.transform("token_ids", lambda i: i.cast("string")), ",")
+    return decoded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                          F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten negatives of other labels for each of five positives of every vector whose id is divisible by 100.
+
+    Labels of ids divisible by 7 are moved on by one first, as the query's contract says.
+    """
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = op13.labelled(vectors.withColumn("label", moved))
+    return op13.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_bootstrap": op1_pii_bootstrap,
     "op2_shard_shuffle": op2_shard_shuffle,
@@ -97,6 +125,31 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_piece_codec": op12_piece_codec,
+    "op13_bond_negatives": op13_bond_negatives,
 }
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op13_bond_negatives": """
+        WITH taking AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, c -> floor(256 * CAST(c AS DOUBLE))) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+            FROM taking a JOIN taking b ON a.vec_id <> b.vec_id
+            WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+        WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
+}
