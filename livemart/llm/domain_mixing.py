@@ -7,32 +7,38 @@
 2. Posteriors are rounded to a grid of 1/``GRID``; documents in one cell are
    alike in all that follows, so the fit reads one row per cell (sums of
    tokens), however many documents there are and however they are skewed.
-3. Distributed least squares finds document rates r >= 0 whose expected token
-   totals, sum of r * tokens * posterior, match the targets, and among these the
-   ones nearest to 1: r = max(0, 1 - posterior . g) with K numbers g.  A pull of
-   ``PULL`` on g keeps it finite where no rates reach the targets.  Each step of
-   Newton's method is one aggregate over the cells (totals and K x K Hessian)
-   for each length tried.  Steps go on until nothing is left to gain;
-   ``residual`` tells by how much of the corpus the worst domain is off.
-4. A document is taken floor(r + u) times, u uniform from a hash of the row.
-
-A domain is a quality of the labelled table.  Target totals are ``weights``
-(``TARGETS`` unless given) times the largest corpus for which the domains with
-half of the weight need not be repeated; a scarcer domain is repeated, but its
-target is at most ``MAX_REPEATS`` times what there is of it.  The data path uses DataFrame functions only.
+3. Distributed least squares finds document rates whose expected token totals,
+   sum of rate * tokens * posterior, match the targets, every rate within
+   ``bounds``.  Projected gradient: from rates of 1 each step moves a rate against the
+   gradient of the squared distance from the targets, adds momentum and
+   projects it on the bounds.  The distance is weighted by the inverse K x K Gram matrix of the
+   posteriors, so a step that meets no bound is exact.  A step is K numbers: the
+   rate of a cell, or of a document, is the fold of the steps over its posterior,
+   and a step costs one aggregate of K totals over the cells.  ``residual``
+   tells by how much of the corpus the worst domain is off its target.
+4. A document is taken floor(rate + u) times, u uniform from a hash of the row:
+   a map over the documents, without a shuffle of texts.
+
+A domain is a quality of the labelled table.  Target totals are shares of the
+corpus' own tokens: ``weights`` of the caller, or the shares of the domains in the
+labelled documents' tokens.  So the default neither thins nor swells the corpus; with other
+weights no document is left out or repeated beyond the bounds, and what they leave
+open is the residual.  The data path uses DataFrame functions only.
 
 Defined cases: null and empty texts have no tokens, get the prior as posterior
 and a rate like others; labels that are null or without a document are not
 used; of several labels of a document the largest counts; without labels all
 rates are 1; a target domain that no document belongs to is left out of the
-targets; null ids are kept; repeated rows are rows like others; an empty table
-gives an empty result.
+targets; null ids are kept; repeated rows are rows like others, with the same
+rate and copies; whole texts of any length are described; an empty table
+gives an empty result.  Columns of ``docs`` may have any names: ``mixed`` keeps them all.
 """
 
 from __future__ import annotations
 
 import logging
 import math
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -44,10 +50,19 @@ GRID = 50
 BINS = 16
 STATISTICS = 6
 SOFTEN = 2.0  # the statistics are not independent: log odds are divided by this
-TARGETS = {"1": 0.99, "0": 0.01}
 TOLERANCE = 1e-4
-PULL = 1e-8
-MAX_REPEATS = 4.0
+BOUNDS = (0.25, 4.0)
+
+
+@dataclass(frozen=True)
+class Mixer:
+    """A fitted mixing: class counts of the domains, the gradient steps of the rates, and what they leave open."""
+
+    domains: tuple[str, ...]
+    counts: dict
+    steps: tuple[tuple[float, ...], ...]
+    bounds: tuple[float, float]
+    residual: float
 
 
 def statistics(text: Column) -> list[Column]:
@@ -63,12 +78,18 @@ def statistics(text: Column) -> list[Column]:
     return [F.least(F.floor(x), F.lit(BINS - 1)).cast("int") for x in found]
 
 
-def _described(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    tokens = F.when(F.trim(F.translate(text, "\t\n\x0b\x0c\r", "     ")) == "", 0).otherwise(
-        F.regexp_count(text, F.lit(r"[^ \t-\r]+"))).cast("long")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), tokens.alias("tokens"),
-                       F.xxhash64("doc_id", "text").alias("draw"), F.array(*statistics(text)).alias("bins"))
+def _description(doc_id: str, text: str) -> dict[str, Column]:
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    tokens = F.when(F.trim(F.translate(whole, "\t\n\x0b\x0c\r", "     ")) == "", 0).otherwise(
+        F.regexp_count(whole, F.lit(r"[^ \t-\r]+"))).cast("long")
+    return {"tokens": tokens, "draw": F.xxhash64(doc_id, text), "bins": F.array(*statistics(whole))}
+
+
+def describe(docs: DataFrame) -> DataFrame:
+    """(doc_id, tokens, draw, bins) of every row of ``docs`` (doc_id, text), written."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       *[c.alias(n) for n, c in _description("doc_id", "text").items()])
+    return written(rows, "described")
 
 
 def domain_of_labels(labels: DataFrame) -> DataFrame:
@@ -78,15 +99,16 @@ def domain_of_labels(labels: DataFrame) -> DataFrame:
             .agg(F.max("quality").cast("string").alias("domain")))
 
 
-def _posteriors(domains: list[str], counts: dict) -> list[Column]:
+def _posteriors(domains: tuple[str, ...], counts: dict) -> list[Column]:
     """Posterior expressions on the grid from counts {(domain, statistic, bin): documents}."""
     scores = []
+    every = sum(counts[d, -1, 0] for d in domains)
     for d in domains:
         here = counts[d, -1, 0]
         table = [math.log((counts.get((d, s, b), 0) + 1) / (here + BINS)) / SOFTEN for s in range(STATISTICS)
                  for b in range(BINS)]
         literal = F.lit(table)
-        score = F.lit(math.log(here / sum(counts[e, -1, 0] for e in domains)))
+        score = F.lit(math.log(here / every))
         for s in range(STATISTICS):
             score = score + F.get(literal, F.get("bins", s) + s * BINS)
         scores.append(score)
@@ -94,110 +116,134 @@ def _posteriors(domains: list[str], counts: dict) -> list[Column]:
     parts = [F.exp(s - top) for s in scores]
     total = sum(parts[1:], parts[0])
     return [F.when(F.col("tokens") > 0, F.round(p / total * GRID)).otherwise(
-        F.round(F.lit(GRID * counts[d, -1, 0] / sum(counts[e, -1, 0] for e in domains)))).cast("int")
-        for d, p in zip(domains, parts, strict=True)]
+        F.round(F.lit(GRID * counts[d, -1, 0] / every))).cast("int") for d, p in zip(domains, parts, strict=True)]
+
 
+def _shares(names: list[str]) -> list[Column]:
+    """Grid columns as posteriors that sum to 1."""
+    total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
+    return [F.col(c) / total for c in names]
 
-def _rate(posterior: list[Column], pressure: list[float]) -> Column:
-    """The rate at or above 0 that the domains' pressures (K numbers, none yet: 1) leave of 1."""
-    return F.greatest(F.lit(0.0), sum((p * -g for p, g in zip(posterior, pressure, strict=True)), F.lit(1.0))) \
-        if pressure else F.lit(1.0)
 
+def rate_of(posterior: list[Column], steps, bounds: tuple[float, float]) -> Column:
+    """The rate after the gradient ``steps``, each (momentum, K numbers): 1 without any."""
+    if not steps:
+        return F.lit(1.0)
 
-def _target(start: list[float], shares: list[float]) -> list[float]:
-    """Target totals of the domains: ``shares`` of a corpus that no scarce domain of small share shrinks."""
-    live = [k for k, t in enumerate(start) if t > 0 and shares[k] > 0]
-    weight = sum(shares[k] for k in live)
-    enough = {k: start[k] / (shares[k] / weight) for k in live}  # corpus for which a domain suffices
-    size = max((x for x in enough.values() if 2 * sum(shares[k] for k in live if enough[k] >= x) >= weight), default=0.0)
-    return [min(size * shares[k] / weight, MAX_REPEATS * start[k]) if k in live else 0.0 for k in range(len(shares))]
+    def step(state: Column, move: Column) -> Column:
+        ahead = state["now"] + F.get(move, 0) * (state["now"] - state["last"])
+        ahead = ahead - sum((p * F.get(move, k + 2) for k, p in enumerate(posterior[1:])), posterior[0] * F.get(move, 1))
+        return F.struct(F.least(F.lit(bounds[1]), F.greatest(F.lit(bounds[0]), ahead)).alias("now"),
+                        state["now"].alias("last"))
+    start = F.struct(F.lit(1.0).alias("now"), F.lit(1.0).alias("last"))
+    return F.aggregate(F.lit([list(map(float, s)) for s in steps]), start, step, lambda state: state["now"])
 
 
-def fit_rates(cells: DataFrame, shares: list[float], names: list[str], max_steps: int = 200,
-              tolerance: float = TOLERANCE) -> tuple[list[float], float]:
-    """(pressure, residual) of the rates over ``cells`` (grid columns ``names``, tokens).
+def fit_rates(cells: DataFrame, weights: list[float], names: list[str], bounds: tuple[float, float] = BOUNDS,
+              max_steps: int = 100, tolerance: float = TOLERANCE) -> tuple[list[tuple[float, ...]], float]:
+    """(steps, residual) of the rates over ``cells`` (grid columns ``names``, tokens).
 
+    Targets are ``weights`` of the cells' tokens, over the domains that have any.
     ``residual`` is the largest distance of a domain's total from its target,
-    as a share of the target corpus.
+    as a share of the tokens.
     """
-    k = len(names)
-    total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
-    posterior = [F.col(c) / total for c in names]
-
-    def at(pressure: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Half the tokens' squared rates, the totals, and the Hessian over the documents above 0."""
-        rate = _rate(posterior, pressure.tolist())
-        free = F.when(rate > 0, F.col("tokens")).otherwise(0)
-        row = [x or 0.0 for x in cells.agg(
-            F.sum(rate * rate * F.col("tokens")), *[F.sum(rate * F.col("tokens") * p) for p in posterior],
-            *[F.sum(free * p * q) for p in posterior for q in posterior]).first()]
-        return row[0] / 2, np.array(row[1:k + 1]), np.array(row[k + 1:]).reshape(k, k)
-    pressure = np.zeros(k)
-    half, totals, hessian = at(pressure)
-    target = np.array(_target(totals.tolist(), shares))
-    size = float(target.sum())
-    if size == 0:
+    posterior, k = _shares(names), len(names)
+    row = cells.agg(*[F.sum(F.col("tokens") * p) for p in posterior],
+                    *[F.sum(F.col("tokens") * p * q) for p in posterior for q in posterior]).first()
+    totals, gram = np.array([x or 0.0 for x in row[:k]]), np.array([x or 0.0 for x in row[k:]]).reshape(k, k)
+    size = float(totals.sum())
+    share = np.where(totals > 0, weights, 0.0)
+    if size == 0 or share.sum() <= 0:
         return [], 0.0
-    pull = PULL * size
-
-    def gap(pressure: np.ndarray, half: float) -> float:
-        return half + float(target @ pressure) + pull / 2 * float(pressure @ pressure)
+    target = size * share / share.sum()
+    metric = np.linalg.inv(gram / size + 1e-9 * np.eye(k)) / size
+
+    def of(steps) -> np.ndarray:
+        rate = rate_of(posterior, steps, bounds)
+        return np.array([x or 0.0 for x in cells.agg(*[F.sum(rate * F.col("tokens") * p) for p in posterior]).first()])
+
+    def distance(found: np.ndarray) -> float:
+        return float((found - target) @ metric @ (found - target))
+    steps: list[tuple[float, ...]] = []
+    now = last = totals  # totals are linear in the rates, so those of the point ahead follow from two iterates
+    best, best_steps = distance(now), 0
+    pace = 1.0
     for _ in range(max_steps):
-        slope = target - totals + pull * pressure
-        step = np.linalg.solve(hessian + pull * np.eye(k), -slope)
-        if np.abs(slope).max() <= tolerance / 100 * size:
+        if np.abs(now - target).max() <= tolerance * size:
             break
-        now, length = gap(pressure, half), 1.0
-        while length > 1e-9:
-            trial = pressure + length * step
-            half, totals, hessian = at(trial)
-            if gap(trial, half) <= now + 1e-4 * length * float(slope @ step):
-                break
-            length /= 4
-        else:
+        following = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        momentum = (pace - 1) / following
+        ahead = now + momentum * (now - last)
+        trial = [*steps, (momentum, *(metric @ (ahead - target)).tolist())]
+        found = of(trial)
+        if distance(found) > distance(now) and momentum > 0:
+            pace = 1.0  # the momentum has gone too far: start again from here without it
+            last = now
+            continue
+        moved = np.abs(found - now).max()
+        steps, last, now, pace = trial, now, found, following
+        if distance(now) < best:
+            best, best_steps = distance(now), len(steps)
+        if moved <= tolerance / 100 * size:
             break  # nothing is left to gain
-        pressure = trial
-    totals = at(pressure)[1]
-    return pressure.tolist(), float(np.abs(totals - target).max()) / size
+    steps = steps[:best_steps]
+    return steps, float(np.abs(of(steps) - target).max()) / size
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """doc_id, tokens, p_<domain>, rate, copies of every row of ``docs``, and the residual of the fit."""
-    weights = TARGETS if weights is None else weights
-    described = written(_described(docs), "described")
+def fit(described: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None,
+        bounds: tuple[float, float] = BOUNDS) -> Mixer | None:
+    """The mixing of ``described`` (from ``describe``); None where there is no label to learn from."""
+    if not 0 <= bounds[0] <= 1 <= bounds[1]:
+        raise ValueError("bounds hold 1")
     labelled = described.join(domain_of_labels(labels), F.col("doc_id") == F.col("label_id"))
-    pairs = labelled.select("domain", F.posexplode("bins").alias("stat", "bin"))
-    counts = {(d, s, b): c for d, s, b, c in pairs.groupBy("domain", "stat", "bin").count().collect()}  # K * STATISTICS * BINS
-    for d in {k[0] for k in counts}:
-        counts[d, -1, 0] = sum(c for (e, s, _), c in counts.items() if e == d and s == 0)
-    domains = sorted({k[0] for k in counts} & set(weights))
+    pairs = labelled.select("domain", "tokens", F.posexplode("bins").alias("stat", "bin"))
+    found = pairs.groupBy("domain", "stat", "bin").agg(F.count("*"), F.sum("tokens")).collect()  # K * STATISTICS * BINS
+    counts = {(d, s, b): n for d, s, b, n, _ in found}
+    tokens: dict[str, float] = {}
+    for d, s, _, n, t in found:
+        if s == 0:
+            counts[d, -1, 0] = counts.get((d, -1, 0), 0) + n
+            tokens[d] = tokens.get(d, 0.0) + t
+    weights = tokens if weights is None else weights
+    domains = tuple(sorted({k[0] for k in counts} & set(weights)))
     if not domains:
-        return described.select("doc_id", "tokens", F.lit(1.0).alias("rate"), F.lit(1).alias("copies"),
-                                F.lit(0.0).alias("residual"))
+        return None
     names = [f"g_{k}" for k in range(len(domains))]
-    # written, so that the posteriors are not computed again in every step of a rate
-    member = written(described.withColumns(dict(zip(names, _posteriors(domains, counts), strict=True))).drop("bins"),
-                     "members")
+    member = described.select("tokens", *[p.alias(n) for n, p in zip(names, _posteriors(domains, counts), strict=True)])
     cells = written(member.groupBy(*names).agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "cells")
-    pressure, residual = fit_rates(cells, [weights[d] for d in domains], names)
+    steps, residual = fit_rates(cells, [weights[d] for d in domains], names, bounds)
     if residual > TOLERANCE:
         logging.getLogger(__name__).warning("domain targets missed by %.2e of the corpus", residual)
-    total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
-    posterior = [F.col(c) / total for c in names]
-    draw = F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (member.withColumn("rate", _rate(posterior, pressure))
-            .select("doc_id", "tokens", *[p.alias(f"p_{d}") for d, p in zip(domains, posterior, strict=True)], "rate",
-                    F.floor(F.round("rate", 6) + draw).cast("int").alias("copies"), F.lit(residual).alias("residual"),
-                    F.col("draw").alias("row_hash")))
+    return Mixer(domains, counts, tuple(steps), bounds, residual)
+
+
+def _rated(rows: DataFrame, model: Mixer | None) -> DataFrame:
+    """``rows`` (with tokens, draw, bins) and g_<k> (grid posterior of domain k), rate and copies."""
+    names = [f"g_{k}" for k in range(len(model.domains))] if model else []
+    if model:
+        rows = rows.withColumns(dict(zip(names, _posteriors(model.domains, model.counts), strict=True)))
+    rate = rate_of(_shares(names), model.steps, model.bounds) if model else F.lit(1.0)
+    uniform = F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.withColumn("rate", rate).withColumn("copies", F.floor(F.round("rate", 6) + uniform).cast("int"))
+
+
+def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None,
+        bounds: tuple[float, float] = BOUNDS) -> DataFrame:
+    """doc_id, tokens, p_<domain>, rate, copies of every row of ``docs``, and the residual of the fit."""
+    described = describe(docs)
+    model = fit(described, labels, weights, bounds)
+    shares = _shares([f"g_{k}" for k in range(len(model.domains))]) if model else []
+    return _rated(described, model).select(
+        "doc_id", "tokens", *[p.alias(f"p_{d}") for p, d in zip(shares, model.domains if model else (), strict=True)],
+        "rate", "copies", F.lit(model.residual if model else 0.0).alias("residual"))
 
 
-def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None,
+          bounds: tuple[float, float] = BOUNDS) -> DataFrame:
     """The rows of ``docs`` (all columns), each as many times as its rate says."""
-    rates = mix(docs, labels, weights)
-    if "row_hash" not in rates.columns:
-        return docs
-    taken = rates.where("copies > 0").select("row_hash", F.col("copies").alias("n_copies_")).distinct()
-    return (docs.withColumn("row_hash_", F.xxhash64("doc_id", "text"))
-            .join(taken, F.col("row_hash_") == F.col("row_hash"))
-            .withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("n_copies_"))))
-            .select(*[docs[c] for c in docs.columns]))
+    model = fit(describe(docs), labels, weights, bounds)
+    plain = [f"c{k}" for k in range(len(docs.columns))]  # names of the input may clash with ours
+    doc_id, text = (plain[docs.columns.index(c)] for c in ("doc_id", "text"))
+    rows = _rated(docs.toDF(*plain).withColumns(_description(doc_id, text)), model)
+    taken = rows.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select(*plain).toDF(*docs.columns)

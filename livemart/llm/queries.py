@@ -46,7 +46,7 @@ def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_domain_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain posteriors, rate and copies of every document."""
-    return op4.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("row_hash")
+    return op4.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
