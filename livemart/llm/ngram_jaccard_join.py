@@ -361,15 +361,17 @@ def _id(name: str) -> Column:
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` (all columns) that the join keeps: one of each group of copies and links."""
-    cls = F.unhex(F.md5(F.col("text").cast("binary")))
-    kept = (ngram_jaccard_join(docs, **options).where("keep and cls is not null")
+    plain = [f"c{k}" for k in range(len(docs.columns))]  # names of the input may clash with ours
+    doc_id, text = (plain[docs.columns.index(c)] for c in ("doc_id", "text"))
+    kept = (ngram_jaccard_join(docs.select("doc_id", "text"), **options).where("keep and cls is not null")
             .select(F.col("doc_id").alias("kept_id"), F.col("cls").alias("kept_cls")).distinct())
-    marked = docs.withColumn("kept_cls", cls).withColumn("kept_id", F.col("doc_id").cast("long"))
-    same = marked["kept_id"].eqNullSafe(kept["kept_id"]) & (marked["kept_cls"] == kept["kept_cls"])
+    rows = docs.toDF(*plain)
+    marked = rows.withColumns({"own_cls": F.unhex(F.md5(F.col(text).cast("binary"))), "own_id": F.col(doc_id).cast("long")})
+    same = marked["own_id"].eqNullSafe(kept["kept_id"]) & (marked["own_cls"] == kept["kept_cls"])
     # rows without shingles stay as they are; of repeated rows one stays
-    bare = F.col("text").isNull() | F.col("text").rlike(r"^[ \t-\r]*$")
-    found = marked.where(~bare).join(kept, same, "left_semi").dropDuplicates(["kept_id", "kept_cls"])
-    return docs.where(bare).union(found.drop("kept_id", "kept_cls"))
+    bare = F.col(text).isNull() | F.col(text).rlike(r"^[ \t-\r]*$")
+    found = marked.where(~bare).join(kept, same, "left_semi").dropDuplicates(["own_id", "own_cls"])
+    return rows.where(bare).union(found.select(*plain)).toDF(*docs.columns)
 
 
 def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

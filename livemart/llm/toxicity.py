@@ -35,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from livemart.llm._words import U64, column_buffers, letter_words, mix64, row_groups
@@ -98,7 +98,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, min_docs: int
     parts = [graded.where(F.col("grade") == g).orderBy(F.xxhash64("label_id"), "label_id").limit(per_grade)
              for g in range(GRADES)]
     chosen = parts[0].union(parts[1]).union(parts[2])  # at most GRADES * per_grade ids
-    rows = (docs.where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    met = docs.where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    # an id may be on any number of rows; the sample stays bounded all the same
+    rank = F.row_number().over(Window.partitionBy("grade").orderBy(F.xxhash64("label_id", "text"), "label_id"))
+    rows = (met.withColumn("rank", rank).where(F.col("rank") <= per_grade)
             .select("grade", "text").mapInArrow(_sample_features, "grade int, features array<int>").toArrow())
     grade = rows.column("grade").to_numpy()
     lists = rows.column("features").combine_chunks()

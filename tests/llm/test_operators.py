@@ -361,6 +361,44 @@ def test_mixing_with_clashing_names_and_odd_rows(spark, make_docs):
     assert domain_mixing.mixed(docs.limit(0), labels).count() == 0 and domain_mixing.mix(docs.limit(0), labels).count() == 0
 
 
+CLASHING = ["id", "of", "draw", "rank", "kept_id", "kept_cls", "cls", "own_id", "has_letter", "c0", "label_id", "grade", "most"]
+
+
+def odd_docs(make_docs, rows):
+    """Null ids, empty and very long texts, repeated rows, and columns named like those of the operators."""
+    rows = rows + [(None, None), (None, "no id here at all"), (7, rows[7][1]), (7, rows[7][1]), (900, ""), (901, " ".join(words(20_000)))]
+    docs = make_docs(rows)
+    for name in CLASHING:
+        docs = docs.withColumn(name, F.lit("mine"))
+    return docs
+
+
+def test_stages_with_clashing_names_and_odd_rows(spark, make_docs):
+    docs = odd_docs(make_docs, [(k, " ".join(words(40) + ["grubblo"] * (2 * (k % 5 == 0)))) for k in range(100)])
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), int(k % 5 == 0)) for k in range(80)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, " ".join(words(30)))], "item_id long, text string")
+    stages = [lambda d: toxicity.without_toxic(d, toxicity.fit(d, labels)), ngram_jaccard_join.one_of_each_group,
+              lambda d: decontaminate.without_leaks(d, bench), lambda d: domain_mixing.mixed(d, labels),
+              shard_shuffle.shuffle]
+    for stage in stages:
+        out = stage(docs)
+        assert out.columns[:len(docs.columns)] == docs.columns
+        rows = out.collect()
+        assert all(r[n] == "mine" for r in rows for n in CLASHING)
+        assert max(len(r.text or "") for r in rows) > 60_000 and stage(docs.limit(0)).count() == 0
+    kept = ngram_jaccard_join.one_of_each_group(docs).where("doc_id = 7 or doc_id is null").collect()
+    assert sorted((r.doc_id or 0, (r.text or "")[:5]) for r in kept)[:2] == [(0, ""), (0, "no id")] and len(kept) == 3
+
+
+def test_language_sample_is_bounded(spark, make_docs):
+    docs = odd_docs(make_docs, [(7, " ".join(words(5))) for _ in range(500)])
+    assert language_id._sampled(docs, 10).count() == 10
+    model = language_id.fit(docs, per_lang=10)
+    assert {r.lang_pred for r in language_id.predict(docs, model).collect()} == {"en", "und"}
+    same = make_docs([(7, "one and the same text")] * 500)
+    assert language_id._sampled(same, 10).count() == 10 and language_id._sampled(same.limit(0), 10).count() == 0
+
+
 BASE = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
         ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
 
