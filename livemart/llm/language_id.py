@@ -99,7 +99,8 @@ def _sampled(docs: DataFrame, per_lang: int) -> DataFrame:
              .select("lang", "doc_id", "text", F.xxhash64("doc_id", "text").alias("draw")))
     share = F.least(F.lit(1.0), 4 * per_lang / F.approx_count_distinct("draw"))
     bound = known.groupBy(F.col("lang").alias("of")).agg((share * 2.0 ** 64 - 2.0 ** 63).alias("most"))
-    few = known.join(bound, F.col("lang") == F.col("of")).where(F.col("draw").cast("double") <= F.col("most"))
+    # one row a language, as many as the model's table has columns: never a large table
+    few = known.join(F.broadcast(bound), F.col("lang") == F.col("of")).where(F.col("draw").cast("double") <= F.col("most"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
     return few.withColumn("rank", rank).where(F.col("rank") <= per_lang)
 

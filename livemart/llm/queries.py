@@ -98,7 +98,7 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_piece_codec(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Ids of every document's pieces, and the text they decode to, as digests (``path``: another vocabulary)."""
     decoded = op12.decode(op12.encode(_table(spark, sf_dir, "documents"), path), path)
-    ids = F.array_join(F.transform("token_ids", lambda i: i.cast("string")), ",")
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
     return decoded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
                           F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
@@ -134,10 +134,10 @@ LLM_ORACLE_SQL: dict[str, str] = {
     "op13_bond_negatives": """
         WITH taking AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                   list_transform(embedding, c -> floor(256 * CAST(c AS DOUBLE))) AS x
+                   list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
             FROM embeddings
             WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+              AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
         scored AS (
             SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
                    CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score

@@ -218,8 +218,19 @@ def test_piece_query_digests(spark, tmp_path):
 
 
 def test_merge_without_remembering():
-    """One chunk or many, remembered or not: the same ids."""
+    """One chunk or many, by the heap or side by side, remembered or not: the same ids."""
     own = piece_codec.Codec(piece_codec.model_path())
     for t in TEXTS:
+        want = own.library.encode(t or "")
         text = own.library.normalize(t or "")
-        assert own._ids(own.merge(text)) == own.encode([t or ""])[0]
+        spelt = [own.pieces[s][0] if s in own.pieces else s for s in own.merge(text)]
+        assert [i for s in spelt for i in ([s] if isinstance(s, int) else [own.bytes[b] for b in s.encode()])] == want
+        for _ in range(2):
+            ids, cuts = own.encode(["x", t or "", "y"])
+            assert ids[cuts[1]:cuts[2]].tolist() == want
+    random.seed(4)
+    many = ["".join(random.choice("theingrasdou▁,.'\n漢é") for _ in range(random.randint(1, 64))) for _ in range(2000)]
+    number, symbols = own.merge_short(many)
+    for k, chunk in enumerate(many):
+        left = [own.pieces[s][0] if s in own.pieces else own.size + ord(s) for s in own.merge(chunk)]
+        assert symbols[number == k].tolist() == left
