@@ -9,13 +9,19 @@ window/slide windows *before* the shuffle.  Here each event is reduced
 once to marks of its pane (gcd of window and slide): who claimed a coupon,
 and whether anyone clicked.  Windows are decided by counting distinct marks,
 and sets and the ordered event list are assembled only for the windows that
-raise an alert.  The streaming form (``windowed_alerts``) uses
-Spark's native sliding window, which the state store needs.
+raise an alert.
+
+Streaming form (``alerting_windows``): two chained aggregations.  The first
+keeps one small row per device and pane: whether anyone clicked, and a
+sketch of the distinct coupon users that is exact up to ``sketch_size``
+users and never larger.  The second unites the panes of each window.  Neither
+holds an event; the events of the few windows that alert are fetched from the
+stored events (``assemble``), the step that ends the batch form too.
 """
 
 from __future__ import annotations
 
-from math import gcd
+from math import ceil, gcd, log2
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,39 +70,60 @@ def coupon_alerts(events: DataFrame, window_ms: int, slide_ms: int, min_users: i
     if not 0 < slide_ms <= window_ms:
         raise ValueError("need 0 < slide <= window (as Spark's window() does)")
     pane_ms = gcd(window_ms, slide_ms)
-    is_coupon = F.col("evid") == COUPON
-    ev = events.select("mid", _uid(count_null_uid).alias("uid"), "evid", "itemid", "ts_ms", "event_id",
-                       (F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(pane_ms))).alias("pane"))
+    ev = _paned(events, pane_ms, count_null_uid)
+    return assemble(ev, _alerting(ev, window_ms, slide_ms, pane_ms, min_users), window_ms, pane_ms)
+
+
+def _paned(events: DataFrame, pane_ms: int, count_null_uid: bool) -> DataFrame:
+    return events.select("mid", _uid(count_null_uid).alias("uid"), "evid", "itemid", "ts_ms", "event_id",
+                         (F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(pane_ms))).alias("pane"))
+
+
+def _starts(pane_ms: int, window_ms: int, slide_ms: int):
+    """The aligned starts s of the windows that hold pane p: p + pane - window <= s <= p."""
+    lo = F.col("pane") + F.lit(pane_ms - window_ms)
+    s_lo = lo - F.pmod(lo, F.lit(slide_ms)) + F.when(F.pmod(lo, F.lit(slide_ms)) == 0, 0).otherwise(slide_ms)
+    s_hi = F.col("pane") - F.pmod(F.col("pane"), F.lit(slide_ms))
+    return F.explode(F.sequence(s_lo, s_hi, F.lit(slide_ms).cast("bigint"))).alias("wstart")
+
+
+def _alerting(ev: DataFrame, window_ms: int, slide_ms: int, pane_ms: int, min_users: int) -> DataFrame:
+    """(mid, wstart) of the windows that pass the rule."""
     # the decision needs only who claimed a coupon and whether anyone clicked:
     # one row per (device, pane, user or click), copied into the windows that
-    # hold pane p (aligned starts s with p + pane - window <= s <= p) and
-    # counted; no set of users or items is gathered before the filter
-    is_click = F.col("evid") == CLICK
+    # hold its pane and counted; no set of users or items is gathered
+    is_coupon, is_click = F.col("evid") == COUPON, F.col("evid") == CLICK
     marks = (ev.where(is_coupon | is_click)
                .select("mid", "pane", is_click.alias("click"), F.when(is_coupon, F.col("uid")).alias("buyer"))
                .distinct())
-    lo = F.col("pane") + F.lit(pane_ms - window_ms)
-    s_lo = lo - F.pmod(lo, F.lit(slide_ms)) + F.when(F.pmod(lo, F.lit(slide_ms)) == 0, 0).otherwise(slide_ms)
-    s_hi = F.col("pane") - F.pmod(F.col("pane"), F.lit(slide_ms))
-    starts = F.explode(F.sequence(s_lo, s_hi, F.lit(slide_ms).cast("bigint"))).alias("wstart")
-    windows = (marks.select("mid", starts, "click", "buyer").distinct()
+    windows = (marks.select("mid", _starts(pane_ms, window_ms, slide_ms), "click", "buyer").distinct()
                     .groupBy("mid", "wstart").agg(F.count("buyer").alias("buyers"),
                                                   F.bool_or("click").alias("clicked")))
-    alerting = windows.where((F.col("buyers") >= min_users) & ~F.col("clicked"))
-    # the alert rows are rebuilt from the events of the alerting windows:
-    # raw events are joined to those windows' panes (map-side when that side
-    # is small), so events outside any alert never reach the final collect,
-    # and the window aggregate above feeds this one branch only
-    alert_panes = alerting.select(
-        "mid", "wstart",
-        F.explode(F.sequence(F.col("wstart"), F.col("wstart") + F.lit(window_ms - pane_ms),
-                             F.lit(pane_ms).cast("bigint"))).alias("pane"))
-    # a window's events are collected and sorted per pane first (a hot
-    # device's window is split into window/pane groups across tasks); the
-    # final step only concatenates the pane lists in time order
-    panes = alert_panes.select(F.col("mid").alias("alert_mid"), "wstart", F.col("pane").alias("alert_pane"))
+    return windows.where((F.col("buyers") >= min_users) & ~F.col("clicked")).select("mid", "wstart")
+
+
+def _panes_of(windows: DataFrame, window_ms: int, pane_ms: int) -> DataFrame:
+    """(alert_mid, wstart, alert_pane): the panes of each (mid, wstart)."""
+    span = F.sequence(F.col("wstart"), F.col("wstart") + F.lit(window_ms - pane_ms), F.lit(pane_ms).cast("bigint"))
+    return windows.select(F.col("mid").alias("alert_mid"), "wstart", F.explode(span).alias("alert_pane"))
+
+
+def _inside(ev: DataFrame, panes: DataFrame) -> DataFrame:
     same = ev["mid"].eqNullSafe(panes["alert_mid"]) & (ev["pane"] == panes["alert_pane"])  # null devices too
-    per_pane = (ev.join(panes, same, "inner")
+    return ev.join(panes, same, "inner")
+
+
+def assemble(ev: DataFrame, alerting: DataFrame, window_ms: int, pane_ms: int) -> DataFrame:
+    """The alert rows of the ``alerting`` windows (mid, wstart), from the events ``ev`` (``_paned``).
+
+    Raw events are joined to those windows' panes (map-side when that side is
+    small), so events outside any alert never reach the final collect.  A
+    window's events are collected and sorted per pane first (a hot device's
+    window is split into window/pane groups across tasks); the final step
+    only concatenates the pane lists in time order.
+    """
+    is_coupon = F.col("evid") == COUPON
+    per_pane = (_inside(ev, _panes_of(alerting, window_ms, pane_ms))
                   .groupBy("mid", "wstart", "pane").agg(
                       F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
                       F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
@@ -111,9 +138,74 @@ def coupon_alerts(events: DataFrame, window_ms: int, slide_ms: int, min_users: i
                                  F.col("items"), F.col("events")))
 
 
+def sketch_size(min_users: int) -> int:
+    """Log2 of the entries up to which a user sketch counts exactly: more than ``min_users``."""
+    return max(4, ceil(log2(min_users + 1)))
+
+
+def alerting_windows(events: DataFrame, window_ms: int, slide_ms: int, min_users: int = 3,
+                     count_null_uid: bool = False, time_col: str = "event_time") -> DataFrame:
+    """Streaming rule: (mid, wstart) of every window that passes it, once, when the watermark has closed it.
+
+    Only claims and clicks enter the state: a row per device and open pane,
+    then one per device and open window.  A sketch keeps at most the users
+    it counts exactly (``sketch_size``); beyond that there are more than
+    ``min_users`` anyhow, so the decision is exact.  Each window is decided once
+    all its events are in, so an alert never has to be withdrawn.
+    """
+    pane_ms = gcd(window_ms, slide_ms)
+    size = sketch_size(min_users)
+    is_coupon, is_click = F.col("evid") == COUPON, F.col("evid") == CLICK
+    # sketches leave out empty texts, which are users like others: hence the prefix
+    buyer = F.when(is_coupon, F.concat(F.lit("u"), _uid(count_null_uid)))
+    # naming the time keeps this filter above the watermark: every event moves the clock
+    panes = (events.where(is_coupon | is_click | F.col(time_col).isNull())
+                   .groupBy("mid", F.window(time_col, f"{pane_ms} milliseconds").alias("p"))
+                   .agg(F.theta_sketch_agg(buyer, size).alias("buyers"), F.bool_or(is_click).alias("clicked")))
+    span = F.window(F.window_time("p"), f"{window_ms} milliseconds", f"{slide_ms} milliseconds")
+    windows = panes.groupBy("mid", span.alias("w")).agg(F.theta_union_agg("buyers", size).alias("buyers"),
+                                                        F.bool_or("clicked").alias("clicked"))
+    passes = (F.theta_sketch_estimate("buyers") >= min_users) & ~F.col("clicked")
+    return windows.where(passes).select("mid", epoch_millis(F.col("w.start")).alias("wstart"))
+
+
+def alerts_of(events: DataFrame, windows: DataFrame, window_ms: int, slide_ms: int,
+              count_null_uid: bool = False) -> DataFrame:
+    """The alert rows of given windows (mid, wstart), their events taken from ``events`` (batch)."""
+    pane_ms = gcd(window_ms, slide_ms)
+    return assemble(_paned(events, pane_ms, count_null_uid), windows, window_ms, pane_ms)
+
+
+def touched_windows(events: DataFrame, window_ms: int, slide_ms: int) -> DataFrame:
+    """(mid, wstart) of every window that holds one of ``events``."""
+    pane_ms = gcd(window_ms, slide_ms)
+    panes = _paned(events, pane_ms, False).select("mid", "pane").distinct()
+    return panes.select("mid", _starts(pane_ms, window_ms, slide_ms)).distinct()
+
+
+def decided_again(events: DataFrame, windows: DataFrame, window_ms: int, slide_ms: int, min_users: int = 3,
+                  count_null_uid: bool = False) -> DataFrame:
+    """The alert rows of those ``windows`` (mid, wstart) that pass the rule over ``events``.
+
+    Only the events of the windows' panes are read beyond the join.
+    """
+    pane_ms = gcd(window_ms, slide_ms)
+    ev = _paned(events, pane_ms, count_null_uid)
+    panes = _panes_of(windows, window_ms, pane_ms).select("alert_mid", "alert_pane").distinct()
+    near = _inside(ev, panes).drop("alert_mid", "alert_pane")
+    passing = _alerting(near, window_ms, slide_ms, pane_ms, min_users)
+    # a neighbouring window shares panes but was not asked for, and may lack events here
+    asked = windows.select(F.col("mid").alias("asked_mid"), F.col("wstart").alias("asked"))
+    same = passing["mid"].eqNullSafe(asked["asked_mid"]) & (passing["wstart"] == asked["asked"])
+    return assemble(ev, passing.join(asked, same, "left_semi"), window_ms, pane_ms)
+
+
 def windowed_alerts(events: DataFrame, window: str, slide: str, min_users: int = 3,
                     count_null_uid: bool = False, time_col: str = "event_time") -> DataFrame:
-    """Streaming form: Spark's sliding ``window()`` over a watermarked timestamp.
+    """Early streaming form: Spark's sliding ``window()`` over a watermarked timestamp.
+
+    Shows a window as soon as it alerts, at the price of every event of
+    every open window in the state; ``alerting_windows`` is the bounded form.
 
     Emits every (device, window) with an ``ok`` flag; the rule is not
     monotone (a late click cancels an alert), so the sink's view filters on

@@ -157,9 +157,11 @@ def _counts(matched: DataFrame) -> DataFrame:
                    .agg(F.count(F.lit(1)).alias("cnt"), F.grouping_id().alias("gid")))
 
 
-def result(matched: DataFrame, page_no: int, size: int) -> DataFrame:
+def result(matched: DataFrame, page_no: int, size: int, rows: DataFrame | None = None) -> DataFrame:
     """Q4-Q6 as one nested row: total, stat (option groups) and the detail page.
 
+    ``rows``: the page's rows if they are already there (an index has them by id).
+
     A19: the hits are read twice -- once for all counts (one grouping-sets
     aggregate; every facet is derived from its few rows, whose shuffle is
     reused) and once for the page (a top-k).  The one-row parts are stacked
@@ -181,6 +183,7 @@ def result(matched: DataFrame, page_no: int, size: int) -> DataFrame:
         option(GENDER_LABELS["M"], pct("m")), option(GENDER_LABELS["F"], pct("f"))).alias("options"))
     age_group = F.struct(F.lit(AGE_GROUP_TITLE).alias("title"), F.array(
         *[option(b, pct(f"b{i}")) for i, b in enumerate(AGE_BAND_LABELS)]).alias("options"))
-    head = one.select(F.col("n").alias("total"), F.array(gender_group, age_group).alias("stat"))
-    stacked = head.unionByName(detail(matched, page_no, size), allowMissingColumns=True)
+    head = one.select(F.coalesce("n", F.lit(0)).alias("total"), F.array(gender_group, age_group).alias("stat"))
+    page_rows = detail(matched, page_no, size) if rows is None else detail(rows, 1, size)
+    stacked = head.unionByName(page_rows, allowMissingColumns=True)
     return stacked.agg(*[F.first(x, ignorenulls=True).alias(x) for x in ("total", "stat", "detail")])

@@ -255,7 +255,10 @@ def sale_search_result(spark, sf_dir):
 
 
 def _result_json(matched):
-    r = search.result(matched, P.PAGE_NO, P.PAGE_SIZE)
+    return _rendered(search.result(matched, P.PAGE_NO, P.PAGE_SIZE))
+
+
+def _rendered(r):
     keep_nulls = {"ignoreNullFields": "false"}
     return r.select("total", F.to_json("stat", keep_nulls).alias("stat_json"),
                     F.to_json("detail", keep_nulls).alias("detail_json"))

@@ -373,6 +373,36 @@ SELECT CASE WHEN type = 'startup' THEN 'STARTUP' ELSE 'EVENT' END AS topic, logd
        CAST(CASE WHEN type = 'startup' THEN {_startup_json()} ELSE {_event_json()} END AS VARCHAR) AS value
 FROM lg"""
 
+ORACLE_SQL["stream_documents"] = """WITH d AS (
+  SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS VARCHAR) END AS id, lang, source, n_chars FROM documents)
+SELECT id, lang, source, n_chars FROM d
+UNION ALL SELECT id, lang, source, n_chars FROM d WHERE id IS NULL AND (doc_id % 10 = 0 OR doc_id % 7 = 1)"""
+
+ORACLE_SQL["stream_sale_unmatched"] = """WITH det AS (
+  SELECT concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_orderkey
+  FROM lineitem WHERE l_orderkey % 9 <> 5 AND EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey))
+SELECT 'order' AS side, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderkey AS VARCHAR) AS order_id
+FROM orders WHERE o_orderkey % 9 <> 4 AND NOT EXISTS (SELECT 1 FROM det WHERE l_orderkey = o_orderkey)
+UNION ALL
+SELECT 'order_detail', id, CAST(l_orderkey AS VARCHAR) FROM det WHERE l_orderkey % 9 = 4"""
+
+ORACLE_SQL["sale_search_bm25"] = f"""WITH {SALES},
+named AS (SELECT *, {TOKENS} AS toks FROM sale WHERE sku_name IS NOT NULL),
+docs AS (SELECT * FROM named WHERE len(toks) > 0),
+size AS (SELECT count(*) AS n, sum(len(toks)) / count(*) AS average FROM docs),
+terms AS (SELECT DISTINCT unnest(string_split('{P.RELEVANCE_KEYWORD}', ' ')) AS term),
+df AS (SELECT term, count(*) AS df FROM docs JOIN terms ON list_contains(toks, term) GROUP BY term),
+hits AS (
+  SELECT docs.* EXCLUDE (toks), df.df, len(toks) AS length, len(list_filter(toks, lambda x: x = term)) AS tf
+  FROM docs JOIN df ON list_contains(toks, term) WHERE dt = '{P.SEARCH_DATE}'),
+scored AS (
+  SELECT order_detail_id, count(*) AS found,
+         round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / average))), 9) AS score
+  FROM hits CROSS JOIN size GROUP BY order_detail_id)
+SELECT docs.* EXCLUDE (toks), score FROM scored JOIN docs USING (order_detail_id)
+WHERE found = (SELECT count(*) FROM terms)
+ORDER BY score DESC, order_detail_id LIMIT {P.PAGE_SIZE}"""
+
 # Streaming queries return the sink's latest view, which must equal the batch form.
 STREAM_ORACLE_OF = {
     "stream_dau": "dau_first",
@@ -387,5 +417,10 @@ STREAM_ORACLE_OF = {
     "stream_cdc_route": "cdc_route",
     "sale_search_stored": "sale_search_result",
     "dau_hour_stored": "dau_hour_day",
+    "stream_alerts_late": "coupon_alert_windows",
+    "stream_metric_cards": "metric_cards",
+    "stream_dau_seen": "dau_first",
+    "stream_sale_restart": "sale_detail",
+    "sale_search_indexed": "sale_search_result",
 }
 ORACLE_SQL.update({k: ORACLE_SQL[v] for k, v in STREAM_ORACLE_OF.items()})

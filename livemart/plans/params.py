@@ -4,6 +4,7 @@
 AS_OF = "2001-08-02"
 SEARCH_DATE = "1997-02-01"
 SEARCH_KEYWORD = "widget"
+RELEVANCE_KEYWORD = "widget small"
 PAGE_NO = 1
 PAGE_SIZE = 5
 # First row of the second page (a table widget sends a row offset).

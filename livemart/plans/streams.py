@@ -8,24 +8,30 @@ latest view -- which must equal the batch form of the same operator.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livemart.functions.timefmt import epoch_millis_ntz
 from livemart.operators import search
 from livemart.operators.alerts import per_minute
+from livemart.operators.search_index import SaleIndex
 from livemart.plans import params as P
-from livemart.plans.catalog import _flat_alerts, _result_json, dense_events, sale_detail
-from livemart.schemas import DAU_COLUMNS, SALE_DETAIL_COLUMNS
+from livemart.plans.catalog import _flat_alerts, _rendered, _result_json, dense_events, sale_detail
+from livemart.schemas import DAU_COLUMNS, SALE_DETAIL_COLUMNS, STARTUP_LOG
 from livemart.session import scratch_path
 from livemart.sources import adapters as A
-from livemart.streaming import jobs
+from livemart.sources.tables import read_table
+from livemart.streaming import jobs, totals
 from livemart.streaming.replay import replay_stream
+from livemart.streaming.sources import POSITION, read_folder
 from livemart.streaming.upsert import KeyedTable
 
 ONCE = {"availableNow": True}
 CHUNKS = 4
 FILES_PER_CHUNK = 4
+USER_BUCKETS = 16
+ORDER_BUCKETS = 16
 
 
 def _replay(spark: SparkSession, df: DataFrame, root: str, name: str, time_ms_col: str,
@@ -37,7 +43,7 @@ def stream_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1 + ST3 + SNK1: DAU as a stream, upserted by (logdate, mid)."""
     root = scratch_path(spark, "stream_dau")
     src = _replay(spark, A.startup_logs(spark, sf_dir), root, "startup", "ts_ms")
-    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"])
+    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"], schema=STARTUP_LOG)
     jobs.dau_query(src, table, f"{root}/ckpt", trigger=ONCE).awaitTermination()
     return table.view(spark).select(*DAU_COLUMNS)  # day folders put logdate last
 
@@ -49,7 +55,7 @@ def stream_dau_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = A.startup_logs(spark, sf_dir)
     late = F.when(F.pmod(F.xxhash64("event_id"), F.lit(7)) == 0, 20 * 86_400_000).otherwise(0)
     src = _replay(spark, logs.withColumn("arrival", F.col("ts_ms") + late), root, "startup", "arrival")
-    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"])
+    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"], schema=STARTUP_LOG)
     jobs.dau_query(src.drop("arrival"), table, f"{root}/ckpt", trigger=ONCE).awaitTermination()
     jobs.repair_dau(spark, table, logs, 1)
     return table.view(spark).select(*DAU_COLUMNS)
@@ -60,7 +66,7 @@ def dau_hour_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     before read back from their folders and compared by hour."""
     from livemart.operators import dashboard, dau
     root = scratch_path(spark, "dau_hour_stored")
-    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"])
+    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"], schema=STARTUP_LOG)
     table.write(dau.daily_active(A.startup_logs(spark, sf_dir)), 0)
     days = table.view(spark).where(F.col("logdate").isin(P.DASH_DATE, dashboard.previous_date(P.DASH_DATE)))
     return dashboard.hour_compare(dau.dau_hour(days), "logdate", "loghour", "ct", date=P.DASH_DATE)
@@ -84,28 +90,50 @@ def sale_search_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _result_json(hits)
 
 
+def _closed_alerts(spark: SparkSession, events: DataFrame, name: str, window_ms: int, slide_ms: int,
+                   arrival: str = "ts_ms"):
+    """The alert job over replayed events: (root, table, function that reads the stored events)."""
+    root = scratch_path(spark, name)
+    src = replay_stream(events, f"{root}/in_event", arrival, CHUNKS, FILES_PER_CHUNK, heartbeat_ms=2 * window_ms + 7_200_000)
+    table = KeyedTable(f"{root}/alerts", ["mid", "ts"], keep="ok", schema=ALERT_SCHEMA)
+
+    def archive(session: SparkSession) -> DataFrame:
+        return session.read.schema(events.schema).parquet(f"{root}/in_event")
+    jobs.closed_alert_query(src, archive, table, f"{root}/ckpt", window_ms, slide_ms, watermark="1 hour",
+                            min_users=P.ALERT_MIN_USERS, trigger=ONCE).awaitTermination()
+    return root, table, archive
+
+
+ALERT_SCHEMA = ("id string, mid string, uids array<string>, itemIds array<string>, events array<string>, ts long, "
+                "window_start string, window_end string, ok boolean")
+
+
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST2 + SNK4: coupon alerts as a stream, upserted by device and window, ok windows only."""
-    root = scratch_path(spark, "stream_alerts")
-    src = _replay(spark, A.event_logs(spark, sf_dir), root, "event", "ts_ms")
-    table = KeyedTable(f"{root}/alerts", ["mid", "ts"], keep="ok")
-    jobs.alert_query(src, table, f"{root}/ckpt", f"{P.ALERT_WINDOW_MS // 1000} seconds",
-                     f"{P.ALERT_SLIDE_MS // 1000} seconds", watermark="1 hour",
-                     min_users=P.ALERT_MIN_USERS, trigger=ONCE).awaitTermination()
+    """ST2 + SNK4: coupon alerts as a stream with pane state, upserted by device and window."""
+    _, table, _ = _closed_alerts(spark, A.event_logs(spark, sf_dir), "stream_alerts", P.ALERT_WINDOW_MS, P.ALERT_SLIDE_MS)
     return _flat_alerts(table.view(spark))
 
 
 def stream_alerts_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST2 + ST6 + SNK4 at 30 s / 5 s: ok windows of the stream, then one per device and minute."""
-    root = scratch_path(spark, "stream_alerts_30s")
-    src = _replay(spark, dense_events(spark, sf_dir), root, "event", "ts_ms")
-    table = KeyedTable(f"{root}/alerts", ["mid", "ts"], keep="ok")
-    jobs.alert_query(src, table, f"{root}/ckpt", f"{P.LIVE_WINDOW_MS // 1000} seconds",
-                     f"{P.LIVE_SLIDE_MS // 1000} seconds", watermark="1 hour",
-                     min_users=P.ALERT_MIN_USERS, trigger=ONCE).awaitTermination()
+    """ST2 + ST6 + SNK4 at 30 s / 5 s: alerting windows of the stream, then one per device and minute."""
+    _, table, _ = _closed_alerts(spark, dense_events(spark, sf_dir), "stream_alerts_30s", P.LIVE_WINDOW_MS, P.LIVE_SLIDE_MS)
     return _flat_alerts(per_minute(table.view(spark)))
 
 
+def stream_alerts_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5 + ST2: as ``stream_alerts`` with a seventh of the events twenty days late, many behind the
+    watermark; the windows that they touch are decided again from the stored events."""
+    late = F.when(F.pmod(F.xxhash64("event_id"), F.lit(7)) == 0, 20 * 86_400_000).otherwise(0)
+    events = A.event_logs(spark, sf_dir).withColumn("arrival", F.col("ts_ms") + late)
+    root, table, archive = _closed_alerts(spark, events, "stream_alerts_late", P.ALERT_WINDOW_MS, P.ALERT_SLIDE_MS, "arrival")
+    side = KeyedTable(f"{root}/late", ["event_id"], schema=events.schema)
+    clock = KeyedTable(f"{root}/clock", ["batch"], schema="batch long, ts_ms long")
+    src = read_folder(spark, f"{root}/in_event", events.schema, max_files_per_trigger=FILES_PER_CHUNK)
+    jobs.late_events_query(src, side, clock, f"{root}/ckpt_late", 3_600_000, trigger=ONCE).awaitTermination()
+    jobs.repair_alerts(spark, table, archive, side, P.ALERT_WINDOW_MS, P.ALERT_SLIDE_MS, P.ALERT_MIN_USERS)
+    return _flat_alerts(table.view(spark))
+
+
 def stream_user_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST12 + SNK6: user changes as a stream (newest version first), latest per user."""
     root = scratch_path(spark, "stream_user_dim")
@@ -135,7 +163,7 @@ def _order_stream_inputs(spark: SparkSession, sf_dir: str):
 def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST4 + J2-J4 + SNK5: orders ⋈ lines as streams, ⟕ user dimension, upserted by line id."""
     root = scratch_path(spark, "stream_sale_detail")
-    users = KeyedTable(f"{root}/users", ["id"], order=["seq"])
+    users = KeyedTable(f"{root}/users", ["id"], order=["seq"], buckets=USER_BUCKETS)
     uchanges = A.user_changes(spark, sf_dir)
     jobs.user_dim_query(_replay(spark, uchanges, root, "user", "seq", chunks=2), users,
                         f"{root}/ckpt_users", trigger=ONCE).awaitTermination()
@@ -167,27 +195,152 @@ def stream_user_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_sale_detail_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + ST4 + ST5: as ``stream_sale_detail`` with a seventh of the lines six
-    hours late, outside the stream's 10 s; the repair pairs them from the
-    stored orders and lines."""
+    hours late; orders and unpaired lines wait in bucketed tables and are claimed there."""
     root = scratch_path(spark, "stream_sale_detail_late")
-    users = KeyedTable(f"{root}/users", ["id"], order=["seq"])
+    users = KeyedTable(f"{root}/users", ["id"], order=["seq"], buckets=USER_BUCKETS)
     users.write(A.user_changes(spark, sf_dir), 0)
     o, d = _order_stream_inputs(spark, sf_dir)
     late = F.when(F.pmod(F.xxhash64("id"), F.lit(7)) == 0, 6 * 3600 * 1000).otherwise(0)
     os_ = _replay(spark, o, root, "order", "order_ms")
     ds_ = _replay(spark, d.withColumn("change_ms", F.col("change_ms") + late), root, "line", "change_ms")
     table = KeyedTable(f"{root}/sales", ["order_detail_id"])
-    # the stored order rows serve the pairing by id only: no day folders here
-    stored_orders = KeyedTable(f"{root}/orders", ["id"])
-    stored_lines = KeyedTable(f"{root}/lines", ["id"])
-    jobs.sale_query(os_, ds_, users, table, f"{root}/ckpt", P.AS_OF, max_delay="10 seconds",
-                    watermark="1 hour", trigger=ONCE).awaitTermination()
-    jobs.order_query(os_, stored_orders, f"{root}/ckpt_orders", trigger=ONCE).awaitTermination()
-    jobs.line_query(ds_, stored_lines, f"{root}/ckpt_lines", trigger=ONCE).awaitTermination()
-    jobs.pair_late(spark, table, stored_orders, stored_lines, users, P.AS_OF, 1)
+    stored, pending = pending_tables(root)
+    jobs.pending_sale_query(os_, ds_, stored, pending, users, table, f"{root}/ckpt", P.AS_OF, trigger=ONCE).awaitTermination()
     return table.view(spark)
 
 
+def pending_tables(root: str) -> tuple[KeyedTable, KeyedTable]:
+    """The stored orders and the lines that wait for theirs, bucketed by the order id."""
+    return (KeyedTable(f"{root}/orders", ["id"], buckets=ORDER_BUCKETS,
+                       schema="id string, order_status string, create_time string, user_id string, create_date string"),
+            KeyedTable(f"{root}/pending", ["order_id", "id"], buckets=ORDER_BUCKETS, keep="open",
+                       schema="id string, order_id string, sku_id string, sku_name string, order_price string, "
+                              "sku_num string, open boolean"))
+
+
+class CrashingTable(KeyedTable):
+    """A table whose job dies once, after batch ``crash_at`` is written and before it is committed."""
+
+    crash_at: int | None = None
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        super().write(df, batch_id)
+        if self.crash_at == batch_id:
+            self.crash_at = None
+            raise RuntimeError("crash between the sink and the commit")
+
+
+def _run_through_crash(start) -> None:
+    """Run a query that dies once, then again on its checkpoint: the uncommitted batch is replayed."""
+    try:
+        start().awaitTermination()
+    except StreamingQueryException:
+        start().awaitTermination()
+    else:
+        raise AssertionError("the job did not crash")
+
+
+def stream_sale_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7 + ST13: the sale job dies between its sink and its commit, and starts again on its checkpoint."""
+    root = scratch_path(spark, "stream_sale_restart")
+    users = KeyedTable(f"{root}/users", ["id"], order=["seq"], buckets=USER_BUCKETS)
+    users.write(A.user_changes(spark, sf_dir), 0)
+    o, d = _order_stream_inputs(spark, sf_dir)
+    os_, ds_ = _replay(spark, o, root, "order", "order_ms"), _replay(spark, d, root, "line", "change_ms")
+    table = CrashingTable(f"{root}/sales", ["order_detail_id"])
+    table.crash_at = 2
+    _run_through_crash(lambda: jobs.sale_query(os_, ds_, users, table, f"{root}/ckpt", P.AS_OF, watermark="1 hour", trigger=ONCE))
+    return table.view(spark)
+
+
+def stream_dau_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + ST3: first starts against the stored seen set; the checkpoint is lost half way and all is replayed."""
+    root = scratch_path(spark, "stream_dau_seen")
+    logs = A.startup_logs(spark, sf_dir)
+    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"], schema=STARTUP_LOG)
+    half = F.col("logdate") < P.DASH_DATE
+    for number, part in enumerate((logs.where(half), logs.where(~half))):
+        src = _replay(spark, part, root, "startup", "ts_ms", chunks=2)
+        # another checkpoint: the second run knows nothing of the first and reads all files again
+        jobs.seen_query(src, table, f"{root}/ckpt_{number}", trigger=ONCE).awaitTermination()
+    return table.view(spark).select(*DAU_COLUMNS)
+
+
+def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK3: documents upserted by id.  A fifth has no id, a tenth of all is there twice so; of the others
+    some are delivered again with their id; the job dies once between sink and commit."""
+    root = scratch_path(spark, "stream_documents")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "source", "n_chars"])
+    n = F.col("doc_id")
+    rows = docs.select(F.when(n % 5 != 0, n.cast("string")).alias("id"), "lang", "source", "n_chars", n.alias("place"))
+    twice = rows.where((F.col("place") % 10 == 0) | (F.col("place") % 7 == 1))
+    again = twice.withColumn("place", F.col("place") + F.when(F.col("place") % 2 == 0, 1).otherwise(500).cast("long"))
+    src = replay_stream(rows.unionByName(again), f"{root}/in", "place", CHUNKS, FILES_PER_CHUNK, with_position=True)
+    table = CrashingTable(f"{root}/documents", ["id"], position=POSITION)
+    table.crash_at = 1
+    _run_through_crash(lambda: jobs.document_query(src.drop("place"), table, f"{root}/ckpt", trigger=ONCE))
+    return table.view(spark).select(F.when(F.length("id") < 64, F.col("id")).alias("id"), "lang", "source", "n_chars")
+
+
+def stream_metric_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 live (A7-A10): cards of every day from totals that the streams keep.  A tenth of the orders comes
+    first with another amount and day and is corrected later, a tenth is delivered twice."""
+    root = scratch_path(spark, "stream_metric_cards")
+    day_totals, order_totals = totals.totals_table(f"{root}/day_totals"), totals.totals_table(f"{root}/order_totals")
+    starts = _replay(spark, A.startup_logs(spark, sf_dir), root, "startup", "ts_ms")
+    first = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"], schema=STARTUP_LOG)
+    devices = KeyedTable(f"{root}/devices", ["mid"], buckets=USER_BUCKETS, schema="mid string, first_day string")
+    totals.dau_totals_query(starts, first, devices, day_totals, f"{root}/ckpt_dau", trigger=ONCE).awaitTermination()
+    rows = A.order_rows(spark, sf_dir, with_customer=False)
+    rows = rows.withColumns({"order_ms": epoch_millis_ntz(F.to_timestamp_ntz("create_time")), "seq": F.lit(2).cast("long")})
+    number, later = F.col("id").cast("long") % 10, F.lit(400 * 86_400_000).cast("long")
+    wrong = rows.where(number == 3).withColumns({
+        "seq": F.lit(1).cast("long"), "total_amount": F.col("total_amount") + 100,
+        "create_time": F.concat(F.lit("1991-01-01"), F.substring("create_time", 11, 9))})
+    shifted = rows.withColumn("order_ms", F.col("order_ms") + F.when(number == 3, later).otherwise(0))
+    again = rows.where(number == 7).withColumn("order_ms", F.col("order_ms") + later)
+    src = _replay(spark, shifted.unionByName(wrong).unionByName(again), root, "order", "order_ms").drop("order_ms")
+    held = KeyedTable(f"{root}/orders", ["id"], order=["seq"], buckets=ORDER_BUCKETS,
+                      schema=f"id string, create_date string, create_hour string, total_amount {totals.AMOUNT}, seq long")
+    totals.order_totals_query(src, held, order_totals, f"{root}/ckpt_orders", trigger=ONCE).awaitTermination()
+    return totals.live_cards(spark, day_totals, order_totals)
+
+
+def stream_sale_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 outer sides as a stream: a ninth of the orders never comes, nor do the lines of a ninth; what finds no
+    partner within the time bound is emitted when the watermark has passed it."""
+    root = scratch_path(spark, "stream_sale_unmatched")
+    o, d = _order_stream_inputs(spark, sf_dir)
+    o = o.where(F.col("id").cast("long") % 9 != 4)
+    d = d.where(F.col("order_id").cast("long") % 9 != 5)
+    beat = 2 * 86_400_000
+    os_ = replay_stream(o, f"{root}/in_order", "order_ms", CHUNKS, FILES_PER_CHUNK, heartbeat_ms=beat)
+    ds_ = replay_stream(d, f"{root}/in_line", "change_ms", CHUNKS, FILES_PER_CHUNK, heartbeat_ms=beat)
+    jobs.sale_dead_letters_query(os_, ds_, f"{root}/dead", f"{root}/ckpt", watermark="1 hour", trigger=ONCE).awaitTermination()
+    dead = spark.read.schema("side string, id string, order_id string").parquet(f"{root}/dead")
+    return dead.where("id is not null")
+
+
+def _index(spark: SparkSession, sf_dir: str, name: str) -> tuple[SaleIndex, DataFrame]:
+    root = scratch_path(spark, name)
+    table = stored_sales(spark, sf_dir, f"{root}/sales")
+    day = table.view(spark).where(F.col("month") == P.SEARCH_DATE[:7]).where(F.col("dt") == P.SEARCH_DATE)
+    return SaleIndex.build(table.view(spark), f"{root}/index"), day.select(*SALE_DETAIL_COLUMNS)
+
+
+def sale_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC7 + F8 + Q4-Q6: the nested response from an inverted index; sale rows are read for the page only."""
+    index, day = _index(spark, sf_dir, "sale_search_indexed")
+    return _rendered(index.result(day, P.SEARCH_KEYWORD, P.SEARCH_DATE, P.PAGE_NO, P.PAGE_SIZE))
+
+
+def sale_search_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: the page of a two-term search in BM25 order over the index, ties by id."""
+    index, day = _index(spark, sf_dir, "sale_search_bm25")
+    matched = index.matches(P.RELEVANCE_KEYWORD, P.SEARCH_DATE)
+    return index.page(matched, day, P.PAGE_NO, P.PAGE_SIZE, by="bm25").select(*SALE_DETAIL_COLUMNS, "score")
+
+
 def stream_order_amount_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order job end to end: order rows as a stream, every tenth one delivered
     again 400 days later -> masked rows upserted by day and id (SNK2) ->
@@ -199,8 +352,8 @@ def stream_order_amount_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = (rows.where(F.col("id").cast("long") % 10 == 0)
                  .withColumn("order_ms", F.col("order_ms") + F.lit(400 * 86_400_000).cast("long")))
     src = _replay(spark, rows.unionByName(again), root, "order", "order_ms").drop("order_ms")
-    table = KeyedTable(f"{root}/orders", ["create_date", "id"], partition_by=["create_date"])
-    # the replay's batches hold hundreds of days: two writing tasks a day are enough
+    # the replay's batches hold hundreds of days: month folders, with the days in order inside
+    table = KeyedTable(f"{root}/orders", ["month", "create_date", "id"], partition_by=["month"])
     jobs.order_query(src, table, f"{root}/ckpt", splits=2, trigger=ONCE).awaitTermination()
     return O.amount_hour(table.view(spark))
 
@@ -242,4 +395,12 @@ STREAM_QUERIES = {
     "stream_sale_detail_late": stream_sale_detail_late,
     "stream_order_amount_hour": stream_order_amount_hour,
     "stream_log_route": stream_log_route,
+    "stream_alerts_late": stream_alerts_late,
+    "stream_metric_cards": stream_metric_cards,
+    "sale_search_indexed": sale_search_indexed,
+    "sale_search_bm25": sale_search_bm25,
+    "stream_dau_seen": stream_dau_seen,
+    "stream_sale_restart": stream_sale_restart,
+    "stream_documents": stream_documents,
+    "stream_sale_unmatched": stream_sale_unmatched,
 }

@@ -12,17 +12,21 @@ in production; ``{"availableNow": True}`` for replays and tests.
 
 from __future__ import annotations
 
+import threading
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from livemart.operators import alerts, dau, ingest, orders, sales
 from livemart.operators.dau import DAU_ORDER
-from livemart.operators.keyed import first_per_key
+from livemart.operators.keyed import first_per_key, latest_per_key
 from livemart.schemas import DAU_COLUMNS
 from livemart.streaming.upsert import BATCH_COL, KeyedTable
 
 LIVE_TRIGGER = {"processingTime": "5 seconds"}
+_STARTING = threading.Lock()
 
 
 def state_partitions(spark) -> int:
@@ -41,13 +45,14 @@ def _start(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str = "up
            **sink) -> StreamingQuery:
     spark = df.sparkSession
     key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    # the query clones the session conf when it starts; restore right after
-    spark.conf.set(key, str(partitions or state_partitions(spark)))
-    try:
-        return _start_writer(df, checkpoint, trigger, mode, foreach_batch, name, **sink)
-    finally:
-        spark.conf.set(key, previous)
+    # the query clones the session conf when it starts; restored right after, one start at a time
+    with _STARTING:
+        previous = spark.conf.get(key)
+        spark.conf.set(key, str(partitions or state_partitions(spark)))
+        try:
+            return _start_writer(df, checkpoint, trigger, mode, foreach_batch, name, **sink)
+        finally:
+            spark.conf.set(key, previous)
 
 
 def _start_writer(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str,
@@ -109,6 +114,69 @@ def alert_query(events: DataFrame, table: KeyedTable, checkpoint: str, window: s
     return _start(out, checkpoint, trigger, "update", table.foreach_batch(), "alerts")
 
 
+def closed_alert_query(events: DataFrame, archive, table: KeyedTable, checkpoint: str, window_ms: int,
+                       slide_ms: int, watermark: str = "1 minute", min_users: int = 3,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """ST2 with bounded state: each window decided once, when the watermark has closed it.
+
+    The state is ``alerts.alerting_windows``: small rows per device and open
+    pane or window, no events.  ``archive(spark)`` gives the stored events
+    (SNK10) that ``events`` streams from, so what the stream has seen is there;
+    a batch fetches from it the events of the windows that alert.  Events behind the
+    watermark are not in the state: ``late_events_query`` and ``repair_alerts``.
+    """
+    ev = observed(with_event_time(events), "events").withWatermark("event_time", watermark)
+    windows = alerts.alerting_windows(ev, window_ms, slide_ms, min_users)
+
+    def _rows(df, _bid):
+        return alerts.alerts_of(archive(df.sparkSession), df, window_ms, slide_ms).withColumn("ok", F.lit(True))
+    return _start(windows, checkpoint, trigger, "append", table.foreach_batch(_rows), "closed_alerts")
+
+
+def late_events_query(events: DataFrame, late: KeyedTable, clock: KeyedTable, checkpoint: str,
+                      watermark_ms: int, trigger: dict | None = None) -> StreamingQuery:
+    """ST5: the events that the alert stream may have dropped as late, kept apart.
+
+    An event is late if it is more than ``watermark_ms`` older than the latest
+    one up to its batch (``clock`` keeps one row a batch).  That is never
+    fewer than the alert stream drops, whose watermark trails by a batch.
+    """
+    def _batch(df, bid):
+        spark = df.sparkSession
+        df.persist()
+        try:
+            seen = clock.view(spark, before_batch=bid).select("ts_ms").unionByName(df.select("ts_ms"))
+            latest = seen.agg(F.max("ts_ms")).first()[0]
+            clock.write(spark.createDataFrame([(bid, latest)], "batch long, ts_ms long"), bid)
+            late.write(df.where(F.col("ts_ms") < F.lit((latest or 0) - watermark_ms)), bid)
+        finally:
+            df.unpersist()
+    return _start(events, checkpoint, trigger, "append", _batch, "late_events")
+
+
+def repair_alerts(spark, table: KeyedTable, archive, late: KeyedTable, window_ms: int, slide_ms: int,
+                  min_users: int = 3, repair_id: int | None = None) -> int:
+    """ST5: the windows that late events touch are decided again from the stored events.
+
+    New and changed alerts are written with ``ok``, alerts that a late click
+    cancels without; no other window is read.  Returns the repair's number.
+    """
+    repair_id = repair_id or table.next_repair(spark)
+    windows = alerts.touched_windows(late.view(spark), window_ms, slide_ms)
+    right = alerts.decided_again(archive(spark), windows, window_ms, slide_ms, min_users)
+    stored = table.view(spark, with_batch=True, before_repair=repair_id)
+    touched = windows.select(F.col("mid").alias("_mid"), (F.col("wstart") + F.lit(window_ms)).alias("_ts"))
+    own = stored.join(touched, stored["mid"].eqNullSafe(touched["_mid"]) & (stored["ts"] == touched["_ts"]), "left_semi")
+    batches = own.select(F.col("mid").alias("_mid"), F.col("ts").alias("_ts"), F.col(BATCH_COL))
+    same = right["mid"].eqNullSafe(batches["_mid"]) & (right["ts"] == batches["_ts"])
+    held = (right.join(batches, same, "left").drop("_mid", "_ts")
+            .withColumns({BATCH_COL: F.coalesce(BATCH_COL, F.lit(0).cast("long")), "ok": F.lit(True)}))
+    kept = right.select(F.col("mid").alias("_mid"), F.col("ts").alias("_ts"))
+    gone = own.join(kept, own["mid"].eqNullSafe(kept["_mid"]) & (own["ts"] == kept["_ts"]), "left_anti").withColumn("ok", F.lit(False))
+    table.repair(held.unionByName(gone.select(*held.columns)), repair_id, "late_alerts")
+    return repair_id
+
+
 def user_dim_query(changes: DataFrame, table: KeyedTable, checkpoint: str,
                    trigger: dict | None = None) -> StreamingQuery:
     """ST12 + A18: user change stream -> user dimension upserted by id (latest ``seq``).
@@ -182,13 +250,32 @@ def clustered(df: DataFrame, cols: list[str], spread: str, splits: int) -> DataF
 
 def order_query(orders_rows: DataFrame, table: KeyedTable, checkpoint: str, splits: int = 16,
                 trigger: dict | None = None) -> StreamingQuery:
-    """SNK2: masked order rows upserted into a table laid out by ``create_date``.
+    """SNK2: masked order rows upserted into a table laid out by ``create_date``, or by month.
 
-    ``table`` is keyed by (create_date, id): an order's creation time never
-    changes, so a redelivered order replaces itself within its day.
+    ``table`` is keyed by (create_date, id), an order's creation time never
+    changes, so a redelivered order replaces itself within its day.  With ``month``
+    as a key before them its folders are months, with the days in order inside the
+    files: far fewer folders where a batch holds many days, and a day still skips the other row groups.
     """
-    rows = clustered(orders.order_info(orders_rows), ["create_date"], "id", splits)
-    return _start(rows, checkpoint, trigger, "append", table.foreach_batch(), "orders")
+    rows = orders.order_info(orders_rows)
+    if "month" not in table.key:
+        rows = clustered(rows, ["create_date"], "id", splits)
+        return _start(rows, checkpoint, trigger, "append", table.foreach_batch(), "orders")
+
+    def _by_month(df, _bid):
+        df = clustered(df.withColumn("month", F.substring("create_date", 1, 7)), ["month"], "id", splits)
+        return df.sortWithinPartitions("month", "create_date")
+    return _start(rows, checkpoint, trigger, "append", table.foreach_batch(_by_month), "orders")
+
+
+def document_query(documents: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """SNK3: documents upserted by id; those without one get the position in the source as id.
+
+    ``documents`` carry ``table.position`` (``read_folder(with_position=True)``, or partition
+    and offset of a topic): equal documents without id stay apart, and a replayed
+    batch or a redelivered position replaces itself.
+    """
+    return _start(documents, checkpoint, trigger, "append", table.foreach_batch(), "documents")
 
 
 def line_query(lines: DataFrame, table: KeyedTable, checkpoint: str,
@@ -198,15 +285,16 @@ def line_query(lines: DataFrame, table: KeyedTable, checkpoint: str,
 
 
 def pair_late(spark, sales_table: KeyedTable, orders_table: KeyedTable, lines_table: KeyedTable,
-              users: KeyedTable, as_of: str, repair_id: int) -> None:
-    """J3 for any lateness: lines that the stream did not pair (outside its time
-    bound or behind its watermark) are paired with the stored orders and
-    added to the sale table as repair ``repair_id``."""
+              users: KeyedTable, as_of: str, repair_id: int | None = None) -> None:
+    """J3 for any lateness, in one pass over both tables: lines that the stream did not pair
+    (outside its time bound or behind its watermark) are paired with the stored orders and
+    added to the sale table as a repair.  ``pending_sale_query`` pairs them as they come."""
+    repair_id = repair_id or sales_table.next_repair(spark)
     done = sales_table.view(spark, before_repair=repair_id).select(F.col("order_detail_id").alias("id"))
     todo = lines_table.view(spark).join(done, "id", "left_anti")
     pairs = sales.pair_rows(orders_table.view(spark), todo)
     rows = sales.with_user(pairs, users.view(spark), as_of)
-    sales_table.repair(rows.withColumn(BATCH_COL, F.lit(0).cast("long")), repair_id)
+    sales_table.repair(rows.withColumn(BATCH_COL, F.lit(0).cast("long")), repair_id, "late_lines")
 
 
 def log_route_query(raw_text: DataFrame, path: str, checkpoint: str, stamp=None, splits: int = 16,
@@ -227,31 +315,116 @@ def change_route_query(entries: DataFrame, path: str, checkpoint: str, table_pat
                   name="cdc_route", path=path, partitionBy=["topic"])
 
 
-def repair_dau(spark, table: KeyedTable, startups: DataFrame, repair_id: int) -> None:
+def repair_dau(spark, table: KeyedTable, startups: DataFrame, repair_id: int | None = None) -> None:
     """ST5: first start-ups that the stream dropped as late, from the archived
     start-ups: (day, device) rows that are missing from the table, or whose
-    stored start is not the first one, are written as repair ``repair_id``."""
+    stored start is not the first one, are written as a repair."""
+    repair_id = repair_id or table.next_repair(spark)
     view = table.view(spark, with_batch=True, before_repair=repair_id)
     now = view.select("logdate", "mid", F.col("ts").alias("_ts"), BATCH_COL)
     first = dau.daily_active(startups).join(now, ["logdate", "mid"], "left")
     wrong = first.where(F.col("_ts").isNull() | (F.col("ts") < F.col("_ts")))
-    table.repair(wrong.withColumn(BATCH_COL, F.coalesce(BATCH_COL, F.lit(0).cast("long"))).drop("_ts"), repair_id)
+    table.repair(wrong.withColumn(BATCH_COL, F.coalesce(BATCH_COL, F.lit(0).cast("long"))).drop("_ts"), repair_id,
+                 "late_startups")
 
 
 def refresh_missing_users(spark, sales_table: KeyedTable, users: KeyedTable, as_of: str,
-                          repair_id: int) -> int:
+                          repair_id: int | None = None) -> int:
     """Re-enrich sale rows written before their user arrived (late dimension).
 
     Rows without user attributes are joined again with the current user
     view; those that now find their user are written as repair ``repair_id``
     of the version they correct, so neither a running nor a replayed
-    micro-batch of the stream can undo them.  Returns ``repair_id``.
+    micro-batch of the stream can undo them.  Returns the repair's number.
     """
+    repair_id = repair_id or sales_table.next_repair(spark)
     view = sales_table.view(spark, with_batch=True, before_repair=repair_id)
     missing = view.where(F.col("user_gender").isNull() & F.col("user_level").isNull())
     found = users.view(spark, keys=missing.select(F.col("user_id").alias("id")))
     redone = sales.with_user(missing.drop("user_gender", "user_level", "user_age"), found, as_of)
     redone = redone.where(F.col("user_gender").isNotNull() | F.col("user_level").isNotNull())
     batch = missing.select("order_detail_id", BATCH_COL)
-    sales_table.repair(redone.join(batch, "order_detail_id"), repair_id)
+    sales_table.repair(redone.join(batch, "order_detail_id"), repair_id, "late_users")
     return repair_id
+
+
+def first_batch(spark, checkpoint: str, table: KeyedTable) -> int:
+    """What to add to the batch numbers of a query with this checkpoint.
+
+    A new checkpoint (the first start, or after the old one was lost) starts
+    again at batch 0; its batches go behind all that the table holds instead of
+    overwriting them.  The number is kept in the checkpoint, so a restart on it uses the same.
+    """
+    place = f"{checkpoint.rstrip('/')}/first_batch"
+    try:
+        found = spark.read.schema("first long").parquet(place).first()
+        if found is not None:
+            return int(found["first"])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    first = table.next_batch(spark)
+    spark.createDataFrame([(first,)], "first long").coalesce(1).write.mode("overwrite").parquet(place)
+    return first
+
+
+def seen_query(startups: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """J1 + ST3 without state: each batch's first start-ups against the stored ones of their days.
+
+    A device that the day's folder does not have yet is written, or one with an
+    earlier start than the stored one.  What was seen is the table itself, so the
+    answer survives the loss of the checkpoint: the replayed start-ups are all seen.
+    """
+    first = first_batch(startups.sparkSession, checkpoint, table)
+
+    def _unseen(df, bid):
+        rows = dau.daily_active(df)
+        seen = table.view(df.sparkSession, keys=rows.select("logdate", "mid"), before_batch=first + bid)
+        seen = seen.select("logdate", "mid", F.col("ts").alias("_seen"))
+        new = rows.join(seen, ["logdate", "mid"], "left").where(F.col("_seen").isNull() | (F.col("ts") < F.col("_seen")))
+        return new.select(*rows.columns)
+    return _start(startups, checkpoint, trigger, "append", table.foreach_batch(_unseen, first=first), "seen")
+
+
+def pending_sale_query(orders_rows: DataFrame, lines: DataFrame, stored_orders: KeyedTable, pending: KeyedTable,
+                       users: KeyedTable, table: KeyedTable, checkpoint: str, as_of: str,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """J2-J4 + ST4 for any lateness: orders and unpaired lines wait in tables, not in state.
+
+    A batch pairs its lines with its own orders and with the stored orders that
+    they name, and its orders with the lines that wait for them.  Lines left
+    over are added to ``pending`` (keyed by order_id and id, ``keep`` its column
+    ``open``), claimed ones are closed there.  Both tables are bucketed by the order id, so a batch
+    reads the buckets of its own ids only, never a table whole; each line is paired once,
+    whichever side comes first and however late.  A replayed batch reads what came before it and writes the same.
+    """
+    both = (orders_rows.select(F.struct("*").alias("o"), F.lit(None).cast(lines.schema).alias("d"))
+            .unionByName(lines.select(F.lit(None).cast(orders_rows.schema).alias("o"), F.struct("*").alias("d"))))
+    order_columns = ["create_time", "order_status", "user_id", "create_date"]
+    line_columns = ["id", "order_id", "sku_id", "sku_name", "order_price", "sku_num"]
+
+    def _batch(df, bid):
+        spark = df.sparkSession
+        df.persist()
+        try:
+            info = orders.order_info(df.where("o is not null").select("o.*"))
+            info = latest_per_key(info, ["id"], order_columns, ["id", *order_columns])
+            new = latest_per_key(df.where("d is not null").select("d.*"), ["id"], line_columns[1:], line_columns)
+            stored = stored_orders.view(spark, keys=new.select(F.col("order_id").alias("id")), before_batch=bid)
+            known = info.unionByName(stored.join(info.select("id"), "id", "left_anti").select(*info.columns))
+            waiting = pending.view(spark, keys=info.select(F.col("id").alias("order_id")), before_batch=bid)
+            lines = new.unionByName(waiting.join(new.select("id"), "id", "left_anti").select(*line_columns)).persist()
+            try:
+                found = sales.pair_rows(known, lines)
+                needed = found.select(F.col("user_id").alias("id"))
+                table.write(sales.with_user(found, users.view(spark, keys=needed), as_of), bid)
+                # the waiting lines are there because their order has come: all of them are claimed
+                left = lines.join(known.select(F.col("id").alias("order_id")), "order_id", "left_anti")
+                claimed = waiting.select(*line_columns).withColumn("open", F.lit(False))
+                pending.write(left.select(*line_columns).withColumn("open", F.lit(True)).unionByName(claimed), bid)
+            finally:
+                lines.unpersist()
+            stored_orders.write(info, bid)
+        finally:
+            df.unpersist()
+    return _start(both, checkpoint, trigger, "append", _batch, "pending_sales")

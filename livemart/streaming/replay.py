@@ -18,7 +18,7 @@ ROWS_PER_FILE = 1_000_000
 
 
 def to_chunks(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
-              files_per_chunk: int = 4, fmt: str = "parquet") -> int:
+              files_per_chunk: int = 4, fmt: str = "parquet", heartbeat_ms: int | None = None) -> int:
     """Write ``df`` to ``path`` in ``chunks`` time slices of ``time_ms_col`` (epoch ms).
 
     Each slice is one distributed write of ``files_per_chunk`` files (a
@@ -29,7 +29,9 @@ def to_chunks(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
     the time column as text lines.  A slice has ``files_per_chunk`` files, or
     more where it would hold more than about ``ROWS_PER_FILE`` rows a file, so the
     tasks grow with the input; returns the number of files of a slice.  An
-    empty input is one empty file.
+    empty input is one empty file.  ``heartbeat_ms``: a last row of nulls, but for
+    the time columns, which stand so much behind the last row's: it moves the
+    watermark past all rows, as the heartbeats of a quiet live stream do.
     """
     # the input is computed once and kept (memory, spilling to disk) for the
     # span aggregate and the slice writes
@@ -48,22 +50,29 @@ def to_chunks(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
                 part.drop(time_ms_col).write.mode("append").text(path)
             else:
                 part.write.mode("append").parquet(path)
+        if heartbeat_ms is not None:
+            late = F.lit(hi + heartbeat_ms).cast("long")
+            (df.sparkSession.range(1).select(*[(late if f.name in (time_ms_col, "ts_ms") else F.lit(None)).cast(f.dataType).alias(f.name)
+                                               for f in df.schema]).write.mode("append").parquet(path))
     finally:
         df.unpersist()
     return files_per_chunk
 
 
 def replay_stream(df: DataFrame, path: str, time_ms_col: str, chunks: int = 4,
-                  files_per_chunk: int = 4, fmt: str = "parquet") -> DataFrame:
+                  files_per_chunk: int = 4, fmt: str = "parquet", heartbeat_ms: int | None = None,
+                  with_position: bool = False) -> DataFrame:
     """Write ``df`` as time slices (``to_chunks``) and return the folder as a
     stream that takes one slice per micro-batch.
 
     The files of a slice each span the slice's whole time range, so they
     must be read together: read one at a time, the watermark would pass
     rows still to come in the same slice and drop them as late.
+    ``with_position`` adds where each row stands (``sources.read_folder``).
     """
     from livemart.streaming.sources import read_folder, read_log_text
-    files_per_chunk = to_chunks(df, path, time_ms_col, chunks, files_per_chunk, fmt)
+    files_per_chunk = to_chunks(df, path, time_ms_col, chunks, files_per_chunk, fmt, heartbeat_ms)
     if fmt == "text":
         return read_log_text(df.sparkSession, path, max_files_per_trigger=files_per_chunk)
-    return read_folder(df.sparkSession, path, df.schema, max_files_per_trigger=files_per_chunk)
+    return read_folder(df.sparkSession, path, df.schema, max_files_per_trigger=files_per_chunk,
+                       with_position=with_position)

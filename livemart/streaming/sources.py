@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# where a row stands in its source: file and row number (a topic has partition and offset)
+POSITION = ("source_file", "source_row")
+
+
 def kafka_options(bootstrap: str, topic: str, starting: str = "latest",
                   max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict:
     """SRC1 options: one topic, string key/value, start at ``starting``.
@@ -40,11 +44,18 @@ def write_topic_options(bootstrap: str) -> dict:
 
 
 def read_folder(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files_per_trigger: int = 1) -> DataFrame:
-    """A folder as a stream, one file per micro-batch by default (oldest first)."""
-    return (spark.readStream.format(fmt).schema(schema)
-                 .option("maxFilesPerTrigger", max_files_per_trigger)
-                 .load(path))
+                max_files_per_trigger: int = 1, with_position: bool = False) -> DataFrame:
+    """A folder as a stream, one file per micro-batch by default (oldest first).
+
+    ``with_position`` adds ``POSITION``: the file and the row's number in it, what
+    partition and offset are on a topic.  It is the same whenever the row is read.
+    """
+    df = (spark.readStream.format(fmt).schema(schema)
+               .option("maxFilesPerTrigger", max_files_per_trigger)
+               .load(path))
+    if not with_position:
+        return df
+    return df.select("*", F.col("_metadata.file_name").alias(POSITION[0]), F.col("_metadata.row_index").alias(POSITION[1]))
 
 
 def read_log_text(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:

@@ -8,8 +8,12 @@ folds the batches up to a given id into one base (one row per key), and
 reads then skip the folded batch folders by partition pruning, so the
 merge on read stays proportional to the base plus recent batches.
 
-``repair`` rows live in their own folders ``<path>_repair/repair_id=<n>/``,
-so no micro-batch can overwrite them.  Each carries the batch id of the
+``buckets`` lays each batch out by a hash of a key column: a look-up of a
+micro-batch's keys (``view(keys=...)``) then reads only their buckets.
+
+``repair`` rows live in their own folders
+``<path>_repair/job=<job>/repair_id=<n>/``, so neither a micro-batch nor the
+repair of another job can overwrite them.  Each carries the batch id of the
 version it corrects: it wins over that version and earlier ones, and any
 later batch wins over it.
 """
@@ -18,14 +22,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from livemart.operators.keyed import latest_per_key
 
 BATCH_COL = "batch_id"
 REPAIR_COL = "repair_id"
+JOB_COL = "job"
+BUCKET_COL = "bucket"
+# a look-up filters on the folders of its keys up to this many (else it reads all and the semi join decides)
+MAX_FOLDERS = 1000
 
 
 class KeyedTable:
@@ -33,7 +42,8 @@ class KeyedTable:
 
     def __init__(self, path: str, key: Sequence[str], order: Sequence[str] = (),
                  keep: str | None = None, partition_by: Sequence[str] = (),
-                 compact_every: int | None = None):
+                 compact_every: int | None = None, buckets: int = 0, bucket_by: str | None = None,
+                 schema: T.StructType | str | None = None, position: Sequence[str] = ()):
         self.path = path.rstrip("/")
         self.key = list(key)
         self.order = list(order)
@@ -42,37 +52,66 @@ class KeyedTable:
         # a filter on them prunes folders, and being keys it runs below the merge
         self.partition_by = [c for c in partition_by if c in self.key]
         self.compact_every = compact_every  # sinks fold the table every N batches
+        self.buckets = buckets
+        self.bucket_by = bucket_by or self.key[0]
+        # without a schema it is that of the first write, or of a file that is already there
+        self.schema = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.position = list(position)  # columns that say where in the source a row stands
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(F.col(self.bucket_by).cast("string")), F.lit(self.buckets)).cast("int")
 
     def _save(self, df: DataFrame, path: str) -> None:
+        if self.schema is None:
+            self.schema = df.drop(BATCH_COL).schema
+        folders = list(self.partition_by)
+        if self.buckets:
+            df = df.withColumn(BUCKET_COL, self._bucket()).repartition(BUCKET_COL)
+            folders.append(BUCKET_COL)
         w = df.write.mode("overwrite").option("compression", "zstd")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
+        if folders:
+            w = w.partitionBy(*folders)
         w.parquet(path)
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Upsert one micro-batch (idempotent per ``batch_id``).
 
-        SNK3: a row whose (single) key is null gets a generated key -- a hash
-        of its content, not a random id, so a replayed batch regenerates the
-        same keys instead of duplicating documents.
+        SNK3: a row whose (single, text) key is null gets a generated key, the
+        ``position`` of the row in its source (file and row, or partition and
+        offset): a replayed batch or a redelivered position regenerates the
+        same key, equal rows of two positions stay two.  Without position
+        columns the key is a hash of the content, and equal rows are one.
         """
-        if len(self.key) == 1:
-            k = self.key[0]
-            content = F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256)
-            df = df.withColumn(k, F.coalesce(F.col(k).cast("string"), content))
-        self._save(df, f"{self.path}/{BATCH_COL}={int(batch_id)}")
+        k = self.key[0]
+        if len(self.key) == 1 and isinstance(df.schema[k].dataType, T.StringType):
+            where = [F.col(c) for c in (self.position or df.columns)]
+            generated = F.sha2(F.to_json(F.struct(*where), {"ignoreNullFields": "false"}), 256)
+            df = df.withColumn(k, F.coalesce(F.col(k), generated))
+        self._save(df.drop(*self.position), f"{self.path}/{BATCH_COL}={int(batch_id)}")
+
+    def next_repair(self, spark: SparkSession) -> int:
+        """The next free repair number, one more than that of any job's repairs."""
+        repairs = self._read_if_there(spark, f"{self.path}_repair")
+        last = repairs.agg(F.max(REPAIR_COL)).first()[0] if repairs is not None else None
+        return (last or 0) + 1
 
-    def repair(self, df: DataFrame, repair_id: int) -> None:
-        """Write corrected rows (idempotent per ``repair_id``, 1 or more).
+    def next_batch(self, spark: SparkSession) -> int:
+        """The batch number after all that the table holds."""
+        batches = self._read_if_there(spark, self.path)
+        last = batches.agg(F.max(BATCH_COL)).first()[0] if batches is not None else None
+        return max(-1 if last is None else last, self._base_id(spark) or -1) + 1
+
+    def repair(self, df: DataFrame, repair_id: int, job: str = "repair") -> None:
+        """Write corrected rows (idempotent per ``job`` and ``repair_id``, 1 or more).
 
         ``df`` has the table's columns and ``batch_id``, the version each
         row corrects (0 for a key that the stream never wrote).
         """
         if repair_id < 1:
             raise ValueError("repair_id starts at 1")
-        self._save(df, f"{self.path}_repair/{REPAIR_COL}={int(repair_id)}")
+        self._save(df, f"{self.path}_repair/{JOB_COL}={job}/{REPAIR_COL}={int(repair_id)}")
 
-    def foreach_batch(self, transform=None, compact_every: int | None = None):
+    def foreach_batch(self, transform=None, compact_every: int | None = None, first: int = 0):
         """A ``foreachBatch`` function: optional per-batch transform, then write.
 
         With a transform the micro-batch is persisted for the duration of the
@@ -80,10 +119,12 @@ class KeyedTable:
         (stateful) micro-batch plan.  ``compact_every=N`` folds the table
         into its base after every N-th batch, so a long-running stream keeps
         its reads proportional to the base plus the last few batches.
+        ``first`` is added to the batch numbers (``jobs.first_batch``).
         """
         every = compact_every or self.compact_every
 
         def _fn(df: DataFrame, batch_id: int) -> None:
+            batch_id += first
             if transform is None:
                 self.write(df, batch_id)
             else:
@@ -98,81 +139,108 @@ class KeyedTable:
 
     def _base_id(self, spark: SparkSession) -> int | None:
         """Batch id folded into the current compacted base, or None."""
-        current = self._read_if_there(spark, f"{self.path}_base/current", plain=True)
-        row = current.first() if current is not None else None
+        try:
+            row = spark.read.schema("upto long").parquet(f"{self.path}_base/current").first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
         return int(row["upto"]) if row else None
 
-    def _read_if_there(self, spark: SparkSession, path: str, plain: bool = False) -> DataFrame | None:
+    def _read_if_there(self, spark: SparkSession, path: str) -> DataFrame | None:
         """The table at ``path``, or None where no such path exists or it holds no
         file (rows laid out by folder leave none when there are none); other
         failures are raised."""
         try:
-            return spark.read.parquet(path) if plain else self._read(spark, path)
+            return self._read(spark, path)
         except AnalysisException as e:
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return None
 
     def _read(self, spark: SparkSession, path: str) -> DataFrame:
-        reader = spark.read
-        if self.partition_by:
-            # folder values stay text, whatever they look like (a day stays
-            # 'yyyy-MM-dd' text rather than becoming a date)
-            spark_conf = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
-            prev = {k: spark.conf.get(k) for k in spark_conf}
-            for k, v in spark_conf.items():
-                spark.conf.set(k, v)
-            try:
-                df = reader.parquet(path)
-                df.schema  # resolve now, under the setting
-            finally:
-                for k, v in prev.items():
-                    spark.conf.set(k, v)
-            for c in (BATCH_COL, REPAIR_COL):
-                if c in df.columns:
-                    df = df.withColumn(c, F.col(c).cast("long"))
-            return df
-        return reader.parquet(path)
+        """The rows under ``path`` with a stated schema: folder values stay text, whatever they look like."""
+        schema = self.schema
+        if schema is None:  # a table of another session: from a file, whose folders hold the rest
+            found = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+            schema = T.StructType([*found.fields, *[T.StructField(c, T.StringType()) for c in self.partition_by
+                                                    if c not in found.names]])
+        own = {BATCH_COL: "long", REPAIR_COL: "long", JOB_COL: "string", BUCKET_COL: "int"}
+        folders = [] if not self.buckets else [BUCKET_COL]
+        if path == self.path:
+            folders.append(BATCH_COL)
+        elif path == f"{self.path}_repair":
+            folders += [JOB_COL, REPAIR_COL]
+            schema = T.StructType([*schema.fields, T.StructField(BATCH_COL, T.LongType())]) if BATCH_COL not in schema.names else schema
+        full = T.StructType([*[f for f in schema.fields if f.name not in folders],
+                             *[T.StructField(c, T.DataType.fromDDL(own[c])) for c in folders]])
+        return spark.read.schema(full).parquet(path)
 
     def raw(self, spark: SparkSession) -> DataFrame:
         """All live versions: the compacted base, the batches written after it, the repairs.
 
         Batches already folded into the base are skipped by a partition
-        filter, so they are not even listed for reading.
+        filter, so they are not even listed for reading.  A table that was
+        never written is empty, if its schema is known.
         """
         upto = self._base_id(spark)
-        batches = self._read(spark, self.path)
+        if self.schema is None:
+            batches = self._read(spark, self.path)
+        else:
+            batches = self._read_if_there(spark, self.path)
+            if batches is None:
+                empty = [*self.schema.fields, *([T.StructField(BUCKET_COL, T.IntegerType())] if self.buckets else []),
+                         T.StructField(BATCH_COL, T.LongType())]
+                batches = spark.createDataFrame([], T.StructType(empty))
         if upto is not None:
             base = self._read(spark, f"{self.path}_base/v{upto}").withColumn(BATCH_COL, F.lit(upto).cast("long"))
             newer = batches.where(F.col(BATCH_COL) > upto)
             batches = base.unionByName(newer.select(*base.columns))
-        rows = batches.withColumn(REPAIR_COL, F.lit(0).cast("long"))
+        rows = batches.withColumns({REPAIR_COL: F.lit(0).cast("long"), JOB_COL: F.lit("")})
         repairs = self._read_if_there(spark, f"{self.path}_repair")
         if repairs is not None:
-            repairs = repairs.withColumn(REPAIR_COL, F.col(REPAIR_COL).cast("long"))
             rows = rows.unionByName(repairs.select(*rows.columns))
         return rows
 
     def _merged(self, raw: DataFrame, cols: Sequence[str]) -> DataFrame:
-        return latest_per_key(raw, self.key, [*self.order, BATCH_COL, REPAIR_COL], cols)
+        return latest_per_key(raw, self.key, [*self.order, BATCH_COL, REPAIR_COL, JOB_COL], cols)
+
+    def _in_folders_of(self, raw: DataFrame, keys: DataFrame) -> DataFrame:
+        """``raw`` cut to the folders that hold ``keys`` (values of a few folders go through the driver)."""
+        columns = [c for c in self.partition_by if c in keys.columns]
+        if self.buckets and self.bucket_by in keys.columns:
+            keys = keys.withColumn(BUCKET_COL, self._bucket())
+            columns.append(BUCKET_COL)
+        for c in columns:
+            values = [r[0] for r in keys.select(c).where(F.col(c).isNotNull()).distinct().limit(MAX_FOLDERS + 1).collect()]
+            if len(values) <= MAX_FOLDERS:
+                raw = raw.where(F.col(c).isin(values) if values else F.lit(False))
+        return raw
 
     def view(self, spark: SparkSession, keys: DataFrame | None = None,
-             with_batch: bool = False, before_repair: int | None = None) -> DataFrame:
+             with_batch: bool = False, before_repair: int | None = None,
+             before_batch: int | None = None) -> DataFrame:
         """Latest version of every key (merge on read).
 
-        ``keys`` (a DataFrame of key columns) restricts the view to those
-        keys: the raw versions are semi-joined *before* the per-key merge,
-        so a lookup for one micro-batch merges only the rows it needs.
+        ``keys`` (a DataFrame of some or all key columns) restricts the view to those
+        keys: the raw versions are cut to their buckets and day folders and semi-joined
+        *before* the per-key merge, so a lookup for one micro-batch reads and merges
+        only what it needs.
         ``with_batch`` adds the batch id of the version shown (for ``repair``);
         ``before_repair`` leaves out that repair and later ones, so a repair
-        run again reads what its first run read.
+        run again reads what its first run read; ``before_batch`` leaves out that
+        batch and later ones, so a replayed micro-batch does the same.
         """
         raw = self.raw(spark)
         if before_repair is not None:
             raw = raw.where(F.col(REPAIR_COL) < before_repair)
+        if before_batch is not None:
+            raw = raw.where(F.col(BATCH_COL) < before_batch)
         if keys is not None:
-            raw = raw.join(keys.select(*self.key).distinct(), self.key, "left_semi")
-        hidden = {REPAIR_COL} if with_batch else {BATCH_COL, REPAIR_COL}
+            on = [c for c in self.key if c in keys.columns]
+            keys = keys.select(*on).distinct()
+            raw = self._in_folders_of(raw, keys).join(keys, on, "left_semi")
+        hidden = {REPAIR_COL, JOB_COL, BUCKET_COL} | (set() if with_batch else {BATCH_COL})
         latest = self._merged(raw, [c for c in raw.columns if c not in hidden])
         if self.keep:
             latest = latest.where(F.col(self.keep)).drop(self.keep)
@@ -187,7 +255,7 @@ class KeyedTable:
         batch whose sink write has committed (e.g. ``lastProgress.batchId``).
         """
         raw = self.raw(spark).where(F.col(BATCH_COL) <= upto)
-        merged = self._merged(raw, [c for c in raw.columns if c not in (BATCH_COL, REPAIR_COL)])
+        merged = self._merged(raw, [c for c in raw.columns if c not in (BATCH_COL, REPAIR_COL, JOB_COL, BUCKET_COL)])
         self._save(merged, f"{self.path}_base/v{int(upto)}")
         (spark.range(1).select(F.lit(int(upto)).cast("long").alias("upto"))
               .write.mode("overwrite").parquet(f"{self.path}_base/current"))
