@@ -6,16 +6,18 @@ logit, P(grade <= k) = sigmoid(theta_k - w.x): one weight vector shared by
 all ordered thresholds theta_0 < theta_1.  x holds hashed binary features of
 the whole text: the lower-cased words (runs of letters), the stems that they
 begin with (proper prefixes of 4 to 7 bytes), and each of these occurring at
-least twice.
+least twice; and the bin of each statistic of the text's shape (length, shares of
+symbols, capitals, line breaks and different words), which tell poor text from good.
 
 Fit: on a bounded sample of labelled rows, at most ``per_grade`` documents of
 each grade in the order of a hash of the id, weighted back to the grades'
 shares.  Features bound to the toxic grade no more than chance allows are
 left out; the rest are fitted by projected gradient steps with a small ridge
-in numpy on the driver.
-Weights are kept at or above zero: a word can only add to the severity, so
-harmless text around toxic words never hides them.
-The broadcast weights are 2**``BITS`` floats (8 MB) whatever the corpus.
+in numpy on the driver.  An id may be on any number of rows: ``per_grade`` bounds the rows.
+Weights of words are kept at or above zero: a word can only add to the severity, so
+harmless text around toxic words never hides them.  Those of the shape, one feature
+a statistic whatever the length, have either sign.
+The broadcast weights are about 2**``BITS`` floats (8 MB) whatever the corpus.
 
 Result, one row per document: doc_id, p_poor = P(grade >= 1), p_toxic =
 P(grade >= 2), expected_severity = their sum (the expected grade), toxic =
@@ -43,6 +45,12 @@ from livemart.llm._words import U64, column_buffers, letter_words, mix64, row_gr
 BITS = 20
 PREFIXES = (4, 5, 6, 7)  # bytes
 LEVELS = 2
+SHAPES, BINS = 5, 16
+FEATURES = (1 << BITS) + SHAPES * BINS
+_SYMBOL, _CAPITAL, _LINE = (np.zeros(256, dtype=np.int64) for _ in range(3))
+_SYMBOL[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in ".,"]] = 1
+_CAPITAL[65:91] = 1
+_LINE[10] = 1
 GRADES = 3
 TOXIC = GRADES - 1
 _GROUP_BYTES = 4 << 20
@@ -55,19 +63,38 @@ class Model:
     graded: bool            # False when no toxic label was there to learn from
 
 
+def shapes(offsets: np.ndarray, data: np.ndarray, row: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The bin (0 to BINS - 1) of each statistic (column) of each text (row)."""
+    lo, n = int(offsets[0]), len(offsets) - 1
+    raw, cuts = data[lo:int(offsets[-1])], offsets - lo
+    size = np.maximum(np.diff(cuts), 1)
+
+    def count(kind: np.ndarray) -> np.ndarray:
+        return np.diff(np.r_[0, np.cumsum(kind[raw])][cuts])
+    order = np.lexsort((words, row))
+    fresh = np.r_[True, (row[order][1:] != row[order][:-1]) | (words[order][1:] != words[order][:-1])][:len(order)]
+    different = np.bincount(row[order][fresh], minlength=n)
+    found = [np.log2(size), 32 * count(_SYMBOL) / size, BINS * count(_CAPITAL) / size, 128 * count(_LINE) / size,
+             BINS * different / np.maximum(np.bincount(row, minlength=n), 1)]
+    return np.minimum(np.stack(found, axis=1).astype(np.int64), BINS - 1)
+
+
 def features(offsets: np.ndarray, data: np.ndarray, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) pairs, each once, ordered by row; ``used`` (a mask) names the features of interest."""
     row, found = letter_words(offsets, data, PREFIXES)
-    pairs = []
+    bins = shapes(offsets, data, row, found[0][1])
+    n = len(bins)
+    shape = (1 << BITS) + np.arange(SHAPES)[None, :] * BINS + bins
+    pairs = [((np.arange(n)[:, None] << (BITS + 1)) | shape).ravel().astype(U64)]
     for n, (word, value) in enumerate(found):
         value = mix64(value + U64(n))
         for level in range(LEVELS):
             feature = mix64(value + U64(level)) >> U64(64 - BITS)
             want = slice(None) if used is None else used[feature.astype(np.int64)]
-            code, count = np.unique((row[word[want]].astype(U64) << U64(BITS)) | feature[want], return_counts=True)
+            code, count = np.unique((row[word[want]].astype(U64) << U64(BITS + 1)) | feature[want], return_counts=True)
             pairs.append(code[count > level])
     pairs = np.unique(np.concatenate(pairs))
-    return (pairs >> U64(BITS)).astype(np.int64), (pairs & U64((1 << BITS) - 1)).astype(np.int64)
+    return (pairs >> U64(BITS + 1)).astype(np.int64), (pairs & U64((1 << (BITS + 1)) - 1)).astype(np.int64)
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,13 +115,13 @@ def graded_labels(labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, min_docs: int = 3, false_features: float = 20.0,
-        ridge: float = 1e-5, steps: int = 300) -> Model:
+        ridge: float = 1e-5, shape_ridge: float = 3e-3, steps: int = 300) -> Model:
     """Learn the weights and thresholds from at most ``per_grade`` labelled documents of each grade."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     graded = graded_labels(labels)
     totals = dict(graded.groupBy("grade").count().collect())  # at most one row per grade
     if not totals.get(TOXIC) or len(totals) < 2:
-        return Model(np.zeros(1 << BITS), np.arange(1.0, GRADES), False)
+        return Model(np.zeros(FEATURES), np.arange(1.0, GRADES), False)
     parts = [graded.where(F.col("grade") == g).orderBy(F.xxhash64("label_id"), "label_id").limit(per_grade)
              for g in range(GRADES)]
     chosen = parts[0].union(parts[1]).union(parts[2])  # at most GRADES * per_grade ids
@@ -106,8 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, min_docs: int
     grade = rows.column("grade").to_numpy()
     lists = rows.column("features").combine_chunks()
     size, flat = np.diff(lists.offsets.to_numpy()), lists.values.to_numpy()
-    used = np.flatnonzero(np.bincount(flat, minlength=1 << BITS) >= min_docs) if len(flat) else np.zeros(0, np.int64)
-    place = np.full(1 << BITS, -1)
+    used = np.flatnonzero(np.bincount(flat, minlength=FEATURES) >= min_docs) if len(flat) else np.zeros(0, np.int64)
+    place = np.full(FEATURES, -1)
     place[used] = np.arange(len(used))
     row, col = np.repeat(np.arange(len(size)), size), place[flat]
     row, col = row[col >= 0], col[col >= 0]
@@ -121,19 +148,21 @@ def fit(docs: DataFrame, labels: DataFrame, per_grade: int = 3000, min_docs: int
     rate = np.clip(np.bincount(col, weights=(weight * (grade == TOXIC))[row], minlength=len(used))
                    / np.maximum(np.bincount(col, weights=weight[row], minlength=len(used)), 1e-12), 1e-9, 1 - 1e-9)
     surprise = n_docs * (rate * np.log(rate / base) + (1 - rate) * np.log((1 - rate) / (1 - base)))
-    chosen = np.flatnonzero((rate > base) & (surprise > np.log(max(len(used), 1) / false_features)))
+    word = used < 1 << BITS
+    chosen = np.flatnonzero(~word | ((rate > base) & (surprise > np.log(max(len(used), 1) / false_features))))
     again = np.full(len(used), -1)
     again[chosen] = np.arange(len(chosen))
     row, col = row[again[col] >= 0], again[col[again[col] >= 0]]
-    return _train(row, col, grade, weight, used[chosen], ridge, steps)
+    return _train(row, col, grade, weight, used[chosen], ridge, shape_ridge, steps)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def _train(row, col, grade, weight, used, ridge: float, steps: int) -> Model:
+def _train(row, col, grade, weight, used, ridge: float, shape_ridge: float, steps: int) -> Model:
     n = len(grade)
+    ridge = np.where(used < 1 << BITS, ridge, shape_ridge)
     below = np.clip([weight[grade <= k].sum() for k in range(GRADES - 1)], 1e-3, 1 - 1e-3)
     # thresholds as a first value and positive gaps, so they stay ordered
     start = np.log(below / (1 - below))
@@ -157,8 +186,8 @@ def _train(row, col, grade, weight, used, ridge: float, steps: int) -> Model:
         scale = rate / (np.sqrt(square / (1 - 0.98 ** step)) + 1e-6)
         params = params - scale * mean / (1 - 0.9 ** step)
         w = params[:len(used)]
-        params[:len(used)] = np.maximum(w, 0)
-    weights = np.zeros(1 << BITS)
+        params[:len(used)] = np.where(used < 1 << BITS, np.maximum(w, 0), w)
+    weights = np.zeros(FEATURES)
     weights[used] = params[:len(used)]
     theta = params[len(used)] + np.concatenate(([0.0], np.cumsum(np.exp(params[len(used) + 1:]))))
     return Model(weights, theta, True)
