@@ -6,14 +6,16 @@ overlapping per kind, failing matches are dropped.  They are all kept.
 
 Bootstrapping.  Each span, and each other token that holds a digit or ``@``,
 is an instance met in lexical patterns: the one and the two words before it,
-and the word before together with the word after it.  Spark holds the graph
-of patterns and instances (counts of their meetings) and scores it in
-``rounds`` rounds: a pattern's confidence in a kind is the share of its
-meetings that are with instances of the kind (by their scores so far, with
-``PRIOR`` meetings against it); an instance that is no seed gets the best
-confidence among its patterns.  Patterns of at least ``min_confidence`` with
-at least ``min_seeds`` distinct seed instances then mark their other
-instances as spans of their kind.
+and the word before together with the word after it (words within 80 characters
+before and 40 after).  Spark holds the graph of patterns and instances (counts of
+their meetings) and scores it in ``rounds`` rounds: a pattern's confidence in a kind
+is the share of its meetings that are with instances of the kind (seeds count
+fully, others by their scores so far, with ``PRIOR`` meetings against it); an instance
+that is no seed gets the best confidence among the patterns of at least
+``min_confidence`` with at least ``min_seeds`` distinct supporters.  Supporters are the
+seeds and, from the second round on, the instances believed by then: so discovered
+identifiers induce new patterns, which discover further ones.  Every
+occurrence of an instance believed in the end is a span of its kind.
 
 The data path uses DataFrame functions only.  Regular expressions are written
 so that each start is tried once (possessive runs), which keeps very long
@@ -132,27 +134,32 @@ def _joined(spans: Column) -> Column:
         F.get(kind, x["kind"]), F.lit(":"), x["s"].cast("string"), F.lit(":"), x["e"].cast("string"))), ",")
 
 
-def confident_patterns(edges: DataFrame, rounds: int, min_confidence: float, min_seeds: int) -> DataFrame:
-    """(pattern, kind) of the patterns to trust, from ``edges`` (pattern, instance, kind, n)."""
-    seeds = edges.where("kind is not null").select("pattern", "instance", "kind", "n")
-    total = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
-    support = seeds.groupBy("pattern", "kind").agg(F.sum("n").alias("weight"), F.count("*").alias("n_seeds"))
+def believed_instances(edges: DataFrame, rounds: int, min_confidence: float, min_seeds: int) -> tuple[DataFrame, DataFrame]:
+    """(instance, kind) of the discovered instances and (pattern, kind, supporters, confidence) of all
+    patterns after the last round, from ``edges`` (pattern, instance, kind, n)."""
+    total = written(edges.groupBy("pattern").agg(F.sum("n").alias("total")), "totals")
     open_edges = edges.where("kind is null").select("pattern", "instance", "n")
-    scored = support.join(total, "pattern").withColumn(
-        "confidence", F.col("weight") / (F.col("total") + PRIOR)).select("pattern", "kind", "n_seeds", "confidence")
+    support = edges.where("kind is not null").groupBy("pattern", "kind").agg(
+        F.sum("n").cast("double").alias("weight"), F.count("*").alias("supporters"))
+    support = written(support, "support")
+
+    def scored(support: DataFrame) -> DataFrame:
+        found = support.join(total, "pattern").withColumn("confidence", F.col("weight") / (F.col("total") + PRIOR))
+        return written(found.select("pattern", "kind", "supporters", "confidence"), "patterns")
+
+    def believed(patterns: DataFrame) -> DataFrame:
+        good = patterns.where((F.col("confidence") >= min_confidence) & (F.col("supporters") >= min_seeds))
+        best = open_edges.join(good, "pattern").groupBy("instance").agg(
+            F.max(F.struct("confidence", (-F.col("kind")).alias("low"))).alias("b"))
+        return best.select("instance", (-F.col("b.low")).alias("kind"), F.col("b.confidence").alias("score"))
+    patterns = scored(support)
     for _ in range(rounds - 1):
-        scored = written(scored, "patterns")
-        # an unseen instance is believed as far as its best pattern is
-        believed = (open_edges.join(scored.where(F.col("n_seeds") >= min_seeds), "pattern")
-                    .groupBy("instance", "kind").agg(F.max("confidence").alias("score")))
-        added = (open_edges.join(believed, "instance").groupBy("pattern", "kind")
-                 .agg(F.sum(F.col("n") * F.col("score")).alias("extra")))
-        scored = (support.join(added, ["pattern", "kind"], "left").join(total, "pattern")
-                  .withColumn("confidence", (F.col("weight") + F.coalesce("extra", F.lit(0.0))) / (F.col("total") + PRIOR))
-                  .select("pattern", "kind", "n_seeds", "confidence"))
-    best = scored.where((F.col("confidence") >= min_confidence) & (F.col("n_seeds") >= min_seeds))
-    return best.groupBy("pattern").agg(F.max(F.struct("confidence", (-F.col("kind")).alias("low"))).alias("b")).select(
-        "pattern", (-F.col("b.low")).alias("kind"))
+        extra = (open_edges.join(believed(patterns), "instance").groupBy("pattern", "kind")
+                 .agg(F.sum(F.col("n") * F.col("score")).alias("weight"), F.count("*").alias("supporters")))
+        both = support.unionByName(extra).groupBy("pattern", "kind").agg(
+            F.sum("weight").alias("weight"), F.sum("supporters").alias("supporters"))
+        patterns = scored(both)
+    return believed(patterns).select("instance", "kind"), patterns
 
 
 def find(docs: DataFrame, rounds: int = 3, min_confidence: float = 0.8, min_seeds: int = 3) -> DataFrame:
@@ -170,9 +177,8 @@ def find(docs: DataFrame, rounds: int = 3, min_confidence: float = 0.8, min_seed
     meetings = met.select("instance", "kind", F.explode("patterns").alias("pattern"))
     edges = written(meetings.groupBy("pattern", "instance").agg(
         F.min("kind").alias("kind"), F.count("*").alias("n")), "edges")
-    trusted = confident_patterns(edges, rounds, min_confidence, min_seeds)
-    found = (met.where("kind is null").select("row", "s", "e", F.explode("patterns").alias("pattern"))
-             .join(trusted, "pattern").groupBy("row", "s", "e").agg(F.min("kind").alias("kind"))
+    known = believed_instances(edges, rounds, min_confidence, min_seeds)[0]
+    found = (met.where("kind is null").select("row", "s", "e", "instance").join(known, "instance")
              .groupBy("row").agg(F.collect_list(F.struct("kind", "s", "e")).alias("found")))
     base = F.transform(F.filter("instances", lambda x: x["kind"].isNotNull()),
                        lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
