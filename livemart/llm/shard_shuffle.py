@@ -26,6 +26,7 @@ are replaced.
 from __future__ import annotations
 
 import json
+import math
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -53,27 +54,47 @@ def communication_matrix(part_sizes: list[int], shard_sizes: list[int], seed: in
     return out
 
 
+_LOG_FACTORIALS = [math.lgamma(k + 1) for k in range(1024)]
+
+
+def _log_ratio(a: int, b: int) -> float:
+    """log(a! / b!); for large numbers the difference of Stirling's series, which does not cancel."""
+    if a < 1024 and b < 1024:
+        return _LOG_FACTORIALS[a] - _LOG_FACTORIALS[b]
+    if a < 1024 or b < 1024:
+        return math.lgamma(a + 1) - math.lgamma(b + 1)
+    d = a - b
+    return (b + 0.5) * math.log1p(d / b) + d * math.log(a) - d + (1 / a - 1 / b) / 12 - (a ** -3 - b ** -3) / 360
+
+
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """How many of ``draws`` from ``good + bad`` are good: an exact draw at any size.
+
+    Ratio of uniforms under a table-mountain hat around the mode, each trial
+    accepted by the exact log probability relative to the mode's.
+    """
     if draws == 0 or good == 0:
         return 0
-    if bad == 0:
-        return draws
-    if good + bad < 1_000_000_000:
-        return int(rng.hypergeometric(good, bad, draws))
-    # numpy's sampler ends at 10**9: split the draws, each part is again hypergeometric
-    half = draws // 2
-    if half == 0:
-        return int(rng.random() * (good + bad) < good)
-    first = _normal_hypergeometric(rng, good, bad, half)
-    return first + _normal_hypergeometric(rng, good - first, bad - (half - first), draws - half)
-
-
-def _normal_hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """Rounded normal limit, for populations beyond 10**9 (margins stay exact)."""
     total = good + bad
-    mean = draws * good / total
-    var = mean * (bad / total) * (total - draws) / max(total - 1, 1)
-    return int(np.clip(round(rng.normal(mean, np.sqrt(var))), max(0, draws - bad), min(good, draws)))
+    if bad == 0 or draws == total:
+        return min(good, draws)
+    few, taken = min(good, bad), min(draws, total - draws)  # the smaller of either way to count
+    mean = taken * few / total
+    spread = math.sqrt(mean * (total - few) / total * (total - taken) / (total - 1) + 0.5)
+    width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+    mode = (taken + 1) * (few + 1) // (total + 2)
+    top = min(taken, few)
+    while True:
+        x = 1.0 - rng.random()
+        z = math.floor(mean + 0.5 + width * (rng.random() - 0.5) / x)
+        if not 0 <= z <= top:
+            continue
+        log_share = -(_log_ratio(z, mode) + _log_ratio(few - z, few - mode) + _log_ratio(taken - z, taken - mode)
+                      + _log_ratio(total - few - taken + z, total - few - taken + mode))
+        if 2 * math.log(x) <= log_share:
+            break
+    z = z if good <= bad else taken - z
+    return z if taken == draws else good - z
 
 
 def shuffle(docs: DataFrame, shards: int = 16, seed: int = 20) -> DataFrame:

@@ -1,6 +1,7 @@
 """The operators against brute force on small tables with nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -200,6 +201,41 @@ def test_toxicity_held_out(spark):
     assert sum(a and not b for a, b in pairs) / sum(a for a, _ in pairs) < 0.05
 
 
+def auc(score, positive):
+    """Chance that a positive scores above a negative (ties count half)."""
+    values, rank = np.unique(score, return_inverse=True)
+    n, up = np.bincount(rank, minlength=len(values)), np.bincount(rank[positive], minlength=len(values))
+    below = np.cumsum(n - up) - (n - up)
+    return float((up * (below + (n - up) / 2)).sum() / (positive.sum() * (~positive).sum()))
+
+
+def test_toxicity_grades_held_out(spark):
+    """Each threshold separates its grades, and grade 1 is told from grade 0 without the toxic ones."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.fit(docs, labels.where(~held))
+    rows = toxicity.score(docs, model).drop("toxic").join(labels.where(held), "doc_id").collect()
+    severity = np.array([r.expected_severity for r in rows])
+    grade = np.array([2 if r.toxic else 1 if r.quality == 0 else 0 for r in rows])
+    assert auc(severity, grade >= 1) > 0.95 and auc(severity, grade >= 2) > 0.95
+    assert auc(severity[grade < 2], grade[grade < 2] == 1) > 0.95
+    assert severity[grade == 0].mean() + 0.3 < severity[grade == 1].mean() < severity[grade == 2].mean() - 0.3
+
+
+def test_shape_features_of_odd_texts():
+    import pyarrow as pa
+    texts = ["", "a b c d", "### $$$ !!!", "AAAA BBBB", "x\nx\nx\nx", "漢字 " * 10, "word " * 5000]
+    offsets, data = toxicity.column_buffers(pa.array(texts))
+    row, found = toxicity.letter_words(offsets, data, ())
+    bins = toxicity.shapes(offsets, data, row, found[0][1])
+    assert bins.shape == (7, toxicity.SHAPES) and bins.min() >= 0 and bins.max() < toxicity.BINS
+    assert bins[0].tolist() == [0] * 5 and bins[2, 1] == 15 and bins[3, 2] == 14 and bins[4, 3] == 15
+    assert bins[1, 4] == 15 and bins[6, 4] == 0 and bins[6, 0] == 14
+    row, feature = toxicity.features(offsets, data)
+    assert all((row == k).sum() >= toxicity.SHAPES for k in range(7)) and (np.diff(row) >= 0).all()
+
+
 def test_language_id(spark, make_docs):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -248,6 +284,32 @@ def test_shard_shuffle(make_docs):
     assert shard_shuffle.shard_rows(make_docs([])).count() == 0
 
 
+@pytest.mark.parametrize("good,bad,draws", [(5, 7, 4), (7, 5, 9), (1, 9, 3), (30, 50, 40), (60, 20, 70), (1000, 3000, 500), (3000, 2000, 2600)])
+def test_hypergeometric_draws_have_the_exact_law(good, bad, draws):
+    own = np.random.default_rng(good + draws)
+    n = 20_000
+    found = np.bincount([shard_shuffle._hypergeometric(own, good, bad, draws) for _ in range(n)], minlength=good + 1)
+    chance = np.array([math.comb(good, k) * math.comb(bad, draws - k) / math.comb(good + bad, draws) if 0 <= draws - k <= bad else 0.0
+                       for k in range(good + 1)])
+    assert found[chance == 0].sum() == 0
+    cells = chance * n >= 5
+    rest, rest_found = 1 - chance[cells].sum(), n - found[cells].sum()
+    chi = ((found[cells] - n * chance[cells]) ** 2 / (n * chance[cells])).sum() + (rest_found - n * rest) ** 2 / max(n * rest, 1)
+    assert chi < cells.sum() + 5 * math.sqrt(2 * cells.sum()) + 5
+
+
+def test_hypergeometric_at_any_size():
+    matrix = shard_shuffle.communication_matrix([10 ** 10, 3 * 10 ** 10 + 7, 5], [10 ** 10 + 3] * 4, 2)
+    assert matrix.sum(axis=1).tolist() == [10 ** 10, 3 * 10 ** 10 + 7, 5] and matrix.sum(axis=0).tolist() == [10 ** 10 + 3] * 4
+    own = np.random.default_rng(1)
+    for good, bad, draws in ((10 ** 6, 3 * 10 ** 6, 10 ** 6), (10 ** 12, 9 * 10 ** 12, 4 * 10 ** 11), (6 * 10 ** 12, 10 ** 12, 5 * 10 ** 12)):
+        mean = draws * good / (good + bad)
+        sd = math.sqrt(mean * bad / (good + bad) * (good + bad - draws) / (good + bad - 1))
+        z = (np.array([shard_shuffle._hypergeometric(own, good, bad, draws) for _ in range(8000)], float) - mean) / sd
+        assert abs(z.mean()) < 0.05 and abs(z.std() - 1) < 0.04
+        assert abs((z ** 3).mean()) < 0.12 and abs((z ** 4).mean() - 3) < 0.4 and abs((np.abs(z) < 1).mean() - 0.6827) < 0.025
+
+
 def test_shuffle_keeps_whole_rows(make_docs):
     rows = [(k % 90, f"text {k} " * (k % 7)) for k in range(333)] + [(None, None), (7, "same"), (7, "same")]
     docs = make_docs(rows).withColumn("row", F.lit("r")).withColumn("slot", F.lit("old"))
@@ -435,6 +497,62 @@ def test_pii_bootstraps_unseen_identifiers(make_docs):
     assert found[100] == "email:16:38" and found[101] == ""
 
 
+def test_pii_second_hop(make_docs):
+    """Seeds trust a pattern, what it discovers trusts another, whose identifiers are marked wherever they stand."""
+    rows = [(1000 + k, f"please reach user{k}@mail.example soon") for k in range(400)]
+    rows += [(100 + k, f"please reach ID-{k}X7 today") for k in range(40)]          # first hop: the seeds' pattern
+    rows += [(200 + k, f"badge number ID-{k}X7 was seen") for k in range(40)]       # induces a second pattern
+    rows += [(300 + k, f"badge number ZZ{k}9 was seen") for k in range(3)]          # second hop
+    rows += [(400, "nothing but ZZ09 alone"), (401, "room 12 and page 34 of volume 5"), (402, None)]
+    found = {r.doc_id: r.spans for r in pii_bootstrap.find(make_docs(rows)).collect()}
+    assert found[100] == "email:13:19" and found[200] == "email:13:19"
+    assert found[300] == "email:13:17" and found[400] == "email:12:16"
+    assert found[401] == found[402] == ""
+    once = {r.doc_id: r.spans for r in pii_bootstrap.find(make_docs(rows), rounds=1).collect()}
+    assert once[100] and once[200] and not once[300]  # one round: the seeds' own pattern only
+
+
+def brute_bootstrap(edges, rounds, min_confidence, min_seeds):
+    total, seeds = {}, {}
+    for p, i, k, n in edges:
+        total[p] = total.get(p, 0) + n
+        if k is not None:
+            w, c = seeds.get((p, k), (0, 0))
+            seeds[p, k] = (w + n, c + 1)
+    support = dict(seeds)
+    for step in range(rounds):
+        score = {(p, k): w / (total[p] + pii_bootstrap.PRIOR) for (p, k), (w, _) in support.items()}
+        best = {}
+        for p, i, kind, n in edges:
+            for k in range(4):
+                if kind is None and score.get((p, k), 0) >= min_confidence and support[p, k][1] >= min_seeds:
+                    best[i] = max(best.get(i, (0, -9)), (score[p, k], -k))
+        if step < rounds - 1:
+            support = dict(seeds)
+            for p, i, kind, n in edges:
+                if kind is None and i in best:
+                    s, k = best[i]
+                    w, c = support.get((p, -k), (0, 0))
+                    support[p, -k] = (w + n * s, c + 1)
+    return {i: -k for i, (_, k) in best.items()}, score
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 4])
+def test_pii_scores_brute_force(spark, make_docs, rounds):
+    local = random.Random(9)
+    seen = {(p, i): (p, i, (i % 4 if i < 40 else None), local.randint(1, 6))
+            for p, i in ((local.randrange(60), local.randrange(120)) for _ in range(500))}
+    for p in range(60, 70):  # patterns of one kind, and what they share with open instances
+        seen.update({(p, i): (p, i, 1, 9) for i in range(1, 40, 4)})
+        seen.update({(p, i): (p, i, None, 1) for i in range(40 + p - 60, 120, 17)})
+    edges = list(seen.values())
+    table = spark.createDataFrame(edges, "pattern long, instance long, kind int, n long")
+    known, patterns = pii_bootstrap.believed_instances(table, rounds, 0.6, 2)
+    want, score = brute_bootstrap(edges, rounds, 0.6, 2)
+    assert {r.instance: r.kind for r in known.collect()} == want and want
+    assert {(r.pattern, r.kind): round(r.confidence, 9) for r in patterns.collect()} == {k: round(v, 9) for k, v in score.items()}
+
+
 def test_permutation_index(spark):
     gen = np.random.default_rng(3)
     data = gen.normal(size=(1500, 16))
