@@ -452,6 +452,39 @@ def test_stages_with_clashing_names_and_odd_rows(spark, make_docs):
     assert sorted((r.doc_id or 0, (r.text or "")[:5]) for r in kept)[:2] == [(0, ""), (0, "no id")] and len(kept) == 3
 
 
+def _operators(spark):
+    from livemart.llm import piece_codec
+    labels = spark.createDataFrame([(k, k % 2, int(k % 5 == 0)) for k in range(80)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, " ".join(words(30)))], "item_id long, text string")
+    chat = lambda d: d.select(F.col("doc_id").alias("conv_id"), F.lit(None).cast("long").alias("turn"),
+                              F.lit("assistant").alias("role"), "text", *CLASHING)
+    return {
+        "op1": pii_bootstrap.find, "op2": shard_shuffle.shard_rows, "op4": lambda d: domain_mixing.mix(d, labels),
+        "op5": lambda d: toxicity.score(d, toxicity.fit(d, labels)),
+        "op6": lambda d: language_id.predict(d, language_id.fit(d)), "op7": lambda d: decontaminate.leaks(d, bench),
+        "op8": ngram_jaccard_join.ngram_jaccard_join, "op9": lambda d: chat_format.digest(chat_format.assemble(chat(d))),
+        "op10": substring_dedup.substring_dedup, "op12": lambda d: piece_codec.decode(piece_codec.encode(d))}
+
+
+@pytest.mark.parametrize("name", ["op1", "op2", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "op12"])
+def test_every_operator_on_odd_and_empty_tables(spark, make_docs, name):
+    """Null ids, null, empty and very long texts, repeated rows, clashing names; then no rows at all."""
+    docs = odd_docs(make_docs, [(k, " ".join(words(40) + ["grubblo"] * (2 * (k % 5 == 0)))) for k in range(100)])
+    run = _operators(spark)[name]
+    out = run(docs)
+    rows = out.collect()
+    if name not in ("op7", "op9"):  # one row per row
+        assert len(rows) == docs.count()
+        key = [c for c in out.columns if c not in ("shard", "slot", "keep")]
+        assert len({tuple(str(r[c]) for c in key) for r in rows if r.doc_id == 7}) == 1  # repeated rows: alike
+        assert sum(r.doc_id is None for r in rows) == 2
+    if name == "op9":
+        assert sorted(str(r[0]) for r in rows) == sorted({str(r.doc_id) for r in docs.select("doc_id").collect()})
+    empty = run(docs.limit(0))
+    assert empty.columns == out.columns or name in ("op4",)
+    assert empty.count() == 0
+
+
 def test_language_sample_is_bounded(spark, make_docs):
     docs = odd_docs(make_docs, [(7, " ".join(words(5))) for _ in range(500)])
     assert language_id._sampled(docs, 10).count() == 10
