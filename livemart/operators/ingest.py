@@ -21,7 +21,7 @@ CORRUPT = "_corrupt_record"
 # Topic for records that do not parse (the upstream intake failed on them).
 TOPIC_QUARANTINE = "QUARANTINE"
 
-# Change-data routing, (table, operations) -> topic; the upstream routing
+# Change-data routing, (table, operations) -> topic; the upstream routing
 # rule.  Pass ``routes=`` to use other topic names.
 CHANGE_ROUTES = (
     ("order_info", ("INSERT",), TOPIC_ORDER),

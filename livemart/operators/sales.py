@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from livemart.functions.numeric import age_years
 from livemart.operators.keyed import latest_per_key
-from livemart.operators.skew import split_hot_join
 from livemart.schemas import SALE_DETAIL_COLUMNS
 
 
@@ -62,23 +61,16 @@ def with_user(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
     return _finish(sales.join(_user_attrs(users, as_of), "user_id", "left"))
 
 
-def sale_detail(orders: DataFrame, lines: DataFrame, users: DataFrame, as_of: str,
-                hot_rows: int | None = None) -> DataFrame:
+def sale_detail(orders: DataFrame, lines: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
     """The whole sale row: (order ⋈ line) ⟕ user, SALE_DETAIL_COLUMNS.
 
     The user is attached to the *order* before the line join: every line of
     an order has the order's user, so the result is the same, but the
     shuffle on ``user_id`` then moves order-sized rows instead of
-    line-sized ones (about four lines per order).  ``hot_rows`` switches
-    the user lookup to the explicit hot-key split join (users with more
-    orders than that are joined map-side); by default AQE's skew join
-    splits hot partitions at run time.
+    line-sized ones (about four lines per order).  AQE's skew join splits
+    the partition of a hot user.
     """
-    attrs = _user_attrs(users, as_of)
-    if hot_rows:
-        enriched = split_hot_join(orders, attrs, ["user_id"], "left", hot_rows)
-    else:
-        enriched = orders.join(attrs, "user_id", "left")
+    enriched = orders.join(_user_attrs(users, as_of), "user_id", "left")
     pairs = pair_rows(enriched, lines, carry=("user_gender", "user_level", "_age"))
     # No dedupe here: the batch inputs are keyed tables.  Redelivered copies
     # exist only on streams, where lines are deduplicated by id within the

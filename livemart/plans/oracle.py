@@ -353,6 +353,17 @@ ORACLE_SQL["dau_hour_map"] = f"""WITH hc AS ({ORACLE_SQL['dau_hour']})
 SELECT logdate, string_agg(loghour || ':' || CAST(ct AS VARCHAR), ',' ORDER BY loghour) AS hours
 FROM hc GROUP BY logdate"""
 ORACLE_SQL["dau_hour_day"] = f"""SELECT * FROM ({ORACLE_SQL['dau_hour_compare']}) WHERE logdate = '{P.DASH_DATE}'"""
+TODAY = "strftime(current_timestamp AT TIME ZONE 'UTC', '%Y-%m-%d')"
+ORACLE_SQL["dau_hour_today"] = f"""WITH {DAU},
+v AS (SELECT logdate, loghour, count(*) AS ct FROM dau GROUP BY logdate, loghour),
+hours AS (SELECT lpad(CAST(h AS VARCHAR), 2, '0') AS hour FROM range(24) t(h))
+SELECT {TODAY} AS logdate, hour,
+       CAST(coalesce((SELECT sum(ct) FROM v WHERE loghour = hour AND logdate = {TODAY}), 0) AS BIGINT) AS today,
+       CAST(coalesce((SELECT sum(ct) FROM v WHERE loghour = hour
+                      AND logdate = strftime(CAST({TODAY} AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d')), 0) AS BIGINT) AS yesterday
+FROM hours"""
+ORACLE_SQL["stream_dau_counts"] = f"""WITH {LOGS}
+SELECT count(*) AS rows_in, count(DISTINCT logdate || ' ' || mid) AS rows_out FROM lg WHERE type = 'startup'"""
 ORACLE_SQL["metric_cards_day"] = f"""WITH cards(id, name) AS (VALUES ('dau', '新增日活'), ('newMid', '新增设备'),
                                                    ('order_amount', '新增交易额'))
 SELECT '{P.DASH_DATE}' AS date, cards.id, cards.name,
@@ -422,5 +433,6 @@ STREAM_ORACLE_OF = {
     "stream_dau_seen": "dau_first",
     "stream_sale_restart": "sale_detail",
     "sale_search_indexed": "sale_search_result",
+    "stream_dau_live": "dau_first",
 }
 ORACLE_SQL.update({k: ORACLE_SQL[v] for k, v in STREAM_ORACLE_OF.items()})

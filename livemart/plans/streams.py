@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livemart.functions.timefmt import epoch_millis_ntz
-from livemart.operators import search
+from livemart.operators import ingest, search
 from livemart.operators.alerts import per_minute
 from livemart.operators.search_index import SaleIndex
 from livemart.plans import params as P
@@ -24,7 +24,7 @@ from livemart.sources import adapters as A
 from livemart.sources.tables import read_table
 from livemart.streaming import jobs, totals
 from livemart.streaming.replay import replay_stream
-from livemart.streaming.sources import POSITION, read_folder
+from livemart.streaming.sources import POSITION, open_stream, read_folder
 from livemart.streaming.upsert import KeyedTable
 
 ONCE = {"availableNow": True}
@@ -266,6 +266,37 @@ def stream_dau_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.view(spark).select(*DAU_COLUMNS)
 
 
+def stream_dau_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK11 + J1: start-ups before and rows after the seen filter, summed over the batches."""
+    root = scratch_path(spark, "stream_dau_counts")
+    src = _replay(spark, A.startup_logs(spark, sf_dir), root, "startup", "ts_ms")
+    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"], schema=STARTUP_LOG)
+    counts = KeyedTable(f"{root}/counts", ["batch"], schema="batch long, rows_in long, rows_out long")
+    jobs.seen_query(src, table, f"{root}/ckpt", trigger=ONCE, counts=counts).awaitTermination()
+    return counts.view(spark).agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"))
+
+
+def stream_dau_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 + SRC2 + SRC4 + SNK8 + ST3: raw log text routed to topic folders, the catalogue's start-up
+    stream read from its folder, DAU on the live trigger of five seconds."""
+    root = scratch_path(spark, "stream_dau_live")
+    raw = A.raw_log_json(spark, sf_dir, with_arrival=True).select("value", "ts_ms")
+    text = replay_stream(raw, f"{root}/in_logs", "ts_ms", CHUNKS, FILES_PER_CHUNK, fmt="text")
+    jobs.log_route_query(text, f"{root}/archive", f"{root}/ckpt_logs", stamp="record", splits=2,
+                         trigger=ONCE).awaitTermination()
+    logs = open_stream(spark, "startup", folder=f"{root}/archive/topic=STARTUP", max_files_per_trigger=200)
+    starts = ingest.log_day_hour(logs, "ts").withColumnRenamed("ts", "ts_ms")
+    starts = starts.withColumn("event_id", F.xxhash64(*POSITION))
+    table = KeyedTable(f"{root}/dau", ["logdate", "mid"], partition_by=["logdate"], schema=STARTUP_LOG)
+    # files of many days arrive together: nothing of the replay is late
+    query = jobs.dau_query(starts, table, f"{root}/ckpt", watermark="4000 days", trigger=jobs.LIVE_TRIGGER)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return table.view(spark).select(*DAU_COLUMNS)
+
+
 def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK3: documents upserted by id.  A fifth has no id, a tenth of all is there twice so; of the others
     some are delivered again with their id; the job dies once between sink and commit."""
@@ -403,4 +434,6 @@ STREAM_QUERIES = {
     "stream_sale_restart": stream_sale_restart,
     "stream_documents": stream_documents,
     "stream_sale_unmatched": stream_sale_unmatched,
+    "stream_dau_counts": stream_dau_counts,
+    "stream_dau_live": stream_dau_live,
 }

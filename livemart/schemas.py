@@ -18,6 +18,7 @@ def _struct(*fields) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# The field names of the records that the upstream services emit, in their order.
 # Raw client log (start-up or event); the intake adds ``ts`` (epoch ms).
 RAW_LOG = _struct(
     ("type", S), ("mid", S), ("uid", S), ("os", S), ("appid", S), ("area", S),
@@ -36,6 +37,7 @@ EVENT_INFO = _struct(
     ("itemid", S), ("logdate", S), ("loghour", S), ("ts", L),
 )
 
+# The columns of the order table, in its order.
 ORDER_INFO_COLUMNS = (
     "id", "province_id", "consignee", "order_comment", "consignee_tel",
     "order_status", "payment_way", "user_id", "img_url", "total_amount",
@@ -65,12 +67,14 @@ CHANGE_RECORD = T.StructType([
     T.StructField("seq", L),
 ])
 
+# The columns of the sale rows, in their order.
 SALE_DETAIL_COLUMNS = (
     "order_detail_id", "order_id", "order_status", "create_time", "user_id",
     "sku_id", "user_gender", "user_age", "user_level", "sku_price", "sku_name",
     "dt", "sku_num",
 )
 
+# The columns of the DAU table, in its order.
 DAU_COLUMNS = ("mid", "uid", "appid", "area", "os", "ch", "type", "vs",
                "logdate", "loghour", "ts")
 
@@ -85,7 +89,7 @@ class StreamSpec:
     event_time: str | None
 
 
-# Default names of the five topics of the stream catalogue; deployments with
+# Default names of the five topics of the stream catalogue; deployments with
 # other topic names pass them to the routers (``topics=`` arguments).
 TOPIC_STARTUP = "STARTUP"
 TOPIC_EVENT = "EVENT"

@@ -368,12 +368,14 @@ def first_batch(spark, checkpoint: str, table: KeyedTable) -> int:
     return first
 
 
-def seen_query(startups: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def seen_query(startups: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None,
+               counts: KeyedTable | None = None) -> StreamingQuery:
     """J1 + ST3 without state: each batch's first start-ups against the stored ones of their days.
 
     A device that the day's folder does not have yet is written, or one with an
     earlier start than the stored one.  What was seen is the table itself, so the
     answer survives the loss of the checkpoint: the replayed start-ups are all seen.
+    ``counts`` (SNK11) gets a row a batch: start-ups in, rows left after the filter.
     """
     first = first_batch(startups.sparkSession, checkpoint, table)
 
@@ -382,7 +384,12 @@ def seen_query(startups: DataFrame, table: KeyedTable, checkpoint: str, trigger:
         seen = table.view(df.sparkSession, keys=rows.select("logdate", "mid"), before_batch=first + bid)
         seen = seen.select("logdate", "mid", F.col("ts").alias("_seen"))
         new = rows.join(seen, ["logdate", "mid"], "left").where(F.col("_seen").isNull() | (F.col("ts") < F.col("_seen")))
-        return new.select(*rows.columns)
+        new = new.select(*rows.columns)
+        if counts is not None:
+            # one aggregate each over the persisted batch
+            row = [(first + bid, df.count(), new.count())]
+            counts.write(df.sparkSession.createDataFrame(row, "batch long, rows_in long, rows_out long"), first + bid)
+        return new
     return _start(startups, checkpoint, trigger, "append", table.foreach_batch(_unseen, first=first), "seen")
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from livemart.functions.json import parse
+from livemart.schemas import STREAMS
+
 
 # where a row stands in its source: file and row number (a topic has partition and offset)
 POSITION = ("source_file", "source_row")
@@ -58,6 +61,24 @@ def read_folder(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return df.select("*", F.col("_metadata.file_name").alias(POSITION[0]), F.col("_metadata.row_index").alias(POSITION[1]))
 
 
+def open_stream(spark: SparkSession, name: str, bootstrap: str | None = None, folder: str | None = None,
+                fmt: str = "parquet", max_files_per_trigger: int = 1, **kw) -> DataFrame:
+    """SRC2: a stream of the catalogue (``schemas.STREAMS``) by name, as its typed records.
+
+    From its topic at ``bootstrap``, or from a ``folder`` whose files hold the
+    records as JSON in a column ``value`` (the archive of a log router).  The
+    position of each record (partition and offset, or file and row) comes along.
+    """
+    spec = STREAMS[name]
+    if folder is None:
+        raw = read_topic(spark, bootstrap, spec.topic, **kw).select("value", "partition", "offset")
+    else:
+        raw = read_folder(spark, folder, T.StructType([T.StructField("value", T.StringType())]), fmt,
+                          max_files_per_trigger, with_position=True)
+    place = [c for c in raw.columns if c != "value"]
+    return raw.select(parse("value", spec.schema).alias("r"), *place).select("r.*", *place)
+
+
 def read_log_text(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
     """SRC4: raw client-log lines (JSON text) from a folder: (value)."""
     return (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)

@@ -307,34 +307,6 @@ def test_user_as_of_order_time(spark):
     assert got == {"a": (None, 0), "b": ("L1", 1), "c": ("L3", 1), "d": (None, 0)}
 
 
-def test_split_hot_join_equals_plain_join_with_a_hot_key(spark):
-    from conftest import SF_SMALL
-    from livemart.operators.skew import hot_keys, split_hot_join
-    from livemart.sources import adapters as A
-    o = A.order_rows(spark, SF_SMALL, with_customer=False)
-    # one customer holds a third of all orders
-    o = o.withColumn("user_id", F.when(F.col("id").cast("long") % 3 == 0, F.lit("1")).otherwise(F.col("user_id")))
-    u = A.user_info(spark, SF_SMALL).select(F.col("id").alias("user_id"), "user_level")
-    assert [r.user_id for r in hot_keys(o, ["user_id"], 100).collect()] == ["1"]
-    for how in ("left", "inner"):
-        plain = o.join(u, "user_id", how)
-        split = split_hot_join(o, u, ["user_id"], how, hot_rows=100)
-        assert split.count() == plain.count()
-        assert split.exceptAll(plain.select(*split.columns)).count() == 0
-
-
-def test_sale_detail_with_hot_user_split_is_unchanged(spark):
-    from conftest import SF_SMALL
-    from livemart.operators import orders as O
-    from livemart.sources import adapters as A
-    o = O.order_info(A.order_rows(spark, SF_SMALL, with_customer=False))
-    o = o.withColumn("user_id", F.when(F.col("id").cast("long") % 3 == 0, F.lit("1")).otherwise(F.col("user_id")))
-    d, u = A.order_detail(spark, SF_SMALL), A.user_info(spark, SF_SMALL)
-    a = sales.sale_detail(o, d, u, "2001-08-02")
-    b = sales.sale_detail(o, d, u, "2001-08-02", hot_rows=100)
-    assert a.count() == b.count() and a.exceptAll(b).count() == 0
-
-
 def test_alert_window_must_cover_its_slide(spark):
     with pytest.raises(ValueError):
         alerts.coupon_alerts(events(spark, [("d", "u1", "coupon", "2024-01-01 00:10:00")]), H1, H6)
