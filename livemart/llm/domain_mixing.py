@@ -36,6 +36,7 @@ gives an empty result.  Columns of ``docs`` may have any names: ``mixed`` keeps
 
 from __future__ import annotations
 
+import json
 import logging
 import math
 from dataclasses import dataclass
@@ -130,13 +131,18 @@ def rate_of(posterior: list[Column], steps, bounds: tuple[float, float]) -> Colu
     if not steps:
         return F.lit(1.0)
 
+    k = len(posterior)
+
     def step(state: Column, move: Column) -> Column:
         ahead = state["now"] + F.get(move, 0) * (state["now"] - state["last"])
-        ahead = ahead - sum((p * F.get(move, k + 2) for k, p in enumerate(posterior[1:])), posterior[0] * F.get(move, 1))
+        for d in range(k):
+            ahead = ahead - state[f"p{d}"] * F.get(move, d + 1)
         return F.struct(F.least(F.lit(bounds[1]), F.greatest(F.lit(bounds[0]), ahead)).alias("now"),
-                        state["now"].alias("last"))
-    start = F.struct(F.lit(1.0).alias("now"), F.lit(1.0).alias("last"))
-    return F.aggregate(F.lit([list(map(float, s)) for s in steps]), start, step, lambda state: state["now"])
+                        state["now"].alias("last"), *[state[f"p{d}"].alias(f"p{d}") for d in range(k)])
+    # the posterior is part of the state, so that it is computed once and not in every step
+    start = F.struct(F.lit(1.0).alias("now"), F.lit(1.0).alias("last"), *[p.alias(f"p{d}") for d, p in enumerate(posterior)])
+    moves = F.from_json(F.lit(json.dumps([list(map(float, s)) for s in steps])), "array<array<double>>")
+    return F.aggregate(moves, start, step, lambda state: state["now"])
 
 
 def fit_rates(cells: DataFrame, weights: list[float], names: list[str], bounds: tuple[float, float] = BOUNDS,
@@ -245,5 +251,6 @@ def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None =
     plain = [f"c{k}" for k in range(len(docs.columns))]  # names of the input may clash with ours
     doc_id, text = (plain[docs.columns.index(c)] for c in ("doc_id", "text"))
     rows = _rated(docs.toDF(*plain).withColumns(_description(doc_id, text)), model)
-    taken = rows.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return taken.select(*plain).toDF(*docs.columns)
+    # an outer explode and a filter behind it: one before it would be pushed down and compute the statistics again
+    taken = rows.withColumn("copy", F.explode_outer(F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies")))))
+    return taken.where("copy is not null").select(*plain).toDF(*docs.columns)
