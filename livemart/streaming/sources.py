@@ -71,11 +71,11 @@ def open_stream(spark: SparkSession, name: str, bootstrap: str | None = None, fo
     """
     spec = STREAMS[name]
     if folder is None:
-        raw = read_topic(spark, bootstrap, spec.topic, **kw).select("value", "partition", "offset")
+        raw, place = read_topic(spark, bootstrap, spec.topic, **kw), ("partition", "offset")
     else:
+        place = POSITION
         raw = read_folder(spark, folder, T.StructType([T.StructField("value", T.StringType())]), fmt,
                           max_files_per_trigger, with_position=True)
-    place = [c for c in raw.columns if c != "value"]
     return raw.select(parse("value", spec.schema).alias("r"), *place).select("r.*", *place)
 
 
