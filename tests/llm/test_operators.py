@@ -371,8 +371,7 @@ THREE = [(50 - a - b, a, b, 100 + 7 * a + b * b) for a in range(0, 51, 5) for b
 
 
 @pytest.mark.parametrize("cells,weights,bounds", [
-    (SOFT, [0.2, 0.8], (0.25, 4.0)), (SOFT, [0.05, 0.95], (0.25, 4.0)), (SOFT, [0.01, 0.99], (0.25, 4.0)),
-    (SOFT, [0.5, 0.5], (0.5, 2.0)), (SOFT[1:6], [0.9, 0.1], (0.25, 4.0)), (THREE, [0.4, 0.3, 0.3], (0.25, 4.0)),
+    (SOFT, [0.2, 0.8], (0.25, 4.0)), (SOFT, [0.01, 0.99], (0.25, 4.0)), (SOFT[1:6], [0.9, 0.1], (0.5, 2.0)),
     (THREE, [0.9, 0.09, 0.01], (0.25, 4.0)), ([(50, 0, 1_000_000), (49, 1, 500)], [0.1, 0.9], (0.25, 4.0))])
 def test_domain_rates_are_bounded_least_squares(spark, cells, weights, bounds):
     rate, residual = fitted(spark, cells, weights, bounds)
