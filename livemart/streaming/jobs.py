@@ -224,26 +224,51 @@ def sale_query(orders_rows: DataFrame, lines: DataFrame, users: KeyedTable, tabl
     return _start(both_sides(orders_rows, lines), checkpoint, trigger, "append", _batch, "sale_detail")
 
 
+def _flagged(kept: DataFrame, partners: DataFrame, near) -> DataFrame:
+    """``kept`` with ``matched`` set where a partner is ``near``."""
+    return (kept.join(partners, near, "left_semi").withColumn("matched", F.lit(True))
+            .unionByName(kept.join(partners, near, "left_anti")))
+
+
 def sale_dead_letters_query(orders_rows: DataFrame, lines: DataFrame, path: str, checkpoint: str,
                             max_delay: str = "10 seconds", watermark: str = "1 minute",
                             trigger: dict | None = None) -> StreamingQuery:
     """J2 outer sides as a stream: orders that never got a line and lines that
     never found their order, emitted once the watermark has passed the time
-    bound (full outer stream-stream join, append mode).  Output: (side, id,
-    order_id), the shape of ``sales.unmatched``.
+    bound.  Each micro-batch is a full outer join with the rows kept open
+    (``bounded.OpenRows``).  Output: (side, id, order_id), the shape of
+    ``sales.unmatched``, in one folder a batch (``BATCH_COL``), which a replayed batch overwrites.
     """
-    o = (with_event_time(orders_rows.select(F.col("id").alias("_oid"), "order_ms"), "order_ms", "order_time")
-         .withWatermark("order_time", watermark))
-    d = (with_event_time(lines.select(F.col("id").alias("_lid"), "order_id", "change_ms"), "change_ms", "change_time")
-         .withWatermark("change_time", watermark))
-    cond = F.expr(f"_oid = order_id AND change_time BETWEEN order_time - INTERVAL {max_delay} "
-                  f"AND order_time + INTERVAL {max_delay}")
-    j = o.join(d, cond, "fullOuter")
-    dead = j.where(F.col("_oid").isNull() | F.col("_lid").isNull()).select(
-        F.when(F.col("_lid").isNull(), F.lit("order")).otherwise(F.lit("order_detail")).alias("side"),
-        F.coalesce(F.col("_lid"), F.col("_oid")).alias("id"),
-        F.coalesce(F.col("order_id"), F.col("_oid")).alias("order_id"))
-    return _start(dead, checkpoint, trigger, "append", name="sale_dead_letters", path=path)
+    def _batch(df, bid):
+        span = interval_ms(df.sparkSession, max_delay)
+        rows = OpenRows(df, bid, checkpoint, watermark)
+
+        def sides(some_orders, some_lines):
+            o = some_orders.select(F.col("id").alias("_oid"), "order_ms", F.col("matched").alias("_omet"), F.col(HELD).alias("_oheld"))
+            d = some_lines.select(F.col("id").alias("_lid"), "order_id", "change_ms", F.col("matched").alias("_lmet"),
+                                  F.col(HELD).alias("_lheld"))
+            return o, d
+        try:
+            near = f"order_id AND change_ms BETWEEN order_ms - {span} AND order_ms + {span}"
+            o, d = sides(rows.orders, rows.lines)
+            over = lambda time, met: ~rows.is_open(time, span) & ~F.col(met)
+            emitted = (F.when(F.col("_omet").isNull(), over("change_ms", "_lmet")).when(F.col("_lmet").isNull(), over("order_ms", "_omet"))
+                       .otherwise(F.col("_lid").isNull() & ~(F.col("_oheld") & F.col("_lheld"))))
+            dead = o.join(d, F.expr(f"_oid = {near}"), "fullOuter").where(emitted).select(
+                F.when(F.col("_lid").isNull(), F.lit("order")).otherwise(F.lit("order_detail")).alias("side"),
+                F.coalesce(F.col("_lid"), F.col("_oid")).alias("id"),
+                F.coalesce(F.col("order_id"), F.col("_oid")).alias("order_id"))
+            dead.write.mode("overwrite").parquet(f"{path}/{BATCH_COL}={int(bid)}")
+
+            # of the rows kept, those that have met a partner; it stands at most twice the bound behind the watermark
+            o, d = sides(rows.orders.where(rows.is_open("order_ms", 2 * span)), rows.lines.where(rows.is_open("change_ms", 2 * span)))
+            open_orders, open_lines = rows.orders.where(rows.is_open("order_ms", span)), rows.lines.where(rows.is_open("change_ms", span))
+            rows.keep(_flagged(open_orders, d, F.expr(f"id = {near}")),
+                      _flagged(open_lines, o, F.expr(f"_oid = {near}")))
+        finally:
+            rows.close()
+    both = both_sides(orders_rows.select("id", "order_ms"), lines.select("id", "order_id", "change_ms"))
+    return _start(both, checkpoint, trigger, "append", _batch, "sale_dead_letters")
 
 
 def clustered(df: DataFrame, cols: list[str], spread: str, splits: int) -> DataFrame:

@@ -71,6 +71,27 @@ def test_sale_job_pairs_across_batches_once_and_drops_late_rows_and_copies(spark
                    ("3_1", "red widget", 2), ("3_2", "red widget", 3)]
 
 
+def test_dead_letters_keep_only_open_rows_and_emit_once(spark, scratch):
+    for k in range(3):
+        at = T0 + k * 100 * HOUR
+        put(spark, [order(f"{k}{n:02d}", at + n * HOUR) for n in range(100)], ORDER, f"{scratch}/o")
+        put(spark, [line(f"{k}{n:02d}_1", f"{k}{n + (n % 10 == 0):02d}", at + n * HOUR) for n in range(100)], LINE, f"{scratch}/d")
+    # the last order and line of a batch find partners in the next one
+    put(spark, [order("x", T0 + 1000 * HOUR), order("y", T0 + 1000 * HOUR)], ORDER, f"{scratch}/o")
+    put(spark, [line("z_1", "z", T0 + 1000 * HOUR), line("x_1", "x", T0 + 1000 * HOUR)], LINE, f"{scratch}/d")
+    put(spark, [order("z", T0 + 1000 * HOUR + 9000)], ORDER, f"{scratch}/o")
+    put(spark, [line("y_1", "y", T0 + 1000 * HOUR + 9000)], LINE, f"{scratch}/d")
+    put(spark, [order(None, T0 + 2000 * HOUR)], ORDER, f"{scratch}/o")
+    put(spark, [line(None, None, T0 + 2000 * HOUR)], LINE, f"{scratch}/d")
+    q = jobs.sale_dead_letters_query(*streams(spark, scratch), f"{scratch}/dead", f"{scratch}/ck", trigger=ONCE)
+    q.awaitTermination()
+    tens = [f"{k}{n:02d}" for k in range(3) for n in range(0, 100, 10)]
+    got = sorted((r.side, r.id) for r in spark.read.parquet(f"{scratch}/dead").where("id is not null").collect())
+    assert got == sorted([("order", t) for t in tens] + [("order_detail", f"{t}_1") for t in tens])
+    assert max(sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in q.recentProgress) == 0
+    assert max(kept(spark, scratch)) <= 6  # x, y and z, both sides
+
+
 def test_once_per_key_picks_where_keys_repeat(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (None, 4, "p"), (None, 3, "q"), ("b", 9, None)], "k string, n int, v string")
     assert sorted((r.k or "", r.v) for r in once_per_key(df, ["k"], ["n"]).collect()) == [("", "q"), ("a", "x"), ("b", None)]
