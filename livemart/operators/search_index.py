@@ -32,6 +32,8 @@ from livemart.operators import search
 K1 = 1.2
 B = 0.75
 FACET_COLUMNS = ("user_gender", "user_age", "user_level")
+# what the index reads of a sale row
+INDEXED_COLUMNS = ("dt", "order_detail_id", "sku_name", *FACET_COLUMNS)
 
 
 def postings(sales: DataFrame) -> DataFrame:
@@ -53,15 +55,20 @@ class SaleIndex:
     def build(cls, sales: DataFrame, path: str) -> "SaleIndex":
         index = cls(sales.sparkSession, path)
         order = ["term", "dt", "order_detail_id"]
-        (postings(sales).repartitionByRange(*order).sortWithinPartitions(*order)
-         .write.option("compression", "zstd").parquet(f"{index.path}/postings"))
+        # computed once and kept (memory, spilling to disk): the range bounds, the postings and the collection read it
+        lines = sales.select(*INDEXED_COLUMNS).persist()
+        try:
+            (postings(lines).repartitionByRange(*order).sortWithinPartitions(*order)
+             .write.option("compression", "zstd").parquet(f"{index.path}/postings"))
+            length = F.size(F.coalesce(tokens("sku_name"), F.array().cast("array<string>")))
+            lines.select(length.alias("n")).where("n > 0").agg(
+                F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("tokens")) \
+                .write.parquet(f"{index.path}/collection")
+        finally:
+            lines.unpersist()
         held = index.postings()
         (held.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
          .repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{index.path}/terms"))
-        length = F.size(F.coalesce(tokens("sku_name"), F.array().cast("array<string>")))
-        sales.select(length.alias("n")).where("n > 0").agg(
-            F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("tokens")) \
-            .write.parquet(f"{index.path}/collection")
         return index
 
     def postings(self) -> DataFrame:

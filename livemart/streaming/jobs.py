@@ -41,6 +41,11 @@ def state_partitions(spark) -> int:
     return max(int(spark.sparkContext.defaultParallelism), 1)
 
 
+def batch_partitions(spark) -> int:
+    """Shuffle partitions of a job without state: the session's (AQE merges small ones), no fewer than the task slots."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), state_partitions(spark))
+
+
 def _start(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str = "update",
            foreach_batch=None, name: str | None = None, partitions: int | None = None,
            **sink) -> StreamingQuery:
@@ -221,7 +226,8 @@ def sale_query(orders_rows: DataFrame, lines: DataFrame, users: KeyedTable, tabl
         finally:
             rows.close()
         table.fold(spark, bid)
-    return _start(both_sides(orders_rows, lines), checkpoint, trigger, "append", _batch, "sale_detail")
+    return _start(both_sides(orders_rows, lines), checkpoint, trigger, "append", _batch, "sale_detail",
+                  batch_partitions(orders_rows.sparkSession))
 
 
 def _flagged(kept: DataFrame, partners: DataFrame, near) -> DataFrame:
@@ -268,7 +274,7 @@ def sale_dead_letters_query(orders_rows: DataFrame, lines: DataFrame, path: str,
         finally:
             rows.close()
     both = both_sides(orders_rows.select("id", "order_ms"), lines.select("id", "order_id", "change_ms"))
-    return _start(both, checkpoint, trigger, "append", _batch, "sale_dead_letters")
+    return _start(both, checkpoint, trigger, "append", _batch, "sale_dead_letters", batch_partitions(both.sparkSession))
 
 
 def clustered(df: DataFrame, cols: list[str], spread: str, splits: int) -> DataFrame:
@@ -276,7 +282,7 @@ def clustered(df: DataFrame, cols: list[str], spread: str, splits: int) -> DataF
     files per folder, yet no single task writes the live day alone.  The
     partition count is given, so that AQE does not merge a small batch of
     many folders into one writing task."""
-    return df.repartition(state_partitions(df.sparkSession), *cols, F.pmod(F.xxhash64(spread), F.lit(splits)))
+    return df.repartition(batch_partitions(df.sparkSession), *cols, F.pmod(F.xxhash64(spread), F.lit(splits)))
 
 
 def order_query(orders_rows: DataFrame, table: KeyedTable, checkpoint: str, splits: int = 16,

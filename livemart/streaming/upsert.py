@@ -222,7 +222,7 @@ class KeyedTable:
 
     def view(self, spark: SparkSession, keys: DataFrame | None = None,
              with_batch: bool = False, before_repair: int | None = None,
-             before_batch: int | None = None) -> DataFrame:
+             before_batch: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
         """Latest version of every key (merge on read).
 
         ``keys`` (a DataFrame of some or all key columns) restricts the view to those
@@ -233,6 +233,8 @@ class KeyedTable:
         ``before_repair`` leaves out that repair and later ones, so a repair
         run again reads what its first run read; ``before_batch`` leaves out that
         batch and later ones, so a replayed micro-batch does the same.
+        ``columns`` narrows the view to these: the merge then moves no others (the
+        optimizer cannot prune the row that the per-key pick packs).
         """
         raw = self.raw(spark)
         if before_repair is not None:
@@ -244,7 +246,8 @@ class KeyedTable:
             keys = keys.select(*on).distinct()
             raw = self._in_folders_of(raw, keys).join(keys, on, "left_semi")
         hidden = {REPAIR_COL, JOB_COL, BUCKET_COL} | (set() if with_batch else {BATCH_COL})
-        latest = self._merged(raw, [c for c in raw.columns if c not in hidden])
+        wanted = None if columns is None else {*columns, BATCH_COL, *([self.keep] if self.keep else [])}
+        latest = self._merged(raw, [c for c in raw.columns if c not in hidden and (wanted is None or c in wanted)])
         if self.keep:
             latest = latest.where(F.col(self.keep)).drop(self.keep)
         return latest

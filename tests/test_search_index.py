@@ -108,3 +108,42 @@ def test_index_of_an_empty_table(spark, scratch):
     index = SaleIndex.build(df.limit(0), f"{scratch}/index")
     assert index.matches("red").count() == 0
     assert index.result(df.limit(0).select(*SALE_DETAIL_COLUMNS), "red", "2024-01-01", 1, 5).first().total == 0
+
+
+def test_index_is_built_from_one_pass_over_the_sale_rows(spark, scratch):
+    df, rows = sales(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    index = SaleIndex.build(df.mapInArrow(counted, df.schema), f"{scratch}/index")
+    assert index.postings().count() == postings(df).count() and seen.value == len(rows)
+
+
+def test_narrow_view_merges_its_columns_only(spark, scratch):
+    from livemart.streaming.upsert import KeyedTable
+    t = KeyedTable(f"{scratch}/t", ["k"], keep="ok")
+    for batch, v in ((0, "a"), (1, "b")):
+        t.write(spark.createDataFrame([("x", v, "wide", True), ("y", v, "wide", batch == 0)], "k string, v string, w string, ok boolean"), batch)
+    view = t.view(spark, columns=["k", "v"])
+    assert [tuple(r) for r in view.collect()] == [("x", "b")] and view.columns == ["k", "v"]
+    assert "w, w#" not in view._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stored_months_are_dealt_by_size(spark, scratch):
+    from conftest import SF_SMALL
+    from livemart.plans.streams import stored_sales
+    # so that the small table is large
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        table = stored_sales(spark, SF_SMALL, f"{scratch}/sales")
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    tasks = {r.f.rsplit("/", 1)[1][:10] for r in table.raw(spark).select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(tasks) > 2 * spark.sparkContext.defaultParallelism
