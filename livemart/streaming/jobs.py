@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from livemart.operators import alerts, dau, ingest, orders, sales
 from livemart.operators.dau import DAU_ORDER
-from livemart.operators.keyed import first_per_key, latest_per_key
+from livemart.operators.keyed import first_per_key, once_per_key
 from livemart.schemas import DAU_COLUMNS
 from livemart.streaming.bounded import HELD, OpenRows, both_sides, interval_ms
 from livemart.streaming.upsert import BATCH_COL, KeyedTable
@@ -441,33 +441,41 @@ def pending_sale_query(orders_rows: DataFrame, lines: DataFrame, stored_orders:
     reads the buckets of its own ids only, never a table whole; each line is paired once,
     whichever side comes first and however late.  A replayed batch reads what came before it and writes the same.
     """
-    both = (orders_rows.select(F.struct("*").alias("o"), F.lit(None).cast(lines.schema).alias("d"))
-            .unionByName(lines.select(F.lit(None).cast(orders_rows.schema).alias("o"), F.struct("*").alias("d"))))
     order_columns = ["create_time", "order_status", "user_id", "create_date"]
     line_columns = ["id", "order_id", "sku_id", "sku_name", "order_price", "sku_num"]
 
     def _batch(df, bid):
         spark = df.sparkSession
-        df.persist()
+        raw = [df.where(f"{side} is not null").select(f"{side}.*").persist() for side in ("o", "d")]
+        kept = []
         try:
-            info = orders.order_info(df.where("o is not null").select("o.*"))
-            info = latest_per_key(info, ["id"], order_columns, ["id", *order_columns])
-            new = latest_per_key(df.where("d is not null").select("d.*"), ["id"], line_columns[1:], line_columns)
-            stored = stored_orders.view(spark, keys=new.select(F.col("order_id").alias("id")), before_batch=bid)
-            known = info.unionByName(stored.join(info.select("id"), "id", "left_anti").select(*info.columns))
-            waiting = pending.view(spark, keys=info.select(F.col("id").alias("order_id")), before_batch=bid)
-            lines = new.unionByName(waiting.join(new.select("id"), "id", "left_anti").select(*line_columns)).persist()
-            try:
-                found = sales.pair_rows(known, lines)
-                needed = found.select(F.col("user_id").alias("id"))
-                table.write(sales.with_user(found, users.view(spark, keys=needed), as_of), bid)
-                # the waiting lines are there because their order has come: all of them are claimed
-                left = lines.join(known.select(F.col("id").alias("order_id")), "order_id", "left_anti")
-                claimed = waiting.select(*line_columns).withColumn("open", F.lit(False))
-                pending.write(left.select(*line_columns).withColumn("open", F.lit(True)).unionByName(claimed), bid)
-            finally:
-                lines.unpersist()
+            info = orders.order_info(raw[0]).select("id", *order_columns)
+            info = once_per_key(info, ["id"], order_columns, latest=True)
+            new = once_per_key(raw[1].select(*line_columns), ["id"], line_columns[1:], latest=True)
+            own = info.select(F.col("id").alias("order_id"))
+            # only the lines whose order is not in the batch need the stored orders, and few wait: kept for their sizes
+            alone = new.join(own, "order_id", "left_anti").select(*line_columns).persist()
+            waiting = pending.view(spark, keys=own, before_batch=bid).select(*line_columns).persist()
+            kept += [alone, waiting]
+            alone.count(), waiting.count()
+            stored = stored_orders.view(spark, keys=alone.select(F.col("order_id").alias("id")), before_batch=bid)
+            stored = stored.select(*info.columns).persist()
+            kept.append(stored)
+            stored.count()
+            again = new.join(waiting.select("id"), "id", "left_semi").select("id")
+            claims = waiting.join(again, "id", "left_anti").select(*line_columns)
+            # an order of the batch stands before a stored one of its id: ``alone`` has no line of it
+            known = info.unionByName(stored)
+            needed = known.select(F.col("user_id").alias("id"))
+            lines = new.unionByName(claims)
+            table.write(sales.sale_detail(known, lines, users.view(spark, keys=needed), as_of), bid)
+            # the waiting lines are there because their order has come: all of them are claimed
+            left = alone.join(stored.select(F.col("id").alias("order_id")), "order_id", "left_anti")
+            claimed = waiting.withColumn("open", F.lit(False))
+            pending.write(left.select(*line_columns).withColumn("open", F.lit(True)).unionByName(claimed), bid)
             stored_orders.write(info, bid)
         finally:
-            df.unpersist()
-    return _start(both, checkpoint, trigger, "append", _batch, "pending_sales")
+            for rows in [*raw, *kept]:
+                rows.unpersist()
+    return _start(both_sides(orders_rows, lines), checkpoint, trigger, "append", _batch, "pending_sales",
+                  batch_partitions(orders_rows.sparkSession))

@@ -66,7 +66,8 @@ class KeyedTable:
             self.schema = df.drop(BATCH_COL).schema
         folders = list(self.partition_by)
         if self.buckets:
-            df = df.withColumn(BUCKET_COL, self._bucket()).repartition(BUCKET_COL)
+            # one task a bucket, or several where AQE finds it large
+            df = df.withColumn(BUCKET_COL, self._bucket()).hint("rebalance", BUCKET_COL)
             folders.append(BUCKET_COL)
         w = df.write.mode("overwrite").option("compression", "zstd")
         if folders:

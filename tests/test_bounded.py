@@ -117,3 +117,40 @@ def test_refresh_of_late_users_merges_the_sale_rows_once(spark, scratch):
     jobs.refresh_missing_users(spark, table, users, "2001-08-02")
     assert table.view(spark).first().user_gender == "F"
     assert seen[0].count("order_detail_id#") and sum("Relation [" in x and "order_detail_id" in x for x in seen[0].splitlines()) == 1
+
+
+def test_pending_job_looks_up_only_lines_whose_order_is_not_in_the_batch(spark, scratch):
+    from livemart.plans.streams import pending_tables
+    users = KeyedTable(f"{scratch}/users", ["id"], order=["seq"], buckets=4)
+    users.write(spark.createDataFrame([("7", "u", "L1", "1990-01-01", "F", 1)], USER), 0)
+    for k in range(2):
+        put(spark, [order(f"{k}{n}", T0) for n in range(20)], ORDER, f"{scratch}/o")
+        put(spark, [line(f"{k}{n}_1", f"{k}{n}", T0) for n in range(20)] + [line(f"late_{k}", "03", T0)] * 2, LINE, f"{scratch}/d")
+    stored, pending = pending_tables(scratch)
+    table, asked, view = KeyedTable(f"{scratch}/sales", ["order_detail_id"]), [], stored.view
+
+    def counted(session, keys=None, **rest):
+        if keys is not None:
+            asked.append(keys.distinct().count())
+        return view(session, keys=keys, **rest)
+    stored.view = counted
+    jobs.pending_sale_query(*streams(spark, scratch), stored, pending, users, table, f"{scratch}/ck", "2001-08-02",
+                            trigger=ONCE).awaitTermination()
+    assert asked == [0, 1] and table.raw(spark).count() == 42 and pending.view(spark).count() == 0
+    assert {r.user_gender for r in table.view(spark).collect()} == {"F"}
+
+
+def test_large_bucket_is_written_by_several_tasks(spark, scratch):
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {key: spark.conf.get(key) for key in conf}
+    rows = spark.range(0, 40_000, 1, 8).select(F.col("id").cast("string").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    t = KeyedTable(f"{scratch}/t", ["k"], buckets=2)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        t.write(rows, 0)
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    assert t.raw(spark).select(F.input_file_name()).distinct().count() >= 8
+    assert t.view(spark, keys=spark.createDataFrame([("7",)], "k string")).count() == 1 and t.view(spark).count() == 40_000
