@@ -168,18 +168,23 @@ def repair_alerts(spark, table: KeyedTable, archive, late: KeyedTable, window_ms
     cancels without; no other window is read.  Returns the repair's number.
     """
     repair_id = repair_id or table.next_repair(spark)
-    windows = alerts.touched_windows(late.view(spark), window_ms, slide_ms)
-    right = alerts.decided_again(archive(spark), windows, window_ms, slide_ms, min_users)
-    stored = table.view(spark, with_batch=True, before_repair=repair_id)
-    touched = windows.select(F.col("mid").alias("_mid"), (F.col("wstart") + F.lit(window_ms)).alias("_ts"))
-    own = stored.join(touched, stored["mid"].eqNullSafe(touched["_mid"]) & (stored["ts"] == touched["_ts"]), "left_semi")
-    batches = own.select(F.col("mid").alias("_mid"), F.col("ts").alias("_ts"), F.col(BATCH_COL))
-    same = right["mid"].eqNullSafe(batches["_mid"]) & (right["ts"] == batches["_ts"])
-    held = (right.join(batches, same, "left").drop("_mid", "_ts")
-            .withColumns({BATCH_COL: F.coalesce(BATCH_COL, F.lit(0).cast("long")), "ok": F.lit(True)}))
-    kept = right.select(F.col("mid").alias("_mid"), F.col("ts").alias("_ts"))
-    gone = own.join(kept, own["mid"].eqNullSafe(kept["_mid"]) & (own["ts"] == kept["_ts"]), "left_anti").withColumn("ok", F.lit(False))
-    table.repair(held.unionByName(gone.select(*held.columns)), repair_id, "late_alerts")
+    # each is computed once: the windows serve four joins, the decided alerts two
+    windows = alerts.touched_windows(late.view(spark), window_ms, slide_ms).persist()
+    right = alerts.decided_again(archive(spark), windows, window_ms, slide_ms, min_users).persist()
+    try:
+        stored = table.view(spark, with_batch=True, before_repair=repair_id)
+        touched = windows.select(F.col("mid").alias("_mid"), (F.col("wstart") + F.lit(window_ms)).alias("_ts"))
+        own = stored.join(touched, stored["mid"].eqNullSafe(touched["_mid"]) & (stored["ts"] == touched["_ts"]), "left_semi")
+        batches = own.select(F.col("mid").alias("_mid"), F.col("ts").alias("_ts"), F.col(BATCH_COL))
+        same = right["mid"].eqNullSafe(batches["_mid"]) & (right["ts"] == batches["_ts"])
+        held = (right.join(batches, same, "left").drop("_mid", "_ts")
+                .withColumns({BATCH_COL: F.coalesce(BATCH_COL, F.lit(0).cast("long")), "ok": F.lit(True)}))
+        kept = right.select(F.col("mid").alias("_mid"), F.col("ts").alias("_ts"))
+        gone = own.join(kept, own["mid"].eqNullSafe(kept["_mid"]) & (own["ts"] == kept["_ts"]), "left_anti").withColumn("ok", F.lit(False))
+        table.repair(held.unionByName(gone.select(*held.columns)), repair_id, "late_alerts")
+    finally:
+        right.unpersist()
+        windows.unpersist()
     return repair_id
 
 

@@ -154,3 +154,22 @@ def test_large_bucket_is_written_by_several_tasks(spark, scratch):
             spark.conf.set(key, value)
     assert t.raw(spark).select(F.input_file_name()).distinct().count() >= 8
     assert t.view(spark, keys=spark.createDataFrame([("7",)], "k string")).count() == 1 and t.view(spark).count() == 40_000
+
+
+def test_alert_repair_computes_its_windows_and_alerts_once(spark, scratch):
+    event = "event_id long, mid string, uid string, evid string, itemid string, ts_ms long"
+    alert = ("id string, mid string, uids array<string>, itemIds array<string>, events array<string>, ts long, "
+             "window_start string, window_end string, ok boolean")
+    rows = [(k, "a", f"u{k}", "coupon", str(k), T0 + k) for k in range(3)]
+    events = spark.createDataFrame(rows, event)
+    table, late = KeyedTable(f"{scratch}/alerts", ["mid", "ts"], keep="ok", schema=alert), KeyedTable(f"{scratch}/late", ["event_id"])
+    late.write(events, 0)
+    seen, repair = [], table.repair
+
+    def watched(df, *rest):
+        seen.append(df._jdf.queryExecution().withCachedData().toString())
+        repair(df, *rest)
+    table.repair = watched
+    jobs.repair_alerts(spark, table, lambda _: events, late, 30_000, 5_000)
+    assert table.view(spark).count() == 6
+    assert "InMemoryRelation" in seen[0]
