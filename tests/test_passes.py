@@ -90,3 +90,37 @@ def test_view_moves_only_rows_of_repeated_keys(spark, scratch, monkeypatch):
     single = KeyedTable(f"{scratch}/s", ["k"])
     single.write(spark.range(100).select(F.col("id").cast("string").alias("k")), 0)
     assert "Exchange" not in single.view(spark, few_repeats=True)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_compaction_in_passes_folds_repairs(spark, scratch, small):
+    t = versions(spark, f"{scratch}/t")
+    fix = lambda v: spark.createDataFrame([("x", "5", 1, v, 0), ("x", "late", 1, v, 0), ("x", "3", 2, v, 1)],
+                                          "d string, k string, n int, v string, batch_id long")
+    t.repair(fix("r"), 1, "some")
+    want = sorted(map(str, t.view(spark).collect()))
+    t.compact(spark, 1)
+    assert t.raw(spark).count() == 44 and sorted(map(str, t.view(spark).collect())) == want
+    t.write(spark.createDataFrame([("x", "7", 9, "new")], "d string, k string, n int, v string"), 2)
+    assert {r.k: r.v for r in t.view(spark).where("k in ('3', '5', '7', 'late')").collect()} == {"3": "r", "5": "r", "7": "new", "late": "r"}
+    # run again, it corrects what is there now
+    t.repair(fix("again").where("k = '3'"), 1, "some")
+    assert t.view(spark).where("d = 'x' and k = '3'").first().v == "again"
+    t.compact(spark, 2)
+    assert t.view(spark).where("d = 'x' and k = '3'").first().v == "again" and t.view(spark).count() == 44
+
+
+def test_refresh_of_late_users_in_passes(spark, scratch, small):
+    table = KeyedTable(f"{scratch}/sales", ["order_detail_id"])
+    schema = ("order_detail_id string, order_id string, order_status string, create_time string, user_id string, "
+              "sku_id string, user_gender string, user_age int, user_level string, sku_price double, "
+              "sku_name string, dt string, sku_num string")
+    table.write(spark.createDataFrame([(f"{k}_1", str(k), "O", "2024-01-01 10:00:00", str(k % 3), "s1", None, 0, None, 2.5, "red",
+                                        "2024-01-01", "1") for k in range(30)], schema), 0)
+    users = KeyedTable(f"{scratch}/users", ["id"], order=["seq"])
+    users.write(spark.createDataFrame([(str(k), "u", "L1", "2000-08-02", "F", 1) for k in range(2)], USER), 0)
+    assert left_behind(spark, lambda: jobs.refresh_missing_users(spark, table, users, "2001-08-02", 1)) == 0
+    jobs.refresh_missing_users(spark, table, users, "2001-08-02", 1)  # a second run replaces the first
+    table.compact(spark, table.next_batch(spark) - 1)
+    assert table.raw(spark).count() == 30
+    assert sorted((r.user_id, r.user_gender) for r in table.view(spark, few_repeats=True).select("user_id", "user_gender").distinct().collect()) == [
+        ("0", "F"), ("1", "F"), ("2", None)]
