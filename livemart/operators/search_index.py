@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from livemart.functions.text import query_terms, tokens
 from livemart.operators import search
+from livemart.passes import drop_folder, in_ranges, shuffles_removed
 
 # The usual BM25 parameters (term saturation, length weight).
 K1 = 1.2
@@ -36,13 +37,17 @@ FACET_COLUMNS = ("user_gender", "user_age", "user_level")
 INDEXED_COLUMNS = ("dt", "order_detail_id", "sku_name", *FACET_COLUMNS)
 
 
-def postings(sales: DataFrame) -> DataFrame:
-    """(term, dt, order_detail_id, tf, length, facet columns) of every line; no shuffle."""
+def postings(sales: DataFrame, *more: str) -> DataFrame:
+    """(term, dt, order_detail_id, tf, length, facet columns) of every line; no shuffle.
+
+    ``more`` may name ``first``: whether the entry is the first one of its line.
+    """
     named = sales.withColumn("_tokens", F.coalesce(tokens("sku_name"), F.array().cast("array<string>")))
     entry = F.transform(F.array_distinct("_tokens"), lambda t: F.struct(
         t.alias("term"), F.size(F.filter("_tokens", lambda x: x == t)).alias("tf")))
-    rows = named.select("dt", "order_detail_id", F.size("_tokens").alias("length"), *FACET_COLUMNS, F.explode(entry).alias("e"))
-    return rows.select("e.term", "dt", "order_detail_id", "e.tf", "length", *FACET_COLUMNS)
+    rows = named.select("dt", "order_detail_id", F.size("_tokens").alias("length"), *FACET_COLUMNS,
+                        F.posexplode(entry).alias("_pos", "e")).withColumn("first", F.col("_pos") == 0)
+    return rows.select("e.term", "dt", "order_detail_id", "e.tf", "length", *FACET_COLUMNS, *more)
 
 
 class SaleIndex:
@@ -54,21 +59,21 @@ class SaleIndex:
     @classmethod
     def build(cls, sales: DataFrame, path: str) -> "SaleIndex":
         index = cls(sales.sparkSession, path)
-        order = ["term", "dt", "order_detail_id"]
-        # computed once and kept (memory, spilling to disk): the range bounds, the postings and the collection read it
-        lines = sales.select(*INDEXED_COLUMNS).persist()
-        try:
-            (postings(lines).repartitionByRange(*order).sortWithinPartitions(*order)
-             .write.option("compression", "zstd").parquet(f"{index.path}/postings"))
-            length = F.size(F.coalesce(tokens("sku_name"), F.array().cast("array<string>")))
-            lines.select(length.alias("n")).where("n > 0").agg(
-                F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("tokens")) \
+        order, stage = ["term", "dt", "order_detail_id"], f"{index.path}/staged"
+        with shuffles_removed(index.spark):
+            # computed once and stored as it comes: the ranges, a pass each, and the collection read it
+            postings(sales.select(*INDEXED_COLUMNS), "first").write.mode("overwrite").option("compression", "zstd").parquet(stage)
+            staged = index.spark.read.parquet(stage)
+            for k, part in enumerate(in_ranges(staged.drop("first"), order, staged.count())):
+                (part.repartitionByRange(*order).sortWithinPartitions(*order)
+                 .write.mode("append" if k else "error").option("compression", "zstd").parquet(f"{index.path}/postings"))
+            staged.where("first").agg(
+                F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("tokens")) \
                 .write.parquet(f"{index.path}/collection")
-        finally:
-            lines.unpersist()
-        held = index.postings()
-        (held.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
-         .repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{index.path}/terms"))
+            held = index.postings()
+            (held.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
+             .repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{index.path}/terms"))
+        drop_folder(index.spark, stage)
         return index
 
     def postings(self) -> DataFrame:

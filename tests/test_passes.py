@@ -124,3 +124,39 @@ def test_refresh_of_late_users_in_passes(spark, scratch, small):
     assert table.raw(spark).count() == 30
     assert sorted((r.user_id, r.user_gender) for r in table.view(spark, few_repeats=True).select("user_id", "user_gender").distinct().collect()) == [
         ("0", "F"), ("1", "F"), ("2", None)]
+
+
+def test_index_in_ranges_equals_the_index_of_one_pass(spark, scratch, monkeypatch):
+    df, rows = sales(spark)
+    df = df.unionByName(df.limit(3).withColumns({"dt": F.lit(None).cast("string"), "order_detail_id": F.lit(None).cast("string")}))
+    whole = SaleIndex.build(df, f"{scratch}/whole")
+    persisted = spark._jsc.sc().getPersistentRDDs().size()
+    monkeypatch.setattr(passes, "PASS_ROWS", 150)
+    assert left_behind(spark, lambda: SaleIndex.build(df, f"{scratch}/parts")) == 0
+    parts = SaleIndex(spark, f"{scratch}/parts")
+    assert spark._jsc.sc().getPersistentRDDs().size() == persisted
+    assert len(passes.in_ranges(parts.postings(), ["term"], parts.postings().count())) > 4
+    for name in ("postings", "terms", "collection"):
+        a, b = (spark.read.parquet(f"{x.path}/{name}") for x in (whole, parts))
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    assert parts.postings().count() == postings(df).count()
+    files = parts.postings().select(F.input_file_name().alias("f"), "term").distinct().groupBy("f").agg(
+        F.min("term").alias("a"), F.max("term").alias("b")).orderBy("a", "b").collect()
+    assert len(files) > 4 and all(x.b <= y.a for x, y in zip(files, files[1:]))
+    with pytest.raises(AnalysisException):
+        spark.read.schema("term string").parquet(f"{scratch}/parts/staged")
+
+
+def test_stored_sales_in_passes(spark, scratch, monkeypatch):
+    from conftest import SF_SMALL
+    from livemart.plans.catalog import sale_detail
+    from livemart.plans.streams import stored_sales
+    want = sale_detail(spark, SF_SMALL)
+    monkeypatch.setattr(passes, "PASS_ROWS", 2000)
+    tables = []
+    assert left_behind(spark, lambda: tables.append(stored_sales(spark, SF_SMALL, f"{scratch}/sales"))) == 0
+    got = tables[0].raw(spark).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    part = passes.in_passes(want, ["order_id"], 3)[0]._jdf.queryExecution().optimizedPlan().toString()
+    # each pass filters the lines and the orders before the join moves them
+    assert part.count("pmod(xxhash64(") >= 2
