@@ -73,6 +73,21 @@ def test_sale_job_leaves_no_shuffle_files(spark, scratch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_restart_replays_the_uncommitted_batch_of_a_spent_replay(spark, scratch):
+    from livemart.plans.streams import CrashingTable, _run_through_crash
+    o = spark.createDataFrame([order(n, T0 + n * HOUR) for n in range(80)], ORDER)
+    d = spark.createDataFrame([line(f"{n}_1", n, T0 + n * HOUR) for n in range(80)], LINE)
+    src = [replay_stream(df, f"{scratch}/{name}", t, 4, 2, spend=True) for df, name, t in ((o, "o", "order_ms"), (d, "d", "change_ms"))]
+    users = KeyedTable(f"{scratch}/users", ["id"], order=["seq"], buckets=4)
+    users.write(spark.createDataFrame([("7", "u", "L1", "1990-01-01", "F", 1)], USER), 0)
+    table = CrashingTable(f"{scratch}/sales", ["order_detail_id"])
+    table.crash_at = 2
+    _run_through_crash(lambda: jobs.sale_query(*src, users, table, f"{scratch}/ck", "2001-08-02", trigger=ONCE))
+    time.sleep(1)
+    assert table.raw(spark).count() == 80 and table.view(spark, few_repeats=True).count() == 80
+    assert spark.read.schema(o.schema).parquet(f"{scratch}/o").count() == 20  # the last batch's
+
+
 def versions(spark, path):
     t = KeyedTable(path, ["d", "k"], order=["n"])
     t.write(spark.createDataFrame([("x", str(k), 1, "a") for k in range(40)] + [(None, "q", 1, "a"), ("x", None, 2, "b"), (None, None, 1, "a")],
